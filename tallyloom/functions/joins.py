@@ -1,0 +1,29 @@
+"""Joins that stay even when one key holds a large part of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HEAVY_PARTS = 1000
+
+
+def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], weight: str) -> DataFrame:
+    """Inner join of many left rows to one right row per key.
+
+    ``right[weight]`` counts the left rows of the key. A key with more than 1/1000 of all left rows
+    is heavy; fewer than 1000 keys can be, so their right rows are broadcast and the left rows stay
+    where they are. All other keys take a shuffle join in which no key is large.
+    """
+    keys = list(on)
+    values = [c for c in right.columns if c not in keys and c != weight]
+    total = right.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("t")).scalar()
+    is_heavy = F.col(weight) * HEAVY_PARTS > total
+    heavy = right.where(is_heavy).select(*keys, *values)
+    light = right.where(~is_heavy).select(*keys, *values)
+    few = F.broadcast(heavy)
+    return left.join(few, keys).unionByName(
+        left.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(light, keys)
+    )
