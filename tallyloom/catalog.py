@@ -8,7 +8,19 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import association, etl, marketplace as mk, profile, retail
+from .operators import (
+    association,
+    budget,
+    etl,
+    evaluation,
+    marketplace as mk,
+    profile,
+    responses as rs,
+    retail,
+    reviews as rv,
+)
+from .plans import review_extraction as extraction
+from .session import fresh_folder, stored
 from .sources import bindings, files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +52,15 @@ def slim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return work(spark, sf_dir, description=False, country=False)
 
 
+def stored_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Work table written once, for queries that go over it many times."""
+    return stored(work(spark, sf_dir), "work")
+
+
+def on_stored_work(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: operator(stored_work(spark, sf_dir))
+
+
 def on_work(name: str, operator: Callable[[DataFrame], DataFrame], **needs: bool) -> None:
     QUERIES[name] = lambda spark, sf_dir: operator(work(spark, sf_dir, **needs))
 
@@ -102,11 +123,9 @@ def _rules(w: DataFrame) -> DataFrame:
     return association.item_pair_rules(w, PAIR_MIN_ITEM, PAIR_MIN_PAIR, PAIR_LARGE)
 
 
-on_work("item_pair_rules", _rules, **NO_LAND)
-on_work("item_pairs_top_support", lambda w: association.top_pairs_by_support(_rules(w)), **NO_LAND)
-on_work(
-    "item_pairs_balanced", lambda w: association.top_balanced_pairs(_rules(w), 10, 0.5), **NO_LAND
-)
+on_stored_work("item_pair_rules", _rules)
+on_stored_work("item_pairs_top_support", lambda w: association.top_pairs_by_support(_rules(w)))
+on_stored_work("item_pairs_balanced", lambda w: association.top_balanced_pairs(_rules(w), 10, 0.5))
 
 
 @query("retail_source")
@@ -141,7 +160,7 @@ def null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("output_null_report")
 def output_null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing values per column of the three ETL outputs."""
-    w = work(spark, sf_dir)
+    w = stored_work(spark, sf_dir)
     facts = etl.sales_facts(w)
     outputs = {
         "sales_facts": facts,
@@ -179,8 +198,8 @@ on_work("sales_facts", etl.sales_facts)
 
 @query("customer_features")
 def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = work(spark, sf_dir)
-    return etl.customer_features(etl.sales_facts(w), slim(spark, sf_dir))
+    w = stored_work(spark, sf_dir)
+    return etl.customer_features(etl.sales_facts(w), w)
 
 
 on_work("primary_country", lambda w: etl.primary_country(etl.sales_facts(w)))
@@ -188,10 +207,13 @@ on_work(
     "eligible_returns",
     lambda w: etl.cancellations(w).where(etl.eligible_return()),
 )
-on_work("return_match", lambda w: etl.match_returns(etl.cancellations(w), etl.sales_facts(w)))
-on_work("returns_log", lambda w: etl.returns_log(w, etl.sales_facts(w)))
-on_work("return_status", lambda w: etl.return_status(etl.returns_log(w, etl.sales_facts(w))))
-on_work("unmatched_samples", lambda w: etl.unmatched_samples(etl.returns_log(w, etl.sales_facts(w))))
+on_stored_work(
+    "return_match",
+    lambda w: etl.match_returns(etl.cancellations(w).where(etl.eligible_return()), etl.sales_facts(w)),
+)
+on_stored_work("returns_log", lambda w: etl.returns_log(w, etl.sales_facts(w)))
+on_stored_work("return_status", lambda w: etl.return_status(etl.returns_log(w, etl.sales_facts(w))))
+on_stored_work("unmatched_samples", lambda w: etl.unmatched_samples(etl.returns_log(w, etl.sales_facts(w))))
 
 
 @query("sales_metric_table")
@@ -203,21 +225,21 @@ def sales_metric_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("output_violations")
 def output_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = work(spark, sf_dir)
+    w = stored_work(spark, sf_dir)
     facts = etl.sales_facts(w)
     return etl.output_violations(facts, etl.customer_features(facts, w), etl.returns_log(w, facts))
 
 
 @query("etl_summary")
 def etl_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = work(spark, sf_dir)
+    w = stored_work(spark, sf_dir)
     facts = etl.sales_facts(w)
     return etl.etl_summary(w, facts, etl.customer_features(facts, w), etl.returns_log(w, facts))
 
 
 @query("feature_profile")
 def feature_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = work(spark, sf_dir)
+    w = stored_work(spark, sf_dir)
     features = etl.customer_features(etl.sales_facts(w), w)
     return profile.numeric_profile(
         features, ["recency_days", "frequency", "monetary", "unique_products"]
@@ -259,8 +281,6 @@ on_market("city_search", lambda t: mk.city_search(t["customers"], CITY))
 @query("order_source")
 def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nine tables written as CSV, read back typed, and counted."""
-    from .session import fresh_folder
-
     folder = fresh_folder(spark, "marketplace")
     paths = {}
     for name, df in bindings.marketplace(spark, sf_dir).items():
@@ -286,3 +306,127 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = mk.day_totals(t["orders"], paid, t["order_reviews"])
     served = mk.day_totals(t["orders"], t["order_items"], t["order_reviews"])
     return mk.reconcile(source, served)
+
+
+# --- review texts ----------------------------------------------------------------------------
+
+SAMPLE_SIZE = 300
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rv.review_records(bindings.reviews(spark, sf_dir))
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rv.route_texts(rv.dedup_texts(records(spark, sf_dir)))
+
+
+def on_records(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: operator(records(spark, sf_dir))
+
+
+def on_texts(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: operator(texts(spark, sf_dir))
+
+
+def answered(spark: SparkSession, sf_dir: str) -> tuple[extraction.Routed, extraction.Extraction]:
+    routed = extraction.route_reviews(bindings.reviews(spark, sf_dir))
+    return routed, extraction.with_answers(routed.texts, bindings.model_answers(routed.texts))
+
+
+def on_answers(name: str, operator) -> None:
+    QUERIES[name] = lambda spark, sf_dir: operator(*answered(spark, sf_dir))
+
+
+def _expanded(routed: extraction.Routed, run: extraction.Extraction) -> DataFrame:
+    return rs.expand_reviews(routed.records, routed.texts, run.results)
+
+
+QUERIES["low_score_reviews"] = lambda spark, sf_dir: rv.low_score_reviews(
+    bindings.reviews(spark, sf_dir)
+)
+on_records("review_raw_text", lambda r: r.select("review_id", "raw_text"))
+on_records("normalized_text", lambda r: r.select("review_id", "normalized_text"))
+on_records("text_hash", lambda r: r.select("review_id", "text_hash"))
+on_records("dedup_groups", lambda r: rv.dedup_texts(r).drop("normalized_text"))
+on_records("duplicate_text_top", rv.duplicate_text_top)
+on_records("duplicate_text_stats", rv.duplicate_text_stats)
+on_records(
+    "text_length_profile",
+    lambda r: profile.numeric_profile(r.select(F.length("raw_text").alias("length")), ["length"]),
+)
+on_texts(
+    "rule_issues",
+    lambda t: rv.exploded_issues(
+        t.where(F.col("issues").isNotNull()), "dedup_key", "needs_manual_review"
+    ),
+)
+on_texts("route", lambda t: t.select("dedup_key", "route", "reason", "n_reviews"))
+on_texts("route_counts", rv.route_counts)
+on_texts(
+    "token_estimate",
+    lambda t: t.select("dedup_key", budget.estimate_tokens(F.col("raw_text")).alias("tokens")),
+)
+on_texts("token_batches", lambda t: budget.pack_batches(budget.small_items(t)))
+on_texts("route_sample", lambda t: budget.route_sample(t, SAMPLE_SIZE).select("dedup_key", "route"))
+
+
+@query("budget_gate")
+def budget_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return budget.call_plan(extraction.route_reviews(bindings.reviews(spark, sf_dir)).texts)
+
+
+@query("offline_results")
+def offline_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rv.exploded_issues(
+        rs.offline_results(texts(spark, sf_dir)), "dedup_key", "method", "needs_manual_review"
+    )
+
+
+@query("response_validation")
+def response_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = extraction.route_reviews(bindings.reviews(spark, sf_dir)).texts
+    judged = rs.validate_responses(bindings.model_answers(routed), routed)
+    return judged.select(
+        "dedup_key", "tier", "status", F.size("issues").alias("issues"), "needs_manual_review"
+    ).withColumn("issues", F.when(F.col("issues") >= 0, F.col("issues")))
+
+
+on_answers("escalation", lambda routed, run: rs.escalation(run.outcomes))
+on_answers(
+    "merged_results",
+    lambda routed, run: rv.exploded_issues(
+        run.results, "dedup_key", "method", "model", "needs_manual_review"
+    ),
+)
+on_answers(
+    "expanded_reviews",
+    lambda routed, run: rv.exploded_issues(
+        _expanded(routed, run),
+        "review_id", "order_id", "review_score", "raw_text", "normalized_text_hash", "method",
+        "model", "needs_manual_review", "actionable_for_seller",
+    ),
+)
+on_answers("issue_counts", lambda routed, run: rs.issue_counts(_expanded(routed, run)))
+on_answers("method_counts", lambda routed, run: rs.method_counts(_expanded(routed, run)))
+on_answers(
+    "accuracy_sample", lambda routed, run: evaluation.accuracy_sample(_expanded(routed, run))
+)
+on_answers(
+    "extraction_metadata",
+    lambda routed, run: extraction.metadata(routed, run, _expanded(routed, run)),
+)
+QUERIES["accuracy_metrics"] = lambda spark, sf_dir: evaluation.accuracy_metrics(
+    bindings.judged_reviews(bindings.table(spark, sf_dir, "labels"))
+)
+
+
+@query("cache_misses")
+def cache_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All low-score reviews against a cache of those whose text a rule settles."""
+    r = records(spark, sf_dir)
+    settled = texts(spark, sf_dir).where(F.col("route") == "rule")
+    cache = settled.select(
+        "review_id", F.col("dedup_key").alias("text_hash"), F.lit("v1").alias("model_version")
+    )
+    return rv.cache_misses(r, cache, "v1").select("review_id", "text_hash")

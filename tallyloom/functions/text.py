@@ -52,19 +52,19 @@ def _normalize_with_tables(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
-@F.pandas_udf(T.StringType())
-def _soften_with_tables(texts: pd.Series) -> pd.Series:
-    def one(text):
-        if text is None:
-            return None
-        return " ".join(re.sub(ZERO_WIDTH, "", html.unescape(text)).split()).casefold()
+def _soft(text: str) -> str:
+    return " ".join(re.sub(ZERO_WIDTH, "", html.unescape(text)).split()).casefold()
 
-    return texts.map(one)
 
+@F.pandas_udf(T.ArrayType(T.BooleanType()))
+def _found_with_tables(texts: pd.Series, quotes: pd.Series) -> pd.Series:
+    def one(text, wanted):
+        if text is None or wanted is None:
+            return None
+        whole = _soft(text)
+        return [None if q is None else (_soft(q) in whole if q else text == "") for q in wanted]
 
-def _by_alphabet(text: Column, native: Column, with_tables) -> Column:
-    hard = text.rlike(NEEDS_TABLES)
-    return F.when(hard, with_tables(F.when(hard, text))).otherwise(native)
+    return pd.Series([one(t, w) for t, w in zip(texts, quotes)])
 
 
 def normalize_text(text: Column) -> Column:
@@ -77,13 +77,25 @@ def normalize_text(text: Column) -> Column:
     bare = F.regexp_replace(bare, f"(?i)https?://[^{SPACE}]+|www\\.[^{SPACE}]+", " ")
     letters = F.translate(_fold_native(bare), ACCENTED, BASE)
     native = F.trim(F.regexp_replace(letters, r"[^\p{L}\p{N}_]+", " "))
-    return _by_alphabet(text, native, _normalize_with_tables)
+    hard = text.rlike(NEEDS_TABLES)
+    return F.when(hard, _normalize_with_tables(F.when(hard, text))).otherwise(native)
+
 
+def _soften(text: Column) -> Column:
+    return F.trim(_fold_native(F.regexp_replace(text, f"[{SPACE}]+", " ")))
 
-def soften_text(text: Column) -> Column:
-    """Weaker form for evidence checks: entities, white space and case only; accents stay."""
-    native = F.trim(_fold_native(F.regexp_replace(text, f"[{SPACE}]+", " ")))
-    return _by_alphabet(text, native, _soften_with_tables)
+
+def quotes_found(text: Column, quotes: Column) -> Column:
+    """For each quote, whether the text holds it up to entities, white space and case.
+
+    Accents count. An empty quote belongs to an empty text only.
+    """
+    hard = text.rlike(NEEDS_TABLES) | F.exists(quotes, lambda q: q.rlike(NEEDS_TABLES))
+    whole = _soften(text)
+    native = F.transform(
+        quotes, lambda q: F.when(q == "", text == "").otherwise(F.contains(whole, _soften(q)))
+    )
+    return F.when(hard, _found_with_tables(F.when(hard, text), F.when(hard, quotes))).otherwise(native)
 
 
 def fold_accents(text: Column) -> Column:

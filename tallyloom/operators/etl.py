@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import lookup_join
 from ..functions.numeric import count_where, money_sum, pct, whole_days_between
 from ..functions.stock import stock_category
 from ..functions import fixed_values as fv
 from .retail import FACT_COLUMNS, fact_columns
 
-MATCH_KEYS = ["customer_id", "stock_code", "quantity_abs"]
+MATCH_KEYS = ["buyer", "stock_code", "quantity_abs"]
 
 
 def sales_facts(work: DataFrame) -> DataFrame:
@@ -66,56 +65,71 @@ def eligible_return() -> Column:
 
 
 def match_returns(returns: DataFrame, facts: DataFrame) -> DataFrame:
-    """Eligible returns that undo an earlier sale, with ``matched_original_invoice``.
+    """Returns with ``matched_original_invoice``, the sale they undo; null where there is none.
 
     The sale has the same customer, code and absolute quantity and is the latest strictly before the
     return; of sales at one instant the greatest invoice counts; a sale may be matched many times.
 
     Sales and returns first shrink to the distinct instants of a key. The search then runs per key
     and calendar day, and one row per key and day carries the last sale over to later days, so no
-    task ever holds the whole history of a key.
+    task ever holds the whole history of a key. Returns look their instant up; those that are not
+    eligible carry a scattered key that fits nothing.
     """
-    size = F.abs("quantity").alias("quantity_abs")
-    when = F.col("invoice_datetime").alias("at")
-    left = returns.where(eligible_return()).withColumns(
-        {"quantity_abs": F.abs("quantity"), "at": F.col("invoice_datetime")}
+    eligible = F.coalesce(eligible_return(), F.lit(False))
+    nowhere = -1 - F.pmod(F.xxhash64(*FACT_COLUMNS), F.lit(1 << 40))
+    left = returns.withColumns(
+        {
+            "quantity_abs": F.when(eligible, F.abs("quantity")).otherwise(nowhere),
+            "at": F.col("invoice_datetime"),
+            "buyer": F.coalesce("customer_id", F.lit("")),
+        }
+    )
+    asked = returns.where(eligible).select(
+        F.col("customer_id").alias("buyer"),
+        "stock_code",
+        F.abs("quantity").alias("quantity_abs"),
+        F.col("invoice_datetime").alias("at"),
+        F.lit(None).cast("string").alias("sale"),
+        F.lit(True).alias("asked"),
     )
-    asked = left.select(*MATCH_KEYS, "at", F.lit(None).cast("string").alias("sale"), F.lit(1).alias("n"))
     sold = facts.where(F.col("customer_id").isNotNull()).select(
-        "customer_id", "stock_code", size, when, F.col("invoice_no").alias("sale"), F.lit(0).alias("n")
+        F.col("customer_id").alias("buyer"),
+        "stock_code",
+        F.abs("quantity").alias("quantity_abs"),
+        F.col("invoice_datetime").alias("at"),
+        F.col("invoice_no").alias("sale"),
+        F.lit(False).alias("asked"),
     )
     instants = (
         asked.unionByName(sold)
         .groupBy(*MATCH_KEYS, "at")
-        .agg(F.max("sale").alias("sale"), F.sum("n").alias("n"))
+        .agg(F.max("sale").alias("sale"), F.bool_or("asked").alias("asked"))
         .withColumn("day", F.to_date("at"))
+        .dropna(subset=[*MATCH_KEYS, "at", "day"])
     )
-    within = (
-        Window.partitionBy(*MATCH_KEYS, "day")
-        .orderBy("at")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    across = (
-        Window.partitionBy(*MATCH_KEYS).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    same_day = F.last("sale", ignorenulls=True).over(within)
-    searched = instants.withColumn("same_day_sale", same_day)
-    daily = (
+    up_to_now = (Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*MATCH_KEYS, "day").orderBy("at").rowsBetween(*up_to_now)
+    across = Window.partitionBy(*MATCH_KEYS).orderBy("day").rowsBetween(*up_to_now)
+    same_day = instants.select(
+        *MATCH_KEYS, "day", "at", "asked", F.last("sale", ignorenulls=True).over(within).alias("recent")
+    ).where("asked")
+    sale_time = F.when(F.col("sale").isNotNull(), F.col("at"))
+    carried = (
         instants.groupBy(*MATCH_KEYS, "day")
-        .agg(F.max_by("sale", F.when(F.col("sale").isNotNull(), F.col("at"))).alias("last_sale"))
-        .select(*MATCH_KEYS, "day", F.last("last_sale", ignorenulls=True).over(across).alias("carried"))
-    )
-    matched = (
-        searched.where(F.col("n") > 0)
-        .join(daily, [*MATCH_KEYS, "day"])
+        .agg(F.max_by("sale", sale_time).alias("last_sale"), F.bool_or("asked").alias("asked"))
         .select(
             *MATCH_KEYS,
-            "at",
-            F.coalesce("same_day_sale", "carried").alias("matched_original_invoice"),
-            "n",
+            "day",
+            "asked",
+            F.last("last_sale", ignorenulls=True).over(across).alias("earlier"),
         )
+        .where("asked")
+        .drop("asked")
+    )
+    matched = same_day.join(carried, [*MATCH_KEYS, "day"]).select(
+        *MATCH_KEYS, "at", F.coalesce("recent", "earlier").alias("matched_original_invoice")
     )
-    return lookup_join(left, matched, [*MATCH_KEYS, "at"], "n").select(
+    return left.join(matched, [*MATCH_KEYS, "at"], "left").select(
         *FACT_COLUMNS, "matched_original_invoice"
     )
 
@@ -126,11 +140,7 @@ def cancellations(work: DataFrame) -> DataFrame:
 
 def returns_log(work: DataFrame, facts: DataFrame) -> DataFrame:
     """All cancellation lines; the eligible ones carry the sale they undo, if there is one."""
-    returns = cancellations(work)
-    rest = returns.where(~F.coalesce(eligible_return(), F.lit(False))).withColumn(
-        "matched_original_invoice", F.lit(None).cast("string")
-    )
-    return match_returns(returns, facts).unionByName(rest)
+    return match_returns(cancellations(work), facts)
 
 
 def return_status(log: DataFrame) -> DataFrame:

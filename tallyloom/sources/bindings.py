@@ -303,3 +303,70 @@ def order_events(events: DataFrame) -> DataFrame:
         )
         .alias("payload"),
     )
+
+
+def model_answers(texts: DataFrame) -> DataFrame:
+    """Answers of both models to every text, with all defects an answer can have.
+
+    The defect follows from a hex digit of the text key: the first for the small model, the second
+    for the large one.
+    """
+    tiers = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(tier).alias("tier"), (F.instr(F.lit("0123456789abcdef"), F.substring("dedup_key", n, 1)) - 1).alias("kind"))
+                for n, tier in ((1, "small"), (2, "large"))
+            ]
+        )
+    )
+    kind = F.col("kind")
+
+    def issue(category: str, subcategory: str, evidence: Column, confidence: Column) -> Column:
+        return F.struct(
+            F.lit(category).alias("category"),
+            F.lit(subcategory).alias("subcategory"),
+            evidence.alias("evidence"),
+            confidence.alias("confidence"),
+        )
+
+    said = F.substring("raw_text", 1, 30)
+    plain = issue(
+        "delivery",
+        "delay",
+        F.when(kind == 4, "texto que não existe aqui").otherwise(said),
+        F.when(kind == 2, 1.2).when(kind == 5, 0.69).otherwise(0.9),
+    )
+    issues = (
+        F.when(kind == 1, F.array(issue("weather", "delay", said, F.lit(0.9))))
+        .when(kind == 3, F.array_remove(F.array(plain), plain))
+        .when(kind == 7, F.array(plain, issue("product", "defective", F.upper(said), F.lit(0.8))))
+        .otherwise(F.array(plain))
+    )
+    answer = F.to_json(F.struct(issues.alias("issues"), (kind == 15).alias("needs_manual_review")))
+    return (
+        texts.where(F.col("route") != "rule")
+        .select("dedup_key", "raw_text", tiers.alias("t"))
+        .select("dedup_key", "raw_text", "t.*")
+        .select(
+            "dedup_key",
+            "tier",
+            F.when(kind == 0, F.lit('{"issues": [')).when(kind != 6, answer).alias("raw_json"),
+        )
+    )
+
+
+def judged_reviews(labels: DataFrame) -> DataFrame:
+    """Human judgements made of the label table."""
+    doc = F.col("doc_id")
+    issues = (1 + doc % 3).cast("bigint")
+    return labels.select(
+        (1 + doc % 3).cast("int").alias("batch"),
+        pick(["rule", "small_llm", "large_llm"], (doc / 3).cast("bigint") % 3).alias("method"),
+        F.col("quality").cast("bigint").alias("class_ok"),
+        issues.alias("issues"),
+        (issues - F.col("toxic")).alias("issues_supported"),
+        F.col("toxic").cast("bigint").alias("issues_invented"),
+        (1 + doc % 2).cast("bigint").alias("true_issues"),
+        (1 - F.col("quality")).cast("bigint").alias("missed_issues"),
+        (1 - F.col("toxic")).cast("bigint").alias("actionable_ok"),
+    )
