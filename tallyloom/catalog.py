@@ -22,6 +22,7 @@ from .operators import (
 from .plans import review_extraction as extraction
 from .session import fresh_folder, stored
 from .sources import bindings, files
+from .streaming import orders as so, reviews as sr
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -430,3 +431,76 @@ def cache_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "review_id", F.col("dedup_key").alias("text_hash"), F.lit("v1").alias("model_version")
     )
     return rv.cache_misses(r, cache, "v1").select("review_id", "text_hash")
+
+
+# --- streams ---------------------------------------------------------------------------------
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bindings.order_events(bindings.table_stream(spark, sf_dir, "events"))
+
+
+def local_times(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
+
+
+def status_log(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    so.status_job(raw_events(spark, sf_dir), f"{folder}/log", f"{folder}/log-checkpoint")
+    return f"{folder}/log"
+
+
+def seller_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "seller-days")
+    log = so.log_stream(spark, status_log(spark, sf_dir, folder))
+    so.seller_daily_job(log, f"{folder}/days", f"{folder}/days-checkpoint")
+    return so.current_seller_days(spark, f"{folder}/days")
+
+
+@query("latest_status")
+def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final state of the status stream."""
+    log = status_log(spark, sf_dir, fresh_folder(spark, "status"))
+    return local_times(so.current_status(spark, log), "event_time", "estimated_delivery_date")
+
+
+@query("seller_daily")
+def seller_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final state of the seller day stream, which follows the status log."""
+    days = seller_days(spark, sf_dir)
+    return days.withColumns(
+        {"day": F.to_date("day").cast("string"), "amount": F.col("amount").cast("double")}
+    )
+
+
+@query("monthly_curve")
+def monthly_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return so.monthly_curve(seller_days(spark, sf_dir))
+
+
+@query("late_alerts")
+def late_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "late")
+    so.late_alert_job(raw_events(spark, sf_dir), folder, f"{folder}/checkpoint")
+    alerts = spark.read.parquet(f"{folder}/alerts").select("order_id", "seller_id", "due")
+    return local_times(alerts, "due")
+
+
+@query("dead_letters")
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that do not parse, beside the number of those that do."""
+    folder = fresh_folder(spark, "split")
+    so.split_job(raw_events(spark, sf_dir), folder, f"{folder}/checkpoint")
+    good = spark.read.parquet(f"{folder}/good").agg(F.count(F.lit(1)).alias("n")).scalar()
+    dead = spark.read.parquet(f"{folder}/dead").select("event_id", "event_time", "payload")
+    return local_times(dead, "event_time").withColumn("readable_events", good)
+
+
+@query("stream_reviews")
+def stream_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routed texts of the review stream."""
+    folder = fresh_folder(spark, "reviews")
+    reviews = bindings.document_reviews(bindings.table_stream(spark, sf_dir, "documents"))
+    sr.review_job(reviews, folder, f"{folder}/checkpoint", "v1")
+    return spark.read.parquet(f"{folder}/texts").select(
+        "dedup_key", "review_id", "route", "needs_manual_review", "tokens"
+    )

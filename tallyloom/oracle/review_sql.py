@@ -94,7 +94,7 @@ CALLS = (
   SELECT dedup_key, tok + 80 AS t, row_number() OVER (ORDER BY dedup_key) AS rn,
     CAST(sum(tok + 80) OVER (ORDER BY dedup_key) AS BIGINT) AS cum
   FROM texts WHERE route = 'small_llm'
-), nexts AS (
+), nexts AS MATERIALIZED (
   SELECT a.rn, greatest(c.rn, a.rn + 1) AS nx FROM
     (SELECT rn, cum - t + {fv.BATCH_TOKEN_BUDGET} AS edge FROM items) a ASOF JOIN items c ON a.edge < c.cum
 ), starts AS (
@@ -128,7 +128,7 @@ def _answer_issues() -> str:
     conf = "CASE kind WHEN 2 THEN 1.2 WHEN 5 THEN 0.69 ELSE 0.9 END"
     plain = one("delivery", "delay", f"CASE WHEN kind = 4 THEN 'texto que não existe aqui' ELSE {said} END", conf)
     return f"""CASE kind WHEN 1 THEN [{one("weather", "delay", said, "0.9")}] WHEN 3 THEN []
-      WHEN 7 THEN [{plain}, {one("product", "defective", f"upper({said})", "0.8")}] ELSE [{plain}] END"""
+      WHEN 7 THEN [{plain}, {one("product", "defective", f"lower({said})", "0.8")}] ELSE [{plain}] END"""
 
 
 KINDS = [f"{c}.{s}" for c, subs in fv.TAXONOMY.items() for s in subs]

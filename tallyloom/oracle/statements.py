@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import marketplace_sql, retail_sql, review_sql
+from . import marketplace_sql, retail_sql, review_sql, stream_sql
 
 
 def all_statements() -> dict[str, str]:
-    return {**retail_sql.statements(), **marketplace_sql.statements(), **review_sql.statements()}
+    return {**retail_sql.statements(), **marketplace_sql.statements(), **review_sql.statements(), **stream_sql.statements()}

@@ -256,8 +256,18 @@ def marketplace(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_reviews(table(spark, sf_dir, "documents"))
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as a stream of its files."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def document_reviews(documents: DataFrame) -> DataFrame:
     """Customer reviews: each line of each document is one, and each document adds a mere rating."""
-    lines = table(spark, sf_dir, "documents").select(
+    lines = documents.select(
         "doc_id", F.posexplode(F.array_append(F.split("text", "\n"), F.lit(None).cast("string")))
         .alias("line", "message")
     )
@@ -279,30 +289,24 @@ def order_events(events: DataFrame) -> DataFrame:
     """Order status events out of the raw event table; some arrive twice, some are unreadable."""
     k = F.get_json_object("props", "$.k").cast("int")
     order = F.col("user_id") * 10 + k % 10
-    return events.withColumn("k", k).select(
+    status = F.coalesce(*[F.when(F.col("event_type") == e, s) for e, s in STATUS_BY_EVENT.items()])
+    due = F.lit("2024-01-03").cast("timestamp") + days(order % 25)
+    fields = {
+        "order_id": order.cast("string"),
+        "seller_id": (F.col("user_id") % 25).cast("string"),
+        "status": status,
+        "version": F.col("event_id"),
+        "estimated_delivery_date": F.date_format(due, "yyyy-MM-dd HH:mm:ss"),
+        "amount": F.col("value").cast("decimal(12,2)"),
+    }
+    message = F.to_json(F.named_struct(*[x for name, c in fields.items() for x in (F.lit(name), c)]))
+    sent = events.withColumn("k", k).select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("ts").cast("timestamp").alias("event_time"),
-        F.explode(F.sequence(F.lit(1), F.when(F.col("k") < 10, 2).otherwise(1))).alias("delivery"),
-        F.when(F.col("k") == 99, F.substring("props", 1, 5))
-        .otherwise(
-            F.to_json(
-                F.struct(
-                    order.cast("string").alias("order_id"),
-                    (F.col("user_id") % 25).cast("string").alias("seller_id"),
-                    F.coalesce(
-                        *[F.when(F.col("event_type") == e, s) for e, s in STATUS_BY_EVENT.items()]
-                    ).alias("status"),
-                    F.col("event_id").alias("version"),
-                    F.date_format(
-                        F.lit("2024-01-03").cast("timestamp") + days(order % 25),
-                        "yyyy-MM-dd HH:mm:ss",
-                    ).alias("estimated_delivery_date"),
-                    F.col("value").cast("decimal(12,2)").alias("amount"),
-                )
-            )
-        )
-        .alias("payload"),
+        F.when(F.col("k") == 99, F.substring("props", 1, 5)).otherwise(message).alias("payload"),
+        F.array_repeat(F.lit(1), F.when(F.col("k") < 10, 2).otherwise(1)).alias("copies"),
     )
+    return sent.select("event_id", "event_time", "payload", F.explode("copies").alias("copy"))
 
 
 def model_answers(texts: DataFrame) -> DataFrame:
@@ -339,7 +343,7 @@ def model_answers(texts: DataFrame) -> DataFrame:
     issues = (
         F.when(kind == 1, F.array(issue("weather", "delay", said, F.lit(0.9))))
         .when(kind == 3, F.array_remove(F.array(plain), plain))
-        .when(kind == 7, F.array(plain, issue("product", "defective", F.upper(said), F.lit(0.8))))
+        .when(kind == 7, F.array(plain, issue("product", "defective", F.lower(said), F.lit(0.8))))
         .otherwise(F.array(plain))
     )
     answer = F.to_json(F.struct(issues.alias("issues"), (kind == 15).alias("needs_manual_review")))
