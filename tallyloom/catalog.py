@@ -20,7 +20,7 @@ from .operators import (
     reviews as rv,
 )
 from .plans import review_extraction as extraction
-from .session import fresh_folder, stored
+from .session import fresh_folder, staged
 from .sources import bindings, files
 from .streaming import orders as so, reviews as sr
 
@@ -44,95 +44,80 @@ def query(name: str) -> Callable[[Query], Query]:
 # --- retail lines ----------------------------------------------------------------------------
 
 
-def work(spark: SparkSession, sf_dir: str, description: bool = True, country: bool = True) -> DataFrame:
-    return retail.retail_work(bindings.retail_lines(spark, sf_dir, description, country))
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's tables as retail lines, staged once for all queries."""
+    return staged(spark, "retail-lines", sf_dir, lambda: bindings.retail_lines(spark, sf_dir))
 
 
-def slim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Work table without the joined dimensions."""
-    return work(spark, sf_dir, description=False, country=False)
+def work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retail.retail_work(lines(spark, sf_dir))
 
 
-def stored_work(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Work table written once, for queries that go over it many times."""
-    return stored(work(spark, sf_dir), "work")
+def on_work(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: operator(work(spark, sf_dir))
 
 
-def on_stored_work(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, sf_dir: operator(stored_work(spark, sf_dir))
-
-
-def on_work(name: str, operator: Callable[[DataFrame], DataFrame], **needs: bool) -> None:
-    QUERIES[name] = lambda spark, sf_dir: operator(work(spark, sf_dir, **needs))
-
-
-NO_DIMS = {"description": False, "country": False}
-NO_TEXT = {"description": False}
-NO_LAND = {"country": False}
-
 on_work("retail_work", lambda w: w)
 on_work("quantity_extremes", profile.quantity_extremes)
 on_work("extreme_gap_minutes", lambda w: profile.extreme_gap_minutes(profile.quantity_extremes(w)))
 on_work("negative_price_rows", profile.negative_price_rows)
 on_work("bad_debt_rows", profile.bad_debt_rows)
-on_work("price_issue_counts", profile.price_issue_counts, **NO_DIMS)
-on_work("missing_description_audit", profile.missing_description_audit, **NO_LAND)
-on_work("high_price_items", profile.high_price_items, **NO_LAND)
+on_work("price_issue_counts", profile.price_issue_counts)
+on_work("missing_description_audit", profile.missing_description_audit)
+on_work("high_price_items", profile.high_price_items)
 on_work(
     "numeric_profile",
     lambda w: profile.numeric_profile(w, ["quantity", "price"]),
-    **NO_DIMS,
 )
 on_work(
     "line_amount_profile",
     lambda w: profile.numeric_profile(
         profile.positive_anonymous(w), ["line_amount"], [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
     ),
-    **NO_DIMS,
 )
-on_work("invoice_prefix_summary", profile.invoice_prefix_summary, **NO_DIMS)
-on_work("stock_category_summary", profile.stock_category_summary, **NO_DIMS)
-on_work("non_product_codes", profile.non_product_codes, **NO_DIMS)
-on_work("customer_missing_summary", profile.customer_missing_summary, **NO_TEXT)
-on_work("customer_missing_buckets", profile.customer_missing_buckets, **NO_DIMS)
-on_work("invoice_completeness", profile.invoice_completeness, **NO_DIMS)
-on_work("sales_measures", profile.sales_measures, **NO_DIMS)
-on_work("basket_sizes", profile.basket_sizes, **NO_DIMS)
-on_work("item_description", profile.item_description, **NO_LAND)
-on_work("all_missing_description_codes", profile.all_missing_description_codes, **NO_LAND)
-on_work("damage_descriptions", profile.damage_descriptions, **NO_LAND)
-on_work("top_anonymous_items", profile.top_anonymous_items, **NO_LAND)
-on_work("top_positive_anonymous_items", profile.top_positive_anonymous_items, **NO_LAND)
-on_work("description_conflicts", profile.description_conflicts, **NO_LAND)
-on_work("code_descriptions", lambda w: profile.code_descriptions(w, "20007"), **NO_LAND)
-on_work("anonymous_by_country", profile.anonymous_by_country, **NO_TEXT)
-on_work("anonymous_invoice_patterns", profile.anonymous_invoice_patterns, **NO_DIMS)
-on_work("mixed_invoices", profile.mixed_invoices, **NO_DIMS)
-on_work("dot_share_of_missing_invoices", profile.dot_share_of_missing_invoices, **NO_DIMS)
-on_work("missing_customer_overlap", profile.missing_customer_overlap, **NO_LAND)
-on_work("rows_per_invoice_hist", profile.rows_per_invoice_hist, **NO_DIMS)
-on_work("rows_per_invoice_profile", profile.rows_per_invoice_profile, **NO_DIMS)
-on_work("anonymous_by_month", profile.anonymous_by_month, **NO_DIMS)
-on_work("month_totals", lambda w: profile.month_totals(w, last=6), **NO_DIMS)
-on_work("amount_buckets", profile.amount_buckets, **NO_DIMS)
-on_work("date_range", profile.date_range, **NO_DIMS)
-on_work("flag_rules", association.flag_rules, **NO_LAND)
-on_work("invoice_pattern_rules", association.invoice_pattern_rules, **NO_TEXT)
+on_work("invoice_prefix_summary", profile.invoice_prefix_summary)
+on_work("stock_category_summary", profile.stock_category_summary)
+on_work("non_product_codes", profile.non_product_codes)
+on_work("customer_missing_summary", profile.customer_missing_summary)
+on_work("customer_missing_buckets", profile.customer_missing_buckets)
+on_work("invoice_completeness", profile.invoice_completeness)
+on_work("sales_measures", profile.sales_measures)
+on_work("basket_sizes", profile.basket_sizes)
+on_work("item_description", profile.item_description)
+on_work("all_missing_description_codes", profile.all_missing_description_codes)
+on_work("damage_descriptions", profile.damage_descriptions)
+on_work("top_anonymous_items", profile.top_anonymous_items)
+on_work("top_positive_anonymous_items", profile.top_positive_anonymous_items)
+on_work("description_conflicts", profile.description_conflicts)
+on_work("code_descriptions", lambda w: profile.code_descriptions(w, "20007"))
+on_work("anonymous_by_country", profile.anonymous_by_country)
+on_work("anonymous_invoice_patterns", profile.anonymous_invoice_patterns)
+on_work("mixed_invoices", profile.mixed_invoices)
+on_work("dot_share_of_missing_invoices", profile.dot_share_of_missing_invoices)
+on_work("missing_customer_overlap", profile.missing_customer_overlap)
+on_work("rows_per_invoice_hist", profile.rows_per_invoice_hist)
+on_work("rows_per_invoice_profile", profile.rows_per_invoice_profile)
+on_work("anonymous_by_month", profile.anonymous_by_month)
+on_work("month_totals", lambda w: profile.month_totals(w, last=6))
+on_work("amount_buckets", profile.amount_buckets)
+on_work("date_range", profile.date_range)
+on_work("flag_rules", association.flag_rules)
+on_work("invoice_pattern_rules", association.invoice_pattern_rules)
 
 
 def _rules(w: DataFrame) -> DataFrame:
     return association.item_pair_rules(w, PAIR_MIN_ITEM, PAIR_MIN_PAIR, PAIR_LARGE)
 
 
-on_stored_work("item_pair_rules", _rules)
-on_stored_work("item_pairs_top_support", lambda w: association.top_pairs_by_support(_rules(w)))
-on_stored_work("item_pairs_balanced", lambda w: association.top_balanced_pairs(_rules(w), 10, 0.5))
+on_work("item_pair_rules", _rules)
+on_work("item_pairs_top_support", lambda w: association.top_pairs_by_support(_rules(w)))
+on_work("item_pairs_balanced", lambda w: association.top_balanced_pairs(_rules(w), 10, 0.5))
 
 
 @query("retail_source")
 def retail_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An extract with the older column names and one column too many, conformed."""
-    raw = bindings.retail_lines(spark, sf_dir).withColumnsRenamed(
+    raw = lines(spark, sf_dir).withColumnsRenamed(
         {"Invoice": "InvoiceNo", "Price": "UnitPrice", "Customer ID": "CustomerID"}
     )
     return files.conform_retail(raw.withColumn("Extra", F.lit(1)))
@@ -140,14 +125,14 @@ def retail_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stock_code_class")
 def stock_code_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slim(spark, sf_dir).groupBy("stock_code", "stock_category").agg(
+    return work(spark, sf_dir).groupBy("stock_code", "stock_category").agg(
         F.count(F.lit(1)).alias("rows")
     )
 
 
 @query("customer_id_norm")
 def customer_id_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = slim(spark, sf_dir).select(
+    ids = work(spark, sf_dir).select(
         "customer_id_raw", retail.normalize_customer_id(F.col("customer_id_raw")).alias("customer_id")
     )
     return ids.groupBy("customer_id_raw", "customer_id").agg(F.count(F.lit(1)).alias("rows"))
@@ -155,13 +140,13 @@ def customer_id_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("null_report")
 def null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.null_report(bindings.retail_lines(spark, sf_dir))
+    return profile.null_report(lines(spark, sf_dir))
 
 
 @query("output_null_report")
 def output_null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing values per column of the three ETL outputs."""
-    w = stored_work(spark, sf_dir)
+    w = work(spark, sf_dir)
     facts = etl.sales_facts(w)
     outputs = {
         "sales_facts": facts,
@@ -177,19 +162,19 @@ def output_null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("string_profile")
 def string_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = bindings.retail_lines(spark, sf_dir)
-    return profile.string_profile(lines, ["Invoice", "StockCode", "Description", "Customer ID", "Country"])
+    rows = lines(spark, sf_dir)
+    return profile.string_profile(rows, ["Invoice", "StockCode", "Description", "Customer ID", "Country"])
 
 
 @query("duplicate_check")
 def duplicate_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = bindings.retail_lines(spark, sf_dir)
-    return profile.duplicate_check(lines, retail.retail_work(lines))
+    rows = lines(spark, sf_dir)
+    return profile.duplicate_check(rows, retail.retail_work(rows))
 
 
 @query("duplicate_rows")
 def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.duplicate_rows(bindings.retail_lines(spark, sf_dir))
+    return profile.duplicate_rows(lines(spark, sf_dir))
 
 
 # --- retail ETL ------------------------------------------------------------------------------
@@ -199,7 +184,7 @@ on_work("sales_facts", etl.sales_facts)
 
 @query("customer_features")
 def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = stored_work(spark, sf_dir)
+    w = work(spark, sf_dir)
     return etl.customer_features(etl.sales_facts(w), w)
 
 
@@ -208,39 +193,39 @@ on_work(
     "eligible_returns",
     lambda w: etl.cancellations(w).where(etl.eligible_return()),
 )
-on_stored_work(
+on_work(
     "return_match",
     lambda w: etl.match_returns(etl.cancellations(w).where(etl.eligible_return()), etl.sales_facts(w)),
 )
-on_stored_work("returns_log", lambda w: etl.returns_log(w, etl.sales_facts(w)))
-on_stored_work("return_status", lambda w: etl.return_status(etl.returns_log(w, etl.sales_facts(w))))
-on_stored_work("unmatched_samples", lambda w: etl.unmatched_samples(etl.returns_log(w, etl.sales_facts(w))))
+on_work("returns_log", lambda w: etl.returns_log(w, etl.sales_facts(w)))
+on_work("return_status", lambda w: etl.return_status(etl.returns_log(w, etl.sales_facts(w))))
+on_work("unmatched_samples", lambda w: etl.unmatched_samples(etl.returns_log(w, etl.sales_facts(w))))
 
 
 @query("sales_metric_table")
 def sales_metric_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales measures beside the totals of the facts; the first and the fourth agree."""
-    w = slim(spark, sf_dir)
+    w = work(spark, sf_dir)
     return profile.sales_measures(w).unionByName(etl.fact_totals(w.where("is_gross_sale")))
 
 
 @query("output_violations")
 def output_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = stored_work(spark, sf_dir)
+    w = work(spark, sf_dir)
     facts = etl.sales_facts(w)
     return etl.output_violations(facts, etl.customer_features(facts, w), etl.returns_log(w, facts))
 
 
 @query("etl_summary")
 def etl_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = stored_work(spark, sf_dir)
+    w = work(spark, sf_dir)
     facts = etl.sales_facts(w)
     return etl.etl_summary(w, facts, etl.customer_features(facts, w), etl.returns_log(w, facts))
 
 
 @query("feature_profile")
 def feature_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = stored_work(spark, sf_dir)
+    w = work(spark, sf_dir)
     features = etl.customer_features(etl.sales_facts(w), w)
     return profile.numeric_profile(
         features, ["recency_days", "frequency", "monetary", "unique_products"]
@@ -314,8 +299,13 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 SAMPLE_SIZE = 300
 
 
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's documents as reviews, staged once for all queries."""
+    return staged(spark, "reviews", sf_dir, lambda: bindings.reviews(spark, sf_dir))
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rv.review_records(bindings.reviews(spark, sf_dir))
+    return rv.review_records(reviews(spark, sf_dir))
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,9 +320,17 @@ def on_texts(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: operator(texts(spark, sf_dir))
 
 
+def routed(spark: SparkSession, sf_dir: str) -> extraction.Routed:
+    """Reviews and routed texts, staged once for the queries behind the routes."""
+    return extraction.Routed(
+        staged(spark, "records", sf_dir, lambda: records(spark, sf_dir)),
+        staged(spark, "texts", sf_dir, lambda: texts(spark, sf_dir)),
+    )
+
+
 def answered(spark: SparkSession, sf_dir: str) -> tuple[extraction.Routed, extraction.Extraction]:
-    routed = extraction.route_reviews(bindings.reviews(spark, sf_dir))
-    return routed, extraction.with_answers(routed.texts, bindings.model_answers(routed.texts))
+    known = routed(spark, sf_dir)
+    return known, extraction.with_answers(known.texts, bindings.model_answers(known.texts))
 
 
 def on_answers(name: str, operator) -> None:
@@ -344,7 +342,7 @@ def _expanded(routed: extraction.Routed, run: extraction.Extraction) -> DataFram
 
 
 QUERIES["low_score_reviews"] = lambda spark, sf_dir: rv.low_score_reviews(
-    bindings.reviews(spark, sf_dir)
+    reviews(spark, sf_dir)
 )
 on_records("review_raw_text", lambda r: r.select("review_id", "raw_text"))
 on_records("normalized_text", lambda r: r.select("review_id", "normalized_text"))
@@ -368,13 +366,17 @@ on_texts(
     "token_estimate",
     lambda t: t.select("dedup_key", budget.estimate_tokens(F.col("raw_text")).alias("tokens")),
 )
-on_texts("token_batches", lambda t: budget.pack_batches(budget.small_items(t)))
 on_texts("route_sample", lambda t: budget.route_sample(t, SAMPLE_SIZE).select("dedup_key", "route"))
 
 
+@query("token_batches")
+def token_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return budget.pack_batches(budget.small_items(routed(spark, sf_dir).texts))
+
+
 @query("budget_gate")
 def budget_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return budget.call_plan(extraction.route_reviews(bindings.reviews(spark, sf_dir)).texts)
+    return budget.call_plan(routed(spark, sf_dir).texts)
 
 
 @query("offline_results")
@@ -386,8 +388,8 @@ def offline_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("response_validation")
 def response_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = extraction.route_reviews(bindings.reviews(spark, sf_dir)).texts
-    judged = rs.validate_responses(bindings.model_answers(routed), routed)
+    known = routed(spark, sf_dir).texts
+    judged = rs.validate_responses(bindings.model_answers(known), known)
     return judged.select(
         "dedup_key", "tier", "status", F.size("issues").alias("issues"), "needs_manual_review"
     ).withColumn("issues", F.when(F.col("issues") >= 0, F.col("issues")))
@@ -425,12 +427,12 @@ QUERIES["accuracy_metrics"] = lambda spark, sf_dir: evaluation.accuracy_metrics(
 @query("cache_misses")
 def cache_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All low-score reviews against a cache of those whose text a rule settles."""
-    r = records(spark, sf_dir)
-    settled = texts(spark, sf_dir).where(F.col("route") == "rule")
+    known = routed(spark, sf_dir)
+    settled = known.texts.where(F.col("route") == "rule")
     cache = settled.select(
         "review_id", F.col("dedup_key").alias("text_hash"), F.lit("v1").alias("model_version")
     )
-    return rv.cache_misses(r, cache, "v1").select("review_id", "text_hash")
+    return rv.cache_misses(known.records, cache, "v1").select("review_id", "text_hash")
 
 
 # --- streams ---------------------------------------------------------------------------------

@@ -8,17 +8,23 @@ from pyspark.sql import functions as F
 from . import fixed_values as fv
 
 
+def _key(code: Column) -> Column:
+    return F.upper(F.trim(code))
+
+
+def is_product(code: Column) -> Column:
+    """Whether a code is a product code. Those begin with a digit, as no other listed code does."""
+    return _key(code).rlike(fv.PRODUCT_CODE_PATTERN)
+
+
 def stock_category(code: Column) -> Column:
     """Class of a stock code; case and outer blanks are ignored."""
-    key = F.upper(F.trim(code))
+    key = _key(code)
     lists, prefixes = fv.STOCK_CODE_LISTS, fv.STOCK_CODE_PREFIXES
-    expr = None
+    expr = F.when(is_product(code), fv.PRODUCT_LIKE)
     for category in [*lists, *prefixes]:
-        tests = []
         if category in lists:
-            tests.append(key.isin(lists[category]))
+            expr = expr.when(key.isin(lists[category]), category)
         if category in prefixes:
-            tests.append(key.startswith(prefixes[category]))
-        for test in tests:
-            expr = F.when(test, category) if expr is None else expr.when(test, category)
-    return expr.when(key.rlike(fv.PRODUCT_CODE_PATTERN), fv.PRODUCT_LIKE).otherwise(fv.OTHER_CODE)
+            expr = expr.when(key.startswith(prefixes[category]), category)
+    return expr.otherwise(fv.OTHER_CODE)

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import count_where, money_sum, pct, whole_days_between
-from ..functions.stock import stock_category
-from ..functions import fixed_values as fv
+from ..functions.stock import is_product
 from .retail import FACT_COLUMNS, fact_columns
 
 MATCH_KEYS = ["buyer", "stock_code", "quantity_abs"]
@@ -60,7 +59,7 @@ def eligible_return() -> Column:
         (F.col("quantity") < 0)
         & (F.col("unit_price") > 0)
         & F.col("customer_id").isNotNull()
-        & (stock_category(F.col("stock_code")) == fv.PRODUCT_LIKE)
+        & is_product(F.col("stock_code"))
     )
 
 
@@ -146,7 +145,7 @@ def returns_log(work: DataFrame, facts: DataFrame) -> DataFrame:
 def return_status(log: DataFrame) -> DataFrame:
     """Rows per outcome; the first outcome that fits counts."""
     matched = F.col("matched_original_invoice").isNotNull()
-    product = stock_category(F.col("stock_code")) == fv.PRODUCT_LIKE
+    product = is_product(F.col("stock_code"))
     status = (
         F.when(matched, "matched_exact_prior_sale")
         .when(eligible_return(), "unmatched_no_exact_prior_sale")

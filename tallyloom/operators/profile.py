@@ -567,7 +567,7 @@ def basket_sizes(work: DataFrame, large: int = 50) -> DataFrame:
         "p95_unique_products": 0.95,
         "p99_unique_products": 0.99,
     }
-    quantiles = quantile_columns(sizes, "size", names)
+    quantiles = quantile_columns(sizes, "size", names).select(F.struct(*names).alias("q")).scalar()
     is_large = F.col("size") >= large
     totals = sizes.agg(
         n_rows().alias("gross_product_invoices"),
@@ -575,9 +575,7 @@ def basket_sizes(work: DataFrame, large: int = 50) -> DataFrame:
         count_where(is_large).alias(f"invoices_with_{large}_plus_products"),
         pct(count_where(is_large), n_rows()).alias(f"pct_invoices_with_{large}_plus_products"),
     )
-    return totals.select(
-        "*", *[quantiles.select(name).scalar().alias(name) for name in names]
-    )
+    return totals.withColumn("q", quantiles).select(*totals.columns, "q.*")
 
 
 def duplicate_check(lines: DataFrame, work: DataFrame) -> DataFrame:

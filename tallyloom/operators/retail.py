@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import fixed_values as fv
-from ..functions.stock import stock_category
+from ..functions.stock import is_product, stock_category
 
 FACT_COLUMNS = [
     "invoice_no",
@@ -27,45 +26,38 @@ def known(condition: Column) -> Column:
 
 
 def retail_work(lines: DataFrame) -> DataFrame:
-    """Retail lines with amount, prefix, category and flags. Input columns not at hand are left out."""
-    has = set(lines.columns)
+    """Retail lines with amount, prefix, category and flags.
+
+    The flags test codes and invoices directly, so a filter on a flag costs one pattern match.
+    """
     invoice, quantity, price = F.col("invoice"), F.col("quantity"), F.col("price")
     base = lines.select(
         F.col("Invoice").cast("string").alias("invoice"),
         F.trim("StockCode").alias("stock_code"),
-        *([F.col("Description").alias("description")] if "Description" in has else []),
+        F.col("Description").alias("description"),
         F.col("Quantity").cast("bigint").alias("quantity"),
         F.col("InvoiceDate").cast("timestamp_ntz").alias("invoice_datetime"),
         F.col("Price").cast("double").alias("price"),
         F.col("Customer ID").alias("customer_id_raw"),
-        *([F.col("Country").alias("country")] if "Country" in has else []),
+        F.col("Country").alias("country"),
     )
-    base = base.withColumns(
+    letters = F.nullif(F.regexp_extract(invoice, "^([A-Za-z]+)", 1), F.lit(""))
+    cancelled, bad_debt = invoice.startswith("C"), invoice.startswith("A")
+    product = is_product(F.col("stock_code"))
+    numbered = ~invoice.rlike("^[A-Za-z]")
+    return base.withColumns(
         {
             "line_amount": quantity * price,
-            "invoice_prefix": F.coalesce(
-                F.nullif(F.regexp_extract(invoice, "^([A-Za-z]+)", 1), F.lit("")), F.lit("numeric")
-            ),
+            "invoice_prefix": F.coalesce(letters, F.lit("numeric")),
             "stock_category": stock_category(F.col("stock_code")),
-            "is_cancellation": known(invoice.startswith("C")),
-            "is_bad_debt": known(invoice.startswith("A")),
+            "is_cancellation": known(cancelled),
+            "is_bad_debt": known(bad_debt),
             "is_customer_missing": F.col("customer_id_raw").isNull(),
-        }
-    )
-    if "Description" in has:
-        base = base.withColumn("is_description_missing", F.col("description").isNull())
-    plain = ~F.col("is_cancellation") & ~F.col("is_bad_debt")
-    product = F.col("stock_category") == fv.PRODUCT_LIKE
-    return base.withColumns(
-        {
-            "is_damage": known((price == 0) & (quantity < 0) & plain),
+            "is_description_missing": F.col("description").isNull(),
+            "is_damage": known((price == 0) & (quantity < 0) & ~cancelled & ~bad_debt),
             "is_product_like": known(product),
-            "is_gross_sale": known(
-                (F.col("invoice_prefix") == "numeric") & product & (quantity > 0) & (price > 0)
-            ),
-            "is_net_line": known(
-                product & ~F.col("is_bad_debt") & (price > 0) & (quantity != 0)
-            ),
+            "is_gross_sale": known((quantity > 0) & (price > 0) & numbered & product),
+            "is_net_line": known((price > 0) & (quantity != 0) & ~bad_debt & product),
         }
     )
 

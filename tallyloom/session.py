@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +52,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_STAGED: dict[tuple[str, ...], tuple[str, object]] = {}
+
+
+def staged(spark: SparkSession, label: str, source: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table that many queries of one application read: written once, then read back."""
+    key = (spark.sparkContext.applicationId, label, source)
+    if key not in _STAGED:
+        df = build()
+        path = fresh_folder(spark, label)
+        df.write.parquet(path)
+        _STAGED[key] = (path, df.schema)
+    path, schema = _STAGED[key]
+    return spark.read.schema(schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a table that lies in fewer files than there are cores.
+
+    A large table has files enough and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import spread
 
 # Stock codes that are not plain products, by remainder of the part key.
 SPECIAL_CODES = [
@@ -51,6 +52,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(table(spark, sf_dir, name))
+
+
 def pick(values: list[str], index: Column) -> Column:
     """values[index], null beyond the end."""
     return F.get(F.array([F.lit(v) for v in values]), index.cast("int"))
@@ -64,25 +69,22 @@ def days(count: Column) -> Column:
     return F.make_dt_interval(days=count.cast("int"))
 
 
-def retail_lines(
-    spark: SparkSession, sf_dir: str, description: bool = True, country: bool = True
-) -> DataFrame:
-    """Retail lines, one per line item. Dimensions that are not asked for are not joined."""
-    li = table(spark, sf_dir, "lineitem").select(
+def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retail lines, one per line item."""
+    li = fact_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag",
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    rows = li.join(orders, li.l_orderkey == orders.o_orderkey)
-    if description:
-        part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-        rows = rows.join(part, rows.l_partkey == part.p_partkey)
-    if country:
-        customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-        rows = rows.join(customer, rows.o_custkey == customer.c_custkey).join(
-            nation, F.col("c_nationkey") == nation.n_nationkey
-        )
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    rows = (
+        li.join(orders, li.l_orderkey == orders.o_orderkey)
+        .join(part, li.l_partkey == part.p_partkey)
+        .join(customer, orders.o_custkey == customer.c_custkey)
+        .join(nation, customer.c_nationkey == nation.n_nationkey)
+    )
 
     key, line, part_key = F.col("o_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     cancelled = F.col("l_returnflag") == "R"
@@ -115,19 +117,13 @@ def retail_lines(
         "Customer ID": F.when((key % 9 == 0) | ((key % 50 == 1) & (line == 6)), None)
         .when(F.col("o_custkey") % 101 == 0, F.concat(F.lit("guest-"), F.col("o_custkey")))
         .otherwise(F.concat(F.col("o_custkey"), F.when(key % 2 == 0, ".0").otherwise(""))),
+        "Description": F.when((code == "C3") | (zero_price & (F.col("l_suppkey") % 4 == 0)), None)
+        .when(loss & (line % 2 == 1), "damaged")
+        .when(loss, "Lost ")
+        .otherwise(F.col("p_type")),
+        "Country": F.coalesce(pick(NAMED_COUNTRIES, F.col("n_nationkey")), F.col("n_name")),
     }
-    if description:
-        columns["Description"] = (
-            F.when((code == "C3") | (zero_price & (F.col("l_suppkey") % 4 == 0)), None)
-            .when(loss & (line % 2 == 1), "damaged")
-            .when(loss, "Lost ")
-            .otherwise(F.col("p_type"))
-        )
-    if country:
-        columns["Country"] = F.coalesce(
-            pick(NAMED_COUNTRIES, F.col("n_nationkey")), F.col("n_name")
-        )
-    return rows.select([columns[f.name].alias(f.name) for f in schemas.RETAIL if f.name in columns])
+    return rows.select([columns[f.name].alias(f.name) for f in schemas.RETAIL])
 
 
 def marketplace(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -160,7 +156,7 @@ def marketplace(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (F.col("o_orderdate") + days(8 + key % 13)).alias("order_estimated_delivery_date"),
     )
 
-    li = table(spark, sf_dir, "lineitem").select(
+    li = fact_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
         "l_shipdate",
     )
@@ -256,7 +252,7 @@ def marketplace(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_reviews(table(spark, sf_dir, "documents"))
+    return document_reviews(fact_table(spark, sf_dir, "documents"))
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
