@@ -24,22 +24,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Executors come and go, so anything that cuts lineage must sit where all of them can read it.
     Only a local session that names no folder gets one of its own.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    root = tempfile.mkdtemp(prefix="tallyloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _OWN_ROOTS:
+        _OWN_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tallyloom-")
+    return _OWN_ROOTS[context.applicationId]
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
