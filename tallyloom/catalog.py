@@ -50,14 +50,15 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def work(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retail.retail_work(lines(spark, sf_dir))
+    """The classified lines, staged once: nearly all retail queries begin here."""
+    return staged(spark, "work", sf_dir, lambda: retail.retail_work(lines(spark, sf_dir)))
 
 
 def on_work(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: operator(work(spark, sf_dir))
 
 
-on_work("retail_work", lambda w: w)
+QUERIES["retail_work"] = lambda spark, sf_dir: retail.retail_work(lines(spark, sf_dir))
 on_work("quantity_extremes", profile.quantity_extremes)
 on_work("extreme_gap_minutes", lambda w: profile.extreme_gap_minutes(profile.quantity_extremes(w)))
 on_work("negative_price_rows", profile.negative_price_rows)
@@ -169,7 +170,7 @@ def string_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("duplicate_check")
 def duplicate_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lines(spark, sf_dir)
-    return profile.duplicate_check(rows, retail.retail_work(rows))
+    return profile.duplicate_check(rows, work(spark, sf_dir))
 
 
 @query("duplicate_rows")

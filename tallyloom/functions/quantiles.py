@@ -69,7 +69,8 @@ def exact_quantiles(
     )
     first_rank = F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
     picked = (
-        hist.join(located, [*g, "_b"])
+        # At most two buckets per probability and group are located.
+        hist.join(F.broadcast(located), [*g, "_b"])
         .select(*g, "_v", "_n", "_t", "_total", first_rank.alias("_first"))
         .select(
             *g,

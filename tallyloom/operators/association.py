@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import count_where, n_rows, pct, ratio
+from ..session import stored
 from .profile import item_description
 
 SALT_BLOCK = 64
@@ -20,9 +21,10 @@ def item_pair_rules(
 
     Items that cannot reach either threshold go first. A basket with many items is split: its left
     items fall into blocks of 64 and the right items are copied per block, so the pairs of one huge
-    basket are formed by many tasks. Pairs are counted before they are shuffled.
+    basket are formed by many tasks. Pairs are counted before they are shuffled. The distinct basket
+    items and those kept serve several steps and are written once.
     """
-    baskets = work.where("is_gross_sale").select("invoice", "stock_code").distinct()
+    baskets = stored(work.where("is_gross_sale").select("invoice", "stock_code").distinct(), "baskets")
     sizes = baskets.groupBy("invoice").agg(n_rows().alias("size"))
     invoices = sizes.agg(n_rows().alias("n")).scalar()
     items = baskets.groupBy("stock_code").agg(n_rows().alias("invoices"))
@@ -31,6 +33,7 @@ def item_pair_rules(
     )
     kept = baskets.join(frequent.select("stock_code"), "stock_code", "left_semi")
     kept = kept.join(sizes, "invoice").withColumn("blocks", F.ceil(F.col("size") / SALT_BLOCK).cast("int"))
+    kept = stored(kept, "kept-items")
     left = kept.select(
         "invoice",
         F.col("stock_code").alias("left_code"),

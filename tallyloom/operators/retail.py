@@ -20,9 +20,14 @@ FACT_COLUMNS = [
 ]
 
 
-def known(condition: Column) -> Column:
-    """A flag that is false where its inputs are missing."""
-    return F.coalesce(condition, F.lit(False))
+def known(condition: Column, *inputs: Column) -> Column:
+    """A flag that is false where an input is missing.
+
+    It stays a plain conjunction, so a filter on it reaches the scan part by part.
+    """
+    for c in inputs:
+        condition = c.isNotNull() & condition
+    return condition
 
 
 def retail_work(lines: DataFrame) -> DataFrame:
@@ -43,21 +48,27 @@ def retail_work(lines: DataFrame) -> DataFrame:
     )
     letters = F.nullif(F.regexp_extract(invoice, "^([A-Za-z]+)", 1), F.lit(""))
     cancelled, bad_debt = invoice.startswith("C"), invoice.startswith("A")
-    product = is_product(F.col("stock_code"))
+    code = F.col("stock_code")
     numbered = ~invoice.rlike("^[A-Za-z]")
+    given = (invoice, quantity, price)
     return base.withColumns(
         {
             "line_amount": quantity * price,
             "invoice_prefix": F.coalesce(letters, F.lit("numeric")),
             "stock_category": stock_category(F.col("stock_code")),
-            "is_cancellation": known(cancelled),
-            "is_bad_debt": known(bad_debt),
+            "is_cancellation": known(cancelled, invoice),
+            "is_bad_debt": known(bad_debt, invoice),
+            "customer_id": normalize_customer_id(F.col("customer_id_raw")),
             "is_customer_missing": F.col("customer_id_raw").isNull(),
             "is_description_missing": F.col("description").isNull(),
-            "is_damage": known((price == 0) & (quantity < 0) & ~cancelled & ~bad_debt),
-            "is_product_like": known(product),
-            "is_gross_sale": known((quantity > 0) & (price > 0) & numbered & product),
-            "is_net_line": known((price > 0) & (quantity != 0) & ~bad_debt & product),
+            "is_damage": known((price == 0) & (quantity < 0) & ~cancelled & ~bad_debt, *given),
+            "is_product_like": known(is_product(code), code),
+            "is_gross_sale": known(
+                (quantity > 0) & (price > 0) & numbered & is_product(code), *given, code
+            ),
+            "is_net_line": known(
+                (price > 0) & (quantity != 0) & ~bad_debt & is_product(code), *given, code
+            ),
         }
     )
 
@@ -79,7 +90,7 @@ def fact_columns(work: DataFrame) -> DataFrame:
         F.col("price").alias("unit_price"),
         F.col("line_amount").alias("total_amount"),
         "invoice_datetime",
-        normalize_customer_id(F.col("customer_id_raw")).alias("customer_id"),
+        "customer_id",
         "country",
     )
 

@@ -77,7 +77,9 @@ WORK = (
     + """, typed AS (
   SELECT "Invoice" AS invoice, trim("StockCode") AS stock_code, "Description" AS description,
     "Quantity" AS quantity, "InvoiceDate" AS invoice_datetime, "Price" AS price,
-    "Customer ID" AS customer_id_raw, "Country" AS country, "Quantity" * "Price" AS line_amount,
+    "Customer ID" AS customer_id_raw,
+    COALESCE(CAST(CAST(TRY_CAST(trim("Customer ID") AS DOUBLE) AS BIGINT) AS VARCHAR),
+      trim("Customer ID")) AS customer_id, "Country" AS country, "Quantity" * "Price" AS line_amount,
     COALESCE(NULLIF(regexp_extract("Invoice", '^([A-Za-z]+)', 1), ''), 'numeric') AS invoice_prefix,
     CASE
       WHEN upper(trim("StockCode")) IN ('POST', 'DOT', 'C2') THEN 'postage_carriage_dotcom'
@@ -108,9 +110,7 @@ FACTS = (
     + """, fact_rows AS (
   SELECT invoice AS invoice_no, stock_code, description, quantity, price AS unit_price,
     line_amount AS total_amount, invoice_datetime,
-    COALESCE(CAST(CAST(TRY_CAST(trim(customer_id_raw) AS DOUBLE) AS BIGINT) AS VARCHAR),
-      trim(customer_id_raw)) AS customer_id,
-    country, stock_category, is_gross_sale, is_cancellation
+    customer_id, country, stock_category, is_gross_sale, is_cancellation
   FROM work
 ), facts AS (
   SELECT invoice_no, stock_code, description, quantity, unit_price, total_amount, invoice_datetime,

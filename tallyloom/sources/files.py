@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import fixed_values as fv
+from ..operators.retail import fact_order
 
 BOM = "﻿"
 
@@ -61,14 +62,15 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_sales_facts(facts: DataFrame, path: str) -> None:
-    """One folder per sale date; rows inside a file in reading order.
+    """One folder per sale date, rows inside a file in reading order.
 
-    Rows go to writers by date and a hash of the invoice, so a busy date has many writers.
+    Rows are rebalanced by date: adaptive execution splits a busy date over several writers and lets
+    quiet dates share one.
     """
     (
         facts.withColumn("sale_date", F.to_date("invoice_datetime"))
-        .repartitionByRange("sale_date", "invoice_datetime", "invoice_no", "stock_code")
-        .sortWithinPartitions("sale_date", "invoice_datetime", "invoice_no", "stock_code", "customer_id")
+        .hint("rebalance", F.col("sale_date"))
+        .sortWithinPartitions("sale_date", *fact_order())
         .write.mode("overwrite")
         .partitionBy("sale_date")
         .parquet(path)
