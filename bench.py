@@ -38,9 +38,14 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus)
     spark.sparkContext.setLogLevel("ERROR")
-    # One pass over a small plan starts the JVM's code paths; it is not measured.
-    catalog.QUERIES["sales_measures"](spark, sf_dir).collect()
+    # A tiny job starts the JVM's code paths; it is not measured.
+    spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count().collect()
     times = {}
+    # Tables that several queries start from are written first, and that is measured by itself.
+    for name, stage in {"stage_retail": catalog.work, "stage_reviews": catalog.reviews, "stage_texts": catalog.routed}.items():
+        start = time.time()
+        stage(spark, sf_dir)
+        times[name] = round(time.time() - start, 3)
     for name in HEADLINE:
         start = time.time()
         catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

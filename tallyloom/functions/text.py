@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Functions that run in Python workers travel with their code; executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # White space as Unicode defines it, for use inside a character class.
 SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Zero-width characters.

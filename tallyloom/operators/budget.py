@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from ..functions import fixed_values as fv
 from ..functions.numeric import n_rows
 from ..functions.ordered import hex_block, running_total
 
+# Functions that run in Python workers travel with their code; executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Costs are whole units of 1e-8 USD, so sums are exact in any order.
 UNITS_PER_USD = 100_000_000
 
