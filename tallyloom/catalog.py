@@ -323,9 +323,9 @@ def on_texts(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
 
 def routed(spark: SparkSession, sf_dir: str) -> extraction.Routed:
     """Reviews and routed texts, staged once for the queries behind the routes."""
+    known = staged(spark, "records", sf_dir, lambda: records(spark, sf_dir))
     return extraction.Routed(
-        staged(spark, "records", sf_dir, lambda: records(spark, sf_dir)),
-        staged(spark, "texts", sf_dir, lambda: texts(spark, sf_dir)),
+        known, staged(spark, "texts", sf_dir, lambda: rv.route_texts(rv.dedup_texts(known)))
     )
 
 
