@@ -82,8 +82,8 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "digest"
     )
     maybe = flagged.where("maybe").select("doc_id", "digest")
-    # One row per text on the right, so the engine may split the rows of a text with very many copies.
-    groups = maybe.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # One row per text, written out: joined to a plain table, the engine can split a text with very many copies.
+    groups = stored(maybe.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
     several = maybe.join(groups, "digest").select("doc_id", "keep_id", "group_size", "digest")
     return single.unionAll(several).select(
         "doc_id",
@@ -101,11 +101,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     narrow = stored(rows.select(F.col(id_col).alias("doc_id"), F.col(digest).alias("digest")), "digests")
     filter_ = repeat_filter(narrow)
     flagged = flag_repeats(rows, digest, *filter_, maybe)
-    groups = (
+    groups = stored(
         flag_repeats(narrow, "digest", *filter_, "maybe")
         .where("maybe")
         .groupBy(F.col("digest").alias(digest))
-        .agg(F.max("doc_id").alias(keep))
+        .agg(F.max("doc_id").alias(keep)),
+        "groups",
     )
     chosen = (
         flagged.where(F.col(maybe))

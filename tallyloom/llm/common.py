@@ -53,13 +53,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
     )
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
     return both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    low = edges.groupBy("a").agg(F.min("b").alias("m"))
+    low = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "low")
     moved = edges.join(low, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionAll(low.select("a", F.col("m").alias("b"))).distinct()
 
@@ -67,9 +67,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of links ``a, b`` (long): ``node, component``, the smallest node reached.
 
-    Alternates the large-star and small-star steps; each round is written to the shared folder, so the
-    lineage stays short and a lost executor costs one round. A node with very many links is split by the
-    engine's skewed-join handling, as the other side of each join has one row per node. Only nodes with a
+    Alternates the large-star and small-star steps; each is written to the shared folder, so the lineage
+    stays short and a lost executor costs one step. The smallest neighbours, one row per node, are written
+    out as well: joined to a plain table, a node with very many links is split by the engine. Only nodes with a
     link to another node are returned; null ends and self links are passed over.
     """
     now = stored(

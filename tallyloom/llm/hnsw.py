@@ -296,7 +296,8 @@ def near_copies(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str =
     folded, found = links(embeddings, id_col, vector_col, label_col)
     linked = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    per_node = (
+    # Written out, so that the engine can split a vector with very many copies when all rows are joined to it.
+    per_node = stored(
         folded.select("label", "vector", F.xxhash64("vector").alias("h"), "node", "copies")
         .join(counts, "node", "left")
         .join(linked, "node", "left")
@@ -306,7 +307,8 @@ def near_copies(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str =
             "vector",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("component", "node").alias("component_id"),
-        )
+        ),
+        "vector-components",
     )
     every = embeddings.select(
         F.col(id_col).cast("long").alias("vec_id"),

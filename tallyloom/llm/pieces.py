@@ -13,7 +13,7 @@ for the next time it occurs. Words are drawn for a whole batch of texts in steps
 
 Defined cases: null text counts as empty and has no pieces; a null row key counts as 0; repeated rows draw
 the same pieces; characters outside the vocabulary, line ends and the space mark itself become byte pieces, so
-decoding is lossless for every string. A word longer than LONG_WORD is drawn without keeping its lattice.
+decoding is lossless for every string.
 """
 
 from __future__ import annotations
@@ -21,9 +21,8 @@ from __future__ import annotations
 import re
 import sys
 import zlib
-from array import array
 from collections.abc import Iterator
-from math import exp, log
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SPACE = "▁"
 TEMPERATURE = 1.0
 RANK_SHIFT = 10.0
-LONG_WORD = 64
 KEPT_WORDS = 250_000
 KEPT_ARCS = 6_000_000
 BYTES_WEIGHT = -20.0
@@ -44,78 +42,125 @@ SLICE_CHARS = 1 << 20
 WORD = re.compile(r" *[^ \n]+|\n| +")
 
 
-class Lattices:
-    """Piece lattices of words, flattened to one list of arcs in the order of the nodes they lead to.
-
-    ``cum`` grows over all arcs: the number of the node plus the arc's cumulated share of the node's mass,
-    so one binary search draws an arc for many nodes at once.
-    """
+class Vocabulary:
+    """The pieces of a model as a tree of characters in sorted arrays, so that many places are matched at once."""
 
     def __init__(self, model_path: str, temperature: float = TEMPERATURE):
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=model_path)
         size = model.get_piece_size()
-        self.byte_id = {}
-        self.weight: dict[str, tuple[int, float]] = {}
+        self.byte_id: dict[int, int] = {}
         self.bytes_of: list[bytes] = [b""] * size
+        pieces = []
         for i in range(size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 self.byte_id[int(piece[3:5], 16)] = i
                 self.bytes_of[i] = bytes([int(piece[3:5], 16)])
             elif not (model.is_control(i) or model.is_unknown(i)):
-                rank = len(self.weight) + 1
-                self.weight[piece] = (i, -temperature * float(np.log(rank + RANK_SHIFT)))
+                pieces.append((piece, i))
                 self.bytes_of[i] = piece.replace(SPACE, " ").encode()
-        if any(SPACE in p.lstrip(SPACE) for p in self.weight):
+        if any(SPACE in p.lstrip(SPACE) for p, _ in pieces):
             raise ValueError("a piece of this vocabulary spans two words")
-        self.longest = max(map(len, self.weight), default=1)
+        self.longest = max((len(p) for p, _ in pieces), default=1)
+        alphabet = sorted({c for p, _ in pieces for c in p})
+        number = {c: i for i, c in enumerate(alphabet)}
+        self.letters = len(alphabet)
+        self.char = np.full(0x110000, -1, np.int32)
+        self.char[[ord(c) for c in alphabet]] = np.arange(len(alphabet))
+        # The space is written as the mark; the mark itself must not read as a space.
+        self.char[ord(" ")], self.char[ord(SPACE)] = self.char[ord(SPACE)], -1
+        edges: dict[int, int] = {}
+        ids, scores = [-1], [0.0]
+        for rank, (piece, i) in enumerate(pieces, 1):
+            node = 0
+            for c in piece:
+                node = edges.setdefault(node * self.letters + number[c], len(edges) + 1)
+                if node == len(ids):
+                    ids.append(-1)
+                    scores.append(0.0)
+            ids[node], scores[node] = i, -temperature * log(rank + RANK_SHIFT)
+        self.keys = np.array(sorted(edges), np.int64)
+        self.child = np.array([edges[k] for k in self.keys.tolist()], np.int64)
+        self.ids, self.scores = np.array(ids, np.int64), np.array(scores)
+
+    def arcs(self, chars: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All arcs (begin, length, id, score) over code points ``chars``, none beyond ``stop`` of its place."""
+        code = self.char[chars].astype(np.int64)
+        at, state = np.arange(len(chars)), np.zeros(len(chars), np.int64)
+        found = []
+        for length in range(1, self.longest + 1):
+            here = (at + length <= stop[at]) & (code[np.minimum(at + length - 1, len(code) - 1)] >= 0)
+            at, state = at[here], state[here]
+            if not len(at):
+                break
+            key = state * self.letters + code[at + length - 1]
+            edge = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            match = self.keys[edge] == key
+            at, state = at[match], self.child[edge[match]]
+            whole = self.ids[state] >= 0
+            found.append((at[whole], np.full(whole.sum(), length), self.ids[state[whole]], self.scores[state[whole]]))
+        bare = np.ones(len(chars), bool)
+        if found:
+            bare[found[0][0]] = False
+        odd = np.flatnonzero(bare)
+        # No piece for these characters: their bytes, as one arc with the number of the character.
+        found.append((odd, np.ones(len(odd), np.int64), -1 - chars[odd].astype(np.int64), np.full(len(odd), BYTES_WEIGHT)))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+class Lattices:
+    """Piece lattices of words, flattened to one list of arcs in the order of the nodes they lead to.
+
+    ``cum`` grows over all arcs: the number of the node plus the arc's cumulated share of the node's mass,
+    so one binary search draws an arc for many nodes at once.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[str, int] = {}  # the last node of each kept word
+        self.words: dict[str, int] = {}  # the last node of each word met so far
         self.nodes = 0
-        self.cum, self.ids, self.back = array("d"), array("i"), array("i")  # arcs in the order of their nodes
-
-    def add(self, word: str) -> int:
-        """Forward pass over a word; returns its last node."""
-        text = word.replace(SPACE, "\0").replace(" ", SPACE)  # the mark itself must not read as a space
-        base, weight, longest = self.nodes, self.weight, self.longest
-        mass = [0.0]
-        cum, ids, back = self.cum, self.ids, self.back
-        for end in range(1, len(text) + 1):
-            arcs = []
-            for begin in range(max(0, end - longest), end):
-                found = weight.get(text[begin:end])
-                if found is not None:
-                    arcs.append((mass[begin] + found[1], found[0], end - begin))
-            if not arcs or arcs[-1][2] != 1:
-                # No piece for this character: its bytes, as one arc with the number of the character.
-                arcs.append((mass[end - 1] + BYTES_WEIGHT, -1 - ord(word[end - 1]), 1))
-            top = max(arcs)[0]
-            shares = [exp(a[0] - top) for a in arcs]
-            total = sum(shares)
-            mass.append(top + log(total))
-            upto, node = 0.0, base + end
-            for share, arc in zip(shares, arcs, strict=True):
-                upto += share
-                cum.append(node + upto / total)
-                ids.append(arc[1])
-                back.append(arc[2])
-            cum[-1] = node + 1.0
-        self.nodes = base + len(text) + 1
-        return base + len(text)
-
-    def last_node(self, word: str) -> int:
-        at = self.words.get(word)
-        if at is None:
-            at = self.add(word)
-            self.words[word] = at
-        return at
-
-    def arcs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return np.array(self.cum), np.array(self.ids, np.int32), np.array(self.back, np.int32)
+        self.cum, self.ids, self.back = np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32)
+
+    def add(self, words: list[str]) -> None:
+        """Forward pass over words, all of them a place further at a time."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        first = np.cumsum(lengths) - lengths
+        word = np.repeat(np.arange(len(words)), lengths)
+        begin, length, ids, score = self.vocabulary.arcs(chars, np.repeat(first + lengths, lengths))
+        # Each word has a node before its first character and one after each.
+        tail = begin + word[begin]
+        head = tail + length
+        depth = begin - first[word[begin]] + length
+        order = np.lexsort((head, depth))
+        steps = np.concatenate([[0], np.cumsum(np.bincount(depth))])
+        mass, cum = np.zeros(len(chars) + len(words)), np.empty(len(begin))
+        for d in range(1, len(steps) - 1):
+            mine = order[steps[d] : steps[d + 1]]
+            to = head[mine]
+            starts = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
+            counts = np.diff(np.append(starts, len(to)))
+            value = mass[tail[mine]] + score[mine]
+            top = np.maximum.reduceat(value, starts)
+            share = np.exp(value - np.repeat(top, counts))
+            total = np.add.reduceat(share, starts)
+            mass[to[starts]] = top + np.log(total)
+            run = np.cumsum(share)
+            run -= np.repeat(run[starts] - share[starts], counts)
+            run /= np.repeat(total, counts)
+            run[np.append(starts[1:], len(to)) - 1] = 1.0
+            cum[mine] = np.minimum(run, 1.0)
+        by_node = np.lexsort((length, head))
+        self.cum = np.concatenate([self.cum, self.nodes + head[by_node] + cum[by_node]])
+        self.ids = np.concatenate([self.ids, ids[by_node].astype(np.int32)])
+        self.back = np.concatenate([self.back, length[by_node].astype(np.int32)])
+        self.words.update(zip(words, (self.nodes + first + np.arange(len(words)) + lengths).tolist(), strict=True))
+        self.nodes += len(mass)
 
 
 def uniform(key: np.ndarray, place: np.ndarray, step: int) -> np.ndarray:
@@ -129,43 +174,65 @@ def uniform(key: np.ndarray, place: np.ndarray, step: int) -> np.ndarray:
 
 
 def draw(lattices: Lattices, ends: np.ndarray, lengths: np.ndarray, keys: np.ndarray, places: np.ndarray):
-    """Backward sampling for many words at once: (word, id) in reading order."""
-    cum, ids, back = lattices.arcs()
-    left = lengths.copy()
-    node = ends.copy()
-    at = np.flatnonzero(left > 0)
-    who, what, when = [], [], []
+    """Backward sampling for many words at once: ids in reading order, and the number of pieces of each word."""
+    cum, ids, back = lattices.cum, lattices.ids, lattices.back
+    at, node, left = np.arange(len(ends)), ends, lengths
+    taken, count = [], np.zeros(len(ends), np.int64)
     step = 0
     while len(at):
         # The first number over node + u is the arc; u < 1 keeps the search in the node's own arcs.
-        arc = np.searchsorted(cum, node[at] + uniform(keys[at], places[at], step), side="right")
-        who.append(at)
-        what.append(ids[arc])
-        when.append(np.full(len(at), step))
-        node[at] -= back[arc]
-        left[at] -= back[arc]
-        at = at[left[at] > 0]
+        arc = np.searchsorted(cum, node + uniform(keys[at], places[at], step), side="right")
+        taken.append((at, ids[arc]))
+        count[at] += 1
+        step_back = back[arc]
+        go = left > step_back
+        at, node, left = at[go], (node - step_back)[go], (left - step_back)[go]
         step += 1
-    if not who:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    who, what, when = map(np.concatenate, (who, what, when))
-    order = np.lexsort((-when, who))
-    return who[order], what[order]
+    out = np.empty(count.sum(), np.int64)
+    last = np.cumsum(count) - 1  # the first arc drawn is the last piece of its word
+    for step, (at, what) in enumerate(taken):
+        out[last[at] - step] = what
+    return out, count
 
 
-def _bytes_ids(lattices: Lattices, what: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Expand character arcs to byte pieces."""
+def _spelled(vocabulary: Vocabulary, what: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Expand character arcs to byte pieces; also how many pieces each arc became."""
+    counts = np.ones(len(what), np.int64)
     odd = np.flatnonzero(what < 0)
     if not len(odd):
-        return what, who
-    spelled = [[lattices.byte_id[b] for b in chr(int(-1 - c)).encode("utf-8", "surrogatepass")] for c in what[odd]]
-    counts = np.ones(len(what), np.int64)
+        return what, counts
+    spelled = [[vocabulary.byte_id[b] for b in chr(int(-1 - c)).encode("utf-8", "surrogatepass")] for c in what[odd]]
     counts[odd] = [len(s) for s in spelled]
     flat = np.repeat(what, counts)
     begins = np.cumsum(counts) - counts
     for b, s in zip(begins[odd].tolist(), spelled, strict=True):
         flat[b : b + len(s)] = s
-    return flat, np.repeat(who, counts)
+    return flat, counts
+
+
+def _encode_slice(lattices: Lattices, keys: list[int], texts: list[str]) -> list[np.ndarray]:
+    words, counts = [], []
+    for text in texts:
+        mine = WORD.findall(" " + text) if text else []
+        words += mine
+        counts.append(len(mine))
+    if len(lattices.words) > KEPT_WORDS or len(lattices.cum) > KEPT_ARCS:
+        lattices.clear()
+    new = [w for w in dict.fromkeys(words) if w not in lattices.words]
+    if new:
+        lattices.add(new)
+    ends = np.fromiter(map(lattices.words.__getitem__, words), np.int64, len(words))
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    counts = np.array(counts, np.int64)
+    firsts = np.cumsum(counts) - counts
+    key = np.repeat(np.array([k & ((1 << 64) - 1) for k in keys], np.uint64), counts)
+    place = (np.arange(len(words)) - np.repeat(firsts, counts)).astype(np.uint64)
+    what, pieces = draw(lattices, ends, lengths, key, place)
+    what, became = _spelled(lattices.vocabulary, what)
+    # Pieces up to each word, then up to each text.
+    upto_arc = np.concatenate([[0], np.cumsum(became)])
+    upto_word = upto_arc[np.concatenate([[0], np.cumsum(pieces)])]
+    return np.split(what, upto_word[np.cumsum(counts)][:-1])
 
 
 def encode_batch(lattices: Lattices, keys: list[int], texts: list[str]) -> list[np.ndarray]:
@@ -177,32 +244,14 @@ def encode_batch(lattices: Lattices, keys: list[int], texts: list[str]) -> list[
         while j < len(texts) and (j == i or chars + len(texts[j]) <= SLICE_CHARS):
             chars += len(texts[j])
             j += 1
-        if len(lattices.words) > KEPT_WORDS or len(lattices.cum) > KEPT_ARCS:
-            lattices.clear()
-        ends, lengths, counts = [], [], []
-        known = lattices.words
-        for text in texts[i:j]:
-            words = WORD.findall(" " + text) if text else []
-            for w in words:
-                at = known.get(w)
-                ends.append(at if at is not None else lattices.last_node(w) if len(w) <= LONG_WORD else lattices.add(w))
-            lengths.extend(map(len, words))
-            counts.append(len(words))
-        counts = np.array(counts, np.int64)
-        key = np.repeat(np.array([k & ((1 << 64) - 1) for k in keys[i:j]], np.uint64), counts)
-        starts = np.cumsum(counts) - counts
-        place = (np.arange(counts.sum()) - np.repeat(starts, counts)).astype(np.uint64)
-        who, what = draw(lattices, np.array(ends, np.int64), np.array(lengths, np.int64), key, place)
-        what, who = _bytes_ids(lattices, what, who)
-        cuts = np.searchsorted(who, starts)
-        out += np.split(what, cuts[1:]) if j > i else []
+        out += _encode_slice(lattices, keys[i:j], texts[i:j])
         i = j
     return out
 
 
-def decode(lattices: Lattices, ids: np.ndarray) -> str:
+def decode(vocabulary: Vocabulary, ids: np.ndarray) -> str:
     """The text of a segmentation: bytes of its pieces without the space put before it."""
-    table = lattices.bytes_of
+    table = vocabulary.bytes_of
     return b"".join([table[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")[1:]
 
 
@@ -217,7 +266,7 @@ def encode(
     """One row per document: doc_id, n_pieces, ids_crc32, lossless and, if wanted, the sampled ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = Lattices(model_path, temperature)
+        lattices = Lattices(Vocabulary(model_path, temperature))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -227,7 +276,7 @@ def encode(
                     part.column(0),
                     pa.array([len(x) for x in ids], pa.int64()),
                     pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
-                    pa.array([decode(lattices, x) == t for x, t in zip(ids, texts, strict=True)], pa.bool_()),
+                    pa.array([decode(lattices.vocabulary, x) == t for x, t in zip(ids, texts, strict=True)], pa.bool_()),
                 ]
                 if with_ids:
                     columns.append(pa.array([x.tolist() for x in ids], pa.list_(pa.int32())))
@@ -242,9 +291,9 @@ def decode_ids(encoded: DataFrame, model_path: str) -> DataFrame:
     """doc_id and text from ``doc_id, ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = Lattices(model_path)
+        vocabulary = Vocabulary(model_path)
         for batch in batches:
-            texts = [decode(lattices, np.array(x, np.int64)) if x else "" for x in batch.column(1).to_pylist()]
+            texts = [decode(vocabulary, np.array(x, np.int64)) if x else "" for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, text string")

@@ -252,7 +252,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         .agg(F.min("low").alias("component_id"))
     )
     named = found.join(lowest, "component").select(F.col("node").alias("fp"), "component_id")
-    every = prints.join(named, "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
+    every = stored(prints.join(named, "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id")), "named-fingerprints")
+    # One row per fingerprint on the right, a plain table: a fingerprint of very many documents is split by the engine.
     return rows.join(every, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
