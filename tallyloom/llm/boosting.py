@@ -71,7 +71,7 @@ def _grow(bins: np.ndarray, edges: list[np.ndarray], g: np.ndarray, h: np.ndarra
 def fit(x: np.ndarray, y: np.ndarray, held: np.ndarray, precision: float) -> Boosted:
     """Boost on the rows outside ``held``; calibrate and choose the threshold on those inside.
 
-    The threshold is the smallest probability of at least one half from which on the held rows reach ``precision``.
+    The threshold is the smallest one of at least one half at which the held rows reach ``precision``.
     """
     model = Boosted()
     train = ~held
@@ -102,5 +102,8 @@ def fit(x: np.ndarray, y: np.ndarray, held: np.ndarray, precision: float) -> Boo
     order = np.argsort(-p, kind="stable")
     right = np.cumsum(t[order]) / np.arange(1, len(order) + 1)
     good = np.flatnonzero((right >= precision) & (p[order] >= 0.5))
-    model.threshold = float(p[order][good[-1]]) if len(good) else 1.1
+    if len(good):
+        # Halfway to the next lower probability, so that scores between the two are not left to chance.
+        below = p[order][good[-1] + 1] if good[-1] + 1 < len(order) else 0.0
+        model.threshold = max(0.5, float(p[order][good[-1]] + below) / 2)
     return model
