@@ -193,6 +193,6 @@ def pack(
     wanted = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     kind = ", ".join(f"{c} long" for c in wanted)
     # Fewer than k pieces of each class k are open here, whatever the size of the table.
-    rest = numbered.where("not full").select(*wanted).coalesce(1).mapInArrow(last, f"{kind}, sequence_id long, offset long")
+    rest = numbered.where("not full").select(*wanted).repartition(1).mapInArrow(last, f"{kind}, sequence_id long, offset long")
     columns = [*wanted, "sequence_id", "offset"]
     return pieces.where("sequence_id is not null").select(*columns).unionAll(shared.select(*columns)).unionAll(rest)
