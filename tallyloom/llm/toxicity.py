@@ -1,15 +1,14 @@
 """Toxicity: a linear-chain conditional random field over tokens, marginals, and a document score.
 
-Only documents are labelled, so tokens get their labels first: word forms and word beginnings are counted over
-the training documents, and one that occurs in at least MIN_DOCS toxic documents and SHARE times as often
-(by smoothed share of documents) in toxic ones as in clean ones marks its tokens in toxic documents. A chain of two states
-(clean, toxic) is then fitted to these labels: each token's score sums hashed features of the word and its
+Only documents are labelled, so tokens get their labels first: word forms and word beginnings that toxic
+documents hold far more often than clean ones mark their tokens in toxic documents (``telling_marks``). A chain
+of two states (clean, toxic) is then fitted to these labels: each token's score sums hashed features of the word and its
 neighbours (form, beginnings, ending), and a transition matrix links neighbouring states. Forward-backward
 gives each token's marginal of being toxic. A document's evidence is the log odds that at least one token is
 toxic (noisy-or over the marginals, as a sum); a logistic fit on training documents turns it into the score.
 
-Fitting uses at most SAMPLE_DOCS labelled rows, half of them toxic where there are enough, chosen by a hash
-of the id; from each the whole text. Scoring covers every text whole, in batches of chains of like length.
+Fitting uses at most SAMPLE_DOCS labelled rows, at most a third of them toxic, chosen by a hash
+of the id; from each the whole text. Scoring covers every text whole.
 
 Defined cases: a null or empty text has no evidence and gets the score of none; a label row without
 document, or with a null label, is not used; without labels of both kinds every score is 0; a null doc_id
@@ -20,7 +19,6 @@ from __future__ import annotations
 
 import re
 import sys
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,19 +35,23 @@ from .boosting import sigmoid
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE_DOCS = 3000
-MIN_DOCS, SHARE = 5, 20.0
+TOXIC_PART = 3  # at most a third of the sample is toxic
+MIN_PLACES, SHARE, SURE = 5, 20.0, 3.0
 DIMS = 1 << 18
-EPOCHS, RATE, L2 = 25, 0.3, 1e-6
+EPOCHS, RATE, L2 = 60, 0.3, 1e-7
 FIT_TOKENS = 250  # tokens of a training chain; a longer text becomes several chains
-KEPT_WORDS = 200_000
-CHAIN_CELLS = 1 << 20
+KEPT_WORDS = 400_000
+BLOCK = 64  # places of a chain that are multiplied together
+SLICE_CHARS = 1 << 21  # texts whose chains are computed together
 FOLDS = 5
+ENDS = "0123456789" + "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
 def word_form(token: str) -> str:
     """Lower case, without marks and digits at the ends; a token of marks only is empty."""
-    return EDGE.sub("", token.lower())
+    word = token.lower().strip(ENDS)
+    return word if word.isalpha() else EDGE.sub("", word)
 
 
 def marks_of(word: str) -> list[str]:
@@ -57,28 +59,46 @@ def marks_of(word: str) -> list[str]:
     return ["=" + word, *[f"^{word[:n]}" for n in (3, 4, 5, 6) if len(word) > n]]
 
 
-def word_features(word: str) -> list[str]:
-    return ["=" + word, *[f"^{word[:n]}" for n in (2, 3, 4, 5, 6) if len(word) >= n], *[f"{word[-n:]}$" for n in (2, 3) if len(word) >= n]]
-
-
-def slots(word: str) -> list[int]:
-    """Hashed features of a word, for use at its own place; those of neighbours are shifted."""
-    return [zlib.crc32(f.encode("utf-8", "surrogatepass")) % DIMS for f in word_features(word)]
-
-
-NEIGHBOURS = (b"<", b">")  # the form of the word before and of the word after
-
-
-def neighbour_slots(word: str) -> tuple[int, int]:
-    raw = word.encode("utf-8", "surrogatepass")
-    return zlib.crc32(NEIGHBOURS[0] + raw) % DIMS, zlib.crc32(NEIGHBOURS[1] + raw) % DIMS
+WIDE = 32  # a longer word is known by its first and last 16 characters
+BEGINNINGS, ENDINGS = (2, 3, 4, 5, 6), (2, 3)
+NONE = DIMS  # the slot of a feature that a word does not have; its weight is zero
+
+
+def _slot(hashed: np.ndarray, kind: int) -> np.ndarray:
+    """Place of a feature in the weights, by its kind and the hash of its characters."""
+    with np.errstate(over="ignore"):
+        x = (hashed + np.uint64(kind)) * np.uint64(0x9E3779B97F4A7C15)
+        return ((x ^ (x >> np.uint64(29))) % np.uint64(DIMS)).astype(np.int64)
+
+
+def feature_slots(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed features of many words: at their own place (form, beginnings, endings), and their form as the
+    word before and as the word after."""
+    known = [w if len(w) <= WIDE else w[:16] + w[-16:] for w in words]
+    size = np.fromiter(map(len, known), np.int64, len(known))
+    width = max(int(size.max(initial=0)), max(BEGINNINGS))
+    codes = np.array(known, f"U{width}").view(np.uint32).reshape(len(known), width).astype(np.uint64)
+    prime, hashed = np.uint64(0x100000001B3), np.full(len(known), 0xCBF29CE484222325, np.uint64)
+    own = []
+    with np.errstate(over="ignore"):
+        for i in range(width):
+            hashed = np.where(i < size, (hashed ^ codes[:, i]) * prime, hashed)
+            if i + 1 in BEGINNINGS:
+                own.append(np.where(size > i, _slot(hashed, i + 1), NONE))
+        rows = np.arange(len(known))
+        for n in ENDINGS:
+            end = np.zeros(len(known), np.uint64)
+            for k in range(n):
+                end = (end ^ codes[rows, np.maximum(size - n + k, 0)]) * prime
+            own.append(np.where(size >= n, _slot(end, 20 + n), NONE))
+    return np.stack([_slot(hashed, 30), *own], axis=1), _slot(hashed, 31), _slot(hashed, 32)
 
 
 @dataclass
 class Field:
     """A fitted chain: weights of hashed features for the toxic state, transition scores, and the document fit."""
 
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(DIMS, np.float32))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(DIMS + 1, np.float32))
     bias: float = -8.0
     links: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     slope: float = 0.0
@@ -86,40 +106,85 @@ class Field:
 
 
 def chain_marginals(emission: np.ndarray, mask: np.ndarray, links: np.ndarray, with_pairs: bool = False):
-    """Forward-backward for many chains at once.
+    """Forward-backward for many chains at once, place by place.
 
     ``emission``: chains x places, the score of the toxic state against the clean one; ``mask``: the places
     that exist, a prefix of each row. Returns the marginals of the toxic state and, if asked for, the expected
-    counts of the four transitions. Messages are log odds, so nothing overflows.
+    counts of the four transitions. Messages are odds; scores are held within +-30, so nothing overflows.
     """
     n, places = emission.shape
-    a, b, c, d = links[0, 0], links[0, 1], links[1, 0], links[1, 1]
-
-    def pushed(odds, to0, to1, from0, from1):
-        # log of (e^{odds+from1} + e^{to1}) / (e^{odds+from0} + e^{to0})
-        return np.logaddexp(odds + from1, to1) - np.logaddexp(odds + from0, to0)
-
-    forward = np.empty((places, n))
-    backward = np.zeros((places, n))
-    e = emission.T
+    (a, b), (c, d) = np.exp(np.clip(links, -30, 30))
+    e = np.where(mask, np.exp(np.clip(emission, -30, 30)), 1.0).T.copy()
     live = mask.T
+    forward, backward = np.empty((places, n)), np.ones((places, n))
     forward[0] = e[0]
     for t in range(1, places):
-        forward[t] = e[t] + pushed(forward[t - 1], a, b, c, d)
+        forward[t] = e[t] * (b + d * forward[t - 1]) / (a + c * forward[t - 1])
     for t in range(places - 2, -1, -1):
-        message = pushed(e[t + 1] + backward[t + 1], a, c, b, d)
-        backward[t] = np.where(live[t + 1], message, 0.0)
-    marginal = sigmoid(forward + backward).T
+        right = e[t + 1] * backward[t + 1]
+        backward[t] = np.where(live[t + 1], (c + d * right) / (a + b * right), 1.0)
+    odds = forward * backward
+    marginal = (odds / (1.0 + odds)).T
     if not with_pairs:
         return marginal
-    left, right = forward[:-1], e[1:] + backward[1:]
-    scores = np.stack([np.full_like(left, a), right + b, left + c, left + right + d])
-    scores -= scores.max(0)
-    share = np.exp(scores)
-    share = share / share.sum(0) * live[1:]
+    left, right = forward[:-1], e[1:] * backward[1:]
+    share = np.stack([np.full_like(left, a), b * right, c * left, d * left * right])
+    share *= live[1:] / share.sum(0)
     return marginal, share.sum((1, 2)).reshape(2, 2)
 
 
+def flat_marginals(emission: np.ndarray, lengths: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """Marginals of the toxic state for chains that lie one after the other.
+
+    A place multiplies the message (weights of the two states) by a 2 x 2 matrix. Chains are cut into blocks
+    of BLOCK places; the matrices of a block are multiplied for all blocks at once, the messages then go from
+    block to block of each chain, forward and backward, and last through the places of all blocks at once.
+    Nothing is approximated; a chain of n places takes about BLOCK + n / BLOCK steps instead of n.
+    """
+    blocks = -(-lengths // BLOCK)
+    last = np.cumsum(blocks)
+    first = last - blocks
+    starts = np.cumsum(lengths) - lengths
+    place = np.arange(len(emission)) - np.repeat(starts, lengths)
+    at = (place % BLOCK, np.repeat(first, lengths) + place // BLOCK)
+    shape = (BLOCK, int(blocks.sum()))
+    e = np.exp(np.clip(emission, -30, 30))
+    t = np.exp(links)
+    # Missing places leave the message as it is; the first place of a chain has no transition.
+    n00, n01, n10, n11 = np.ones(shape), np.zeros(shape), np.zeros(shape), np.ones(shape)
+    n00[at], n01[at], n10[at], n11[at] = t[0, 0], t[0, 1] * e, t[1, 0], t[1, 1] * e
+    n00[0, first], n01[0, first], n10[0, first], n11[0, first] = 1.0, 0.0, 0.0, e[starts]
+    p00, p01, p10, p11 = n00[0].copy(), n01[0].copy(), n10[0].copy(), n11[0].copy()
+    for i in range(1, BLOCK):
+        a, b, c, d = n00[i], n01[i], n10[i], n11[i]
+        p00, p01, p10, p11 = p00 * a + p01 * c, p00 * b + p01 * d, p10 * a + p11 * c, p10 * b + p11 * d
+        if i % 4 == 3:  # only ratios matter
+            scale = 1.0 / np.maximum(np.maximum(p00, p01), np.maximum(p10, p11))
+            p00, p01, p10, p11 = p00 * scale, p01 * scale, p10 * scale, p11 * scale
+    # Odds that enter each block from before and from behind.
+    into, behind = np.ones(shape[1]), np.ones(shape[1])
+    order = np.argsort(-blocks, kind="stable")
+    longest = int(blocks.max(initial=0))
+    many = np.searchsorted(-blocks[order], -np.arange(1, longest + 1), side="right")
+    for k in range(1, longest):
+        here = first[order[: many[k]]] + k
+        f = into[here - 1]
+        into[here] = (p01[here - 1] + p11[here - 1] * f) / (p00[here - 1] + p10[here - 1] * f)
+        here = last[order[: many[k]]] - 1 - k
+        g = behind[here + 1]
+        behind[here] = (p10[here + 1] + p11[here + 1] * g) / (p00[here + 1] + p01[here + 1] * g)
+    odds, f = np.empty(shape), into
+    for i in range(BLOCK):
+        f = (n01[i] + n11[i] * f) / (n00[i] + n10[i] * f)
+        odds[i] = f
+    g = behind
+    for i in range(BLOCK - 1, -1, -1):
+        odds[i] *= g
+        g = (n10[i] + n11[i] * g) / (n00[i] + n01[i] * g)
+    odds = odds[at]
+    return odds / (1.0 + odds)
+
+
 def fit_chain(chains: list[tuple[list[str], np.ndarray]]) -> Field:
     """Fit to token labels by gradient steps (Adagrad) on the exact log likelihood."""
     out = Field()
@@ -133,28 +198,27 @@ def fit_chain(chains: list[tuple[list[str], np.ndarray]]) -> Field:
         mask[i, : len(words)] = True
         y[i, : len(words)] = labels
         ids[i, : len(words)] = [known.setdefault(w, len(known)) for w in words]
-    vocabulary = list(known)
-    own = [slots(w) for w in vocabulary]
-    flat = np.array([f for fs in own for f in fs], np.int64)
-    owner = np.repeat(np.arange(len(own)), [len(fs) for fs in own])
-    around = np.array([neighbour_slots(w) for w in vocabulary], np.int64)
-    w = np.zeros(DIMS)
-    bias, links = -4.0, np.zeros((2, 2))
-    seen_w, seen_rest = np.full(DIMS, 1e-2), np.full(5, 1e-2)
+    own, before, after = feature_slots(list(known))
+    flat, owner = own.ravel(), np.repeat(np.arange(len(own)), own.shape[1])
+    size = DIMS + 1
+    w = np.zeros(size)
+    share = (y.sum() + 1.0) / (mask.sum() + 2.0)
+    bias, links = float(np.log(share / (1 - share))), np.zeros((2, 2))
+    seen_w, seen_rest = np.full(size, 1e-2), np.full(5, 1e-2)
     pairs = mask[:, 1:]
     truth = np.array([[((y[:, :-1] == i) & (y[:, 1:] == j) & pairs).sum() for j in (0, 1)] for i in (0, 1)], float)
     for _ in range(EPOCHS):
-        by_word = np.bincount(owner, w[flat], len(own))
-        emission = by_word[ids] + bias
-        emission[:, 1:] += w[around[:, 0]][ids[:, :-1]]
-        emission[:, :-1] += np.where(pairs, w[around[:, 1]][ids[:, 1:]], 0.0)
+        emission = w[own].sum(1)[ids] + bias
+        emission[:, 1:] += w[before][ids[:, :-1]]
+        emission[:, :-1] += np.where(pairs, w[after][ids[:, 1:]], 0.0)
         marginal, expected = chain_marginals(emission, mask, links, with_pairs=True)
         miss = np.where(mask, y - marginal, 0.0)
         of_word = np.bincount(ids.ravel(), miss.ravel(), len(own))
-        grad = np.bincount(flat, of_word[owner], DIMS)
-        grad += np.bincount(around[:, 0], np.bincount(ids[:, :-1].ravel(), miss[:, 1:].ravel(), len(own)), DIMS)
-        grad += np.bincount(around[:, 1], np.bincount(ids[:, 1:].ravel(), np.where(pairs, miss[:, :-1], 0).ravel(), len(own)), DIMS)
+        grad = np.bincount(flat, of_word[owner], size)
+        grad += np.bincount(before, np.bincount(ids[:, :-1].ravel(), miss[:, 1:].ravel(), len(own)), size)
+        grad += np.bincount(after, np.bincount(ids[:, 1:].ravel(), np.where(pairs, miss[:, :-1], 0).ravel(), len(own)), size)
         grad -= L2 * mask.sum() * w
+        grad[NONE] = 0.0
         seen_w += grad**2
         w += RATE * 3 * grad / np.sqrt(seen_w)
         rest = np.array([miss.sum(), *(truth - expected).ravel()])
@@ -178,46 +242,60 @@ class Scorer:
 
     def __init__(self, model: Field):
         self.model = model
-        self.kept: dict[str, int] = {}
-        self.rows: list[tuple[float, float, float]] = []
-
-    def _number(self, token: str) -> int:
-        at = self.kept.get(token)
-        if at is None:
-            word, w = word_form(token), self.model.weights
-            before, after = neighbour_slots(word)
-            self.rows.append((float(w[slots(word)].sum()), float(w[before]), float(w[after])))
-            at = self.kept[token] = len(self.rows) - 1
-        return at
+        self.clear()
+
+    def clear(self) -> None:
+        self.kept: dict[str, int] = {}  # token -> row of its word form
+        self.forms: dict[str, int] = {}
+        self.table = np.empty((0, 3))  # scores at the own place, for the word after and for the word before
+
+    def _add(self, tokens: list[str]) -> None:
+        words = list(map(word_form, tokens))
+        new = [w for w in dict.fromkeys(words) if w not in self.forms]
+        if new:
+            self.forms.update(zip(new, range(len(self.table), len(self.table) + len(new)), strict=True))
+            own, before, after = feature_slots(new)
+            w = self.model.weights.astype(np.float64)
+            self.table = np.concatenate([self.table, np.stack([w[own].sum(1), w[before], w[after]], axis=1)])
+        self.kept.update(zip(tokens, map(self.forms.__getitem__, words), strict=True))
 
     def marginals(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
-        """(text number, marginals of its tokens), chains of like length computed together."""
+        """(text number, marginals of its tokens); texts without tokens are left out."""
+        i = 0
+        while i < len(texts):
+            j, chars = i, 0
+            while j < len(texts) and (j == i or chars + len(texts[j]) <= SLICE_CHARS):
+                chars += len(texts[j])
+                j += 1
+            yield from self._slice(texts[i:j], i)
+            i = j
+
+    def _slice(self, texts: list[str], number: int) -> Iterator[tuple[int, np.ndarray]]:
         if len(self.kept) > KEPT_WORDS:
-            self.kept, self.rows = {}, []
-        number, kept = self._number, self.kept
-        ids = [[kept[t] if t in kept else number(t) for t in text.split()] for text in texts]
-        table = np.array(self.rows).reshape(-1, 3)
-        order = sorted((i for i in range(len(ids)) if ids[i]), key=lambda i: len(ids[i]))
-        at = 0
-        while at < len(order):
-            # As many chains as fit the cell bound when padded to the longest of them, one at least.
-            stop = at + 1
-            while stop < len(order) and (stop + 1 - at) * len(ids[order[stop]]) <= CHAIN_CELLS and len(ids[order[stop]]) <= 2 * len(ids[order[at]]) + 64:
-                stop += 1
-            group = order[at:stop]
-            places = len(ids[group[-1]])
-            mask = np.zeros((len(group), places), bool)
-            words = np.zeros((len(group), places), np.int64)
-            for r, i in enumerate(group):
-                mask[r, : len(ids[i])] = True
-                words[r, : len(ids[i])] = ids[i]
-            emission = table[words, 0] + self.model.bias
-            emission[:, 1:] += table[words[:, :-1], 1]
-            emission[:, :-1] += np.where(mask[:, 1:], table[words[:, 1:], 2], 0.0)
-            p = chain_marginals(emission, mask, self.model.links)
-            for r, i in enumerate(group):
-                yield i, p[r, : len(ids[i])]
-            at = stop
+            self.clear()
+        tokens, lengths = [], []
+        for text in texts:
+            mine = text.split()
+            tokens += mine
+            lengths.append(len(mine))
+        new = [t for t in dict.fromkeys(tokens) if t not in self.kept]
+        if new:
+            self._add(new)
+        if not tokens:
+            return
+        table = self.table
+        words = np.fromiter(map(self.kept.__getitem__, tokens), np.int64, len(tokens))
+        lengths = np.array(lengths, np.int64)
+        ends = np.cumsum(lengths)
+        emission = table[words, 0] + self.model.bias
+        inner = np.ones(len(tokens), bool)
+        inner[(ends - lengths)[lengths > 0]] = False  # the first token of a text has none before it
+        emission[inner] += table[words[np.flatnonzero(inner) - 1], 1]
+        emission[np.flatnonzero(inner) - 1] += table[words[inner], 2]
+        full = np.flatnonzero(lengths > 0)
+        p = flat_marginals(emission, lengths[full], self.model.links)
+        for i in full.tolist():
+            yield number + i, p[ends[i] - lengths[i] : ends[i]]
 
     def evidence(self, texts: list[str]) -> np.ndarray:
         """Log odds that some token is toxic; -40 where there is none."""
@@ -240,9 +318,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     truth = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = docs.where(~held_out(id_col)).select(F.col(id_col).cast("long").alias("doc_id")).distinct().join(truth, "doc_id")
     mixed = F.xxhash64("doc_id")
-    half = SAMPLE_DOCS // 2
+    most = (SAMPLE_DOCS - SAMPLE_DOCS // TOXIC_PART, SAMPLE_DOCS // TOXIC_PART)
     # Two bounded top lists; a class that has fewer rows leaves the rest unused.
-    chosen = [ids.where(F.col("toxic") == t).orderBy(mixed, "doc_id").limit(half).select("doc_id", "toxic") for t in (0, 1)]
+    chosen = [ids.where(F.col("toxic") == t).orderBy(mixed, "doc_id").limit(most[t]).select("doc_id", "toxic") for t in (0, 1)]
     wanted = stored(chosen[0].unionAll(chosen[1]), "toxicity-sample")
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # One row per id, so a repeated document counts once. At most SAMPLE_DOCS ids are broadcast.
@@ -264,16 +342,45 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Field(np.frombuffer(bytes(row[0].weights), np.float32), rest[0], np.array(rest[1:5]).reshape(2, 2), rest[5], rest[6])
 
 
+def telling_marks(docs: list[tuple[list[str], int]]) -> set[str]:
+    """Word forms and beginnings that toxic documents hold and clean ones do not.
+
+    What counts is the number of different words a mark follows, so the copies of a document count once. A
+    mark is telling if it is SHARE times as frequent in toxic documents, at MIN_PLACES places at least, and so
+    by far that chance would not bring it about for any of all the marks.
+    """
+    places: tuple[dict, dict] = ({}, {})
+    for words, y in docs:
+        for before, word in zip(["", *words], words):  # noqa: B905 - the last word follows, none comes after it
+            if word:
+                places[y].setdefault(word, set()).add(before)
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    for y in (0, 1):
+        by_mark: dict[str, set] = {}
+        for word, before in places[y].items():
+            for mark in marks_of(word):
+                by_mark.setdefault(mark, set()).update(before)
+        counts[y].update({m: len(b) for m, b in by_mark.items()})
+    totals = [sum(len(b) for b in places[y].values()) + 1 for y in (0, 1)]
+    expected = totals[1] / sum(totals)
+    chance = np.log(len(counts[1]) + 1) + SURE
+    out = set()
+    for mark, k in counts[1].items():
+        c = counts[0][mark]
+        if k < MIN_PLACES or k / totals[1] < SHARE * c / totals[0]:
+            continue
+        gain = k * np.log(k / (k + c) / expected) + (c * np.log(c / (k + c) / (1 - expected)) if c else 0.0)
+        if gain >= chance:
+            out.add(mark)
+    return out
+
+
 def fit_rows(rows: list[tuple[str, int]]) -> Field:
     """Fit on texts with document labels."""
     docs = [([word_form(t) for t in text.split()], y) for text, y in sorted(rows)]
-    toxic, clean = Counter(), Counter()
-    for words, y in docs:
-        (toxic if y else clean).update({m for w in set(words) if w for m in marks_of(w)})
-    n1, n0 = sum(y for _, y in docs), sum(1 - y for _, y in docs)
-    if not n1 or not n0:
+    if len({y for _, y in docs}) < 2:
         return Field()
-    telling = {m for m, k in toxic.items() if k >= min(MIN_DOCS, max(2, n1 // 4)) and (k + 0.1) / n1 >= SHARE * (clean[m] + 0.1) / n0}
+    telling = telling_marks(docs)
     chains = []
     for words, y in docs:
         labels = np.array([float(bool(y) and bool(w) and not telling.isdisjoint(marks_of(w))) for w in words])

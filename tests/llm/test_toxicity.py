@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 
 from tallyloom.llm import toxicity
-from tallyloom.llm.toxicity import chain_marginals
+from tallyloom.llm.toxicity import chain_marginals, flat_marginals
 
 
 def test_marginals_match_enumeration():
@@ -24,6 +24,18 @@ def test_marginals_match_enumeration():
         assert np.allclose(pairs, counts)
 
 
+def test_blocks_change_nothing():
+    rng = np.random.default_rng(6)
+    links = np.array([[0.0, -2.0], [0.5, 1.0]])
+    lengths = np.array([1, 63, 64, 65, 700, 2, 128, 5000])
+    emission = rng.normal(size=lengths.sum()) * 3 - 2
+    got = flat_marginals(emission, lengths, links)
+    for i, n in enumerate(lengths):
+        part = slice(lengths[:i].sum(), lengths[:i].sum() + n)
+        want = chain_marginals(emission[part][None, :], np.ones((1, n), bool), links)[0]
+        assert np.allclose(got[part], want, rtol=1e-9, atol=1e-12)
+
+
 def labelled(n=1200, seed=3):
     rng = random.Random(seed)
     words = ["".join(rng.choice("abdefghilmnoprst") for _ in range(rng.randint(2, 8))) for _ in range(900)]
