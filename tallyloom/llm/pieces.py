@@ -7,9 +7,9 @@ drawn with probability proportional to the product of its weights. The random nu
 key and the place of the choice, so the same row gives the same pieces on any cluster and after any retry.
 
 The vocabulary holds merges in rank order, not log-probabilities; a piece of rank r gets the weight
-exp(-temperature * log(r + RANK_SHIFT)) (Zipf), documented parameters. No piece goes on after a space mark that
-follows another character, so the lattice falls apart into words and the forward pass of a word is kept
-for the next time it occurs. Words are drawn for a whole batch of texts in steps of one arc.
+exp(-temperature * log(r + RANK_SHIFT)) (Zipf), documented parameters. No piece of the vocabulary mixes letters
+with other characters or goes on after a space (checked when it is read), so the lattice falls apart into
+words and the forward pass of a word is kept for the next time it occurs. Words are drawn for a whole batch of texts in steps of one arc.
 
 Defined cases: null text counts as empty and has no pieces; a null row key counts as 0; repeated rows draw
 the same pieces; characters outside the vocabulary, line ends and the space mark itself become byte pieces, so
@@ -39,7 +39,8 @@ KEPT_WORDS = 250_000
 KEPT_ARCS = 6_000_000
 BYTES_WEIGHT = -20.0
 SLICE_CHARS = 1 << 20
-WORD = re.compile(r" *[^ \n]+|\n| +")
+# Letters and other characters (a raised 2 among them) apart, spaces with what follows them, line ends alone.
+WORD = re.compile(r" *[^\W\d_²]+| *(?:[\d_²]|[^\w \n])+|\n| +")
 
 
 class Vocabulary:
@@ -61,7 +62,7 @@ class Vocabulary:
             elif not (model.is_control(i) or model.is_unknown(i)):
                 pieces.append((piece, i))
                 self.bytes_of[i] = piece.replace(SPACE, " ").encode()
-        if any(SPACE in p.lstrip(SPACE) for p, _ in pieces):
+        if any(len(WORD.findall(p.replace(SPACE, " "))) > 1 for p, _ in pieces):
             raise ValueError("a piece of this vocabulary spans two words")
         self.longest = max((len(p) for p, _ in pieces), default=1)
         alphabet = sorted({c for p, _ in pieces for c in p})
@@ -123,8 +124,21 @@ class Lattices:
 
     def clear(self) -> None:
         self.words: dict[str, int] = {}  # the last node of each word met so far
-        self.nodes = 0
-        self.cum, self.ids, self.back = np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32)
+        self.nodes = self.size = 0
+        self.room = (np.empty(1 << 16), np.empty(1 << 16, np.int32), np.empty(1 << 16, np.int32))
+
+    @property
+    def arcs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cumulated shares, piece ids and lengths of the arcs."""
+        return tuple(x[: self.size] for x in self.room)
+
+    def _append(self, *new: np.ndarray) -> None:
+        size = self.size + len(new[0])
+        if size > len(self.room[0]):
+            self.room = tuple(np.concatenate([x[: self.size], np.empty(size, x.dtype)]) for x in self.room)
+        for x, more in zip(self.room, new, strict=True):
+            x[self.size : size] = more
+        self.size = size
 
     def add(self, words: list[str]) -> None:
         """Forward pass over words, all of them a place further at a time."""
@@ -156,9 +170,7 @@ class Lattices:
             run[np.append(starts[1:], len(to)) - 1] = 1.0
             cum[mine] = np.minimum(run, 1.0)
         by_node = np.lexsort((length, head))
-        self.cum = np.concatenate([self.cum, self.nodes + head[by_node] + cum[by_node]])
-        self.ids = np.concatenate([self.ids, ids[by_node].astype(np.int32)])
-        self.back = np.concatenate([self.back, length[by_node].astype(np.int32)])
+        self._append(self.nodes + head[by_node] + cum[by_node], ids[by_node], length[by_node])
         self.words.update(zip(words, (self.nodes + first + np.arange(len(words)) + lengths).tolist(), strict=True))
         self.nodes += len(mass)
 
@@ -175,7 +187,7 @@ def uniform(key: np.ndarray, place: np.ndarray, step: int) -> np.ndarray:
 
 def draw(lattices: Lattices, ends: np.ndarray, lengths: np.ndarray, keys: np.ndarray, places: np.ndarray):
     """Backward sampling for many words at once: ids in reading order, and the number of pieces of each word."""
-    cum, ids, back = lattices.cum, lattices.ids, lattices.back
+    cum, ids, back = lattices.arcs
     at, node, left = np.arange(len(ends)), ends, lengths
     taken, count = [], np.zeros(len(ends), np.int64)
     step = 0
@@ -216,7 +228,7 @@ def _encode_slice(lattices: Lattices, keys: list[int], texts: list[str]) -> list
         mine = WORD.findall(" " + text) if text else []
         words += mine
         counts.append(len(mine))
-    if len(lattices.words) > KEPT_WORDS or len(lattices.cum) > KEPT_ARCS:
+    if len(lattices.words) > KEPT_WORDS or lattices.size > KEPT_ARCS:
         lattices.clear()
     new = [w for w in dict.fromkeys(words) if w not in lattices.words]
     if new:
