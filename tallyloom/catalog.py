@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import fixed_values as fv
 from .operators import (
     association,
     budget,
@@ -19,7 +20,7 @@ from .operators import (
     retail,
     reviews as rv,
 )
-from .plans import review_extraction as extraction
+from .plans import retail_etl, review_extraction as extraction
 from .session import fresh_folder, staged
 from .sources import bindings, files
 from .streaming import orders as so, reviews as sr
@@ -27,10 +28,11 @@ from .streaming import orders as so, reviews as sr
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-PAIR_MIN_ITEM, PAIR_MIN_PAIR, PAIR_LARGE = 60, 30, 5
+PAIR_MIN_ITEM, PAIR_MIN_PAIR, PAIR_LARGE = 20, 3, 40
 SELLER_YEAR = 1997
 FANOUT_SINCE = datetime(1997, 1, 1)
-CITY = "sao"
+CITY = "São"
+ARRIVALS = 4
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -106,13 +108,18 @@ on_work("flag_rules", association.flag_rules)
 on_work("invoice_pattern_rules", association.invoice_pattern_rules)
 
 
-def _rules(w: DataFrame) -> DataFrame:
-    return association.item_pair_rules(w, PAIR_MIN_ITEM, PAIR_MIN_PAIR, PAIR_LARGE)
+def pair_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pair rules, staged once for the three queries on them."""
 
+    def build() -> DataFrame:
+        return association.item_pair_rules(work(spark, sf_dir), PAIR_MIN_ITEM, PAIR_MIN_PAIR, PAIR_LARGE)
 
-on_work("item_pair_rules", _rules)
-on_work("item_pairs_top_support", lambda w: association.top_pairs_by_support(_rules(w)))
-on_work("item_pairs_balanced", lambda w: association.top_balanced_pairs(_rules(w), 10, 0.5))
+    return staged(spark, "pair-rules", sf_dir, build)
+
+
+QUERIES["item_pair_rules"] = pair_rules
+QUERIES["item_pairs_top_support"] = lambda spark, sf_dir: association.top_pairs_by_support(pair_rules(spark, sf_dir))
+QUERIES["item_pairs_balanced"] = lambda spark, sf_dir: association.top_balanced_pairs(pair_rules(spark, sf_dir), 5, 0.5)
 
 
 @query("retail_source")
@@ -221,7 +228,7 @@ def output_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def etl_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = work(spark, sf_dir)
     facts = etl.sales_facts(w)
-    return etl.etl_summary(w, facts, etl.customer_features(facts, w), etl.returns_log(w, facts))
+    return etl.etl_summary(w, facts, etl.returns_log(w, facts))
 
 
 @query("feature_profile")
@@ -233,6 +240,22 @@ def feature_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_PUBLISHED: dict[tuple[str, str], str] = {}
+
+
+def published(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three tables that the ETL job publishes, read back."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PUBLISHED:
+        _PUBLISHED[key] = fresh_folder(spark, "published")
+        retail_etl.run(lines(spark, sf_dir), _PUBLISHED[key])
+    return retail_etl.read_published(spark, _PUBLISHED[key])
+
+
+for table_name in ("sales_facts", "customer_features", "returns_log"):
+    QUERIES[f"published_{table_name}"] = lambda spark, sf_dir, name=table_name: published(spark, sf_dir)[name]
+
+
 # --- marketplace -----------------------------------------------------------------------------
 
 
@@ -260,21 +283,49 @@ on_market("fanout_naive", lambda t: _fan(t, mk.fanout_naive))
 on_market("fanout_safe", lambda t: _fan(t, mk.fanout_safe))
 on_market(
     "fanout_inflation",
-    lambda t: mk.fanout_inflation(_fan(t, mk.fanout_naive), _fan(t, mk.fanout_safe)),
+    lambda t: _fan(t, mk.fanout_inflation),
 )
 on_market("city_search", lambda t: mk.city_search(t["customers"], CITY))
 
 
+_CSV: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def csv_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The nine tables written as CSV, once, and read back typed."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CSV:
+        folder, paths = fresh_folder(spark, "marketplace"), {}
+        for name, df in bindings.marketplace(spark, sf_dir).items():
+            paths[name] = f"{folder}/{name}"
+            files.write_csv(df, paths[name])
+        _CSV[key] = paths
+    return files.read_marketplace(spark, _CSV[key])
+
+
+def csv_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    rows = csv_tables(spark, sf_dir)[name]
+    return rows.withColumns({f.name: F.col(f.name).cast("double") for f in rows.schema if f.dataType.typeName() == "decimal"})
+
+
+# Whole rows of the three largest tables, as they come out of CSV.
+for table_name in ("orders", "order_items", "order_reviews"):
+    QUERIES[f"{table_name}_csv"] = lambda spark, sf_dir, name=table_name: csv_rows(spark, sf_dir, name)
+
+
+@query("retail_csv")
+def retail_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retail lines written as CSV and read back typed."""
+    folder = fresh_folder(spark, "retail-csv")
+    files.write_csv(lines(spark, sf_dir), folder)
+    return files.read_retail(spark, folder, "csv", line_breaks=True)
+
+
 @query("order_source")
 def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nine tables written as CSV, read back typed, and counted."""
-    folder = fresh_folder(spark, "marketplace")
-    paths = {}
-    for name, df in bindings.marketplace(spark, sf_dir).items():
-        paths[name] = f"{folder}/{name}"
-        files.write_csv(df, paths[name])
+    """The nine tables out of CSV, counted."""
     out = None
-    for name, df in files.read_marketplace(spark, paths).items():
+    for name, df in csv_tables(spark, sf_dir).items():
         row = df.agg(
             F.lit(name).alias("table"),
             F.count(F.lit(1)).alias("rows"),
@@ -287,12 +338,12 @@ def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("reconcile")
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order headers against line items: the header total is the value in one snapshot."""
+    """Order headers against a snapshot that lags behind: other orders, statuses, values and reviews."""
     t = bindings.marketplace(spark, sf_dir)
     paid = t["order_payments"].select("order_id", F.col("payment_value").alias("price"))
     source = mk.day_totals(t["orders"], paid, t["order_reviews"])
-    served = mk.day_totals(t["orders"], t["order_items"], t["order_reviews"])
-    return mk.reconcile(source, served)
+    late = bindings.served_snapshot(t)
+    return mk.reconcile(source, mk.day_totals(late["orders"], late["order_items"], late["order_reviews"]))
 
 
 # --- review texts ----------------------------------------------------------------------------
@@ -329,17 +380,26 @@ def routed(spark: SparkSession, sf_dir: str) -> extraction.Routed:
     )
 
 
-def answered(spark: SparkSession, sf_dir: str) -> tuple[extraction.Routed, extraction.Extraction]:
+_RUNS: dict[tuple, extraction.Extraction] = {}
+
+
+def answered(
+    spark: SparkSession, sf_dir: str, cap_usd: float | None = None
+) -> tuple[extraction.Routed, extraction.Extraction]:
+    """A run with model answers; its tables are written once for the queries on them."""
     known = routed(spark, sf_dir)
-    return known, extraction.with_answers(known.texts, bindings.model_answers(known.texts))
+    key = (spark.sparkContext.applicationId, sf_dir, cap_usd)
+    if key not in _RUNS:
+        _RUNS[key] = extraction.with_answers(known.texts, bindings.model_answers(known.texts), cap_usd)
+    return known, _RUNS[key]
 
 
-def on_answers(name: str, operator) -> None:
-    QUERIES[name] = lambda spark, sf_dir: operator(*answered(spark, sf_dir))
+def on_answers(name: str, operator, cap_usd: float | None = None) -> None:
+    QUERIES[name] = lambda spark, sf_dir: operator(*answered(spark, sf_dir, cap_usd))
 
 
 def _expanded(routed: extraction.Routed, run: extraction.Extraction) -> DataFrame:
-    return rs.expand_reviews(routed.records, routed.texts, run.results)
+    return rs.expand_reviews(routed.records, run.results)
 
 
 QUERIES["low_score_reviews"] = lambda spark, sf_dir: rv.low_score_reviews(
@@ -397,12 +457,12 @@ def response_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 on_answers("escalation", lambda routed, run: rs.escalation(run.outcomes))
-on_answers(
-    "merged_results",
-    lambda routed, run: rv.exploded_issues(
-        run.results, "dedup_key", "method", "model", "needs_manual_review"
-    ),
-)
+def _merged(routed: extraction.Routed, run: extraction.Extraction) -> DataFrame:
+    return rv.exploded_issues(run.results, "dedup_key", "method", "model", "needs_manual_review")
+
+
+on_answers("merged_results", _merged)
+on_answers("merged_results_capped", _merged, fv.DEFAULT_COST_CAP_USD)
 on_answers(
     "expanded_reviews",
     lambda routed, run: rv.exploded_issues(
@@ -411,15 +471,13 @@ on_answers(
         "model", "needs_manual_review", "actionable_for_seller",
     ),
 )
-on_answers("issue_counts", lambda routed, run: rs.issue_counts(_expanded(routed, run)))
-on_answers("method_counts", lambda routed, run: rs.method_counts(_expanded(routed, run)))
+on_answers("issue_counts", lambda routed, run: rs.issue_counts(routed.texts, run.results))
+on_answers("method_counts", lambda routed, run: rs.method_counts(routed.texts, run.results))
 on_answers(
     "accuracy_sample", lambda routed, run: evaluation.accuracy_sample(_expanded(routed, run))
 )
-on_answers(
-    "extraction_metadata",
-    lambda routed, run: extraction.metadata(routed, run, _expanded(routed, run)),
-)
+for name, cap in (("extraction_metadata", None), ("extraction_metadata_capped", fv.DEFAULT_COST_CAP_USD)):
+    on_answers(name, lambda routed, run: extraction.metadata(routed, run, run.results), cap)
 QUERIES["accuracy_metrics"] = lambda spark, sf_dir: evaluation.accuracy_metrics(
     bindings.judged_reviews(bindings.table(spark, sf_dir, "labels"))
 )
@@ -443,32 +501,55 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bindings.order_events(bindings.table_stream(spark, sf_dir, "events"))
 
 
+def dealt_events(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The events as a stream of several micro-batches that arrive out of order: a remainder of the event id
+    names the files, so each batch reaches over all days and most of its events are late."""
+    events = bindings.table(spark, sf_dir, "events")
+    tasks = events.rdd.getNumPartitions()
+    events.withColumn("part", F.pmod("event_id", F.lit(ARRIVALS))).write.partitionBy("part").parquet(f"{folder}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", tasks).parquet(f"{folder}/events/part=*")
+    return bindings.order_events(stream)
+
+
 def local_times(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
 
 
-def status_log(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    so.status_job(raw_events(spark, sf_dir), f"{folder}/log", f"{folder}/log-checkpoint")
+def event_log(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    so.log_job(dealt_events(spark, sf_dir, folder), f"{folder}/log", f"{folder}/log-checkpoint")
     return f"{folder}/log"
 
 
 def seller_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "seller-days")
-    log = so.log_stream(spark, status_log(spark, sf_dir, folder))
-    so.seller_daily_job(log, f"{folder}/days", f"{folder}/days-checkpoint")
+    log = event_log(spark, sf_dir, folder)
+    stream = so.log_stream(spark, log)
+    so.seller_daily_job(stream, log, f"{folder}/days", f"{folder}/days-checkpoint")
     return so.current_seller_days(spark, f"{folder}/days")
 
 
 @query("latest_status")
 def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Final state of the status stream."""
-    log = status_log(spark, sf_dir, fresh_folder(spark, "status"))
-    return local_times(so.current_status(spark, log), "event_time", "estimated_delivery_date")
+    """Final state of the status stream, which follows the log over several micro-batches."""
+    folder = fresh_folder(spark, "status")
+    log = so.log_stream(spark, event_log(spark, sf_dir, folder)).drop("event_date")
+    so.status_job(log, f"{folder}/status", f"{folder}/status-checkpoint", compact_every=2)
+    return local_times(so.current_status(spark, f"{folder}/status"), "event_time", "estimated_delivery_date")
+
+
+@query("late_events")
+def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the log, and how many of them the side table holds as late."""
+    folder = fresh_folder(spark, "late-events")
+    log = event_log(spark, sf_dir, folder)
+    so.late_event_job(so.log_stream(spark, log), f"{folder}/late", f"{folder}/late-checkpoint")
+    late = spark.read.parquet(f"{folder}/late/late").agg(F.count(F.lit(1)).alias("n")).scalar()
+    return spark.read.parquet(log).agg(F.count(F.lit(1)).alias("events")).select("events", (late > 0).alias("some_late"))
 
 
 @query("seller_daily")
 def seller_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Final state of the seller day stream, which follows the status log."""
+    """Final state of the seller day stream, which follows the log over several micro-batches."""
     days = seller_days(spark, sf_dir)
     return days.withColumns(
         {"day": F.to_date("day").cast("string"), "amount": F.col("amount").cast("double")}

@@ -30,7 +30,7 @@ STOCK_CODE_LISTS = {
 # Stock code prefixes by category.
 STOCK_CODE_PREFIXES = {"gift_voucher": "GIFT", "sample_test_internal": "DCGS"}
 # Fixed value: shape of a product code.
-PRODUCT_CODE_PATTERN = r"^\p{Nd}+[A-Z]*$"
+PRODUCT_CODE_PATTERN = r"^\p{Nd}+[A-Z]*\z"
 PRODUCT_LIKE = "product_like"
 OTHER_CODE = "other_non_product_or_unknown"
 

@@ -6,10 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as fv
+from .text import strip_space
 
 
 def _key(code: Column) -> Column:
-    return F.upper(F.trim(code))
+    return F.upper(strip_space(code))
 
 
 def is_product(code: Column) -> Column:
@@ -18,7 +19,7 @@ def is_product(code: Column) -> Column:
 
 
 def stock_category(code: Column) -> Column:
-    """Class of a stock code; case and outer blanks are ignored."""
+    """Class of a stock code; case and outer white space are ignored."""
     key = _key(code)
     lists, prefixes = fv.STOCK_CODE_LISTS, fv.STOCK_CODE_PREFIXES
     expr = F.when(is_product(code), fv.PRODUCT_LIKE)

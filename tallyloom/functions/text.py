@@ -103,11 +103,6 @@ def quotes_found(text: Column, quotes: Column) -> Column:
     return F.when(hard, _found_with_tables(F.when(hard, text), F.when(hard, quotes))).otherwise(native)
 
 
-def fold_accents(text: Column) -> Column:
-    """Lower case without Latin-1 accents, for substring search in names."""
-    return F.translate(_fold_native(text), ACCENTED, BASE)
-
-
 def text_hash(normalized: Column) -> Column:
     return F.sha1(normalized)
 

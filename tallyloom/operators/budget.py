@@ -31,40 +31,49 @@ def _cost_units(tier: str, input_tokens: Column, output_tokens: Column) -> Colum
     return input_tokens * price["input"] + output_tokens * price["output"]
 
 
-class _Outcomes:
+def _next_batch(upto: np.ndarray, budget: int) -> np.ndarray:
+    """For each item that opens a batch, the item that closes it; ``upto`` sums the tokens up to each item."""
+    before = np.concatenate([[0], upto[:-1]])
+    return np.maximum(np.searchsorted(upto, before + budget, side="right"), np.arange(1, len(upto) + 1))
+
+
+def _outcome(block: str, tokens: np.ndarray, budget: int) -> tuple:
     """What one block of items does to the batch that is open when the block begins.
 
     The open batch holds some number of tokens. That number only decides at which item the batch
-    closes; from there on all is fixed. So one running pair (open tokens, closed batches) per
-    possible closing item describes the block for every number.
+    closes; from there on all is fixed. So the state at the end of the block (open tokens, closed
+    batches) for each possible closing item describes the block for every number. Their batches are
+    followed together, one batch of each at a time.
     """
+    upto = np.cumsum(tokens)
+    before = upto - tokens
+    after = _next_batch(upto, budget)
+    starts = np.flatnonzero(before < budget)
+    at, closed = np.append(starts, 0), np.append(np.ones(len(starts), np.int64), 0)
+    while (open_ := after[at] < len(upto)).any():
+        at = np.where(open_, after[at], at)
+        closed = closed + open_
+    left = upto[-1] - before[at]
+    return (
+        block, (budget - upto[starts]).tolist(), left[:-1].tolist(), closed[:-1].tolist(), int(upto[-1]),
+        int(left[-1]), int(closed[-1]),
+    )
 
-    def __init__(self, budget: int) -> None:
-        self.budget, self.total = budget, 0
-        self.limits: list[int] = []
-        self.open = np.zeros(0, dtype=np.int64)
-        self.closed = np.zeros(0, dtype=np.int64)
-        self.fresh_open = self.fresh_closed = 0
-
-    def add(self, tokens: int) -> None:
-        full = self.open + tokens > self.budget
-        self.open = np.where(full, tokens, self.open + tokens)
-        self.closed = self.closed + full
-        if self.fresh_open and self.fresh_open + tokens > self.budget:
-            self.fresh_open, self.fresh_closed = tokens, self.fresh_closed + 1
-        else:
-            self.fresh_open += tokens
-        if self.total < self.budget:
-            self.limits.append(self.budget - self.total - tokens)
-            self.open = np.append(self.open, tokens)
-            self.closed = np.append(self.closed, 1)
-        self.total += tokens
-
-    def row(self, block: str) -> tuple:
-        return (
-            block, self.limits, self.open.tolist(), self.closed.tolist(), self.total,
-            self.fresh_open, self.fresh_closed,
-        )
+
+def _by_block(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of one block after the other; a block is a small range of the key order."""
+    held: list[pd.DataFrame] = []
+    for pdf in frames:
+        cuts = np.flatnonzero(pdf["block"].to_numpy()[1:] != pdf["block"].to_numpy()[:-1]) + 1
+        for part in np.split(np.arange(len(pdf)), cuts):
+            rows = pdf.iloc[part]
+            if held and len(rows) and held[0]["block"].iloc[0] != rows["block"].iloc[0]:
+                yield pd.concat(held)
+                held = []
+            if len(rows):
+                held.append(rows)
+    if held:
+        yield pd.concat(held)
 
 
 OUTCOME = "block string, limits array<bigint>, open array<bigint>, closed array<bigint>, total bigint, fresh_open bigint, fresh_closed bigint"
@@ -75,19 +84,8 @@ def _block_outcomes(budget: int):
     names = [c.split()[0] for c in OUTCOME.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, state = None, None
-        for pdf in frames:
-            done = []
-            for b, t in zip(pdf["block"], pdf["tokens"]):
-                if b != block:
-                    if state is not None:
-                        done.append(state.row(block))
-                    block, state = b, _Outcomes(budget)
-                state.add(int(t))
-            if done:
-                yield pd.DataFrame(done, columns=names)
-        if state is not None:
-            yield pd.DataFrame([state.row(block)], columns=names)
+        for rows in _by_block(frames):
+            yield pd.DataFrame([_outcome(rows["block"].iloc[0], rows["tokens"].to_numpy(), budget)], columns=names)
 
     return run
 
@@ -112,18 +110,17 @@ def _block_entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _assign(budget: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, filled, batch = None, 0, 0
-        for pdf in frames:
-            numbers = []
-            for b, t, carry, first in zip(pdf["block"], pdf["tokens"], pdf["carry"], pdf["first_batch"]):
-                if b != block:
-                    block, filled, batch = b, carry, first
-                if filled and filled + t > budget:
-                    filled, batch = t, batch + 1
-                else:
-                    filled += t
-                numbers.append(batch)
-            yield pdf[["dedup_key", "tokens"]].assign(batch_id=numbers)
+        for rows in _by_block(frames):
+            upto = np.cumsum(rows["tokens"].to_numpy())
+            carry, first = int(rows["carry"].iloc[0]), int(rows["first_batch"].iloc[0])
+            after = _next_batch(upto, budget)
+            opens = np.zeros(len(upto), np.int64)
+            # The batch that is open at the start closes where it would overflow; an empty one takes the first item.
+            at = int(np.searchsorted(upto, budget - carry, side="right")) if carry else int(after[0])
+            while at < len(upto):
+                opens[at] = 1
+                at = int(after[at])
+            yield rows[["dedup_key", "tokens"]].assign(batch_id=first + np.cumsum(opens))
 
     return run
 
@@ -226,13 +223,17 @@ def route_sample(routed: DataFrame, size: int) -> DataFrame:
     if size == 0:
         return routed
     head = max(1, size // 3)
-    rank = F.row_number().over(Window.partitionBy("route").orderBy("dedup_key"))
-    # Spark keeps only ``head`` rows per route in each map task before it shuffles for the rank.
-    heads = routed.withColumn("rank", rank).where(F.col("rank") <= head).drop("rank")
+    # A top list per route, whatever its size: each map task keeps its first ``head`` rows only.
+    lists = [
+        routed.where(F.col("route") == route).orderBy("dedup_key").limit(head)
+        for route in (fv.ROUTE_RULE, fv.ROUTE_SMALL, fv.ROUTE_LARGE)
+    ]
+    heads = lists[0].unionByName(lists[1]).unionByName(lists[2])
     # At most ``size`` of the first ``2 * size`` texts are heads, so the fill is among them.
     first = routed.orderBy("dedup_key").limit(2 * size)
     spare = first.join(heads.select("dedup_key"), "dedup_key", "left_anti")
     chosen = heads.agg(n_rows().alias("n")).scalar()
+    # At most 2 * size rows, a number that the caller sets, are ranked in one place.
     order = F.row_number().over(Window.orderBy("dedup_key"))
     fill = spare.withColumn("rank", order).where(F.col("rank") <= F.lit(size) - chosen).drop("rank")
     return heads.unionByName(fill.select(heads.columns))

@@ -199,20 +199,20 @@ def output_violations(facts: DataFrame, features: DataFrame, log: DataFrame) ->
         broken(
             facts,
             {
-                "sales_facts quantity must be positive": col("quantity") > 0,
-                "sales_facts unit_price must be positive": col("unit_price") > 0,
-                "sales_facts total_amount must be positive": col("total_amount") > 0,
-                "sales_facts invoice_datetime cannot be null": col("invoice_datetime").isNotNull(),
+                "sale sells at least one piece": col("quantity") > 0,
+                "sale has a price above zero": col("unit_price") > 0,
+                "sale brings in money": col("total_amount") > 0,
+                "sale is dated": col("invoice_datetime").isNotNull(),
             },
         )
         .unionByName(
             broken(
                 features,
                 {
-                    "customer_features customer_id cannot be null": col("customer_id").isNotNull(),
-                    "customer_features recency_days must be nonnegative": col("recency_days") >= 0,
-                    "customer_features frequency must be at least 1": col("frequency") >= 1,
-                    "customer_features monetary must be nonnegative": col("monetary") >= 0,
+                    "feature row names its customer": col("customer_id").isNotNull(),
+                    "last purchase is not in the future": col("recency_days") >= 0,
+                    "customer bought once or more": col("frequency") >= 1,
+                    "customer spent no less than nothing": col("monetary") >= 0,
                 },
             )
         )
@@ -220,8 +220,8 @@ def output_violations(facts: DataFrame, features: DataFrame, log: DataFrame) ->
             broken(
                 log,
                 {
-                    "returns_log must only contain C invoices": col("invoice_no").startswith("C"),
-                    "matched_original_invoice must point to original positive sales": col(
+                    "return comes from a cancellation": col("invoice_no").startswith("C"),
+                    "return undoes a sale, not a cancellation": col(
                         "matched_original_invoice"
                     ).isNull()
                     | ~col("matched_original_invoice").startswith("C"),
@@ -243,7 +243,8 @@ def require_no_violations(violations: DataFrame) -> None:
         raise ValueError("; ".join(found))
 
 
-def etl_summary(work: DataFrame, facts: DataFrame, features: DataFrame, log: DataFrame) -> DataFrame:
+def etl_summary(work: DataFrame, facts: DataFrame, log: DataFrame) -> DataFrame:
+    """Row counts and the match rate; there is one feature row per identified customer of the facts."""
     eligible = eligible_return()
     matched = eligible & F.col("matched_original_invoice").isNotNull()
     rows = F.count(F.lit(1)).cast("double")
@@ -257,8 +258,10 @@ def etl_summary(work: DataFrame, facts: DataFrame, features: DataFrame, log: Dat
     )
     parts = [
         work.agg(rows.alias("input_rows")),
-        facts.agg(rows.alias("sales_facts_rows")),
-        features.agg(rows.alias("customer_features_rows")),
+        facts.agg(
+            rows.alias("sales_facts_rows"),
+            F.count_distinct("customer_id").cast("double").alias("customer_features_rows"),
+        ),
         logged,
     ]
     out = long_counts(parts[0], "metric", "value")

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import count_where, n_rows, ratio, round_half_up, seconds_between, share
-from ..functions.text import fold_accents
 
 MONEY_SUM = "decimal(38,2)"
+ANY_CASE_ANY_ACCENT = "UNICODE_CI_AI"
 
 
 def delivered() -> Column:
@@ -83,11 +83,13 @@ def seller_metrics(
         "order_delivered_customer_date",
         "order_estimated_delivery_date",
     )
-    scores = reviews.groupBy("order_id").agg(
+    # Children of other years go before they are aggregated.
+    theirs = bought.select("order_id")
+    scores = reviews.join(theirs, "order_id", "left_semi").groupBy("order_id").agg(
         ratio(F.sum("review_score"), F.count("review_score")).alias("order_score")
     )
     judged = bought.join(scores, "order_id", "left")
-    sold = items.groupBy("seller_id", "order_id").agg(
+    sold = items.join(theirs, "order_id", "left_semi").groupBy("seller_id", "order_id").agg(
         F.sum(F.col("price") + F.col("freight_value")).cast(MONEY_SUM).alias("value")
     )
     arrived, due = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
@@ -124,8 +126,8 @@ def top_sellers(metrics: DataFrame, limit: int = 20) -> DataFrame:
 
 
 def city_contains(city: Column, needle: str) -> Column:
-    """Substring search that ignores case and accents."""
-    return fold_accents(city).contains(needle)
+    """Substring search that ignores case and accents on both sides, however they are composed."""
+    return F.contains(F.collate(city, ANY_CASE_ANY_ACCENT), F.collate(F.lit(needle), ANY_CASE_ANY_ACCENT))
 
 
 def city_search(customers: DataFrame, needle: str) -> DataFrame:
@@ -145,8 +147,17 @@ def filtered_orders(
     )
 
 
-def _order_grain(filtered: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
-    """One row per order with sums and counts of its items and its reviews."""
+def _order_grain(
+    filtered: DataFrame, items: DataFrame, reviews: DataFrame, all_orders: bool = False
+) -> DataFrame:
+    """One row per order with sums and counts of its items and its reviews.
+
+    Unless all orders are wanted, children of other orders go before they are aggregated.
+    """
+    if not all_orders:
+        theirs = filtered.select("order_id")
+        items = items.join(theirs, "order_id", "left_semi")
+        reviews = reviews.join(theirs, "order_id", "left_semi")
     per_item = items.groupBy("order_id").agg(
         F.sum("price").cast(MONEY_SUM).alias("revenue"), n_rows().alias("n_items")
     )
@@ -158,51 +169,54 @@ def _order_grain(filtered: DataFrame, items: DataFrame, reviews: DataFrame) -> D
     return filtered.join(per_item, "order_id", "left").join(per_review, "order_id", "left")
 
 
-def fanout_naive(filtered: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
-    """What joining items and reviews to orders side by side would report.
+def _fanout(filtered: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Per state, both reports out of one pass over the orders.
 
-    The join would repeat every price once per review and every score once per item. Those repeats
-    are known at order grain, so the same figures follow without forming the product.
+    Naive: joining items and reviews to orders side by side would repeat every price once per review
+    and every score once per item. Those repeats are known at order grain, so the same figures follow
+    without forming the product. Safe: revenue once per item, and the mean over orders of each order's
+    mean score.
     """
     copies_of_item = F.greatest(F.coalesce("n_reviews", F.lit(1)), F.lit(1))
     copies_of_score = F.greatest(F.coalesce("n_items", F.lit(1)), F.lit(1))
     scores = F.sum(F.col("score_sum") * copies_of_score)
     n_scores = F.sum(F.col("n_scores") * copies_of_score)
+    score = ratio(F.col("score_sum"), F.col("n_scores")).cast("decimal(20,12)")
     return (
         _order_grain(filtered, items, reviews)
         .groupBy("customer_state")
         .agg(
             n_rows().alias("orders"),
-            F.sum(F.col("revenue") * copies_of_item).cast("double").alias("revenue"),
-            round_half_up(ratio(scores, n_scores), 4).alias("avg_score"),
+            F.sum(F.col("revenue") * copies_of_item).cast("double").alias("naive_revenue"),
+            round_half_up(ratio(scores, n_scores), 4).alias("naive_score"),
+            F.sum(F.coalesce("revenue", F.lit(0).cast(MONEY_SUM))).cast("double").alias("safe_revenue"),
+            round_half_up(ratio(F.sum(score), F.count(score)), 2).alias("safe_score"),
         )
     )
 
 
+def fanout_naive(filtered: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
+    """What joining items and reviews to orders side by side would report."""
+    return _fanout(filtered, items, reviews).select(
+        "customer_state", "orders", F.col("naive_revenue").alias("revenue"), F.col("naive_score").alias("avg_score")
+    )
+
+
 def fanout_safe(filtered: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
     """Revenue counted once per item, and the mean over orders of each order's mean score."""
-    score = ratio(F.col("score_sum"), F.col("n_scores")).cast("decimal(20,12)")
-    return (
-        _order_grain(filtered, items, reviews)
-        .groupBy("customer_state")
-        .agg(
-            n_rows().alias("orders"),
-            F.sum(F.coalesce("revenue", F.lit(0).cast(MONEY_SUM))).cast("double").alias("revenue"),
-            round_half_up(ratio(F.sum(score), F.count(score)), 2).alias("avg_score"),
-        )
+    return _fanout(filtered, items, reviews).select(
+        "customer_state", "orders", F.col("safe_revenue").alias("revenue"), F.col("safe_score").alias("avg_score")
     )
 
 
-def fanout_inflation(naive: DataFrame, safe: DataFrame) -> DataFrame:
+def fanout_inflation(filtered: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
     """Revenue that exists only through repeated rows, per group."""
-    n = naive.select("customer_state", F.coalesce("revenue", F.lit(0.0)).alias("naive_revenue"))
-    s = safe.select("customer_state", F.col("revenue").alias("safe_revenue"))
-    extra = F.col("naive_revenue") - F.col("safe_revenue")
-    return n.join(s, "customer_state").select(
+    naive = F.coalesce("naive_revenue", F.lit(0.0))
+    return _fanout(filtered, items, reviews).select(
         "customer_state",
-        "naive_revenue",
+        naive.alias("naive_revenue"),
         "safe_revenue",
-        round_half_up(extra, 2).alias("inflation"),
+        round_half_up(naive - F.col("safe_revenue"), 2).alias("inflation"),
     )
 
 
@@ -212,6 +226,7 @@ def day_totals(orders: DataFrame, items: DataFrame, reviews: DataFrame) -> DataF
         orders.select("order_id", "order_status", F.to_date("order_purchase_timestamp").alias("day")),
         items,
         reviews,
+        all_orders=True,
     )
     return grain.groupBy("day").agg(
         n_rows().alias("orders"),

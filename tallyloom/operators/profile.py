@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions.numeric import MONEY, count_where, money_sum, n_rows, pct, ratio, round_half_even
 from ..functions.quantiles import exact_quantiles, quantile_columns
-
+from ..functions.text import strip_space
 
 
 def is_positive() -> Column:
@@ -134,23 +134,13 @@ def numeric_profile(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)
 ) -> DataFrame:
     """count, mean, sample std, min, quantiles and max per column, as rows."""
-    tall = _stacked(df, columns).withColumn("d", F.col("v").cast("decimal(18,4)"))
-    n, total, squares = F.col("n"), F.col("s"), F.col("q")
-    moments = tall.groupBy("column").agg(
-        n_rows().cast("double").alias("n"),
-        F.sum("d").cast("double").alias("s"),
-        F.sum(F.col("d") * F.col("d")).cast("double").alias("q"),
+    tall = _stacked(df, columns)
+    stats = tall.groupBy("column").agg(
+        n_rows().cast("double").alias("count"),
+        round_half_even(F.avg("v"), 2).alias("mean"),
+        round_half_even(F.stddev_samp("v"), 2).alias("std"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
-    )
-    spread = F.sqrt(F.greatest((squares - total * total / n) / F.nullif(n - 1, F.lit(0.0)), F.lit(0.0)))
-    stats = moments.select(
-        "column",
-        n.alias("count"),
-        round_half_even(total / n, 2).alias("mean"),
-        round_half_even(spread, 2).alias("std"),
-        "min",
-        "max",
     ).unpivot(["column"], ["count", "mean", "std", "min", "max"], "metric", "value")
     quantiles = exact_quantiles(tall, "v", probs, ["column"]).select(
         "column",
@@ -245,7 +235,7 @@ def item_description(work: DataFrame) -> DataFrame:
     """Most frequent trimmed description per product code; ties go to the first in order."""
     counts = (
         work.where(F.col("is_gross_sale") & F.col("description").isNotNull())
-        .groupBy("stock_code", F.trim("description").alias("description"))
+        .groupBy("stock_code", strip_space(F.col("description")).alias("description"))
         .agg(n_rows().alias("n"))
     )
     best = F.min(F.struct((-F.col("n")).alias("n"), "description"))
@@ -268,7 +258,7 @@ def all_missing_description_codes(work: DataFrame) -> DataFrame:
 
 def description_conflicts(work: DataFrame) -> DataFrame:
     """Codes with more than one distinct description after trimming and upper-casing."""
-    norm = F.upper(F.trim("description"))
+    norm = F.upper(strip_space(F.col("description")))
     return (
         work.where(F.col("description").isNotNull())
         .groupBy("stock_code")
@@ -281,7 +271,7 @@ def code_descriptions(work: DataFrame, code: str) -> DataFrame:
     """Descriptions in use for one code, missing ones included."""
     return (
         work.where(F.col("stock_code") == code)
-        .groupBy(F.upper(F.trim("description")).alias("description"))
+        .groupBy(F.upper(strip_space(F.col("description"))).alias("description"))
         .agg(n_rows().alias("rows"), money_sum(amount()).alias("amount_sum"))
     )
 

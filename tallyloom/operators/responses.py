@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import fixed_values as fv
-from ..functions.joins import lookup_join
 from ..functions.numeric import n_rows
 from ..functions.text import quotes_found
 from .reviews import excerpt, exploded_issues, issue, worth_retry
@@ -197,13 +196,11 @@ def merged_results(
     )
 
 
-def expand_reviews(records: DataFrame, texts: DataFrame, results: DataFrame) -> DataFrame:
+def expand_reviews(records: DataFrame, results: DataFrame) -> DataFrame:
     """Results on every review of a text; evidence that a review does not hold is replaced by its
-    own excerpt. ``texts`` tells how many reviews share a text."""
-    weighed = results.join(texts.select("dedup_key", "n_reviews"), "dedup_key").withColumnRenamed(
-        "dedup_key", "text_hash"
-    )
-    joined = lookup_join(records.drop("normalized_text"), weighed, ["text_hash"], "n_reviews")
+    own excerpt. ``results`` is a written table with one row per text, so adaptive execution splits a
+    text with very many reviews."""
+    joined = records.drop("normalized_text").join(results.withColumnRenamed("dedup_key", "text_hash"), "text_hash")
     found = quotes_found(F.col("raw_text"), F.transform("issues", lambda i: i["evidence"]))
     own = excerpt(F.col("raw_text"))
     adapted = F.zip_with(
@@ -235,13 +232,20 @@ def expand_reviews(records: DataFrame, texts: DataFrame, results: DataFrame) ->
     )
 
 
-def issue_counts(expanded: DataFrame) -> DataFrame:
+def _weighed(texts: DataFrame, results: DataFrame) -> DataFrame:
+    """Results with the number of reviews that share the text; reviews need not be expanded to be counted."""
+    return results.join(texts.select("dedup_key", "n_reviews"), "dedup_key")
+
+
+def issue_counts(texts: DataFrame, results: DataFrame) -> DataFrame:
+    """Issues per category over all reviews; adapting evidence to a review changes no category."""
     return (
-        exploded_issues(expanded, "review_id")
-        .groupBy("category", "subcategory")
-        .agg(n_rows().alias("issues"))
+        _weighed(texts, results)
+        .select("n_reviews", F.explode("issues").alias("i"))
+        .groupBy("i.category", "i.subcategory")
+        .agg(F.sum("n_reviews").alias("issues"))
     )
 
 
-def method_counts(expanded: DataFrame) -> DataFrame:
-    return expanded.groupBy("method").agg(n_rows().alias("records"))
+def method_counts(texts: DataFrame, results: DataFrame) -> DataFrame:
+    return _weighed(texts, results).groupBy("method").agg(F.sum("n_reviews").alias("records"))

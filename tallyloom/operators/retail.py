@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stock import is_product, stock_category
+from ..functions.text import strip_space
 
 FACT_COLUMNS = [
     "invoice_no",
@@ -38,7 +39,7 @@ def retail_work(lines: DataFrame) -> DataFrame:
     invoice, quantity, price = F.col("invoice"), F.col("quantity"), F.col("price")
     base = lines.select(
         F.col("Invoice").cast("string").alias("invoice"),
-        F.trim("StockCode").alias("stock_code"),
+        strip_space(F.col("StockCode")).alias("stock_code"),
         F.col("Description").alias("description"),
         F.col("Quantity").cast("bigint").alias("quantity"),
         F.col("InvoiceDate").cast("timestamp_ntz").alias("invoice_datetime"),
@@ -75,7 +76,7 @@ def retail_work(lines: DataFrame) -> DataFrame:
 
 def normalize_customer_id(raw: Column) -> Column:
     """``13085.0`` becomes ``13085``; ids that are not whole numbers stay as trimmed text."""
-    text = F.trim(raw.cast("string"))
+    text = strip_space(raw.cast("string"))
     number = text.try_cast("decimal(38,10)")
     whole = number.isNotNull() & (number == F.floor(number))
     return F.when(whole, number.cast("decimal(38,0)").cast("string")).otherwise(text)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from .. import catalog
 from .sql import count_if, half_up, ratio, share, with_ctes
 
-CITIES = "['São Paulo', 'sao bernardo', 'SÃO JOSÉ', 'Rio de Janeiro', 'Curitiba']"
+CITIES = "['São Paulo', 'sao bernardo', 'SÃO JOSÉ', 'Rio de Janeiro', 'Curitiba', 'Sa' || chr(771) || 'o Vicente']"
 TABLES = f"""m_orders AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
     CASE o_orderkey % 20 WHEN 0 THEN 'canceled' WHEN 1 THEN 'unavailable' WHEN 2 THEN 'shipped'
@@ -28,7 +28,7 @@ TABLES = f"""m_orders AS (
 ), m_customers AS (
   SELECT CAST(c_custkey AS VARCHAR) AS customer_id, 'u' || c_custkey AS customer_unique_id,
     lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
-    {CITIES}[CAST(c_custkey % 5 AS INT) + 1] AS customer_city, 'S' || c_nationkey AS customer_state
+    {CITIES}[CAST(c_custkey % 6 AS INT) + 1] AS customer_city, 'S' || c_nationkey AS customer_state
   FROM customer
 ), m_sellers AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, 'S' || s_nationkey AS seller_state FROM supplier
@@ -40,7 +40,7 @@ TABLES = f"""m_orders AS (
 ), chosen AS (
   SELECT order_id, customer_state FROM m_orders JOIN m_customers USING (customer_id)
   WHERE order_status = 'delivered' AND purchased >= TIMESTAMP '{catalog.FANOUT_SINCE}'
-    AND strip_accents(lower(customer_city)) LIKE '%{catalog.CITY}%'
+    AND strip_accents(lower(customer_city)) LIKE '%' || strip_accents(lower('{catalog.CITY}')) || '%'
 ), naive AS (
   SELECT customer_state, COUNT(DISTINCT c.order_id) AS orders, CAST(SUM(price) AS DOUBLE) AS revenue,
     {half_up(ratio("SUM(score)", "COUNT(score)"), 4)} AS avg_score
@@ -82,12 +82,12 @@ def _sellers() -> str:
     )
 
 
-def _days(name: str, values: str) -> str:
+def _days(name: str, values: str, orders: str = "m_orders", reviews: str = "m_reviews") -> str:
     return f"""{name} AS (
       SELECT CAST(purchased AS DATE) AS day, COUNT(*) AS orders, SUM(COALESCE(v, 0)) AS gmv,
         {count_if("order_status = 'canceled'")} AS canceled, SUM(COALESCE(r, 0)) AS reviews
-      FROM m_orders LEFT JOIN ({values}) USING (order_id)
-        LEFT JOIN (SELECT order_id, COUNT(*) AS r FROM m_reviews GROUP BY 1) USING (order_id) GROUP BY 1)"""
+      FROM {orders} LEFT JOIN ({values}) USING (order_id)
+        LEFT JOIN (SELECT order_id, COUNT(*) AS r FROM {reviews} GROUP BY 1) USING (order_id) GROUP BY 1)"""
 
 
 def _reconcile() -> str:
@@ -103,7 +103,11 @@ def _reconcile() -> str:
         FROM (SELECT CAST(COALESCE(a.day, c.day) AS VARCHAR) AS day, {diffs}, {ra} - {rc} AS cancel_rate_diff
         FROM source a FULL JOIN served c ON a.day = c.day)""",
         _days("source", "SELECT order_id, paid AS v FROM m_orders"),
-        _days("served", "SELECT order_id, SUM(price) AS v FROM m_items GROUP BY 1"),
+        """served_orders AS (
+          SELECT * REPLACE (CASE WHEN CAST(order_id AS BIGINT) % 41 = 0 THEN 'canceled' ELSE order_status END AS order_status)
+          FROM m_orders WHERE CAST(order_id AS BIGINT) % 37 <> 0 AND day(purchased) <> 13
+        ), served_reviews AS (SELECT * FROM m_reviews WHERE CAST(order_id AS BIGINT) % 29 <> 0)""",
+        _days("served", "SELECT order_id, SUM(price) AS v FROM m_items GROUP BY 1", "served_orders", "served_reviews"),
     )
 
 
@@ -150,8 +154,26 @@ def statements() -> dict[str, str]:
             FROM naive n JOIN safe s USING (customer_state)"""
         ),
         "city_search": market(
-            f"SELECT * FROM m_customers WHERE strip_accents(lower(customer_city)) LIKE '%{catalog.CITY}%'"
+            f"SELECT * FROM m_customers WHERE strip_accents(lower(customer_city)) LIKE '%' || strip_accents(lower('{catalog.CITY}')) || '%'"
         ),
         "reconcile": _reconcile(),
+        "orders_csv": market(
+            """SELECT order_id, customer_id, order_status, purchased AS order_purchase_timestamp,
+            CASE WHEN k % 20 <> 5 THEN purchased + INTERVAL 60 MINUTE END AS order_approved_at,
+            CASE WHEN k % 20 > 6 OR k % 20 = 2 THEN purchased + INTERVAL 2 DAY END AS order_delivered_carrier_date,
+            arrived AS order_delivered_customer_date, due AS order_estimated_delivery_date
+            FROM (SELECT *, CAST(order_id AS BIGINT) AS k FROM m_orders)"""
+        ),
+        "order_items_csv": """SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
+            CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+            l_shipdate AS shipping_limit_date, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DOUBLE) AS price,
+            CAST(CAST(l_quantity * 1.25 AS DECIMAL(12,2)) AS DOUBLE) AS freight_value FROM lineitem""",
+        "order_reviews_csv": """SELECT o_orderkey || '-' || i AS review_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+            CAST(1 + (o_orderkey * 7 + i * 3) % 5 AS INT) AS review_score,
+            CASE WHEN o_orderkey % 4 = 0 THEN 'nota "' || i || '"' END AS review_comment_title,
+            CASE WHEN o_orderkey % 5 <> 0 THEN 'pedido ' || o_orderkey || chr(10) || ', fim' END AS review_comment_message,
+            o_orderdate + INTERVAL 20 DAY AS review_creation_date,
+            o_orderdate + to_days(CAST(20 + i AS INT)) AS review_answer_timestamp
+            FROM orders, LATERAL (SELECT unnest(range(1, CAST(o_orderkey % 3 AS INT) + 1)) AS i)""",
         "order_source": _source_counts(),
     }

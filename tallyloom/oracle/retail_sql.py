@@ -7,7 +7,7 @@ from itertools import combinations
 from .. import catalog
 from ..functions import fixed_values as fv
 from .sql import (
-    FACTS, LINES, WORK, count_if, describe, half_even, money, pct, quantiles, ratio, share, with_ctes,
+    FACTS, LINES, WORK, count_if, describe, half_even, money, pct, quantiles, ratio, share, strip, with_ctes,
 )
 
 ROW_COLUMNS = (
@@ -63,10 +63,10 @@ def flag_pairs(source: str, flags: dict[str, str], kind: str, unit: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-DESCRIPTIONS = """descriptions AS (
-  SELECT stock_code, trim(description) AS description, COUNT(*) AS n
+DESCRIPTIONS = f"""descriptions AS (
+  SELECT stock_code, {strip("description")} AS description, COUNT(*) AS n
   FROM work WHERE is_gross_sale AND description IS NOT NULL GROUP BY 1, 2
-  QUALIFY row_number() OVER (PARTITION BY stock_code ORDER BY n DESC, trim(description)) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY stock_code ORDER BY n DESC, {strip("description")}) = 1)"""
 
 PAIRS = f"""{DESCRIPTIONS}, baskets AS (
   SELECT DISTINCT invoice, stock_code FROM work WHERE is_gross_sale
@@ -147,18 +147,18 @@ def _string_profile() -> str:
 
 def _violations() -> str:
     rules = [
-        ("facts", "sales_facts quantity must be positive", "quantity > 0"),
-        ("facts", "sales_facts unit_price must be positive", "unit_price > 0"),
-        ("facts", "sales_facts total_amount must be positive", "total_amount > 0"),
-        ("facts", "sales_facts invoice_datetime cannot be null", "invoice_datetime IS NOT NULL"),
-        ("features", "customer_features customer_id cannot be null", "customer_id IS NOT NULL"),
-        ("features", "customer_features recency_days must be nonnegative", "recency_days >= 0"),
-        ("features", "customer_features frequency must be at least 1", "frequency >= 1"),
-        ("features", "customer_features monetary must be nonnegative", "monetary >= 0"),
-        ("log", "returns_log must only contain C invoices", "invoice_no LIKE 'C%'"),
+        ("facts", "sale sells at least one piece", "quantity > 0"),
+        ("facts", "sale has a price above zero", "unit_price > 0"),
+        ("facts", "sale brings in money", "total_amount > 0"),
+        ("facts", "sale is dated", "invoice_datetime IS NOT NULL"),
+        ("features", "feature row names its customer", "customer_id IS NOT NULL"),
+        ("features", "last purchase is not in the future", "recency_days >= 0"),
+        ("features", "customer bought once or more", "frequency >= 1"),
+        ("features", "customer spent no less than nothing", "monetary >= 0"),
+        ("log", "return comes from a cancellation", "invoice_no LIKE 'C%'"),
         (
             "log",
-            "matched_original_invoice must point to original positive sales",
+            "return undoes a sale, not a cancellation",
             "matched_original_invoice IS NULL OR matched_original_invoice NOT LIKE 'C%'",
         ),
     ]
@@ -382,12 +382,12 @@ def statements() -> dict[str, str]:
         "duplicate_rows": with_ctes(LINES)
         + f"SELECT {quote} FROM lines QUALIFY COUNT(*) OVER (PARTITION BY {quote}) > 1",
         "description_conflicts": work(
-            """SELECT stock_code, COUNT(DISTINCT upper(trim(description))) AS distinct_descriptions,
+            f"""SELECT stock_code, COUNT(DISTINCT upper({strip("description")})) AS distinct_descriptions,
             COUNT(*) AS rows FROM work WHERE description IS NOT NULL GROUP BY 1
-            HAVING COUNT(DISTINCT upper(trim(description))) > 1"""
+            HAVING COUNT(DISTINCT upper({strip("description")})) > 1"""
         ),
         "code_descriptions": work(
-            f"""SELECT upper(trim(description)) AS description, COUNT(*) AS rows, {money()} AS amount_sum
+            f"""SELECT upper({strip("description")}) AS description, COUNT(*) AS rows, {money()} AS amount_sum
             FROM work WHERE stock_code = '20007' GROUP BY 1"""
         ),
         "anonymous_by_country": work(
@@ -424,7 +424,7 @@ def statements() -> dict[str, str]:
             "SELECT * FROM rules ORDER BY pair_invoices DESC, lift DESC, left_code, right_code LIMIT 12", PAIRS
         ),
         "item_pairs_balanced": work(
-            """SELECT * FROM rules WHERE all_confidence_pct >= 10 AND imbalance_ratio <= 0.5
+            """SELECT * FROM rules WHERE all_confidence_pct >= 5 AND imbalance_ratio <= 0.5
             ORDER BY lift DESC, pair_invoices DESC, left_code, right_code LIMIT 12""",
             PAIRS,
         ),
@@ -439,6 +439,10 @@ def statements() -> dict[str, str]:
               COUNT(DISTINCT stock_code) FILTER (WHERE is_gross_sale) >= 50 AS large_basket_50plus
               FROM work w LEFT JOIN main m ON w.invoice = m.invoice GROUP BY w.invoice)""",
         ),
+        "retail_csv": with_ctes(LINES) + f"SELECT {quote} FROM lines",
+        "published_sales_facts": facts("SELECT * FROM facts"),
+        "published_customer_features": facts("SELECT * FROM features"),
+        "published_returns_log": facts(f"SELECT {FACT_COLUMNS}, matched_original_invoice FROM log"),
         "sales_facts": facts("SELECT * FROM facts"),
         "customer_features": facts("SELECT * FROM features"),
         "primary_country": facts("SELECT * FROM main_country"),

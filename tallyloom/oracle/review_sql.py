@@ -88,6 +88,8 @@ TEXTS = (
 )"""
 )
 
+CAP = f"<= {round(fv.DEFAULT_COST_CAP_USD * 100_000_000)}"
+
 CALLS = (
     TEXTS
     + f""", items AS (
@@ -113,7 +115,7 @@ CALLS = (
   FROM texts WHERE route = 'large_llm'
 ), gated AS (
   SELECT *, CAST(SUM(cost) OVER (ORDER BY phase, call_key) AS BIGINT) AS running FROM calls
-), plan AS (SELECT *, running <= 300000000 AS accepted FROM gated)"""
+), plan AS (SELECT *, running {CAP} AS accepted FROM gated)"""
 )
 
 
@@ -162,7 +164,7 @@ OUTCOMES = f"""outcomes AS (
 ), retries AS (
   SELECT dedup_key AS call_key, tok + 180 AS input_tokens, 450 AS output_tokens,
     (tok + 180) * 250 + 450 * 1000 AS cost,
-    (SELECT SUM(cost) FROM calls) + SUM((tok + 180) * 250 + 450 * 1000) OVER (ORDER BY dedup_key) <= 300000000
+    (SELECT SUM(cost) FROM calls) + SUM((tok + 180) * 250 + 450 * 1000) OVER (ORDER BY dedup_key) {CAP}
       AS accepted
   FROM outcomes WHERE outcome = 'retry'
 ), asked AS (
@@ -204,6 +206,12 @@ def on_calls(body: str, *more: str) -> str:
     return with_ctes(CALLS, *more).replace("WITH ", "WITH RECURSIVE ", 1) + body
 
 
+def without_cap(statement: str) -> str:
+    """The same statement with a gate that lets every call through."""
+    assert CAP in statement
+    return statement.replace(CAP, "IS NOT NULL")
+
+
 def exploded(source: str, keep: str, where: str = "true") -> str:
     return f"""SELECT {keep}, CAST(issue_no AS INT) AS issue_no, {ISSUE_COLUMNS.format("i.evidence")}
       FROM (SELECT {keep}, unnest(issues) AS i, unnest(range(0, len(issues))) AS issue_no
@@ -231,6 +239,13 @@ def _metadata() -> str:
     per_route = ", ".join(
         f"(SELECT COUNT(*) FROM texts WHERE route = '{r}') AS {r}_texts" for r in ("rule", "small_llm", "large_llm")
     )
+    def errors(status: str) -> str:
+        """Answers with this fault to calls that were made: to small batches and to single texts."""
+        return f"""(SELECT COUNT(*) FROM batches b JOIN plan p ON p.phase = 1 AND p.batch_id = b.batch_id
+          JOIN judged j ON j.dedup_key = b.dedup_key AND j.tier = 'small' WHERE p.accepted AND j.status = '{status}')
+          + (SELECT COUNT(*) FROM asked a JOIN judged j ON j.dedup_key = a.dedup_key AND j.tier = 'large'
+          WHERE a.accepted AND j.status = '{status}')"""
+
     made = """(SELECT cost, input_tokens, output_tokens, accepted FROM plan UNION ALL
       SELECT cost, input_tokens, output_tokens, accepted FROM retries)"""
     return f"""SELECT COUNT(*) AS record_count, {count_if("raw_text = ''")} AS empty_text_count,
@@ -240,8 +255,7 @@ def _metadata() -> str:
       (SELECT CAST(SUM(output_tokens) FILTER (WHERE accepted) AS BIGINT) FROM {made}) AS estimated_output_tokens,
       (SELECT {count_if("accepted")} FROM {made}) AS llm_call_count,
       (SELECT bool_or(NOT accepted) FROM {made}) AS budget_exhausted,
-      (SELECT {count_if("status = 'schema_error'")} FROM judged) AS schema_error_count,
-      (SELECT {count_if("status = 'evidence_error'")} FROM judged) AS evidence_error_count
+      {errors("schema_error")} AS schema_error_count, {errors("evidence_error")} AS evidence_error_count
       FROM records"""
 
 
@@ -261,7 +275,19 @@ def _metrics() -> str:
       FROM judged GROUP BY GROUPING SETS ((), (batch), (method))"""
 
 
+#: Results that no gate cuts short.
+UNCAPPED = (
+    "escalation", "merged_results", "expanded_reviews", "issue_counts", "method_counts", "accuracy_sample", "extraction_metadata",
+)
+
+
 def statements() -> dict[str, str]:
+    every = _statements()
+    capped = {f"{name}_capped": every[name] for name in ("merged_results", "extraction_metadata")}
+    return {name: without_cap(s) if name in UNCAPPED else s for name, s in every.items()} | capped
+
+
+def _statements() -> dict[str, str]:
     full = (JUDGED, OUTCOMES)
     review_columns = (
         "review_id, order_id, review_score, raw_text, normalized_text_hash, method, model, "

@@ -38,6 +38,11 @@ def count_if(cond: str) -> str:
     return f"COUNT(*) FILTER (WHERE {cond})"
 
 
+def strip(x: str) -> str:
+    """Without white space at either end; trim() alone takes off blanks only."""
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -52,11 +57,12 @@ LINES = f"""src AS (
          THEN floor(l_extendedprice / 10) ELSE ceil(l_quantity / 10) END AS BIGINT) AS size,
     floor(l_extendedprice / l_quantity / 4000) * 4::DOUBLE + 0.95::DOUBLE AS list_price,
     COALESCE({quoted(b.SPECIAL_CODES)}[CAST(l_partkey % {b.SPECIAL_MODULUS} AS INT) + 1],
-      (20000 + l_partkey % 25) || CASE WHEN l_partkey % 5 = 0 THEN 'A' ELSE '' END) AS code
+      (20000 + l_partkey) || CASE WHEN l_partkey % 5 = 0 THEN 'A' ELSE '' END) AS code
   FROM lineitem l JOIN orders o ON l_orderkey = o_orderkey JOIN part p ON l_partkey = p_partkey
     JOIN customer c ON o_custkey = c_custkey JOIN nation n ON c_nationkey = n_nationkey
 ), lines AS (
-  SELECT CASE WHEN cancelled THEN 'C' WHEN bad_debt THEN 'A' ELSE '' END || o_orderkey AS "Invoice",
+  SELECT CASE WHEN cancelled THEN 'C' WHEN bad_debt THEN 'A' ELSE '' END
+      || CASE WHEN o_custkey % 10 = 3 THEN {b.WHOLESALE} + o_custkey ELSE o_orderkey END AS "Invoice",
     code AS "StockCode",
     CASE WHEN code = 'C3' OR (zero_price AND l_suppkey % 4 = 0) THEN NULL
       WHEN loss AND l_linenumber % 2 = 1 THEN 'damaged' WHEN loss THEN 'Lost '
@@ -74,22 +80,22 @@ LINES = f"""src AS (
 
 WORK = (
     LINES
-    + """, typed AS (
-  SELECT "Invoice" AS invoice, trim("StockCode") AS stock_code, "Description" AS description,
+    + f""", typed AS (
+  SELECT "Invoice" AS invoice, {strip(chr(34) + "StockCode" + chr(34))} AS stock_code, "Description" AS description,
     "Quantity" AS quantity, "InvoiceDate" AS invoice_datetime, "Price" AS price,
     "Customer ID" AS customer_id_raw,
-    COALESCE(CAST(CAST(TRY_CAST(trim("Customer ID") AS DOUBLE) AS BIGINT) AS VARCHAR),
-      trim("Customer ID")) AS customer_id, "Country" AS country, "Quantity" * "Price" AS line_amount,
+    COALESCE(CAST(CAST(TRY_CAST({strip(chr(34) + "Customer ID" + chr(34))} AS DOUBLE) AS BIGINT) AS VARCHAR),
+      {strip(chr(34) + "Customer ID" + chr(34))}) AS customer_id, "Country" AS country, "Quantity" * "Price" AS line_amount,
     COALESCE(NULLIF(regexp_extract("Invoice", '^([A-Za-z]+)', 1), ''), 'numeric') AS invoice_prefix,
     CASE
-      WHEN upper(trim("StockCode")) IN ('POST', 'DOT', 'C2') THEN 'postage_carriage_dotcom'
-      WHEN upper(trim("StockCode")) = 'D' THEN 'discount'
-      WHEN upper(trim("StockCode")) IN ('M', 'ADJUST', 'ADJUST2') THEN 'manual_adjustment'
-      WHEN upper(trim("StockCode")) IN ('BANK CHARGES', 'AMAZONFEE', 'CRUK', 'B') THEN 'fees_commission_bad_debt'
-      WHEN upper(trim("StockCode")) LIKE 'GIFT%' THEN 'gift_voucher'
-      WHEN upper(trim("StockCode")) IN ('S', 'TEST001', 'TEST002', 'PADS')
-        OR upper(trim("StockCode")) LIKE 'DCGS%' THEN 'sample_test_internal'
-      WHEN regexp_full_match(upper(trim("StockCode")), '[0-9]+[A-Z]*') THEN 'product_like'
+      WHEN upper({strip(chr(34) + "StockCode" + chr(34))}) IN ('POST', 'DOT', 'C2') THEN 'postage_carriage_dotcom'
+      WHEN upper({strip(chr(34) + "StockCode" + chr(34))}) = 'D' THEN 'discount'
+      WHEN upper({strip(chr(34) + "StockCode" + chr(34))}) IN ('M', 'ADJUST', 'ADJUST2') THEN 'manual_adjustment'
+      WHEN upper({strip(chr(34) + "StockCode" + chr(34))}) IN ('BANK CHARGES', 'AMAZONFEE', 'CRUK', 'B') THEN 'fees_commission_bad_debt'
+      WHEN upper({strip(chr(34) + "StockCode" + chr(34))}) LIKE 'GIFT%' THEN 'gift_voucher'
+      WHEN upper({strip(chr(34) + "StockCode" + chr(34))}) IN ('S', 'TEST001', 'TEST002', 'PADS')
+        OR upper({strip(chr(34) + "StockCode" + chr(34))}) LIKE 'DCGS%' THEN 'sample_test_internal'
+      WHEN regexp_full_match(upper({strip(chr(34) + "StockCode" + chr(34))}), '[0-9]+[A-Z]*') THEN 'product_like'
       ELSE 'other_non_product_or_unknown' END AS stock_category
   FROM lines
 ), work AS (
@@ -177,15 +183,15 @@ def describe(source: str, columns: list[str], probs: list[float]) -> str:
         q = {f"p{round(p * 100)}": p for p in probs}
         cells = [
             "('count', n)",
-            f"('mean', {half_even('s / n')})",
-            f"('std', {half_even('sqrt(greatest((q - s * s / n) / NULLIF(n - 1, 0), 0))')})",
+            f"('mean', {half_even('mean')})",
+            f"('std', {half_even('std')})",
             "('min', lo)",
             "('max', hi)",
             *[f"('{round(p * 100)}%', {half_even(f'p{round(p * 100)}')})" for p in probs],
         ]
         parts.append(f"""SELECT '{c}' AS "column", u.metric, u.value FROM (
-          SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(d) AS DOUBLE) AS s,
-            CAST(sum(d * d) AS DOUBLE) AS q, CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi
-          FROM (SELECT {c}, CAST({c} AS DECIMAL(19,4)) AS d FROM {source} WHERE {c} IS NOT NULL)
+          SELECT CAST(count(*) AS DOUBLE) AS n, avg(d) AS mean, stddev_samp(d) AS std,
+            min(d) AS lo, max(d) AS hi
+          FROM (SELECT CAST({c} AS DOUBLE) AS d FROM {source} WHERE {c} IS NOT NULL)
         ) m, ({quantiles(source, c, q)}) z, LATERAL (VALUES {", ".join(cells)}) AS u(metric, value)""")
     return " UNION ALL ".join(parts)

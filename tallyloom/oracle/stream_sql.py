@@ -11,7 +11,7 @@ EVENTS = f"""keyed AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events
 ), good AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, ts, CAST(user_id * 10 + k % 10 AS VARCHAR) AS order_id,
-    CAST(user_id % 25 AS VARCHAR) AS seller_id, CASE event_type {STATUS} END AS status, event_id AS version,
+    CAST(user_id AS VARCHAR) AS seller_id, CASE event_type {STATUS} END AS status, event_id AS version,
     TIMESTAMP '2024-01-03' + to_days(CAST((user_id * 10 + k % 10) % 25 AS INT)) AS due,
     CAST(value AS DECIMAL(12,2)) AS amount, k
   FROM keyed WHERE k <> 99
@@ -30,6 +30,8 @@ def statements() -> dict[str, str]:
         + """SELECT order_id, status, version, ts AS event_time, seller_id, due AS estimated_delivery_date
         FROM good QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY version DESC) = 1""",
         "seller_daily": head + "SELECT * FROM days",
+        "late_events": head
+        + "SELECT CAST(SUM(CASE WHEN k < 10 THEN 2 ELSE 1 END) AS BIGINT) AS events, true AS some_late FROM good",
         "monthly_curve": head
         + """SELECT seller_id, substr(day, 1, 7) AS month, CAST(SUM(sales) AS BIGINT) AS sales,
         CAST(SUM(CAST(amount AS DECIMAL(24,4))) AS DOUBLE) AS amount FROM days

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import etl
 from ..operators.retail import FACT_COLUMNS, retail_work
-from ..session import fresh_folder, stored
+from ..session import stored
 from ..sources.files import write_sales_facts, write_table
 
 FEATURE_COLUMNS = [
@@ -42,10 +44,10 @@ def build_tables(lines: DataFrame) -> EtlTables:
 
 
 def run(lines: DataFrame, path: str) -> DataFrame:
-    """Write the three outputs below ``path`` and return the summary rows.
+    """Write the three outputs into a new version below ``path`` and return the summary rows.
 
-    The rules are checked on the written tables in a staging folder; only tables that pass are
-    written to ``path``.
+    The rules are checked on the written tables; only a version that passes is published, by one
+    last small file. Readers follow that file, so they never see tables of two versions.
     """
     spark = lines.sparkSession
     tables = build_tables(lines)
@@ -54,13 +56,24 @@ def run(lines: DataFrame, path: str) -> DataFrame:
     etl.require_columns(
         tables.returns_log, [*FACT_COLUMNS, "matched_original_invoice"], "returns_log"
     )
-    staging = fresh_folder(spark, "etl")
-    write_table(tables.customer_features, f"{staging}/customer_features")
-    write_table(tables.returns_log, f"{staging}/returns_log")
-    features = spark.read.parquet(f"{staging}/customer_features")
-    log = spark.read.parquet(f"{staging}/returns_log")
-    etl.require_no_violations(etl.output_violations(tables.sales_facts, features, log))
-    write_sales_facts(tables.sales_facts, f"{path}/sales_facts")
-    write_table(features, f"{path}/customer_features")
-    write_table(log, f"{path}/returns_log")
-    return etl.etl_summary(tables.work, tables.sales_facts, features, log)
+    version = f"version-{uuid.uuid4().hex}"
+    write_sales_facts(tables.sales_facts, f"{path}/{version}/sales_facts")
+    write_table(tables.customer_features, f"{path}/{version}/customer_features")
+    write_table(tables.returns_log, f"{path}/{version}/returns_log")
+    facts, features, log = _tables(spark, f"{path}/{version}").values()
+    etl.require_no_violations(etl.output_violations(facts, features, log))
+    mark = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
+    mark.coalesce(1).write.mode("append").json(f"{path}/published")
+    return etl.etl_summary(tables.work, facts, log)
+
+
+def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    names = {"sales_facts": FACT_COLUMNS, "customer_features": FEATURE_COLUMNS, "returns_log": [*FACT_COLUMNS, "matched_original_invoice"]}
+    return {name: spark.read.parquet(f"{folder}/{name}").select(*columns) for name, columns in names.items()}
+
+
+def read_published(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables of the version that was published last."""
+    marks = spark.read.schema("version string, published_at timestamp").json(f"{path}/published")
+    last = marks.orderBy(F.desc("published_at"), F.desc("version")).first()
+    return _tables(spark, f"{path}/{last['version']}")

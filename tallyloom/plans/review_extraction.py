@@ -66,7 +66,15 @@ def with_answers(
     return Extraction(batches, plan, judged, outcomes, retry_plan, results)
 
 
-def metadata(routed: Routed, run: Extraction | None, expanded: DataFrame) -> DataFrame:
+def made_answers(run: Extraction) -> DataFrame:
+    """Judged answers to calls that were made: key and tier of an accepted call."""
+    small = run.outcomes.where("accepted").select("dedup_key", F.lit("small").alias("tier"))
+    calls = run.plan.where(F.col("phase") == 2).unionByName(run.retry_plan).where("accepted")
+    large = calls.select(F.col("call_key").alias("dedup_key"), F.lit("large").alias("tier"))
+    return run.judged.join(small.unionByName(large), ["dedup_key", "tier"], "left_semi")
+
+
+def metadata(routed: Routed, run: Extraction | None, results: DataFrame) -> DataFrame:
     """One row that describes a run; without answers nothing is called and nothing is spent."""
     records = routed.records.agg(
         n_rows().alias("record_count"),
@@ -76,9 +84,10 @@ def metadata(routed: Routed, run: Extraction | None, expanded: DataFrame) -> Dat
         n_rows().alias("dedup_count"),
         *[count_where(F.col("route") == r).alias(f"{r}_texts") for r in (fv.ROUTE_RULE, fv.ROUTE_SMALL, fv.ROUTE_LARGE)],
     )
-    methods = expanded.agg(
+    counts = rs.method_counts(routed.texts, results)
+    methods = counts.agg(
         *[
-            count_where(F.col("method") == m).alias(f"{m}_records")
+            F.coalesce(F.sum(F.when(F.col("method") == m, F.col("records"))), F.lit(0)).alias(f"{m}_records")
             for m in (
                 fv.ROUTE_RULE,
                 fv.ROUTE_SMALL,
@@ -112,7 +121,7 @@ def metadata(routed: Routed, run: Extraction | None, expanded: DataFrame) -> Dat
             count_where(made).alias("llm_call_count"),
             F.coalesce(F.bool_or(~made), F.lit(False)).alias("budget_exhausted"),
         )
-        errors = run.judged.agg(
+        errors = made_answers(run).agg(
             count_where(F.col("status") == rs.SCHEMA_ERROR).alias("schema_error_count"),
             count_where(F.col("status") == rs.EVIDENCE_ERROR).alias("evidence_error_count"),
         )
@@ -123,9 +132,8 @@ def metadata(routed: Routed, run: Extraction | None, expanded: DataFrame) -> Dat
 def run_offline(reviews: DataFrame, path: str) -> None:
     """Rules and fallbacks only; results for every low-score review, as JSON lines."""
     routed = route_reviews(reviews)
-    results = rs.offline_results(routed.texts)
-    expanded = stored(rs.expand_reviews(routed.records, routed.texts, results), "expanded")
-    write_review_results(expanded, metadata(routed, None, expanded), path)
+    results = stored(rs.offline_results(routed.texts), "results")
+    write_review_results(rs.expand_reviews(routed.records, results), metadata(routed, None, results), path)
 
 
 def run_with_answers(
@@ -142,5 +150,5 @@ def run_with_answers(
     if representatives_only:
         records = records.join(texts.select("review_id"), "review_id", "left_semi")
         texts = texts.withColumn("n_reviews", F.lit(1).cast("bigint"))
-    expanded = stored(rs.expand_reviews(records, texts, run.results), "expanded")
-    write_review_results(expanded, metadata(routed, run, expanded), path)
+    written = Routed(routed.records, texts)
+    write_review_results(rs.expand_reviews(records, run.results), metadata(written, run, run.results), path)

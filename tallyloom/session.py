@@ -70,11 +70,3 @@ def staged(spark: SparkSession, label: str, source: str, build: Callable[[], Dat
     path, schema = _STAGED[key]
     return spark.read.schema(schema).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a table that lies in fewer files than there are cores.
-
-    A large table has files enough and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df

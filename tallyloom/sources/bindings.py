@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..session import spread
 
 # Stock codes that are not plain products, by remainder of the part key.
 SPECIAL_CODES = [
     "POST", "DOT", "D", "M", "m", "BANK CHARGES", "gift_0001_10", "DCGS0003", "S", "C3",
-    " 22423 ", "AMAZONFEE", "B", "ADJUST", "PADS",
+    " 22423 ", "AMAZONFEE", "B", "ADJUST", "PADS", "\t20007A", "20012\n",
 ]
 SPECIAL_MODULUS = 211
+WHOLESALE = 9_000_000_000_000
 NAMED_COUNTRIES = ["United Kingdom", "Germany", "France", "EIRE"]
 
 # Review titles, by remainder of a row number; the rest of the remainders have no title.
@@ -52,10 +52,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(table(spark, sf_dir, name))
-
-
 def pick(values: list[str], index: Column) -> Column:
     """values[index], null beyond the end."""
     return F.get(F.array([F.lit(v) for v in values]), index.cast("int"))
@@ -71,7 +67,7 @@ def days(count: Column) -> Column:
 
 def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retail lines, one per line item."""
-    li = fact_table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag",
     )
@@ -101,12 +97,14 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.coalesce(
         pick(SPECIAL_CODES, part_key % SPECIAL_MODULUS),
         F.concat(
-            (20000 + part_key % 25).cast("string"), F.when(part_key % 5 == 0, "A").otherwise("")
+            (20000 + part_key).cast("string"), F.when(part_key % 5 == 0, "A").otherwise("")
         ),
     )
+    # A tenth of the customers are wholesalers with one running invoice, so there are large baskets.
+    basket = F.when(F.col("o_custkey") % 10 == 3, WHOLESALE + F.col("o_custkey")).otherwise(key)
     columns = {
         "Invoice": F.concat(
-            F.when(cancelled, "C").when(bad_debt, "A").otherwise(""), key.cast("string")
+            F.when(cancelled, "C").when(bad_debt, "A").otherwise(""), basket.cast("string")
         ),
         "StockCode": code,
         "Quantity": F.when(negative, -size).otherwise(size).cast("bigint"),
@@ -156,7 +154,7 @@ def marketplace(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (F.col("o_orderdate") + days(8 + key % 13)).alias("order_estimated_delivery_date"),
     )
 
-    li = fact_table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
         "l_shipdate",
     )
@@ -208,20 +206,21 @@ def marketplace(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         )
     )
 
-    cities = ["São Paulo", "sao bernardo", "SÃO JOSÉ", "Rio de Janeiro", "Curitiba"]
+    # One name is written with a combining tilde.
+    cities = ["São Paulo", "sao bernardo", "SÃO JOSÉ", "Rio de Janeiro", "Curitiba", "Sa\u0303o Vicente"]
     ck = F.col("c_custkey")
     customers = table(spark, sf_dir, "customer").select(
         ck.cast("string").alias("customer_id"),
         F.concat(F.lit("u"), ck).alias("customer_unique_id"),
         F.lpad((ck % 100000).cast("string"), 5, "0").alias("customer_zip_code_prefix"),
-        pick(cities, ck % 5).alias("customer_city"),
+        pick(cities, ck % 6).alias("customer_city"),
         F.concat(F.lit("S"), F.col("c_nationkey")).alias("customer_state"),
     )
     sk = F.col("s_suppkey")
     sellers = table(spark, sf_dir, "supplier").select(
         sk.cast("string").alias("seller_id"),
         F.lpad((sk % 100000).cast("string"), 5, "0").alias("seller_zip_code_prefix"),
-        pick(cities, sk % 5).alias("seller_city"),
+        pick(cities, sk % 6).alias("seller_city"),
         F.concat(F.lit("S"), F.col("s_nationkey")).alias("seller_state"),
     )
     payments = o.select(
@@ -235,7 +234,7 @@ def marketplace(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.lpad((ck % 100000).cast("string"), 5, "0").alias("geolocation_zip_code_prefix"),
         (ck % 180 - 90).cast("double").alias("geolocation_lat"),
         (ck % 360 - 180).cast("double").alias("geolocation_lng"),
-        pick(cities, ck % 5).alias("geolocation_city"),
+        pick(cities, ck % 6).alias("geolocation_city"),
         F.concat(F.lit("S"), F.col("c_nationkey")).alias("geolocation_state"),
     )
     return {
@@ -251,8 +250,21 @@ def marketplace(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def served_snapshot(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The same tables as a warehouse might show them: some orders have not arrived, one day a month is
+    missing, some statuses and reviews are not up to date."""
+    orders, key = tables["orders"], F.col("order_id").cast("bigint")
+    return {
+        "orders": orders.where((key % 37 != 0) & (F.dayofmonth("order_purchase_timestamp") != 13)).withColumn(
+            "order_status", F.when(key % 41 == 0, "canceled").otherwise(F.col("order_status"))
+        ),
+        "order_items": tables["order_items"],
+        "order_reviews": tables["order_reviews"].where(key % 29 != 0),
+    }
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_reviews(fact_table(spark, sf_dir, "documents"))
+    return document_reviews(table(spark, sf_dir, "documents"))
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -289,7 +301,7 @@ def order_events(events: DataFrame) -> DataFrame:
     due = F.lit("2024-01-03").cast("timestamp") + days(order % 25)
     fields = {
         "order_id": order.cast("string"),
-        "seller_id": (F.col("user_id") % 25).cast("string"),
+        "seller_id": F.col("user_id").cast("string"),
         "status": status,
         "version": F.col("event_id"),
         "estimated_delivery_date": F.date_format(due, "yyyy-MM-dd HH:mm:ss"),

@@ -9,6 +9,7 @@ from .. import schemas
 from ..functions import fixed_values as fv
 from ..operators.retail import fact_order
 
+WITH_LINE_BREAKS = ("order_reviews",)
 BOM = "﻿"
 
 
@@ -25,20 +26,25 @@ def conform_retail(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_retail(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
+def _read_csv(spark: SparkSession, path: str, line_breaks: bool) -> DataFrame:
+    """Text columns by header. A file is split over tasks unless cells may hold line breaks."""
+    raw = spark.read.option("header", True).option("multiLine", line_breaks).option("escape", '"').csv(path)
+    return raw.withColumnsRenamed({c: c.removeprefix(BOM) for c in raw.columns})
+
+
+def read_retail(
+    spark: SparkSession, path: str, file_format: str = "parquet", line_breaks: bool = False
+) -> DataFrame:
     """Retail lines from parquet or CSV. CSV columns arrive as text and are cast by name."""
     if file_format == "csv":
-        raw = (
-            spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-        )
-        raw = raw.withColumnsRenamed({c: c.removeprefix(BOM) for c in raw.columns})
+        raw = _read_csv(spark, path, line_breaks)
     else:
         raw = spark.read.format(file_format).load(path)
     return conform_retail(raw)
 
 
 def read_marketplace(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    """The marketplace CSV tables, typed. Text cells may hold quotes and line breaks.
+    """The marketplace CSV tables, typed. Text cells may hold quotes; only reviews hold line breaks.
 
     Columns are matched by header name, so the reader sees the header first; nothing is inferred
     from the data.
@@ -46,10 +52,7 @@ def read_marketplace(spark: SparkSession, paths: dict[str, str]) -> dict[str, Da
     tables = {}
     for name, path in paths.items():
         schema = schemas.MARKETPLACE[name]
-        raw = (
-            spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-        )
-        raw = raw.withColumnsRenamed({c: c.removeprefix(BOM) for c in raw.columns})
+        raw = _read_csv(spark, path, line_breaks=name in WITH_LINE_BREAKS)
         missing = [f.name for f in schema if f.name not in raw.columns]
         if missing:
             raise ValueError(f"{name}: missing columns {missing}")
@@ -58,7 +61,9 @@ def read_marketplace(spark: SparkSession, paths: dict[str, str]) -> dict[str, Da
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("escape", '"').csv(path)
+    # Outer blanks are part of a cell.
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(header=True, escape='"', **keep).csv(path)
 
 
 def write_sales_facts(facts: DataFrame, path: str) -> None:

@@ -1,8 +1,13 @@
 """Order event streams: parsed events, dead letters, current status, seller days and late alerts.
 
-Every sink writes the rows of micro-batch N to its own folder ``batch_id=N`` and overwrites it when
-the batch is tried again, so a lost executor or driver leaves no trace in the result. Each job has a
-batch twin over the same rows; the stream's final state equals it.
+Every readable event lands in a log, whenever it arrives, through the engine's own file sink, whose list of
+committed files keeps a repeated micro-batch from showing twice. All further jobs follow that list and
+count an event id once. Other sinks write micro-batch N to its own folder ``batch_id=N`` and overwrite it
+when the batch is tried again, or recompute whole days from the log, so a lost executor or driver leaves
+no trace. Each job has a batch twin over the same rows; the stream's final state equals it.
+
+Jobs run to the end of what is there unless they are given another trigger, such as
+``{"processingTime": "30 seconds"}``; then they return the running query.
 """
 
 from __future__ import annotations
@@ -11,6 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numeric import money_sum, n_rows
 
@@ -22,7 +28,10 @@ LOG = (
     "event_id string, event_time timestamp, order_id string, seller_id string, status string, "
     "version bigint, estimated_delivery_date timestamp, amount decimal(12,2)"
 )
-WATERMARK = "2 days"
+LATENESS = "INTERVAL 2 DAYS"  # an event that much older than the newest one goes to the late events as well
+EXPIRY = "INTERVAL 30 DAYS"  # closed and alerted orders are forgotten so long after their last event
+COMPACT_EVERY = 10  # micro-batches between two compactions of the status table
+UP_TO_NOW = {"availableNow": True}
 CLOSED = ["delivered", "canceled"]
 
 Sink = Callable[[DataFrame, int], None]
@@ -55,12 +64,7 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.where("not readable").select("event_id", "event_time", "payload")
 
 
-def distinct_stream_events(good: DataFrame) -> DataFrame:
-    """Each event once, within the watermark."""
-    return good.withWatermark("event_time", WATERMARK).dropDuplicatesWithinWatermark(["event_id"])
-
-
-def distinct_batch_events(good: DataFrame) -> DataFrame:
+def distinct_events(good: DataFrame) -> DataFrame:
     """Each event once; copies of an event are alike."""
     return good.dropDuplicates(["event_id"])
 
@@ -135,16 +139,27 @@ def _put(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
 
-def run_to_end(stream: DataFrame, checkpoint: str, sink: Sink, mode: str = "append") -> None:
-    """Process all that is there, then stop."""
-    query = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(sink)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this job has written and no longer needs."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _run(writer, checkpoint: str, trigger: dict) -> StreamingQuery:
+    query = writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    if trigger == UP_TO_NOW:
+        query.awaitTermination()
+    return query
+
+
+def run_batches(stream: DataFrame, checkpoint: str, sink: Sink, trigger: dict = UP_TO_NOW) -> StreamingQuery:
+    """Hand every micro-batch to ``sink``."""
+    return _run(stream.writeStream.foreachBatch(sink), checkpoint, trigger)
 
 
 def split_sink(good_path: str, dead_path: str) -> Sink:
@@ -159,39 +174,122 @@ def split_sink(good_path: str, dead_path: str) -> Sink:
     return sink
 
 
-def append_sink(path: str) -> Sink:
-    return lambda batch, batch_id: _put(batch, path, batch_id)
+def split_job(events: DataFrame, folder: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:
+    sink = split_sink(f"{folder}/good", f"{folder}/dead")
+    return run_batches(parsed_events(events), checkpoint, sink, trigger)
+
+
+def log_job(events: DataFrame, path: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:
+    """Append every readable event to the log, by day of event time."""
+    rows = good_events(parsed_events(events)).withColumn("event_date", F.to_date("event_time"))
+    return _run(rows.writeStream.format("parquet").option("path", path).partitionBy("event_date"), checkpoint, trigger)
 
 
 def log_stream(spark: SparkSession, path: str) -> DataFrame:
-    """A table that another job appends to, as a stream of readable events."""
-    return spark.readStream.schema(LOG).parquet(f"{path}/batch_id=*")
+    """The log as a stream of its committed files."""
+    return spark.readStream.schema(f"{LOG}, event_date date").parquet(path)
+
+
+def late_event_sink(path: str) -> Sink:
+    """Note the events that come LATENESS or more after the newest one of earlier batches.
+
+    They are in the log like all others; this table tells which and how many. The clock is one row per batch.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        clock = batch.agg(F.max("event_time").alias("clock"))
+        if batch_id > 0:
+            before = spark.read.parquet(_batch_folder(f"{path}/clock", batch_id - 1))
+            limit = before.select(F.col("clock") - F.expr(LATENESS)).scalar()
+            _put(batch.where(F.col("event_time") < limit), f"{path}/late", batch_id)
+            clock = clock.unionByName(before.select("clock")).agg(F.max("clock").alias("clock"))
+        else:
+            _put(batch.limit(0), f"{path}/late", batch_id)
+        _put(clock, f"{path}/clock", batch_id)
+
+    return sink
+
+
+def late_event_job(log: DataFrame, path: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:
+    return run_batches(log, checkpoint, late_event_sink(path), trigger)
 
 
-def split_job(events: DataFrame, folder: str, checkpoint: str) -> None:
-    run_to_end(parsed_events(events), checkpoint, split_sink(f"{folder}/good", f"{folder}/dead"))
+def _newest(rows: DataFrame) -> DataFrame:
+    """The event that decides an order's state."""
+    whole = F.struct("order_id", "status", "version", "event_time", "event_id", "seller_id", "estimated_delivery_date")
+    best = F.max_by(whole, F.struct("version", "event_time", "event_id")).alias("s")
+    return rows.groupBy("order_id").agg(best).select("s.*")
 
 
-def status_job(events: DataFrame, path: str, checkpoint: str) -> None:
-    """Append each event once to a status log; readers take the highest version per order."""
-    run_to_end(distinct_stream_events(good_events(parsed_events(events))), checkpoint, append_sink(path))
+def _status_rows(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """The newest base before ``upto`` and the changes since, as far as ``upto``."""
+    within = F.lit(True) if upto is None else F.col("batch_id") <= upto
+    changes = spark.read.parquet(f"{path}/changes").where(within)
+    if not _exists(spark, f"{path}/base"):
+        return changes.drop("batch_id")
+    bases = spark.read.parquet(f"{path}/base").where(F.lit(True) if upto is None else F.col("batch_id") < upto)
+    last = bases.agg(F.coalesce(F.max("batch_id"), F.lit(-1)).alias("b")).scalar()
+    return bases.where(F.col("batch_id") == last).unionByName(changes.where(F.col("batch_id") > last)).drop("batch_id")
+
+
+def status_sink(path: str, compact_every: int = COMPACT_EVERY) -> Sink:
+    """One row per order that changed, and from time to time one table of all orders.
+
+    A compaction needs the base before it and the changes since. Those stay until the next one, so the same
+    batch can be tried again; what is older goes.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        _put(_newest(batch), f"{path}/changes", batch_id)
+        if (batch_id + 1) % compact_every:
+            return
+        _put(_newest(_status_rows(spark, path, batch_id)), f"{path}/base", batch_id)
+        for old in range(batch_id - 2 * compact_every + 1, batch_id - compact_every + 1):
+            if old >= 0:
+                _delete(spark, _batch_folder(f"{path}/changes", old))
+        _delete(spark, _batch_folder(f"{path}/base", batch_id - 2 * compact_every))
+
+    return sink
+
+
+def status_job(log: DataFrame, path: str, checkpoint: str, trigger: dict = UP_TO_NOW, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Keep the current status of every order, following the log."""
+    return run_batches(log, checkpoint, status_sink(path, compact_every), trigger)
 
 
 def current_status(spark: SparkSession, path: str) -> DataFrame:
-    return latest_status(spark.read.parquet(path))
+    return latest_status(_status_rows(spark, path))
 
 
-def seller_daily_job(log: DataFrame, path: str, checkpoint: str) -> None:
-    """Append the changed seller days of each micro-batch of the status log; readers take the newest."""
-    run_to_end(
-        seller_daily(log.withWatermark("event_time", WATERMARK)), checkpoint, append_sink(path), "update"
-    )
+def seller_day_sink(log_path: str, path: str) -> Sink:
+    """Recompute the days that a micro-batch touches from the committed log, each event id once.
+
+    A day is replaced as a whole, so a repeated batch and a late event both lead to the right figures.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        days = batch.select("event_date").distinct()
+        log = batch.sparkSession.read.parquet(log_path).join(days, "event_date", "left_semi")
+        (
+            seller_daily(distinct_events(log))
+            .withColumn("event_date", F.to_date("day"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("event_date")
+            .parquet(path)
+        )
+
+    return sink
+
+
+def seller_daily_job(log: DataFrame, log_path: str, path: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:
+    return run_batches(log, checkpoint, seller_day_sink(log_path, path), trigger)
 
 
 def current_seller_days(spark: SparkSession, path: str) -> DataFrame:
-    newest = F.max_by(F.struct("events", "sales", "amount"), "batch_id").alias("s")
-    days = spark.read.parquet(path).groupBy("day", "seller_id").agg(newest)
-    return days.select("day", "seller_id", "s.*")
+    return spark.read.parquet(path).drop("event_date")
 
 
 def late_alert_sink(state_path: str, alert_path: str) -> Sink:
@@ -199,33 +297,41 @@ def late_alert_sink(state_path: str, alert_path: str) -> Sink:
 
     The clock is the latest event time so far; it stays on the rows of the state. State N is made of
     state N-1 and micro-batch N only, so a repeated batch gives the same state and the same alerts.
-    Events thin out to one row per order in each map task before the merge.
+    Events thin out to one row per order in each map task before the merge. Orders that are closed, alerted
+    or without an estimate are forgotten EXPIRY after their last event, and states before N-1 are removed,
+    so the state holds open orders and the recently settled ones only.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = order_progress(batch, F.max("event_time").alias("clock")).withColumn("alerted", F.lit(False))
+        rows = order_progress(
+            batch, F.max("event_time").alias("clock"), F.max("event_time").alias("last_event")
+        ).withColumn("alerted", F.lit(False))
         if batch_id > 0:
             before = spark.read.parquet(_batch_folder(state_path, batch_id - 1))
-            rows = before.drop("was_alerted").unionByName(rows)
+            rows = before.unionByName(rows)
+        now = rows.agg(F.max("clock").alias("c")).scalar()
         merged = rows.groupBy("order_id").agg(
             F.max_by("due", "version").alias("due"),
             F.min("closed_at").alias("closed_at"),
             F.max_by("seller_id", "version").alias("seller_id"),
             F.max("version").alias("version"),
-            F.max("clock").alias("clock"),
+            F.max("last_event").alias("last_event"),
             F.bool_or("alerted").alias("was_alerted"),
         )
-        now = rows.agg(F.max("clock").alias("c")).scalar()
         overdue = F.coalesce(_overdue(now), F.lit(False))
-        _put(merged.withColumn("alerted", F.col("was_alerted") | overdue), state_path, batch_id)
-        state = spark.read.parquet(_batch_folder(state_path, batch_id))
-        new = state.where("alerted and not was_alerted")
-        _put(new.select("order_id", "seller_id", "due"), alert_path, batch_id)
+        merged = merged.withColumn("clock", now).withColumn("alerted", F.col("was_alerted") | overdue).persist()
+        _put(merged.where("alerted and not was_alerted").select("order_id", "seller_id", "due"), alert_path, batch_id)
+        settled = F.col("closed_at").isNotNull() | F.col("alerted") | F.col("due").isNull()
+        expired = settled & (F.col("last_event") < F.col("clock") - F.expr(EXPIRY))
+        _put(merged.where(~expired).drop("was_alerted"), state_path, batch_id)
+        merged.unpersist()
+        if batch_id > 1:
+            _delete(spark, _batch_folder(state_path, batch_id - 2))
 
     return sink
 
 
-def late_alert_job(events: DataFrame, folder: str, checkpoint: str) -> None:
+def late_alert_job(events: DataFrame, folder: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:
     clean = good_events(parsed_events(events))
-    run_to_end(clean, checkpoint, late_alert_sink(f"{folder}/state", f"{folder}/alerts"))
+    return run_batches(clean, checkpoint, late_alert_sink(f"{folder}/state", f"{folder}/alerts"), trigger)

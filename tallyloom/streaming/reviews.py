@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
 from ..operators import budget, reviews as rv
-from .orders import Sink, _put, run_to_end
+from .orders import UP_TO_NOW, Sink, _put, run_batches
 
 
 def work_for_models(texts: DataFrame) -> DataFrame:
@@ -22,9 +23,13 @@ def work_for_models(texts: DataFrame) -> DataFrame:
     )
 
 
-def stream_reviews(reviews: DataFrame, cache: DataFrame | None, model_version: str) -> DataFrame:
+def speaking_reviews(reviews: DataFrame) -> DataFrame:
+    return rv.review_records(reviews).where(F.col("raw_text") != "")
+
+
+def stream_reviews(records: DataFrame, cache: DataFrame | None, model_version: str) -> DataFrame:
     """Routed texts of the reviews that have a text and a low score and are not cached."""
-    fresh = rv.review_records(reviews).where(F.col("raw_text") != "")
+    fresh = records
     if cache is not None:
         fresh = rv.cache_misses(fresh, cache, model_version)
     return work_for_models(rv.route_texts(rv.dedup_texts(fresh)))
@@ -40,17 +45,21 @@ def review_sink(out_path: str, cache_path: str, model_version: str) -> Sink:
         cache = None
         if batch_id > 0:
             cache = batch.sparkSession.read.parquet(cache_path).where(F.col("batch_id") < batch_id)
-        _put(stream_reviews(batch, cache, model_version), out_path, batch_id)
-        seen = rv.review_records(batch).where(F.col("raw_text") != "")
+        # Texts are normalised once for both tables.
+        seen = speaking_reviews(batch).persist()
+        _put(stream_reviews(seen, cache, model_version), out_path, batch_id)
         _put(
             seen.select("review_id", "text_hash", F.lit(model_version).alias("model_version")).distinct(),
             cache_path,
             batch_id,
         )
+        seen.unpersist()
 
     return sink
 
 
-def review_job(reviews: DataFrame, folder: str, checkpoint: str, model_version: str) -> None:
+def review_job(
+    reviews: DataFrame, folder: str, checkpoint: str, model_version: str, trigger: dict = UP_TO_NOW
+) -> StreamingQuery:
     sink = review_sink(f"{folder}/texts", f"{folder}/cache", model_version)
-    run_to_end(reviews, checkpoint, sink)
+    return run_batches(reviews, checkpoint, sink, trigger)

@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as tx
-from tallyloom.functions.joins import lookup_join
 from tallyloom.functions.ordered import running_total
-from tallyloom.functions.quantiles import exact_quantiles
+from tallyloom.functions.quantiles import _fine_buckets, exact_quantiles, magnitude_bucket
+from tallyloom.operators.profile import numeric_profile
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -73,8 +73,27 @@ def test_running_total_over_blocks(spark):
         assert got[k] == total
 
 
-def test_lookup_join_with_a_heavy_key(spark):
-    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
-    right = left.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("v", F.concat(F.lit("v"), "k"))
-    out = lookup_join(left, right, ["k"], "n")
-    assert out.count() == 3000 and out.where("v != concat('v', k)").count() == 0
+def test_quantiles_of_many_values_in_a_narrow_range(spark):
+    n = 200_000
+    rng = np.random.default_rng(4)
+    values = 100 + rng.random(n)
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    got = {r.p: r.quantile for r in exact_quantiles(df, "v", [0.01, 0.5, 0.99]).collect()}
+    for p, q in got.items():
+        assert q == pytest.approx(np.quantile(values, p), rel=1e-14)
+    negative = {r.p: r.quantile for r in exact_quantiles(df.selectExpr("-v AS v"), "v", [0.01, 0.5]).collect()}
+    for p, q in negative.items():
+        assert q == pytest.approx(np.quantile(-values, p), rel=1e-14)
+    # What is put in order in the end shares all three steps.
+    b = magnitude_bucket(F.col("v"))
+    fine = df.select(b.alias("b"), *[c.alias(n) for c, n in zip(_fine_buckets(F.col("v"), b), "cd", strict=True)])
+    assert max(r["count"] for r in fine.groupBy("b", "c", "d").count().collect()) <= 4
+
+
+def test_profile_of_large_and_shifted_numbers(spark):
+    big = spark.createDataFrame([(1e15,), (3e15,)], "v double")
+    got = {r.metric: r.value for r in numeric_profile(big, ["v"]).collect()}
+    assert got["mean"] == 2e15 and got["max"] == 3e15
+    shifted = spark.createDataFrame([(1e9 + i / 1000,) for i in range(1000)], "v double")
+    got = {r.metric: r.value for r in numeric_profile(shifted, ["v"]).collect()}
+    assert got["std"] == 0.29

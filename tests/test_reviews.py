@@ -159,7 +159,7 @@ def test_whole_run(spark, tmp_path):
         "dedup_key string, tier string, raw_json string",
     )
     run = plan.with_answers(routed_reviews.texts, answers)
-    out = {r.review_id: r for r in rs.expand_reviews(routed_reviews.records, routed_reviews.texts, run.results).collect()}
+    out = {r.review_id: r for r in rs.expand_reviews(routed_reviews.records, run.results).collect()}
     assert {k: (r.method, r.needs_manual_review) for k, r in out.items()} == {
         "r1": ("small_llm", False),
         "r2": ("small_llm", False),
@@ -169,7 +169,17 @@ def test_whole_run(spark, tmp_path):
         "r7": ("rule", True),
     }
     assert out["r2"].issues[0].evidence == "a cor muito feia" and out["r7"].issues[0].evidence == ""
+    counted = {(r.category, r.subcategory): r.issues for r in rs.issue_counts(routed_reviews.texts, run.results).collect()}
+    listed = {}
+    for r in out.values():
+        for i in r.issues:
+            listed[(i.category, i.subcategory)] = listed.get((i.category, i.subcategory), 0) + 1
+    assert counted == listed
+    assert {r.method: r.records for r in rs.method_counts(routed_reviews.texts, run.results).collect()}["small_llm"] == 2
     none = plan.with_answers(routed_reviews.texts, answers, cap_usd=0.0)
+    # Answers to calls that the gate refused count neither as calls nor as errors.
+    refused = plan.metadata(routed_reviews, none, none.results).first()
+    assert (refused.llm_call_count, refused.schema_error_count, refused.evidence_error_count) == (0, 0, 0)
     methods = {r.method for r in none.results.collect()}
     assert methods == {"rule", "offline_small_llm_fallback", "offline_large_llm_fallback"}
     plan.run_offline(reviews, str(tmp_path / "off"))

@@ -36,14 +36,33 @@ def feed(spark):
 def test_latest_status_is_independent_of_arrival(spark, feed):
     first = [event(1, "a", "created", 1, 0), event(2, "a", "shipped", 3, 2), event(9, "b", "created", 1, 1)]
     second = [event(3, "a", "paid", 2, 1), event(2, "a", "shipped", 3, 2), ("bad", T0, "{oops"), event(4, "b", "canceled", 2, 3)]
-    stream, batch, folder = feed(first, second)
-    so.status_job(stream, f"{folder}-log", f"{folder}-cp")
-    log = spark.read.parquet(f"{folder}-log")
-    assert log.count() == 5
-    got = {(r.order_id, r.status, r.version) for r in so.current_status(spark, f"{folder}-log").collect()}
-    assert got == {("a", "shipped", 3), ("b", "canceled", 2)}
-    twin = so.latest_status(so.distinct_batch_events(so.good_events(so.parsed_events(batch))))
-    assert {(r.order_id, r.status, r.version) for r in twin.collect()} == got
+    # Nine days behind the newest event, the last word on order c.
+    third, fourth = [event(5, "c", "shipped", 1, 240)], [event(6, "c", "delivered", 2, 24)]
+    stream, batch, folder = feed(first, second, third, fourth)
+    so.log_job(stream, f"{folder}-log", f"{folder}-cp")
+    assert spark.read.parquet(f"{folder}-log").count() == 8
+    want = {("a", "shipped", 3), ("b", "canceled", 2), ("c", "delivered", 2)}
+    for every in (1, 2, 3, 10):
+        log = so.log_stream(spark, f"{folder}-log")
+        so.status_job(log, f"{folder}-status{every}", f"{folder}-cp{every}", compact_every=every)
+        got = {(r.order_id, r.status, r.version) for r in so.current_status(spark, f"{folder}-status{every}").collect()}
+        assert got == want
+    twin = so.latest_status(so.distinct_events(so.good_events(so.parsed_events(batch))))
+    assert {(r.order_id, r.status, r.version) for r in twin.collect()} == want
+
+
+def test_status_table_is_compacted_and_repeatable(spark, feed):
+    batches = [[event(n, f"o{n % 3}", "shipped", n, n)] for n in range(1, 9)]
+    _, batch, folder = feed(*batches)
+    good = so.good_events(so.parsed_events(batch))
+    sink = so.status_sink(f"{folder}-status", compact_every=2)
+    for n in range(8):
+        for _ in range(2):
+            sink(good.where(F.col("version") == n + 1), n)
+        got = {r.order_id: r.version for r in so.current_status(spark, f"{folder}-status").collect()}
+        assert got == {f"o{v % 3}": max(w for w in range(1, n + 2) if w % 3 == v % 3) for v in range(1, n + 2)}
+    assert {r.batch_id for r in spark.read.parquet(f"{folder}-status/base").select("batch_id").distinct().collect()} == {5, 7}
+    assert {r.batch_id for r in spark.read.parquet(f"{folder}-status/changes").select("batch_id").distinct().collect()} == {6, 7}
 
 
 def test_seller_days_and_late_events(spark, feed):
@@ -51,13 +70,52 @@ def test_seller_days_and_late_events(spark, feed):
     second = [event(1, "a", "delivered", 1, 0), event(3, "c", "delivered", 1, 2), event(4, "d", "paid", 1, 240)]
     third, fourth = [event(6, "f", "delivered", 1, 239)], [event(5, "e", "delivered", 1, 3)]
     stream, _, folder = feed(first, second, third, fourth)
-    so.status_job(stream, f"{folder}-log", f"{folder}-cp")
-    so.seller_daily_job(so.log_stream(spark, f"{folder}-log"), f"{folder}-days", f"{folder}-cp2")
+    log = f"{folder}-log"
+    so.log_job(stream, log, f"{folder}-cp")
+    so.seller_daily_job(so.log_stream(spark, log), log, f"{folder}-days", f"{folder}-cp2")
     got = {str(r.day.date()): (r.events, r.sales, float(r.amount)) for r in so.current_seller_days(spark, f"{folder}-days").collect()}
-    # The event of hour 3 came after the watermark had passed it.
-    assert got == {"2024-01-10": (3, 3, 30.0), "2024-01-20": (1, 0, 0.0), "2024-01-19": (1, 1, 10.0)}
+    assert got == {"2024-01-10": (4, 4, 40.0), "2024-01-20": (1, 0, 0.0), "2024-01-19": (1, 1, 10.0)}
     curve = so.monthly_curve(so.current_seller_days(spark, f"{folder}-days")).first()
-    assert (curve.month, curve.sales, curve.amount) == ("2024-01", 4, 40.0)
+    assert (curve.month, curve.sales, curve.amount) == ("2024-01", 5, 50.0)
+
+
+def test_late_events_are_noted(spark, feed):
+    batches = [[event(1, "a", "paid", 1, 240)], [event(2, "b", "paid", 1, 3), event(3, "b", "shipped", 2, 200)], [event(4, "c", "paid", 1, 1)]]
+    _, batch, folder = feed(*batches)
+    good = so.good_events(so.parsed_events(batch))
+    sink = so.late_event_sink(f"{folder}-late")
+    for n, ids in enumerate((["e1"], ["e2", "e3"], ["e4"])):
+        for _ in range(2):
+            sink(good.where(F.col("event_id").isin(ids)), n)
+    assert sorted((r.event_id, r.batch_id) for r in spark.read.parquet(f"{folder}-late/late").collect()) == [("e2", 1), ("e4", 2)]
+
+
+def test_a_repeated_batch_counts_sales_once(spark, feed):
+    rows = [event(1, "a", "delivered", 1, 0), event(2, "b", "delivered", 1, 1)]
+    stream, _, folder = feed(rows)
+    log = f"{folder}-log"
+    so.log_job(stream, log, f"{folder}-cp")
+
+    def run():
+        so.seller_daily_job(so.log_stream(spark, log), log, f"{folder}-days", f"{folder}-cp2")
+        return [(r.sales, float(r.amount)) for r in so.current_seller_days(spark, f"{folder}-days").collect()]
+
+    assert run() == [(2, 20.0)]
+    # What a second attempt of the batch may leave behind: other files that were never committed to the log.
+    committed = spark.read.parquet(log)
+    spark.createDataFrame(committed.collect(), committed.schema).write.mode("append").partitionBy("event_date").parquet(f"{folder}-again")
+    spark.read.parquet(f"{folder}-again").drop("event_date").write.mode("append").parquet(f"{log}/event_date=2024-01-10")
+    assert run() == [(2, 20.0)]
+    assert spark.read.parquet(log).count() == 2
+
+
+def test_jobs_take_a_trigger(spark, feed):
+    stream, _, folder = feed([event(1, "a", "delivered", 1, 0)])
+    query = so.log_job(stream, f"{folder}-log", f"{folder}-cp", {"processingTime": "1 second"})
+    assert query.isActive
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.parquet(f"{folder}-log").count() == 1
 
 
 def test_one_alert_per_order(spark, feed):
@@ -73,6 +131,22 @@ def test_one_alert_per_order(spark, feed):
     assert [r.order_id for r in so.late_alerts(good.where("status != 'delivered' or order_id = 'fine'")).collect()] == ["late"]
 
 
+def test_settled_orders_are_forgotten(spark, feed):
+    batches = [
+        [event(1, "x", "shipped", 1, 0, due_hours=5), event(2, "y", "shipped", 1, 1, due_hours=5)],
+        [event(3, "x", "delivered", 2, 10, due_hours=5), event(4, "z", "delivered", 1, 12, due_hours=900)],
+        [event(5, "w", "delivered", 1, 24 * 40)],
+        [event(6, "w", "delivered", 1, 24 * 80)],
+    ]
+    stream, _, folder = feed(*batches)
+    so.late_alert_job(stream, f"{folder}-late", f"{folder}-cp")
+    states = spark.read.parquet(f"{folder}-late/state")
+    assert {r.batch_id for r in states.select("batch_id").distinct().collect()} == {2, 3}
+    assert {r.order_id for r in states.where("batch_id = 3").collect()} == {"w"}
+    alerts = spark.read.parquet(f"{folder}-late/alerts").collect()
+    assert sorted(r.order_id for r in alerts) == ["y"]
+
+
 def test_dead_letters(spark, feed):
     rows = [event(1, "a", "created", 1, 0), ("x", T0, "{oops"), ("y", T0, '{"order_id": "a"}'), ("z", T0, None)]
     stream, _, folder = feed(rows)
