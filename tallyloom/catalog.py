@@ -33,6 +33,7 @@ SELLER_YEAR = 1997
 FANOUT_SINCE = datetime(1997, 1, 1)
 CITY = "São"
 ARRIVALS = 4
+FILES_PER_BATCH = 32
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -523,7 +524,7 @@ def event_log(spark: SparkSession, sf_dir: str, folder: str) -> str:
 def seller_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "seller-days")
     log = event_log(spark, sf_dir, folder)
-    stream = so.log_stream(spark, log)
+    stream = so.log_stream(spark, log, FILES_PER_BATCH)
     so.seller_daily_job(stream, log, f"{folder}/days", f"{folder}/days-checkpoint")
     return so.current_seller_days(spark, f"{folder}/days")
 
@@ -532,19 +533,22 @@ def seller_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Final state of the status stream, which follows the log over several micro-batches."""
     folder = fresh_folder(spark, "status")
-    log = so.log_stream(spark, event_log(spark, sf_dir, folder)).drop("event_date")
+    log = so.log_stream(spark, event_log(spark, sf_dir, folder), FILES_PER_BATCH).drop("event_date")
     so.status_job(log, f"{folder}/status", f"{folder}/status-checkpoint", compact_every=2)
     return local_times(so.current_status(spark, f"{folder}/status"), "event_time", "estimated_delivery_date")
 
 
 @query("late_events")
 def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of the log, and how many of them the side table holds as late."""
+    """Events of the log, and whether the side table of late ones holds any."""
     folder = fresh_folder(spark, "late-events")
-    log = event_log(spark, sf_dir, folder)
-    so.late_event_job(so.log_stream(spark, log), f"{folder}/late", f"{folder}/late-checkpoint")
+    events = dealt_events(spark, sf_dir, folder)
+    so.log_job(events, f"{folder}/log", f"{folder}/log-checkpoint")
+    good = so.good_events(so.parsed_events(events))
+    so.late_event_job(good, f"{folder}/late", f"{folder}/late-checkpoint")
     late = spark.read.parquet(f"{folder}/late/late").agg(F.count(F.lit(1)).alias("n")).scalar()
-    return spark.read.parquet(log).agg(F.count(F.lit(1)).alias("events")).select("events", (late > 0).alias("some_late"))
+    landed = spark.read.parquet(f"{folder}/log").agg(F.count(F.lit(1)).alias("events"))
+    return landed.select("events", (late > 0).alias("some_late"))
 
 
 @query("seller_daily")

@@ -185,9 +185,12 @@ def log_job(events: DataFrame, path: str, checkpoint: str, trigger: dict = UP_TO
     return _run(rows.writeStream.format("parquet").option("path", path).partitionBy("event_date"), checkpoint, trigger)
 
 
-def log_stream(spark: SparkSession, path: str) -> DataFrame:
-    """The log as a stream of its committed files."""
-    return spark.readStream.schema(f"{LOG}, event_date date").parquet(path)
+def log_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """The log as a stream of its committed files, at most so many in a micro-batch."""
+    reader = spark.readStream.schema(f"{LOG}, event_date date")
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def late_event_sink(path: str) -> Sink:
