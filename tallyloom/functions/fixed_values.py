@@ -104,3 +104,37 @@ PRICE_PER_MILLION = {
     "large": {"input": 2.50, "output": 10.00},
 }
 DEFAULT_COST_CAP_USD = 3.0
+
+# Views of the lines without a customer, as reported.
+MISSING_CUSTOMER_BUCKETS = [
+    "normal positive line: Quantity > 0 and Price > 0",
+    "damage / inventory loss: Price = 0 and Quantity < 0",
+    "zero-price positive quantity",
+    "cancellation / return: C invoice",
+    "bad debt: A invoice",
+]
+
+# Outcomes of a return, as reported.
+RETURN_MATCHED = "matched_exact_prior_sale"
+RETURN_UNMATCHED = "unmatched_no_exact_prior_sale"
+RETURN_NOT_NEGATIVE = "not_eligible_non_negative_c_invoice"
+RETURN_NO_CUSTOMER = "not_eligible_missing_customer_id"
+RETURN_NO_PRODUCT = "not_eligible_non_product_stock_code"
+RETURN_NO_PRICE = "not_eligible_non_positive_price"
+RETURN_OTHER = "not_eligible_other"
+
+# Names of line flags, as reported.
+LINE_FLAGS = [
+    "CustomerID_missing",
+    "Description_missing",
+    "Damage_inventory_loss",
+    "Cancellation_C_invoice",
+    "Bad_debt_A_invoice",
+    "Non_product_stockcode",
+    "Zero_price",
+    "Negative_quantity",
+    "Positive_product_sale",
+]
+# Names of invoice flags, and countries with a flag of their own.
+INVOICE_FLAGS = ["all_missing", "any_dot", "any_damage", "any_non_product", "any_bad_debt", "large_basket_50plus"]
+FLAGGED_COUNTRIES = {"UK": "United Kingdom", "Germany": "Germany", "France": "France", "EIRE": "EIRE"}

@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as fv
 from ..functions.numeric import count_where, n_rows, pct, ratio
 from .profile import item_description
 
@@ -142,18 +143,18 @@ def _pair_rules(df: DataFrame, flags: dict[str, Column], kind: str, unit: str) -
 
 
 def flag_rules(work: DataFrame) -> DataFrame:
-    flags = {
-        "CustomerID_missing": F.col("is_customer_missing"),
-        "Description_missing": F.col("is_description_missing"),
-        "Damage_inventory_loss": F.col("is_damage"),
-        "Cancellation_C_invoice": F.col("is_cancellation"),
-        "Bad_debt_A_invoice": F.col("is_bad_debt"),
-        "Non_product_stockcode": ~F.col("is_product_like"),
-        "Zero_price": F.col("price") == 0,
-        "Negative_quantity": F.col("quantity") < 0,
-        "Positive_product_sale": F.col("is_gross_sale"),
-    }
-    return _pair_rules(work, flags, "flag", "rows")
+    tests = [
+        F.col("is_customer_missing"),
+        F.col("is_description_missing"),
+        F.col("is_damage"),
+        F.col("is_cancellation"),
+        F.col("is_bad_debt"),
+        ~F.col("is_product_like"),
+        F.col("price") == 0,
+        F.col("quantity") < 0,
+        F.col("is_gross_sale"),
+    ]
+    return _pair_rules(work, dict(zip(fv.LINE_FLAGS, tests, strict=True)), "flag", "rows")
 
 
 def invoice_patterns(work: DataFrame, large: int = 50) -> DataFrame:
@@ -176,8 +177,7 @@ def invoice_patterns(work: DataFrame, large: int = 50) -> DataFrame:
 
 
 def invoice_pattern_rules(work: DataFrame) -> DataFrame:
-    names = ["all_missing", "any_dot", "any_damage", "any_non_product", "any_bad_debt", "large_basket_50plus"]
-    flags = {name: F.col(name) for name in names}
-    for label, country in {"UK": "United Kingdom", "Germany": "Germany", "France": "France", "EIRE": "EIRE"}.items():
+    flags = {name: F.col(name) for name in fv.INVOICE_FLAGS}
+    for label, country in fv.FLAGGED_COUNTRIES.items():
         flags[label] = F.col("country") == country
     return _pair_rules(invoice_patterns(work), flags, "pattern", "invoices")

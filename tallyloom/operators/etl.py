@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as fv
 from ..functions.numeric import count_where, money_sum, pct, whole_days_between
 from ..functions.stock import is_product
 from .retail import FACT_COLUMNS, fact_columns
@@ -147,13 +148,13 @@ def return_status(log: DataFrame) -> DataFrame:
     matched = F.col("matched_original_invoice").isNotNull()
     product = is_product(F.col("stock_code"))
     status = (
-        F.when(matched, "matched_exact_prior_sale")
-        .when(eligible_return(), "unmatched_no_exact_prior_sale")
-        .when(F.col("quantity") >= 0, "not_eligible_non_negative_c_invoice")
-        .when(F.col("customer_id").isNull(), "not_eligible_missing_customer_id")
-        .when(~product, "not_eligible_non_product_stock_code")
-        .when(F.col("unit_price") <= 0, "not_eligible_non_positive_price")
-        .otherwise("not_eligible_other")
+        F.when(matched, fv.RETURN_MATCHED)
+        .when(eligible_return(), fv.RETURN_UNMATCHED)
+        .when(F.col("quantity") >= 0, fv.RETURN_NOT_NEGATIVE)
+        .when(F.col("customer_id").isNull(), fv.RETURN_NO_CUSTOMER)
+        .when(~product, fv.RETURN_NO_PRODUCT)
+        .when(F.col("unit_price") <= 0, fv.RETURN_NO_PRICE)
+        .otherwise(fv.RETURN_OTHER)
     )
     return log.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("rows"))
 

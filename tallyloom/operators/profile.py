@@ -314,13 +314,9 @@ def customer_missing_summary(work: DataFrame) -> DataFrame:
 
 def customer_missing_buckets(work: DataFrame) -> DataFrame:
     """Five independent views of the lines without a customer; a line may be in several or none."""
-    masks = {
-        "normal positive line: Quantity > 0 and Price > 0": is_positive(),
-        "damage / inventory loss: Price = 0 and Quantity < 0": F.col("is_damage"),
-        "zero-price positive quantity": (F.col("price") == 0) & (F.col("quantity") > 0),
-        "cancellation / return: C invoice": F.col("is_cancellation"),
-        "bad debt: A invoice": F.col("is_bad_debt"),
-    }
+    free = (F.col("price") == 0) & (F.col("quantity") > 0)
+    views = [is_positive(), F.col("is_damage"), free, F.col("is_cancellation"), F.col("is_bad_debt")]
+    masks = dict(zip(fv.MISSING_CUSTOMER_BUCKETS, views, strict=True))
     cells = [
         F.struct(
             F.lit(label).alias("bucket"),

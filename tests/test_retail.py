@@ -29,6 +29,10 @@ def work(spark, *data):
     [
         ("85123A", "product_like"),
         (" 22423 ", "product_like"),
+        ("\t22423", "product_like"),
+        ("22423\n", "product_like"),
+        ("22423\nX", "other_non_product_or_unknown"),
+        ("\u00a0POST", "postage_carriage_dotcom"),
         ("POST", "postage_carriage_dotcom"),
         ("m", "manual_adjustment"),
         ("D", "discount"),
@@ -66,6 +70,11 @@ def test_flags(spark, rows):
     assert not got["c7"]["is_gross_sale"]
 
 
+def test_white_space_around_codes_is_no_part_of_them(spark):
+    w = work(spark, line(code="\t22423"), line(code="22423\n"), line(code="22423"))
+    assert {(r.stock_code, r.is_gross_sale) for r in w.collect()} == {("22423", True)}
+
+
 def test_customer_id(spark):
     df = spark.createDataFrame([("13085.0",), (" 77 ",), ("guest-1",), ("1.5",), (None,)], "c string")
     got = [r[0] for r in df.select(retail.normalize_customer_id(F.col("c"))).collect()]
