@@ -93,7 +93,7 @@ on_work("damage_descriptions", profile.damage_descriptions)
 on_work("top_anonymous_items", profile.top_anonymous_items)
 on_work("top_positive_anonymous_items", profile.top_positive_anonymous_items)
 on_work("description_conflicts", profile.description_conflicts)
-on_work("code_descriptions", lambda w: profile.code_descriptions(w, "20007"))
+on_work("code_descriptions", lambda w: profile.code_descriptions(w, "20022"))
 on_work("anonymous_by_country", profile.anonymous_by_country)
 on_work("anonymous_invoice_patterns", profile.anonymous_invoice_patterns)
 on_work("mixed_invoices", profile.mixed_invoices)

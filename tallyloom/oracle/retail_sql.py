@@ -388,7 +388,7 @@ def statements() -> dict[str, str]:
         ),
         "code_descriptions": work(
             f"""SELECT upper({strip("description")}) AS description, COUNT(*) AS rows, {money()} AS amount_sum
-            FROM work WHERE stock_code = '20007' GROUP BY 1"""
+            FROM work WHERE stock_code = '20022' GROUP BY 1"""
         ),
         "anonymous_by_country": work(
             f"""SELECT country, COUNT(*) AS rows, {money()} AS amount_sum, COUNT(DISTINCT invoice) AS invoices,
