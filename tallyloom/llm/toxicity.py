@@ -8,7 +8,7 @@ gives each token's marginal of being toxic. A document's evidence is the log odd
 toxic (noisy-or over the marginals, as a sum); a logistic fit on training documents turns it into the score.
 
 Fitting uses at most SAMPLE_DOCS labelled rows, at most a third of them toxic, chosen by a hash
-of the id; from each the whole text. Scoring covers every text whole.
+of the id among texts of at most LONGEST_FIT characters. Scoring covers every text whole.
 
 Defined cases: a null or empty text has no evidence and gets the score of none; a label row without
 document, or with a null label, is not used; without labels of both kinds every score is 0; a null doc_id
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import re
 import sys
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,12 +34,13 @@ from .boosting import sigmoid
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE_DOCS = 3000
+LONGEST_FIT = 100_000  # characters of a text that is fitted on; longer ones are only scored
 TOXIC_PART = 3  # at most a third of the sample is toxic
 MIN_PLACES, SHARE, SURE = 5, 20.0, 3.0
 DIMS = 1 << 18
 EPOCHS, RATE, L2 = 60, 0.3, 1e-7
 FIT_TOKENS = 250  # tokens of a training chain; a longer text becomes several chains
-KEPT_WORDS = 400_000
+KEPT_WORDS = 250_000
 BLOCK = 64  # places of a chain that are multiplied together
 SLICE_CHARS = 1 << 21  # texts whose chains are computed together
 FOLDS = 5
@@ -316,7 +316,8 @@ def held_out(id_col: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """Fit on the labelled documents that are not held out: a sample of at most SAMPLE_DOCS rows."""
     truth = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ids = docs.where(~held_out(id_col)).select(F.col(id_col).cast("long").alias("doc_id")).distinct().join(truth, "doc_id")
+    fitting = ~held_out(id_col) & (F.length(F.coalesce(F.col(text_col), F.lit(""))) <= LONGEST_FIT)
+    ids = docs.where(fitting).select(F.col(id_col).cast("long").alias("doc_id")).distinct().join(truth, "doc_id")
     mixed = F.xxhash64("doc_id")
     most = (SAMPLE_DOCS - SAMPLE_DOCS // TOXIC_PART, SAMPLE_DOCS // TOXIC_PART)
     # Two bounded top lists; a class that has fewer rows leaves the rest unused.
@@ -349,35 +350,54 @@ def telling_marks(docs: list[tuple[list[str], int]]) -> set[str]:
     mark is telling if it is SHARE times as frequent in toxic documents, at MIN_PLACES places at least, and so
     by far that chance would not bring it about for any of all the marks.
     """
-    places: tuple[dict, dict] = ({}, {})
-    for words, y in docs:
-        for before, word in zip(["", *words], words):  # noqa: B905 - the last word follows, none comes after it
-            if word:
-                places[y].setdefault(word, set()).add(before)
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    number: dict[str, int] = {"": 0}
+    pairs_of: list[np.ndarray] = []
+    totals = []
     for y in (0, 1):
-        by_mark: dict[str, set] = {}
-        for word, before in places[y].items():
-            for mark in marks_of(word):
-                by_mark.setdefault(mark, set()).update(before)
-        counts[y].update({m: len(b) for m, b in by_mark.items()})
-    totals = [sum(len(b) for b in places[y].values()) + 1 for y in (0, 1)]
+        # Different (word, word before) pairs, as numbers, then the marks of each.
+        pairs = np.unique(
+            np.concatenate(
+                [np.empty(0, np.int64)]
+                + [
+                    (own := np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))) << 32
+                    | np.concatenate([[0], own[:-1]])
+                    for words, label in docs
+                    if label == y and words
+                ]
+            )
+        )
+        pairs = pairs[pairs >> 32 > 0]  # not of the empty word
+        totals.append(len(pairs) + 1)
+        pairs_of.append(pairs)
+    words = list(number)
+    mark_number: dict[str, int] = {}
+    marks = [[mark_number.setdefault(m, len(mark_number)) for m in marks_of(w)] if w else [] for w in words]
+    first = np.cumsum([0, *map(len, marks)])
+    flat = np.array([m for ms in marks for m in ms], np.int64)
+    counts = []
+    for pairs in pairs_of:
+        seen = np.zeros(len(mark_number), np.int64)
+        own, before = pairs >> 32, pairs & 0xFFFFFFFF
+        many = np.diff(first)[own]
+        for k in range(int(many.max(initial=0))):  # the form, then beginnings of rising length
+            has = many > k
+            mark = flat[first[own[has]] + k]
+            found = np.unique(mark << 32 | before[has])
+            seen += np.bincount(found >> 32, minlength=len(mark_number))
+        counts.append(seen)
     expected = totals[1] / sum(totals)
-    chance = np.log(len(counts[1]) + 1) + SURE
-    out = set()
-    for mark, k in counts[1].items():
-        c = counts[0][mark]
-        if k < MIN_PLACES or k / totals[1] < SHARE * c / totals[0]:
-            continue
-        gain = k * np.log(k / (k + c) / expected) + (c * np.log(c / (k + c) / (1 - expected)) if c else 0.0)
-        if gain >= chance:
-            out.add(mark)
-    return out
+    chance = np.log((counts[1] > 0).sum() + 1) + SURE
+    k, c = counts[1].astype(float), counts[0].astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = k * np.log(k / (k + c) / expected) + np.where(c > 0, c * np.log(c / (k + c) / (1 - expected)), 0.0)
+        telling = (k >= MIN_PLACES) & (k / totals[1] >= SHARE * c / totals[0]) & (gain >= chance)
+    return {m for m, i in mark_number.items() if telling[i]}
 
 
 def fit_rows(rows: list[tuple[str, int]]) -> Field:
     """Fit on texts with document labels."""
-    docs = [([word_form(t) for t in text.split()], y) for text, y in sorted(rows)]
+    one: dict[str, str] = {}  # one string for all places of a word
+    docs = [([one.setdefault(w, w) for w in map(word_form, text.split())], y) for text, y in sorted(rows)]
     if len({y for _, y in docs}) < 2:
         return Field()
     telling = telling_marks(docs)
