@@ -13,7 +13,6 @@ empty table gives an empty result. Scanning is linear in the text, so one very l
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 import sys
@@ -164,7 +163,3 @@ def mask(text: str, spans: list[tuple[int, int, str]]) -> str:
             out += [text[at:start], f"[{kind.upper()}]"]
         at = max(at, end)
     return "".join([*out, text[at:]])
-
-
-def digest(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

@@ -397,7 +397,8 @@ def telling_marks(docs: list[tuple[list[str], int]]) -> set[str]:
 def fit_rows(rows: list[tuple[str, int]]) -> Field:
     """Fit on texts with document labels."""
     one: dict[str, str] = {}  # one string for all places of a word
-    docs = [([one.setdefault(w, w) for w in map(word_form, text.split())], y) for text, y in sorted(rows)]
+    rows = sorted(rows)  # the order in which tasks delivered them does not matter
+    docs = [([one.setdefault(w, w) for w in map(word_form, text.split())], y) for text, y in rows]
     if len({y for _, y in docs}) < 2:
         return Field()
     telling = telling_marks(docs)
@@ -413,7 +414,7 @@ def fit_rows(rows: list[tuple[str, int]]) -> Field:
         return Field()
     model = fit_chain(chains)
     # The document fit: one-dimensional logistic regression on the evidence, with a little regularisation.
-    evidence = Scorer(model).evidence([" ".join(words) for words, _ in docs])
+    evidence = Scorer(model).evidence([text for text, _ in rows])
     t = np.array([y for _, y in docs], float)
     slope, shift = 1.0, 0.0
     for _ in range(100):
