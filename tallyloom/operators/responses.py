@@ -9,7 +9,7 @@ from .. import schemas
 from ..functions import fixed_values as fv
 from ..functions.numeric import n_rows
 from ..functions.text import quotes_found
-from .reviews import excerpt, exploded_issues, issue, worth_retry
+from .reviews import excerpt, issue, worth_retry
 
 ACCEPTED, SCHEMA_ERROR, EVIDENCE_ERROR, LOW_CONFIDENCE, MISSING = (
     "accepted",
