@@ -3,7 +3,7 @@
 Only vectors with equal labels and equal length are compared. Identical vectors are folded into one with a
 count. Each label is dealt by a hash into shards of about SHARD_ROWS vectors; a task builds the graph of one
 shard and answers the queries of all the label's vectors, streamed past it, so links across shards are found
-as well. A query keeps a beam; if its whole beam lies above the threshold, the beam is doubled. An audit
+as well. A query keeps a beam; if its whole beam lies above the threshold, the beam is made WIDER times as wide. An audit
 compares the links of evenly chosen queries with brute force over the shard; while its recall is below
 AUDIT_RECALL, the beam of all queries is doubled, up to the size of the shard, and beyond that the shard is
 scanned. Every candidate is verified by its cosine in double precision, so no false link is reported.
@@ -40,6 +40,7 @@ BUILD_BEAM = 48
 BEAM = 32
 AUDITS = 128
 AUDIT_RECALL = 0.995
+WIDER = 2
 EXPAND = 4  # beam entries expanded at a time
 BATCH = 512
 MARGIN = 1e-4  # single precision is used for walking only
@@ -64,6 +65,17 @@ class Graph:
             size = min(BATCH, max(1, done // 4), n - done)
             self._insert(order[done : done + size])
             done += size
+        self.apart = np.flatnonzero(~self._reached())
+
+    def _reached(self) -> np.ndarray:
+        """Which nodes a walk over the lowest layer can come to; a few may have lost all links to them."""
+        seen = np.zeros(len(self.x), bool)
+        front = np.array([self.entry] if len(self.x) else [], np.int64)
+        while len(front):
+            seen[front] = True
+            near = np.unique(self.layers[0][front])
+            front = near[(near >= 0) & ~seen[near]]
+        return seen
 
     def _insert(self, new: np.ndarray) -> None:
         at = np.full((len(new), 1), self.entry, np.int64)
@@ -149,7 +161,7 @@ class Graph:
         return np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
 
     def candidates(self, q: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, node) pairs that may lie above the threshold; beams that are full of such pairs are doubled."""
+        """(query, node) pairs that may lie above the threshold; beams that are full of such pairs are widened."""
         out_q, out_p = [], []
         todo = np.arange(len(q))
         while len(todo):
@@ -169,7 +181,11 @@ class Graph:
                 out_q.append(part[a])
                 out_p.append(ids[a, b])
             todo = np.concatenate(again)
-            width = min(2 * width, max(1, len(self.x)))
+            width = min(WIDER * width, max(1, len(self.x)))
+        if len(self.apart):  # what no walk reaches is compared directly
+            a, b = np.nonzero(q @ self.x[self.apart].T >= COSINE - MARGIN)
+            out_q.append(a)
+            out_p.append(self.apart[b])
         return np.concatenate(out_q), np.concatenate(out_p)
 
 
