@@ -7,8 +7,9 @@ neighbours (form, beginnings, ending), and a transition matrix links neighbourin
 gives each token's marginal of being toxic. A document's evidence is the log odds that at least one token is
 toxic (noisy-or over the marginals, as a sum); a logistic fit on training documents turns it into the score.
 
-Fitting uses at most SAMPLE_DOCS labelled rows, at most a third of them toxic, chosen by a hash
-of the id among texts of at most LONGEST_FIT characters. Scoring covers every text whole.
+Fitting uses at most SAMPLE_DOCS labelled rows of any length, at most a third of them toxic, chosen by a hash
+of the id. Marks are counted over the whole texts of that sample and the document fit sees the evidence of whole
+texts; both are computed in many tasks. Scoring covers every text whole.
 
 Defined cases: a null or empty text has no evidence and gets the score of none; a label row without
 document, or with a null label, is not used; without labels of both kinds every score is 0; a null doc_id
@@ -21,6 +22,7 @@ import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +36,13 @@ from .boosting import sigmoid
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE_DOCS = 3000
-LONGEST_FIT = 100_000  # characters of a text that is fitted on; longer ones are only scored
 TOXIC_PART = 3  # at most a third of the sample is toxic
 MIN_PLACES, SHARE, SURE = 5, 20.0, 3.0
 DIMS = 1 << 18
 EPOCHS, RATE, L2 = 60, 0.3, 1e-7
 FIT_TOKENS = 250  # tokens of a training chain; a longer text becomes several chains
 KEPT_WORDS = 250_000
+CHAINS = 2048  # training chains that are computed together
 BLOCK = 64  # places of a chain that are multiplied together
 SLICE_CHARS = 1 << 21  # texts whose chains are computed together
 FOLDS = 5
@@ -105,12 +107,12 @@ class Field:
     shift: float = -40.0
 
 
-def chain_marginals(emission: np.ndarray, mask: np.ndarray, links: np.ndarray, with_pairs: bool = False):
+def chain_marginals(emission: np.ndarray, mask: np.ndarray, links: np.ndarray, with_pairs: bool = False, weight: np.ndarray | None = None):
     """Forward-backward for many chains at once, place by place.
 
     ``emission``: chains x places, the score of the toxic state against the clean one; ``mask``: the places
     that exist, a prefix of each row. Returns the marginals of the toxic state and, if asked for, the expected
-    counts of the four transitions. Messages are odds; scores are held within +-30, so nothing overflows.
+    counts of the four transitions, each chain counted by its ``weight``. Messages are odds; scores are held within +-30, so nothing overflows.
     """
     n, places = emission.shape
     (a, b), (c, d) = np.exp(np.clip(links, -30, 30))
@@ -129,7 +131,7 @@ def chain_marginals(emission: np.ndarray, mask: np.ndarray, links: np.ndarray, w
         return marginal
     left, right = forward[:-1], e[1:] * backward[1:]
     share = np.stack([np.full_like(left, a), b * right, c * left, d * left * right])
-    share *= live[1:] / share.sum(0)
+    share *= (live[1:] if weight is None else live[1:] * weight) / share.sum(0)
     return marginal, share.sum((1, 2)).reshape(2, 2)
 
 
@@ -185,43 +187,53 @@ def flat_marginals(emission: np.ndarray, lengths: np.ndarray, links: np.ndarray)
     return odds / (1.0 + odds)
 
 
-def fit_chain(chains: list[tuple[list[str], np.ndarray]]) -> Field:
-    """Fit to token labels by gradient steps (Adagrad) on the exact log likelihood."""
+def fit_chain(chains: list[tuple[list[str], np.ndarray, float]]) -> Field:
+    """Fit to token labels by gradient steps (Adagrad) on the exact log likelihood of (words, labels, weight)."""
     out = Field()
-    places = max(len(w) for w, _ in chains)
+    places = max(len(w) for w, *_ in chains)
     n = len(chains)
-    mask = np.zeros((n, places), bool)
-    y = np.zeros((n, places))
+    sizes = np.array([len(w) for w, *_ in chains])
+    weight = np.array([v for *_, v in chains], float)
+    y = np.zeros((n, places), np.int8)
     known: dict[str, int] = {}
-    ids = np.zeros((n, places), np.int64)
-    for i, (words, labels) in enumerate(chains):
-        mask[i, : len(words)] = True
+    ids = np.zeros((n, places), np.int32)
+    for i, (words, labels, _) in enumerate(chains):
         y[i, : len(words)] = labels
         ids[i, : len(words)] = [known.setdefault(w, len(known)) for w in words]
     own, before, after = feature_slots(list(known))
     flat, owner = own.ravel(), np.repeat(np.arange(len(own)), own.shape[1])
     size = DIMS + 1
     w = np.zeros(size)
-    share = (y.sum() + 1.0) / (mask.sum() + 2.0)
+    tokens = float(weight @ sizes)
+    share = (float(weight @ y.sum(1)) + 1.0) / (tokens + 2.0)
     bias, links = float(np.log(share / (1 - share))), np.zeros((2, 2))
     seen_w, seen_rest = np.full(size, 1e-2), np.full(5, 1e-2)
-    pairs = mask[:, 1:]
-    truth = np.array([[((y[:, :-1] == i) & (y[:, 1:] == j) & pairs).sum() for j in (0, 1)] for i in (0, 1)], float)
     for _ in range(EPOCHS):
-        emission = w[own].sum(1)[ids] + bias
-        emission[:, 1:] += w[before][ids[:, :-1]]
-        emission[:, :-1] += np.where(pairs, w[after][ids[:, 1:]], 0.0)
-        marginal, expected = chain_marginals(emission, mask, links, with_pairs=True)
-        miss = np.where(mask, y - marginal, 0.0)
-        of_word = np.bincount(ids.ravel(), miss.ravel(), len(own))
+        at_word, at_before, at_after = w[own].sum(1), w[before], w[after]
+        of_word, of_before, of_after = np.zeros(len(own)), np.zeros(len(own)), np.zeros(len(own))
+        rest = np.zeros(5)
+        for i in range(0, n, CHAINS):  # memory stays bounded whatever the sample
+            part = slice(i, i + CHAINS)
+            here, toxic, v = ids[part], y[part], weight[part][:, None]
+            mask = np.arange(places) < sizes[part][:, None]
+            pairs = mask[:, 1:]
+            emission = at_word[here] + bias
+            emission[:, 1:] += at_before[here[:, :-1]]
+            emission[:, :-1] += np.where(pairs, at_after[here[:, 1:]], 0.0)
+            marginal, expected = chain_marginals(emission, mask, links, with_pairs=True, weight=weight[part])
+            miss = np.where(mask, toxic - marginal, 0.0) * v
+            of_word += np.bincount(here.ravel(), miss.ravel(), len(own))
+            of_before += np.bincount(here[:, :-1].ravel(), miss[:, 1:].ravel(), len(own))
+            of_after += np.bincount(here[:, 1:].ravel(), np.where(pairs, miss[:, :-1], 0).ravel(), len(own))
+            truth = [[float((((toxic[:, :-1] == a) & (toxic[:, 1:] == b) & pairs) * v).sum()) for b in (0, 1)] for a in (0, 1)]
+            rest += [miss.sum(), *(np.array(truth) - expected).ravel()]
         grad = np.bincount(flat, of_word[owner], size)
-        grad += np.bincount(before, np.bincount(ids[:, :-1].ravel(), miss[:, 1:].ravel(), len(own)), size)
-        grad += np.bincount(after, np.bincount(ids[:, 1:].ravel(), np.where(pairs, miss[:, :-1], 0).ravel(), len(own)), size)
-        grad -= L2 * mask.sum() * w
+        grad += np.bincount(before, of_before, size)
+        grad += np.bincount(after, of_after, size)
+        grad -= L2 * tokens * w
         grad[NONE] = 0.0
         seen_w += grad**2
         w += RATE * 3 * grad / np.sqrt(seen_w)
-        rest = np.array([miss.sum(), *(truth - expected).ravel()])
         seen_rest += rest**2
         step = RATE * rest / np.sqrt(seen_rest)
         bias += step[0]
@@ -316,7 +328,7 @@ def held_out(id_col: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """Fit on the labelled documents that are not held out: a sample of at most SAMPLE_DOCS rows."""
     truth = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    fitting = ~held_out(id_col) & (F.length(F.coalesce(F.col(text_col), F.lit(""))) <= LONGEST_FIT)
+    fitting = ~held_out(id_col)
     ids = docs.where(fitting).select(F.col(id_col).cast("long").alias("doc_id")).distinct().join(truth, "doc_id")
     mixed = F.xxhash64("doc_id")
     most = (SAMPLE_DOCS - SAMPLE_DOCS // TOXIC_PART, SAMPLE_DOCS // TOXIC_PART)
@@ -325,97 +337,145 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     wanted = stored(chosen[0].unionAll(chosen[1]), "toxicity-sample")
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # One row per id, so a repeated document counts once. At most SAMPLE_DOCS ids are broadcast.
-    sample = stored(narrow.join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")), "toxicity-texts")
+    one = narrow.join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").cast("int").alias("toxic"))
+    sample = stored(one.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic"), "toxicity-texts")
+    if sample.agg(F.count_distinct("toxic")).first()[0] < 2:
+        return Field()
+    telling = telling_marks(sample)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-        model = fit_rows([(t or "", y) for t, y in rows])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([model.weights.tobytes()]), pa.array([[model.bias, *model.links.ravel().tolist(), model.slope, model.shift]])],
-            names=["weights", "rest"],
-        )
-
-    # The bounded sample is fitted in one task; the driver gets the weights only.
-    row = sample.coalesce(1).mapInArrow(run, "weights binary, rest array<double>").collect()
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                parts = training_parts(*(batch.column(i)[at].as_py() for i in range(3)), telling)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(at, 1),
+                        pa.array([["\n".join(words) for words, *_ in parts]], pa.list_(pa.string())),
+                        pa.array([[labels.astype(np.int8).tobytes() for _, labels, _ in parts]], pa.list_(pa.binary())),
+                        pa.array([[weight for *_, weight in parts]], pa.list_(pa.float64())),
+                    ],
+                    names=["doc_id", "words", "labels", "weights"],
+                )
+
+    parts = stored(sample.mapInArrow(cut, "doc_id long, words array<string>, labels array<binary>, weights array<double>"), "toxicity-chains")
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The order in which tasks delivered the texts does not matter.
+        rows = sorted((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)), key=lambda r: r[0])
+        one: dict[str, str] = {}  # one string for all places of a word
+        chains = [
+            ([one.setdefault(w, w) for w in words.split("\n")], np.frombuffer(labels, np.int8), weight)
+            for row in rows
+            for words, labels, weight in zip(*row[1:], strict=True)
+        ]
+        if chains:
+            model = fit_chain(chains)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([model.weights.tobytes()]), pa.array([[model.bias, *model.links.ravel().tolist()]])], names=["weights", "rest"]
+            )
+
+    # The bounded chains are fitted in one task; the driver gets the weights only.
+    row = parts.coalesce(1).mapInArrow(learn, "weights binary, rest array<double>").collect()
     if not row:
         return Field()
     rest = row[0].rest
-    return Field(np.frombuffer(bytes(row[0].weights), np.float32), rest[0], np.array(rest[1:5]).reshape(2, 2), rest[5], rest[6])
+    model = Field(np.frombuffer(bytes(row[0].weights), np.float32), rest[0], np.array(rest[1:5]).reshape(2, 2))
 
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scorer.evidence(part.column(1).to_pylist())), part.column(2)], names=["doc_id", "evidence", "toxic"])
 
-def telling_marks(docs: list[tuple[list[str], int]]) -> set[str]:
-    """Word forms and beginnings that toxic documents hold and clean ones do not.
+    # Whole texts are judged where they lie; at most SAMPLE_DOCS numbers come back.
+    judged = sorted(sample.select("doc_id", "text", "toxic").mapInArrow(judge, "doc_id long, evidence double, toxic int").collect())
+    model.slope, model.shift = fit_evidence(np.array([r.evidence for r in judged]), np.array([r.toxic for r in judged], float))
+    return model
 
-    What counts is the number of different words a mark follows, so the copies of a document count once. A
-    mark is telling if it is SHARE times as frequent in toxic documents, at MIN_PLACES places at least, and so
-    by far that chance would not bring it about for any of all the marks.
-    """
+
+def mark_hash(mark: str) -> int:
+    return int.from_bytes(blake2b(mark.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def places_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different (mark, word before) of some texts as hashes, and whether the mark is a whole form."""
     number: dict[str, int] = {"": 0}
-    pairs_of: list[np.ndarray] = []
-    totals = []
-    for y in (0, 1):
-        # Different (word, word before) pairs, as numbers, then the marks of each.
-        pairs = np.unique(
-            np.concatenate(
-                [np.empty(0, np.int64)]
-                + [
-                    (own := np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))) << 32
-                    | np.concatenate([[0], own[:-1]])
-                    for words, label in docs
-                    if label == y and words
-                ]
-            )
-        )
-        pairs = pairs[pairs >> 32 > 0]  # not of the empty word
-        totals.append(len(pairs) + 1)
-        pairs_of.append(pairs)
-    words = list(number)
-    mark_number: dict[str, int] = {}
-    marks = [[mark_number.setdefault(m, len(mark_number)) for m in marks_of(w)] if w else [] for w in words]
+    pairs = []
+    for text in texts:
+        words = list(map(word_form, text.split()))
+        own = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+        pairs.append(np.unique(own << 32 | np.concatenate([[0], own])[: len(own)]))
+    pairs = np.unique(np.concatenate([np.empty(0, np.int64), *pairs]))
+    pairs = pairs[pairs >> 32 > 0]  # not of the empty word
+    marks = [list(map(mark_hash, marks_of(w))) if w else [] for w in number]
     first = np.cumsum([0, *map(len, marks)])
     flat = np.array([m for ms in marks for m in ms], np.int64)
-    counts = []
-    for pairs in pairs_of:
-        seen = np.zeros(len(mark_number), np.int64)
-        own, before = pairs >> 32, pairs & 0xFFFFFFFF
-        many = np.diff(first)[own]
-        for k in range(int(many.max(initial=0))):  # the form, then beginnings of rising length
-            has = many > k
-            mark = flat[first[own[has]] + k]
-            found = np.unique(mark << 32 | before[has])
-            seen += np.bincount(found >> 32, minlength=len(mark_number))
-        counts.append(seen)
-    expected = totals[1] / sum(totals)
-    chance = np.log((counts[1] > 0).sum() + 1) + SURE
-    k, c = counts[1].astype(float), counts[0].astype(float)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = k * np.log(k / (k + c) / expected) + np.where(c > 0, c * np.log(c / (k + c) / (1 - expected)), 0.0)
-        telling = (k >= MIN_PLACES) & (k / totals[1] >= SHARE * c / totals[0]) & (gain >= chance)
-    return {m for m, i in mark_number.items() if telling[i]}
-
-
-def fit_rows(rows: list[tuple[str, int]]) -> Field:
-    """Fit on texts with document labels."""
-    one: dict[str, str] = {}  # one string for all places of a word
-    rows = sorted(rows)  # the order in which tasks delivered them does not matter
-    docs = [([one.setdefault(w, w) for w in map(word_form, text.split())], y) for text, y in rows]
-    if len({y for _, y in docs}) < 2:
-        return Field()
-    telling = telling_marks(docs)
+    form = np.array([mark_hash("=" + w) for w in number], np.int64)
+    own, before = pairs >> 32, pairs & 0xFFFFFFFF
+    many, out, whole = np.diff(first)[own], [], []
+    for k in range(int(many.max(initial=0))):  # the form, then beginnings of rising length
+        has = many > k
+        out.append(np.stack([flat[first[own[has]] + k], form[before[has]]]))
+        whole.append(np.full(out[-1].shape[1], k == 0))
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+    mark, before = np.concatenate(out, axis=1)
+    return mark, before, np.concatenate(whole)
+
+
+def telling_marks(sample: DataFrame) -> frozenset[int]:
+    """Word forms and beginnings (as hashes) that toxic documents hold and clean ones do not.
+
+    What counts is the number of different words a mark follows, so the copies of a document count once. A
+    mark is telling if it is SHARE times as frequent in toxic documents, at MIN_PLACES places at least, and so
+    by far that chance would not bring it about for any of all the marks. Whole texts are counted.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in (0, 1):
+                mine = [x for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if y == t]
+                ends = np.cumsum(list(map(len, mine))) // SLICE_CHARS
+                for at in np.unique(ends):
+                    mark, before, form = places_of([x for x, e in zip(mine, ends, strict=True) if e == at])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(mark), pa.array(before), pa.array(form), pa.array(np.full(len(mark), t, np.int32))], names=["mark", "before", "form", "toxic"]
+                    )
+
+    found = sample.select("text", "toxic").mapInArrow(run, "mark long, before long, form boolean, toxic int")
+    once = found.groupBy("mark", "before", "form").agg(F.max(1 - F.col("toxic")).alias("c"), F.max("toxic").alias("k"))
+    counts = stored(once.groupBy("mark", "form").agg(F.sum("c").cast("double").alias("c"), F.sum("k").cast("double").alias("k")), "toxicity-marks")
+    # Forms stand for the different (word, word before) pairs.
+    total = counts.agg(
+        (F.coalesce(F.sum(F.when(F.col("form"), F.col("c"))), F.lit(0.0)) + 1).alias("c"),
+        (F.coalesce(F.sum(F.when(F.col("form"), F.col("k"))), F.lit(0.0)) + 1).alias("k"),
+        F.count_if(F.col("k") > 0).alias("marks"),
+    ).first()
+    expected = total.k / (total.c + total.k)
+    chance = float(np.log(total.marks + 1) + SURE)
+    k, c = F.col("k"), F.col("c")
+    gain = k * F.log(k / (k + c) / expected) + F.when(c > 0, c * F.log(c / (k + c) / (1 - expected))).otherwise(0.0)
+    telling = counts.where((k >= MIN_PLACES) & (k / total.k >= SHARE * c / total.c)).where(gain >= chance)
+    return frozenset(r.mark for r in telling.select("mark").collect())
+
+
+def training_parts(doc_id: int, text: str, toxic: int, telling: frozenset[int]) -> list[tuple[list[str], np.ndarray, float]]:
+    """Training chains of a text: words, their labels, weight."""
+    words = list(map(word_form, text.split()))
+    hot = {w for w in set(words) if w and not telling.isdisjoint(map(mark_hash, marks_of(w)))} if toxic else set()
+    labels = np.array([w in hot for w in words], bool)
     chains = []
-    for words, y in docs:
-        labels = np.array([float(bool(y) and bool(w) and not telling.isdisjoint(marks_of(w))) for w in words])
-        for i in range(0, len(words), FIT_TOKENS):
-            part = labels[i : i + FIT_TOKENS]
-            # All parts with a toxic token, and the first of the others: clean words are plenty.
-            if part.any() or i == 0:
-                chains.append((words[i : i + FIT_TOKENS], part))
-    if not chains:
-        return Field()
-    model = fit_chain(chains)
-    # The document fit: one-dimensional logistic regression on the evidence, with a little regularisation.
-    evidence = Scorer(model).evidence([text for text, _ in rows])
-    t = np.array([y for _, y in docs], float)
+    for i in range(0, len(words), FIT_TOKENS):
+        part = labels[i : i + FIT_TOKENS]
+        # All parts with a toxic token, and the first of the others: clean words are plenty.
+        if part.any() or i == 0:
+            chains.append((words[i : i + FIT_TOKENS], part, 1.0))
+    return chains
+
+
+def fit_evidence(evidence: np.ndarray, t: np.ndarray) -> tuple[float, float]:
+    """The document fit: one-dimensional logistic regression on the evidence, with a little regularisation."""
     slope, shift = 1.0, 0.0
     for _ in range(100):
         p = sigmoid(slope * evidence + shift)
@@ -425,8 +485,7 @@ def fit_rows(rows: list[tuple[str, int]]) -> Field:
         step = np.linalg.solve(hess, grad)
         scale = min(1.0, 1.0 / max(1e-9, np.abs(step).max()))
         slope, shift = slope - float(scale * step[0]), shift - float(scale * step[1])
-    model.slope, model.shift = max(slope, 0.0), shift
-    return model
+    return max(slope, 0.0), shift
 
 
 def score(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -90,3 +90,17 @@ def test_odd_tables(spark, odd_docs, no_docs, wide_docs):
     assert toxicity.score(no_docs, model).count() == 0 and toxicity.keep_clean(no_docs, model).count() == 0
     out = toxicity.keep_clean(wide_docs, model)
     assert out.columns == wide_docs.columns and out.count() == wide_docs.count()
+
+
+def test_long_texts_are_learned_from(spark):
+    rows, labels = labelled(160, seed=8)
+    rng = random.Random(9)
+    plain = [w for _, text, *_ in rows[:40] for w in text.split() if w.lower()[:3] not in ("zuk", "wex", "quz")]
+    filler = " ".join(rng.choice(plain) for _ in range(21_000))
+    # Every text is over 100,000 characters; its own words, toxic ones among them, come last.
+    long = [(i, filler + " " + text, *rest) for i, text, *rest in rows]
+    docs = spark.createDataFrame(long, DOCS).repartition(4)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).select("doc_id", "score").collect()}
+    assert model.slope > 0 and min(len(t) for _, t, *_ in long) > 100_000
+    assert np.mean([(got[i] >= 0.5) == bool(y) for i, _, y in labels if zlib.crc32(str(i).encode()) % 5 == 0]) >= 0.9
