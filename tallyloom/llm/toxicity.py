@@ -9,7 +9,10 @@ toxic (noisy-or over the marginals, as a sum); a logistic fit on training docume
 
 Fitting uses at most SAMPLE_DOCS labelled rows of any length, at most a third of them toxic, chosen by a hash
 of the id. Marks are counted over the whole texts of that sample and the document fit sees the evidence of whole
-texts; both are computed in many tasks. Scoring covers every text whole.
+texts; both are computed in many tasks. Scoring covers every text whole. The chain is fitted on windows of
+FIT_TOKENS tokens from anywhere in a sampled text: all of them, or beyond FIT_WINDOWS with and FIT_WINDOWS without
+a toxic token as many chosen by a hash and weighted by their share. So a text gives at most
+2 x FIT_WINDOWS x FIT_TOKENS tokens (8,000), the sample 24 million.
 
 Defined cases: a null or empty text has no evidence and gets the score of none; a label row without
 document, or with a null label, is not used; without labels of both kinds every score is 0; a null doc_id
@@ -43,6 +46,7 @@ EPOCHS, RATE, L2 = 60, 0.3, 1e-7
 FIT_TOKENS = 250  # tokens of a training chain; a longer text becomes several chains
 KEPT_WORDS = 250_000
 CHAINS = 2048  # training chains that are computed together
+FIT_WINDOWS = 16  # training chains of a text with toxic tokens, and as many without
 BLOCK = 64  # places of a chain that are multiplied together
 SLICE_CHARS = 1 << 21  # texts whose chains are computed together
 FOLDS = 5
@@ -461,16 +465,21 @@ def telling_marks(sample: DataFrame) -> frozenset[int]:
 
 
 def training_parts(doc_id: int, text: str, toxic: int, telling: frozenset[int]) -> list[tuple[list[str], np.ndarray, float]]:
-    """Training chains of a text: words, their labels, weight."""
+    """Training chains of a text: words, their labels, weight.
+
+    The windows of the whole text, those with and those without a toxic token apart; of each kind at most
+    FIT_WINDOWS, chosen by a hash and weighted by their share, so that the chains stand for the whole text.
+    """
     words = list(map(word_form, text.split()))
     hot = {w for w in set(words) if w and not telling.isdisjoint(map(mark_hash, marks_of(w)))} if toxic else set()
     labels = np.array([w in hot for w in words], bool)
-    chains = []
+    starts: tuple[list[int], list[int]] = ([], [])
     for i in range(0, len(words), FIT_TOKENS):
-        part = labels[i : i + FIT_TOKENS]
-        # All parts with a toxic token, and the first of the others: clean words are plenty.
-        if part.any() or i == 0:
-            chains.append((words[i : i + FIT_TOKENS], part, 1.0))
+        starts[int(labels[i : i + FIT_TOKENS].any())].append(i)
+    chains = []
+    for every in starts:
+        chosen = sorted(sorted(every, key=lambda i: mark_hash(f"{doc_id}:{i}"))[:FIT_WINDOWS])
+        chains += [(words[i : i + FIT_TOKENS], labels[i : i + FIT_TOKENS], len(every) / len(chosen)) for i in chosen]
     return chains
 
 

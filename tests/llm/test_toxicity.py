@@ -104,3 +104,27 @@ def test_long_texts_are_learned_from(spark):
     got = {r.doc_id: r.score for r in toxicity.score(docs, model).select("doc_id", "score").collect()}
     assert model.slope > 0 and min(len(t) for _, t, *_ in long) > 100_000
     assert np.mean([(got[i] >= 0.5) == bool(y) for i, _, y in labels if zlib.crc32(str(i).encode()) % 5 == 0]) >= 0.9
+
+
+def test_training_windows_stand_for_the_whole_text():
+    telling = frozenset([toxicity.mark_hash("=zukfoo")])
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(11_000)]
+    for toxic in (0, 1):
+        short = toxicity.training_parts(1, " ".join(words[:1000]), toxic, telling)
+        assert [w for part, *_ in short for w in part] == words[:1000] and {v for *_, v in short} == {1.0}
+    words[10_500] = "Zukfoo!"
+    parts = toxicity.training_parts(1, " ".join(words), 1, telling)
+    assert len(parts) == toxicity.FIT_WINDOWS + 1
+    assert np.isclose(sum(len(part) * v for part, _, v in parts), len(words))
+    assert sum(v * y.sum() for _, y, v in parts) == 1
+    clean = toxicity.training_parts(2, " ".join(words), 0, telling)
+    assert max(words.index(part[0]) for part, *_ in clean if part[0] in words) > len(words) // 2
+    assert not any(y.any() for _, y, _ in clean)
+
+
+def test_weights_count_like_repeated_chains():
+    rng = np.random.default_rng(11)
+    chains = [([f"w{k}" for k in rng.integers(0, 30, 9)], rng.integers(0, 2, 9).astype(np.int8), 1.0) for _ in range(20)]
+    a = toxicity.fit_chain([*chains, chains[0], chains[0]])
+    b = toxicity.fit_chain([(*chains[0][:2], 3.0), *chains[1:]])
+    assert np.allclose(a.weights, b.weights, atol=1e-4) and np.allclose(a.links, b.links) and np.isclose(a.bias, b.bias)
