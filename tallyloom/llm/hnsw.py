@@ -4,9 +4,11 @@ Only vectors with equal labels and equal length are compared. Identical vectors
 count. Each label is dealt by a hash into shards of about SHARD_ROWS vectors; a task builds the graph of one
 shard and answers the queries of all the label's vectors, streamed past it, so links across shards are found
 as well. A query keeps a beam; if its whole beam lies above the threshold, the beam is made WIDER times as wide. An audit
-compares the links of evenly chosen queries with brute force over the shard; while its recall is below
-AUDIT_RECALL, the beam of all queries is doubled, up to the size of the shard, and beyond that the shard is
-scanned. Every candidate is verified by its cosine in double precision, so no false link is reported.
+waits for the first GATHER queries of the label (in hash order; all, if there are fewer) and counts their
+links to other vectors by brute force over the shard. AUDITS of those with at most BEAM links and AUDITS of those with
+more are asked; while the mean recall of the queries of either sort is below AUDIT_RECALL, the beam of all
+queries is doubled, up to the size of the shard, and beyond that the shard is scanned. Where none of the
+gathered queries has a link, there is nothing to compare and the beam stays. Every candidate is verified by its cosine in double precision, so no false link is reported.
 
 A batch of queries returns, per vector, its number of links and a star over each linked group, not its
 pairs. Components come from those stars.
@@ -38,6 +40,7 @@ SHARD_ROWS = 8192
 LINKS = 16  # neighbours per node in upper layers; twice as many in the lowest
 BUILD_BEAM = 48
 BEAM = 32
+GATHER = 4096  # queries that are held back for the audit
 AUDITS = 128
 AUDIT_RECALL = 0.995
 WIDER = 2
@@ -209,19 +212,34 @@ class Shard:
         self.graph = Graph(vectors)
         self.width, self.scan = min(BEAM, len(ids)), False
 
-    def audit(self, queries: np.ndarray) -> None:
-        """Widen the beam until the audited queries find their links."""
-        some = queries[:: max(1, len(queries) // AUDITS)]
-        truth = len(_scan_pairs(self.vectors, some)[0])
-        while True:
-            got = len(_cosine_pairs(self.vectors, some, *self.graph.candidates(some, self.width))[0])
-            if got >= AUDIT_RECALL * truth:
-                return
+    def audit(self, queries: np.ndarray, ids: np.ndarray | None = None) -> None:
+        """Widen the beam until the audited queries find their links; ``ids``: their nodes, so that a link of a
+        vector to itself does not count."""
+        step = max(1, len(queries) // GATHER)
+        some, own = queries[::step], None if ids is None else ids[::step]
+        truth = np.zeros(len(some), np.int64)
+        for i in range(0, len(some), BATCH):
+            near = some[i : i + BATCH] @ self.vectors.T >= COSINE
+            if own is not None:
+                near &= own[i : i + BATCH, None] != self.ids
+            truth[i : i + BATCH] = near.sum(1)
+        sorts = [np.flatnonzero((truth > 0) & (truth <= BEAM))[:AUDITS], np.flatnonzero(truth > BEAM)[:AUDITS]]
+        while not all(self._recall(some[x], None if own is None else own[x], truth[x]) >= AUDIT_RECALL for x in sorts if len(x)):
             if self.width >= len(self.ids):
                 self.scan = True  # parts of the graph cannot be reached
                 return
             self.width = min(2 * self.width, len(self.ids))
 
+    def _recall(self, queries: np.ndarray, own: np.ndarray | None, truth: np.ndarray) -> float:
+        """Mean over the queries of the part of their links that the beam finds."""
+        got = np.zeros(len(queries))
+        for i in range(0, len(queries), 32):  # a query may have as many links as the shard has vectors
+            part = queries[i : i + 32]
+            q, p = _cosine_pairs(self.vectors, part, *self.graph.candidates(part, self.width))
+            other = slice(None) if own is None else own[i + q] != self.ids[p]
+            got[i : i + 32] = np.bincount(q[other], minlength=len(part))
+        return float(np.minimum(got / truth, 1.0).mean())
+
     def links(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if self.scan:
             return _scan_pairs(self.vectors, queries)
@@ -236,14 +254,12 @@ def _unit(column: pa.Array) -> np.ndarray:
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (shard key, role, node, copies, vector), points of a shard first -> (node, root, links) per batch."""
-    current, points, shard = None, [], None
+    current, points, shard, held = None, [], None, []
 
     def out(node: np.ndarray, root: np.ndarray, links: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(node), pa.array(root), pa.array(links)], names=["node", "root", "links"])
 
-    def respond(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, first: bool) -> pa.RecordBatch | None:
-        if first:
-            shard.audit(vectors)
+    def respond(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch | None:
         q, p = shard.links(vectors)
         other = ids[q] != shard.ids[p]
         q, p = q[other], p[other]
@@ -256,6 +272,17 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links[np.searchsorted(node, ids[asked])] = count[asked]
         return out(node, root, links)
 
+    def release() -> Iterator[pa.RecordBatch]:
+        """Audit on the queries that were held back, and answer them."""
+        nonlocal shard
+        if held:
+            ids, weights, xs = (np.concatenate(x) for x in zip(*points, strict=True))
+            shard = Shard(ids, xs)
+            shard.copies = weights
+            shard.audit(np.concatenate([x for *_, x in held]), np.concatenate([x for x, *_ in held]))
+            yield from (x for x in map(lambda x: respond(*x), held) if x is not None)
+            held.clear()
+
     for batch in batches:
         key = np.array([f"{a}\n{b}\n{c}" for a, b, c in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)], object)
         role, node, copies = (np.asarray(batch.column(i)) for i in (3, 4, 5))
@@ -264,21 +291,20 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if i == j:
                 continue
             if key[i] != current:
+                yield from release()
                 current, points, shard = key[i], [], None
             vectors = _unit(batch.column(6).slice(i, j - i))
             if role[i] == 0:
                 points.append((node[i:j], copies[i:j], vectors))
-                continue
-            first = shard is None
-            if first:
-                if not points:
-                    continue
-                ids, weights, xs = (np.concatenate(x) for x in zip(*points, strict=True))
-                shard = Shard(ids, xs)
-                shard.copies = weights
-            result = respond(node[i:j], copies[i:j], vectors, first)
-            if result is not None:
-                yield result
+            elif shard is not None:
+                result = respond(node[i:j], copies[i:j], vectors)
+                if result is not None:
+                    yield result
+            elif points:
+                held.append((node[i:j], copies[i:j], vectors))
+                if sum(len(x) for x, *_ in held) >= GATHER:
+                    yield from release()
+    yield from release()
 
 
 def links(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label"):

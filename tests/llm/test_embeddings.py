@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from tallyloom.llm import hnsw
 
@@ -87,3 +88,42 @@ def test_empty_and_repeated(spark):
     assert run(spark, [(1, v, 0), (1, v, 0)]) == [(1, 1, 1, True), (1, 1, 1, True)]
     rows = hnsw.near_copies(spark.createDataFrame([(None, v, 0, "", ""), (4, v, 0, "", "")], SCHEMA)).collect()
     assert {tuple(r) for r in rows} == {(None, 0, None, False), (4, 0, 4, True)}
+
+
+def test_links_of_small_groups_count_in_the_audit():
+    rng = np.random.default_rng(12)
+    pairs = np.repeat(rng.normal(size=(60, 32)), 2, axis=0) + 0.01 * rng.normal(size=(120, 32))
+    x = np.concatenate([rng.normal(size=32) + 0.05 * rng.normal(size=(1500, 32)), pairs])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = np.arange(len(x))
+    shard = hnsw.Shard(ids, x)
+    found = shard.graph.candidates
+
+    def narrow(q, width):
+        """A narrow beam loses every link of the small groups but those to the vector itself."""
+        a, b = found(q, width)
+        keep = (b < 1500) | (np.einsum("ij,ij->i", q[a], x[b]) > 1 - 1e-12) | (width > 2 * hnsw.BEAM)
+        return a[keep], b[keep]
+
+    shard.graph.candidates = narrow
+    shard.audit(x, ids)
+    assert shard.width > 2 * hnsw.BEAM or shard.scan
+    q, p = shard.links(x[1500:])
+    assert set(range(120)) <= set(q[p != q + 1500])
+
+
+def test_the_audit_waits_for_queries(monkeypatch):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(300, 8))
+    asked, audit = [], hnsw.Shard.audit
+    monkeypatch.setattr(hnsw.Shard, "audit", lambda self, queries, *ids: (asked.append(len(queries)), audit(self, queries, *ids))[1])
+
+    def batch(key, role, rows):
+        n = len(rows)
+        columns = [[key] * n, [8] * n, [0] * n, [role] * n, list(rows), [1] * n, x[rows].tolist()]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["label", "dim", "shard", "role", "node", "copies", "vector"])
+
+    every = np.arange(300)
+    batches = [batch(k, r, part) for k in ("a", "b") for r, part in ((0, every), (1, every[:1]), (1, every[1:]))]
+    list(hnsw._answer(iter(batches)))
+    assert asked == [300, 300]
