@@ -75,7 +75,7 @@ def fit(x: np.ndarray, y: np.ndarray, held: np.ndarray, precision: float) -> Boo
     """
     model = Boosted()
     train = ~held
-    if len(x) == 0 or y[train].min(initial=1) == y[train].max(initial=0):
+    if not train.any() or y[train].min(initial=1) == y[train].max(initial=0):
         return model
     edges = [np.unique(np.quantile(x[train, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
     bins = np.stack([np.searchsorted(e, x[train, f]) for f, e in enumerate(edges)], axis=1)

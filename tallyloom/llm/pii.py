@@ -1,15 +1,18 @@
 """Personal data: high-recall generators, boosted trees over format and context, calibrated thresholds.
 
 Four formats are always reported (email, ip, card, phone). Generators propose further spans, overlapping and
-far too many: spelled-out addresses, dotted numbers, IPv6 groups, digit chains with all kinds of separators,
+far too many: spelled-out addresses, dotted numbers, IPv6 groups (with ``::`` too), digit chains with all kinds of separators,
 numbers without a leading plus. For each kind boosted trees judge a span by its format (lengths, groups, separators,
 digits) and context (neighbouring characters, cue words before it); a calibrated threshold per kind selects.
 
 Nobody labels personal data here, so the trees learn from the formats: a proposed span that a format confirms is a
-positive, also in weaker forms of itself (without the plus and country code, with the address spelled
-out); a proposed span that a check refutes (Luhn, parts over 255, a part of another kind's span, prose around
-``at``) is a negative. The model is fitted on at most SAMPLE_SPANS spans from about SAMPLE_DOCS documents, chosen by a hash;
-scoring covers every text in one pass.
+positive, also in weaker forms of itself (phone without the plus and country code, address spelled out, card with
+other separators, IPv4 with its dots in brackets or words, IPv6 made from an IPv4). A negative is only what a check
+refutes: ``refuted`` (Luhn, parts over 255 or not four, no IPv6, prose around ``at``, dates, decimals and
+identifiers for phones), or a part of another kind's confirmed span. Other unconfirmed spans have no label and are
+only judged; what is refuted is never reported. The model is fitted on distinct spans, at most
+SAMPLE_SPANS with equal parts for the kinds, from about SAMPLE_DOCS documents, chosen by a hash; every fifth, by a
+hash of the text of its document, is held out. Scoring covers every text in one pass.
 
 Defined cases: null text counts as empty; offsets are code points, ends exclusive; a null doc_id is carried
 along; repeated rows are treated alike; with too few examples of a kind its trees select nothing and the
@@ -18,9 +21,12 @@ format stays. An empty table gives an empty result. All scanning is linear in th
 
 from __future__ import annotations
 
+import ipaddress
 import re
 import sys
+import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
 from .boosting import Boosted, fit
 from .common import fresh
 
@@ -50,7 +57,11 @@ SPELLED = re.compile(
 )
 DOTTED = re.compile(r"(?<![0-9.])[0-9]{1,5}(?:\.[0-9]{1,5}){2,5}(?![0-9])")
 IPV6 = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){4,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
+COMPRESSED = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\w:])")
+SPELLED_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?:\[\.\]|\(\.\)| ?[\[(]dot[\])] ?| dot )[0-9]{1,3}){3}(?![0-9])")
 CHAIN = re.compile(r"(?<![0-9])(?:\+|00)?\(?[0-9](?:[ ().\-/]{0,2}[0-9]){6,24}(?![0-9])")
+SENTENCE = re.compile(r"(?: ?\.\s)[A-Za-z0-9-]")
+DATE = re.compile(r"(?:19|20)[0-9]{2}([-/.])[01]?[0-9]\1[0-3]?[0-9](?![0-9])|[0-3]?[0-9]([-/.])[0-3]?[0-9]\2(?:19|20)[0-9]{2}(?![0-9])")
 CUES = {
     "email": ("mail", "contact", "write"),
     "ip": ("ip", "host", "server", "addr"),
@@ -110,6 +121,10 @@ def proposals(text: str) -> list[tuple[int, int, str]]:
     out += [(m.start(), m.end(), "ip") for m in DOTTED.finditer(text)]
     if ":" in text:
         out += [(m.start(), m.end(), "ip") for m in IPV6.finditer(text)]
+    if "::" in text:
+        out += [(m.start(), m.end(), "ip") for m in COMPRESSED.finditer(text) if m.end() - m.start() > 2]
+    if "[.]" in text or "(.)" in text or "dot" in text:
+        out += [(m.start(), m.end(), "ip") for m in SPELLED_IP.finditer(text)]
     for m in CHAIN.finditer(text):
         n = len(_digits(m.group()))
         if 12 <= n <= 19:
@@ -119,6 +134,35 @@ def proposals(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def refuted(text: str, start: int, end: int, kind: str) -> bool:
+    """Whether a check shows that a proposed span is not of its kind."""
+    span = text[start:end]
+    if kind == "card":
+        return not luhn(_digits(span))
+    if kind == "ip":
+        if ":" in span:
+            try:
+                ipaddress.IPv6Address(span)
+            except ValueError:
+                return True
+            return False
+        parts = re.findall(r"[0-9]+", span)
+        return len(parts) != 4 or any(int(p) > 255 for p in parts)
+    if kind == "email":
+        # A bare "at", and nothing but ends of sentences where the dots of the domain would be.
+        domain = span.partition(" at ")[2]
+        return "@" not in span and bool(domain) and "dot" not in domain and "." in domain and len(SENTENCE.findall(domain)) == domain.count(".")
+    near = (_side(text, start - 1), _side(text, end))
+    return (
+        2 in near  # within an identifier
+        or text[start - 1 : start] == "_"
+        or text[end : end + 1] == "_"
+        or len(set(_digits(span))) == 1
+        or re.fullmatch(r"[0-9]+\.[0-9]+", span) is not None
+        or DATE.match(span) is not None
+    )
+
+
 def _side(text: str, at: int) -> int:
     """Class of the character at a place: 0 none, 1 white space, 2 letter, 3 digit, 4 other."""
     if not 0 <= at < len(text):
@@ -128,7 +172,7 @@ def _side(text: str, at: int) -> int:
 
 
 def features(text: str, start: int, end: int, kind: str) -> list[float]:
-    """Format and context of a span. None of them is a check that made the labels."""
+    """Format and context of a span."""
     span = text[start:end]
     groups = re.findall(r"[0-9]+", span)
     sizes = [len(g) for g in groups] or [0]
@@ -171,32 +215,43 @@ def _weaker(text: str, span: tuple[int, int, str]) -> list[tuple[str, int, int]]
         forms = [bare, "00" + inside[1:]] if len(_digits(bare)) >= 7 else ["00" + inside[1:]]
     elif kind == "email":
         forms = [inside.replace("@", " at ").replace(".", " dot "), inside.replace("@", " (at) ").replace(".", " (dot) "), inside.replace("@", " @ ")]
+    elif kind == "card":
+        digits = _digits(inside)
+        groups = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+        forms = [mark.join(groups) for mark in (".", "/", "  ", " -")]
     else:
-        return []
+        parts = inside.split(".")
+        # Groups of an IPv6 address made from this one, and a run of them left out.
+        made = [h.lstrip("0") or "0" for h in re.findall("....", blake2b(inside.encode(), digest_size=16).hexdigest())]
+        first, last = 1 + int(made[0], 16) % 4, 1 + int(made[1], 16) % 3
+        forms = ["[.]".join(parts), " dot ".join(parts), ":".join(made), ":".join(made[:first]) + "::" + ":".join(made[-last:])]
     return [(text[max(0, start - 64) : start] + f + text[end : end + 64], min(64, start), min(64, start) + len(f)) for f in forms]
 
 
-def examples(text: str) -> list[tuple[str, int, list[float]]]:
-    """(kind, label, features) of the proposals of a text and of weaker forms of confirmed spans."""
+def examples(text: str) -> list[tuple[str, int, str, list[float]]]:
+    """(kind, label, span, features) of the proposals of a text and of weaker forms of confirmed spans."""
     base = base_spans(text)
     out = []
     for start, end, kind in proposals(text):
         same = [b for b in base if b[2] == kind and b[0] < end and start < b[1]]
         other = [b for b in base if b[2] != kind and b[0] < end and start < b[1]]
+        label = None
         if same:
             # Only a span that covers the confirmed one is an example; parts of it are neither.
             if any(start <= b[0] and end >= b[1] and end - start <= b[1] - b[0] + 2 for b in same):
-                out.append((kind, 1, features(text, start, end, kind)))
-        elif other or kind != "phone" or not re.match(r"\+|00", text[start:end]):
-            out.append((kind, 0, features(text, start, end, kind)))
+                label = 1
+        elif other or refuted(text, start, end, kind):
+            label = 0
+        if label is not None:
+            out.append((kind, label, text[start:end], features(text, start, end, kind)))
     for span in base:
         for weak, start, end in _weaker(text, span):
-            out.append((span[2], 1, features(weak, start, end, span[2])))
+            out.append((span[2], 1, weak[start:end], features(weak, start, end, span[2])))
     return out
 
 
-def fit_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict[str, Boosted]:
-    """Trees per kind from a bounded sample: documents by a hash of their id, then spans by a hash of themselves."""
+def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Distinct examples of a sample of documents: kind, label, span, x, fold (by a hash of the text)."""
     rows = docs.count()
     share = min(1.0, SAMPLE_DOCS / max(1, rows))
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -204,20 +259,33 @@ def fit_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [e for text in batch.column(1) for e in examples(text.as_py() or "")]
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            found = [(*e, zlib.crc32(t.encode("utf-8", "surrogatepass"))) for t in texts for e in examples(t)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([e[0] for e in found], pa.string()), pa.array([e[1] for e in found], pa.int32()), pa.array([[float(v) for v in e[2]] for e in found], pa.list_(pa.float64()))],
-                names=["kind", "label", "x"],
+                [
+                    pa.array([e[0] for e in found], pa.string()),
+                    pa.array([e[1] for e in found], pa.int32()),
+                    pa.array([e[2] for e in found], pa.string()),
+                    pa.array([[float(v) for v in e[3]] for e in found], pa.list_(pa.float64())),
+                    pa.array([e[4] for e in found], pa.int64()),
+                ],
+                names=["kind", "label", "span", "x", "doc"],
             )
 
-    spans = some.mapInArrow(run, "kind string, label int, x array<double>")
-    sample = spans.orderBy(F.xxhash64("x"), "kind", "label").limit(SAMPLE_SPANS).collect()
+    spans = some.mapInArrow(run, "kind string, label int, span string, x array<double>, doc long")
+    return spans.groupBy("kind", "label", "span", "x").agg((F.min("doc") % 5).cast("int").alias("fold"))
+
+
+def fit_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict[str, Boosted]:
+    """Trees per kind from a bounded sample: documents by a hash of their id, then distinct spans by a hash of themselves."""
+    spans = stored(sampled(docs, id_col, text_col), "pii-spans")
     model = {}
     for kind in KINDS:
-        mine = [r for r in sample if r.kind == kind]
+        order = spans.where(F.col("kind") == kind).orderBy(F.xxhash64("span", "x"), "label", "span", "x")
+        mine = order.limit(SAMPLE_SPANS // len(KINDS)).select("label", "x", "fold").collect()
         x = np.array([r.x for r in mine], float).reshape(len(mine), FEATURES)
         y = np.array([r.label for r in mine], np.int64)
-        model[kind] = fit(x, y, np.arange(len(mine)) % 5 == 0, PRECISION)
+        model[kind] = fit(x, y, np.array([r.fold for r in mine], np.int64) == 0, PRECISION)
     return model
 
 
@@ -230,7 +298,7 @@ def scan(texts: list[str], model: dict[str, Boosted]) -> list[tuple[list, list]]
         known = set(base[i])
         for span in proposals(text):
             # What lies within a confirmed span of its kind adds nothing.
-            if not any(b[2] == span[2] and b[0] <= span[0] and span[1] <= b[1] for b in known):
+            if not any(b[2] == span[2] and b[0] <= span[0] and span[1] <= b[1] for b in known) and not refuted(text, *span):
                 by_kind[span[2]].append((i, span))
     for kind, found in by_kind.items():
         if not found or not model[kind].trees:

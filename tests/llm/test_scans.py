@@ -166,3 +166,31 @@ def test_redaction_of_a_table(wide_docs, docs, odd_docs, no_docs, corpus):
 def test_long_runs_stay_linear():
     text = "1" * 200_000 + "." * 1000 + "a" * 200_000 + "@" + "x" * 1000 + " at " * 20_000
     assert pii.joined(pii.base_spans(text)) == "" and isinstance(pii.proposals(text), list)
+
+
+def test_only_what_a_check_refutes_is_a_negative():
+    card, failing = "4111 1111 1111 1111", "4111 1111 1111 1112"
+    unknown = [("write jo.123 (at) mail77 (dot) example (dot) com", "email"), ("call 743 555 3824 now", "phone"), ("ip 2001:db8:0:1:2:3:4:5", "ip"), ("ip fe80::1f", "ip")]
+    unknown += [(card.replace(" ", mark), "card") for mark in (".", "/", "  ")]
+    for text, kind in unknown:
+        assert kind in [s[2] for s in pii.proposals(text)], text
+        assert kind not in [e[0] for e in pii.examples(text)], text
+    for text, kind in ((failing, "card"), ("version 300.1.2.3", "ip"), ("at 12:30:45:10:20", "ip"), ("stop at the. Then", "email"), ("on 2024-01-15", "phone")):
+        assert [e[1] for e in pii.examples(text) if e[0] == kind] == [0], text
+
+
+def test_weaker_forms_of_every_kind_are_proposed():
+    for text, kind in (("ip 10.1.2.3 up", "ip"), ("card 4111 1111 1111 1111 ok", "card"), ("at a.b@c.example.org now", "email"), ("tel +1 (743) 555-3824 x", "phone")):
+        span = next(s for s in pii.base_spans(text) if s[2] == kind)
+        forms = pii._weaker(text, span)
+        assert forms
+        if kind in ("ip", "card"):
+            assert all((a, b, kind) in pii.proposals(weak) and not pii.refuted(weak, a, b, kind) for weak, a, b in forms)
+    assert any("::" in weak for weak, *_ in pii._weaker("10.1.2.3", (0, 8, "ip")))
+
+
+def test_sampled_spans_are_distinct(spark):
+    frame = spark.createDataFrame([(i, f"ip 10.0.0.1 or 10.0.0.{i % 3}") for i in range(200)], "doc_id long, text string")
+    rows = pii.sampled(frame).collect()
+    assert len(rows) == len({(r.kind, r.label, r.span, tuple(r.x)) for r in rows}) < 100
+    assert {r.fold for r in rows} <= set(range(5))
