@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_dedup, chat, hnsw, kd_shards, packing, pieces, pii, secret_scan, simhash, toxicity
+from . import bloom_dedup, chat, collocations, hnsw, kd_shards, packing, pieces, pii, quality, secret_scan, simhash, spelling, toxicity
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -128,6 +128,21 @@ def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality.score(docs, labels).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -141,6 +156,9 @@ QUERIES: dict[str, Query] = {
         op8_kd_shards,
         op9_simhash_near_dedup,
         op10_harmonic_packing,
+        op11_quality,
+        op12_spelling_variants,
+        op13_collocations,
     )
 }
 
@@ -189,4 +207,82 @@ ORACLE_SQL: dict[str, str] = {
                 AND bool_or(is_last AND role = 'assistant') AS valid
         FROM f GROUP BY conv_id
     """,
+    # CRC-32 is linear: that of a message is the CRC-32 of as many zero bytes, xor one term for each byte and its
+    # distance from the end. Terms and zero messages come from the byte-wise rule.
+    "op12_spelling_variants": """
+        WITH RECURSIVE bits AS (
+            SELECT b, b AS c, 0 AS step FROM range(256) AS t(b)
+            UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8
+        ), one AS (SELECT b, c FROM bits WHERE step = 8),
+        runs AS (
+            SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\u00C0-\u00FF]+')) AS run
+            FROM documents
+        ), each AS (
+            SELECT run, d || ':' || run AS said, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY d, run
+        ), longest AS (SELECT max(octet_length(encode(said))) AS m FROM each),
+        terms AS (
+            SELECT b, c, 0 AS back FROM one
+            UNION ALL SELECT t.b, xor(t.c >> 8, o.c), back + 1 FROM terms t JOIN one o ON o.b = t.c & 255 WHERE back < (SELECT m FROM longest)
+        ), zeros AS (
+            SELECT 4294967295::BIGINT AS c, 0 AS size
+            UNION ALL SELECT xor(z.c >> 8, o.c), size + 1 FROM zeros z JOIN one o ON o.b = z.c & 255 WHERE size < (SELECT m FROM longest)
+        ), numbered AS (SELECT row_number() OVER () AS id, run, n, hex(encode(said)) AS h FROM each),
+        places AS (SELECT id, h, octet_length(encode(h)) // 2 AS size, unnest(range(octet_length(encode(h)) // 2)) AS i FROM numbered),
+        byte AS (SELECT id, size, size - 1 - i AS back, ('0x' || substr(h, 2 * i + 1, 2))::INT AS b FROM places),
+        crc AS (
+            SELECT id, xor(xor(bit_xor(t.c), any_value(z.c)), 4294967295) AS crc
+            FROM byte JOIN terms t USING (b, back) JOIN zeros z USING (size) GROUP BY id
+        ), kept AS (
+            SELECT CASE WHEN crc % 199 = 0 THEN substr(run, 1, (crc % length(run))::INT) || substr(run, (crc % length(run))::INT + 2) ELSE run END AS word, n
+            FROM numbered JOIN crc USING (id)
+        ), words AS (
+            SELECT word, sum(n)::BIGINT AS n FROM kept WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+        ), cut AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+        less AS (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z FROM cut),
+        pairs AS (
+            SELECT x.word, x.n, y.word AS near, y.n AS near_n FROM less x JOIN less y USING (i, a, z) WHERE x.word <> y.word
+            UNION SELECT x.word, x.n, w.word, w.n FROM less x JOIN words w ON w.word = x.a || x.z
+            UNION SELECT w.word, w.n, x.word, x.n FROM less x JOIN words w ON w.word = x.a || x.z
+        ), best AS (
+            SELECT word, n, count(*) AS n_near, arg_min(near, (-near_n, encode(near))) AS near, max(near_n) AS near_n FROM pairs GROUP BY word, n
+        ), formed AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * w.n THEN near END AS form,
+                CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n
+            FROM words w LEFT JOIN best USING (word)
+        ), chain AS (
+            SELECT word, word AS at FROM words
+            UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NOT NULL
+        ), roots AS (SELECT c.word, c.at AS root FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NULL)
+        SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+    """,
+    "op13_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents WHERE text IS NOT NULL
+        ), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+        grams AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i : i + k - 1], ' '))) AS phrase
+            FROM w, range(1, 5) AS t(k) WHERE len(ws) >= k
+        ), f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+        total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 30),
+        cuts AS (
+            SELECT c.lang, c.phrase, c.a, j, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+            FROM cand c, range(1, 4) AS t(j)
+            JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1:j], ' ')
+            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(ws[j + 1:], ' ')
+            WHERE j < c.k
+        ), low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        parts AS (
+            SELECT lang, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2), lambda i: array_to_string(ws[i : i + m - 1], ' '))))) AS phrase, a
+            FROM cand WHERE k > 2
+        ), inside AS (SELECT lang, phrase, max(a) AS most FROM parts GROUP BY ALL),
+        ranked AS (
+            SELECT low.*, row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, encode(low.phrase)) AS rank
+            FROM low LEFT JOIN inside USING (lang, phrase) WHERE most IS NULL OR 100 * most < 80 * a
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+    """,
 }
