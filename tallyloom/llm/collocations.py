@@ -34,7 +34,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LEAST, LONGEST, TOP = 30, 4, 2000
 SCALE, INSIDE = 2_000_000, 80
 NO_LANG = "und"
-BLOCK_BYTES = 12 << 20  # text of one block; a longer text is a block by itself
+BLOCK_BYTES = 6 << 20  # text of one block; a longer text is a block by itself
 CHUNK_KEYS = 1 << 18  # keys, over all blocks, that a chunk of the key space is meant for
 RANKED = 200_000  # candidates of a language that one task puts in order first
 #: Bytes that end a piece become full stops, tabs become blanks.
@@ -132,6 +132,18 @@ def grams(ids: np.ndarray, n: int) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 STREAM = "block long, lang string, ids binary"
+NO_ID = (1 << 32) - 1  # between stretches; ids are smaller
+
+
+def packed(ids: np.ndarray) -> bytes:
+    """Ids of a stream, 32 bits each; -1 between stretches."""
+    return np.where(ids < 0, NO_ID, ids).astype("<u4").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    ids = np.frombuffer(data, "<u4").astype(np.int64)
+    ids[ids == NO_ID] = -1
+    return ids
 
 
 def id_streams(blocks: DataFrame, words: DataFrame) -> DataFrame:
@@ -149,7 +161,7 @@ def id_streams(blocks: DataFrame, words: DataFrame) -> DataFrame:
                 ids = table[tokens]  # the last entry answers for -1
                 kept = stretches(ids, ids >= 0, 1)
                 if len(kept):
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([kept.astype("<i8").tobytes()])], names=["block", "lang", "ids"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([packed(kept)])], names=["block", "lang", "ids"])
 
     return blocks.select("block", "lang", "tokens").join(known, "block").mapInArrow(run, STREAM)
 
@@ -160,7 +172,7 @@ def block_filters(streams: DataFrame, packing: Packing) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                _, places = grams(np.frombuffer(batch.column(2)[i].as_py(), "<i8"), packing.n)
+                _, places = grams(unpacked(batch.column(2)[i].as_py()), packing.n)
                 if not len(places[0]):
                     continue
                 a, b, counts, _ = packing.distinct(*packing.permuted(places))
@@ -208,7 +220,7 @@ def grown(streams: DataFrame, answers: DataFrame, packing: Packing) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids = np.frombuffer(batch.column(2)[i].as_py(), "<i8")
+                ids = unpacked(batch.column(2)[i].as_py())
                 at, places = grams(ids, packing.n)
                 a, _, _, row = packing.distinct(*packing.permuted(places))
                 chunks = packing.chunk_of(a)
@@ -220,7 +232,7 @@ def grown(streams: DataFrame, answers: DataFrame, packing: Packing) -> DataFrame
                 hit[at] = often[row]
                 kept = stretches(ids, hit, packing.n)
                 if len(kept):
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([kept.astype("<i8").tobytes()])], names=["block", "lang", "ids"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([packed(kept)])], names=["block", "lang", "ids"])
 
     return streams.join(heard, "block").select("block", "lang", "ids", "heard").mapInArrow(run, STREAM)
 
