@@ -15,6 +15,7 @@ from .operators import (
     etl,
     evaluation,
     marketplace as mk,
+    near_texts,
     profile,
     responses as rs,
     retail,
@@ -431,6 +432,12 @@ on_texts(
 on_texts("route_sample", lambda t: budget.route_sample(t, SAMPLE_SIZE).select("dedup_key", "route"))
 
 
+@query("near_duplicates")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of similar texts among the distinct ones."""
+    return near_texts.near_duplicates(routed(spark, sf_dir).texts)
+
+
 @query("token_batches")
 def token_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return budget.pack_batches(budget.small_items(routed(spark, sf_dir).texts))

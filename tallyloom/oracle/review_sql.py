@@ -300,6 +300,29 @@ def _statements() -> dict[str, str]:
         "normalized_text": on_records("SELECT review_id, normalized_text FROM records"),
         "text_hash": on_records("SELECT review_id, text_hash FROM records"),
         "dedup_groups": on_texts("SELECT dedup_key, review_id, raw_text, n_reviews FROM firsts"),
+        "near_duplicates": on_texts(
+            """SELECT dedup_key, group_key, group_texts, group_reviews FROM (
+              WITH RECURSIVE words AS (
+                SELECT DISTINCT dedup_key AS k, unnest(string_split(normalized_text, ' ')) AS w FROM firsts
+              ), sets AS (
+                SELECT k, md5(string_agg(w, ' ' ORDER BY w)) AS c, COUNT(*) AS size FROM words WHERE w <> '' GROUP BY 1
+              ), classes AS (SELECT c, min(k) AS k, any_value(size) AS size FROM sets GROUP BY 1
+              ), of_class AS (SELECT classes.c, classes.k, size, w FROM classes JOIN words USING (k) WHERE w <> ''
+              ), common AS (
+                SELECT a.c AS x, b.c AS y, any_value(a.size) AS m, any_value(b.size) AS n, COUNT(*) AS s
+                FROM of_class a JOIN of_class b ON a.w = b.w AND a.c < b.c AND 5 * a.size >= 4 * b.size AND 5 * b.size >= 4 * a.size GROUP BY 1, 2
+              ), links AS (SELECT x, y FROM common WHERE 100 * s >= 80 * (m + n - s)
+              ), both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links
+              ), reached AS (
+                SELECT c AS node, c AS other FROM classes UNION
+                SELECT node, y FROM reached JOIN both_ways ON x = other
+              ), labels AS (SELECT node AS c, min(other) AS label FROM reached GROUP BY 1
+              ), placed AS (
+                SELECT dedup_key, n_reviews, COALESCE(label, 'none') AS label FROM firsts LEFT JOIN sets ON k = dedup_key LEFT JOIN labels USING (c)
+              ), totals AS (
+                SELECT label, min(dedup_key) AS group_key, COUNT(*) AS group_texts, CAST(SUM(n_reviews) AS BIGINT) AS group_reviews FROM placed GROUP BY 1
+              ) SELECT dedup_key, group_key, group_texts, group_reviews FROM placed JOIN totals USING (label))"""
+        ),
         "duplicate_text_top": on_records(
             """SELECT raw_text, COUNT(*) AS reviews FROM records WHERE raw_text <> '' GROUP BY 1
             ORDER BY reviews DESC, raw_text LIMIT 30"""
