@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -528,12 +528,24 @@ def event_log(spark: SparkSession, sf_dir: str, folder: str) -> str:
     return f"{folder}/log"
 
 
+def arriving_events(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[DataFrame]:
+    """The stream of the events after each arrival: a remainder of the event id says when an event comes, so every
+    arrival reaches over all days and most of its events are late."""
+    events = bindings.table(spark, sf_dir, "events")
+    for part in range(ARRIVALS):
+        events.where(F.pmod("event_id", F.lit(ARRIVALS)) == part).write.parquet(f"{folder}/events/part={part}")
+        yield bindings.order_events(spark.readStream.schema(events.schema).parquet(f"{folder}/events/part=*"))
+
+
 def seller_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every arrival is a micro-batch of all three jobs."""
     folder = fresh_folder(spark, "seller-days")
-    log = event_log(spark, sf_dir, folder)
-    stream = so.log_stream(spark, log, FILES_PER_BATCH)
-    so.seller_daily_job(stream, log, f"{folder}/days", f"{folder}/days-checkpoint")
-    return so.current_seller_days(spark, f"{folder}/days")
+    for events in arriving_events(spark, sf_dir, folder):
+        so.log_job(events, f"{folder}/log", f"{folder}/log-checkpoint")
+        so.accepted_job(events, f"{folder}/accepted", f"{folder}/accepted-checkpoint")
+        so.seller_daily_job(so.log_stream(spark, f"{folder}/accepted"), f"{folder}/days", f"{folder}/days-checkpoint")
+    late = so.late_events(so.log_table(spark, f"{folder}/log"), so.log_table(spark, f"{folder}/accepted"))
+    return so.current_seller_days(spark, f"{folder}/days", late)
 
 
 @query("latest_status")
@@ -547,15 +559,13 @@ def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("late_events")
 def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of the log, and whether the side table of late ones holds any."""
+    """The events that came behind the watermark of their arrival."""
     folder = fresh_folder(spark, "late-events")
-    events = dealt_events(spark, sf_dir, folder)
-    so.log_job(events, f"{folder}/log", f"{folder}/log-checkpoint")
-    good = so.good_events(so.parsed_events(events))
-    so.late_event_job(good, f"{folder}/late", f"{folder}/late-checkpoint")
-    late = spark.read.parquet(f"{folder}/late/late").agg(F.count(F.lit(1)).alias("n")).scalar()
-    landed = spark.read.parquet(f"{folder}/log").agg(F.count(F.lit(1)).alias("events"))
-    return landed.select("events", (late > 0).alias("some_late"))
+    for events in arriving_events(spark, sf_dir, folder):
+        so.log_job(events, f"{folder}/log", f"{folder}/log-checkpoint")
+        so.accepted_job(events, f"{folder}/accepted", f"{folder}/accepted-checkpoint")
+    late = so.late_events(so.log_table(spark, f"{folder}/log"), so.log_table(spark, f"{folder}/accepted"))
+    return local_times(late.select("event_id", "event_time", "order_id", "status"), "event_time")
 
 
 @query("seller_daily")

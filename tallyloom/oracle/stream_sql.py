@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .. import catalog
 from ..sources import bindings as b
 from .review_sql import on_texts
 from .sql import with_ctes
@@ -31,7 +32,10 @@ def statements() -> dict[str, str]:
         FROM good QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY version DESC) = 1""",
         "seller_daily": head + "SELECT * FROM days",
         "late_events": head
-        + "SELECT CAST(SUM(CASE WHEN k < 10 THEN 2 ELSE 1 END) AS BIGINT) AS events, true AS some_late FROM good",
+        + f"""SELECT event_id, ts AS event_time, order_id, status FROM good g JOIN (
+          SELECT p AS arrival, date_trunc('millisecond', max(ts)) - INTERVAL 2 DAY AS mark
+          FROM good, range({catalog.ARRIVALS}) AS a(p) WHERE version % {catalog.ARRIVALS} < p GROUP BY p
+        ) ON version % {catalog.ARRIVALS} = arrival WHERE ts <= mark""",
         "monthly_curve": head
         + """SELECT seller_id, substr(day, 1, 7) AS month, CAST(SUM(sales) AS BIGINT) AS sales,
         CAST(SUM(CAST(amount AS DECIMAL(24,4))) AS DOUBLE) AS amount FROM days

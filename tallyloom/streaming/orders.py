@@ -1,10 +1,12 @@
 """Order event streams: parsed events, dead letters, current status, seller days and late alerts.
 
 Every readable event lands in a log, whenever it arrives, through the engine's own file sink, whose list of
-committed files keeps a repeated micro-batch from showing twice. All further jobs follow that list and
-count an event id once. Other sinks write micro-batch N to its own folder ``batch_id=N`` and overwrite it
-when the batch is tried again, or recompute whole days from the log, so a lost executor or driver leaves
-no trace. Each job has a batch twin over the same rows; the stream's final state equals it.
+committed files keeps a repeated micro-batch from showing twice. A second log takes each event once as long as it
+comes within LATENESS of the newest one; the engine's keyed state knows the ids of that span and forgets them
+behind the watermark, so the state does not grow with the stream. What is in the first log only came too late, and its
+share is added where figures are read. Other sinks write micro-batch N to its own folder ``batch_id=N`` and
+overwrite it when the batch is tried again, so a lost executor or driver leaves no trace. Each job has a
+batch twin over the same rows; the stream's final state equals it.
 
 Jobs run to the end of what is there unless they are given another trigger, such as
 ``{"processingTime": "30 seconds"}``; then they return the running query.
@@ -28,7 +30,7 @@ LOG = (
     "event_id string, event_time timestamp, order_id string, seller_id string, status string, "
     "version bigint, estimated_delivery_date timestamp, amount decimal(12,2)"
 )
-LATENESS = "INTERVAL 2 DAYS"  # an event that much older than the newest one goes to the late events as well
+LATENESS = "2 days"  # an event that much older than the newest one of earlier micro-batches is late
 EXPIRY = "INTERVAL 30 DAYS"  # closed and alerted orders are forgotten so long after their last event
 COMPACT_EVERY = 10  # micro-batches between two compactions of the status table
 UP_TO_NOW = {"availableNow": True}
@@ -193,29 +195,30 @@ def log_stream(spark: SparkSession, path: str, files_per_batch: int | None = Non
     return reader.parquet(path)
 
 
-def late_event_sink(path: str) -> Sink:
-    """Note the events that come LATENESS or more after the newest one of earlier batches.
+def on_time(good: DataFrame) -> DataFrame:
+    """Each event once, if it is not late: copies and late events are left out by the engine's keyed state.
 
-    They are in the log like all others; this table tells which and how many. The clock is one row per batch.
+    A copy has the time of its event. So when an id is forgotten, the watermark has passed its time, and a later copy
+    is late itself.
     """
+    return good.withWatermark("event_time", LATENESS).dropDuplicatesWithinWatermark(["event_id"])
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        clock = batch.agg(F.max("event_time").alias("clock"))
-        if batch_id > 0:
-            before = spark.read.parquet(_batch_folder(f"{path}/clock", batch_id - 1))
-            limit = before.select(F.col("clock") - F.expr(LATENESS)).scalar()
-            _put(batch.where(F.col("event_time") < limit), f"{path}/late", batch_id)
-            clock = clock.unionByName(before.select("clock")).agg(F.max("clock").alias("clock"))
-        else:
-            _put(batch.limit(0), f"{path}/late", batch_id)
-        _put(clock, f"{path}/clock", batch_id)
 
-    return sink
+def accepted_job(events: DataFrame, path: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:
+    """Append every event that is on time to a second log, once, by day of event time."""
+    rows = on_time(good_events(parsed_events(events))).withColumn("event_date", F.to_date("event_time"))
+    return _run(rows.writeStream.format("parquet").option("path", path).partitionBy("event_date"), checkpoint, trigger)
+
 
+def log_table(spark: SparkSession, path: str) -> DataFrame:
+    """The committed rows of a log."""
+    return spark.read.schema(f"{LOG}, event_date date").parquet(path)
 
-def late_event_job(log: DataFrame, path: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:
-    return run_batches(log, checkpoint, late_event_sink(path), trigger)
+
+def late_events(log: DataFrame, accepted: DataFrame) -> DataFrame:
+    """The events of the log, once each, that came too late to be accepted. Days meet days only."""
+    known = accepted.select("event_date", "event_id")
+    return distinct_events(log.join(known, ["event_date", "event_id"], "left_anti"))
 
 
 def _newest(rows: DataFrame) -> DataFrame:
@@ -266,33 +269,28 @@ def current_status(spark: SparkSession, path: str) -> DataFrame:
     return latest_status(_status_rows(spark, path))
 
 
-def seller_day_sink(log_path: str, path: str) -> Sink:
-    """Recompute the days that a micro-batch touches from the committed log, each event id once.
+def seller_daily_job(accepted: DataFrame, path: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:
+    """Windows of a day and seller in the engine's state, which lets a day go once the watermark has passed it.
 
-    A day is replaced as a whole, so a repeated batch and a late event both lead to the right figures.
+    ``accepted`` follows the log of accepted events by whole commits (no limit of files in a micro-batch): then nothing
+    in it is late here. A micro-batch writes the new figures of the groups that it touches, no others.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        days = batch.select("event_date").distinct()
-        log = batch.sparkSession.read.parquet(log_path).join(days, "event_date", "left_semi")
-        (
-            seller_daily(distinct_events(log))
-            .withColumn("event_date", F.to_date("day"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date")
-            .parquet(path)
-        )
-
-    return sink
-
+        _put(batch, path, batch_id)
 
-def seller_daily_job(log: DataFrame, log_path: str, path: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:
-    return run_batches(log, checkpoint, seller_day_sink(log_path, path), trigger)
+    figures = seller_daily(accepted.withWatermark("event_time", LATENESS))
+    return _run(figures.writeStream.outputMode("update").foreachBatch(sink), checkpoint, trigger)
 
 
-def current_seller_days(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("event_date")
+def current_seller_days(spark: SparkSession, path: str, late: DataFrame) -> DataFrame:
+    """The last figures of each group, and the share of the late events."""
+    rows = spark.read.parquet(path)
+    last = rows.groupBy("day", "seller_id").agg(F.max_by(F.struct("events", "sales", "amount"), "batch_id").alias("f")).select("day", "seller_id", "f.*")
+    both = last.unionByName(seller_daily(late).select(last.columns))
+    return both.groupBy("day", "seller_id").agg(
+        F.sum("events").alias("events"), F.sum("sales").alias("sales"), F.sum("amount").cast("decimal(22,2)").alias("amount")
+    )
 
 
 def late_alert_sink(state_path: str, alert_path: str) -> Sink:

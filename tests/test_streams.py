@@ -65,48 +65,76 @@ def test_status_table_is_compacted_and_repeatable(spark, feed):
     assert {r.batch_id for r in spark.read.parquet(f"{folder}-status/changes").select("batch_id").distinct().collect()} == {6, 7}
 
 
+def logs(spark, folder):
+    return so.log_table(spark, f"{folder}-log"), so.log_table(spark, f"{folder}-accepted")
+
+
+def run_days(spark, folder, stream):
+    """All jobs behind the sales of a day, up to what is there, and their figures."""
+    so.log_job(stream, f"{folder}-log", f"{folder}-cp")
+    so.accepted_job(stream, f"{folder}-accepted", f"{folder}-cp1")
+    so.seller_daily_job(so.log_stream(spark, f"{folder}-accepted"), f"{folder}-days", f"{folder}-cp2")
+    days = so.current_seller_days(spark, f"{folder}-days", so.late_events(*logs(spark, folder)))
+    return {str(r.day.date()): (r.events, r.sales, float(r.amount)) for r in days.collect()}
+
+
 def test_seller_days_and_late_events(spark, feed):
     first = [event(1, "a", "delivered", 1, 0), event(2, "b", "delivered", 1, 1)]
     second = [event(1, "a", "delivered", 1, 0), event(3, "c", "delivered", 1, 2), event(4, "d", "paid", 1, 240)]
-    third, fourth = [event(6, "f", "delivered", 1, 239)], [event(5, "e", "delivered", 1, 3)]
+    third, fourth = [event(6, "f", "delivered", 1, 239)], [event(5, "e", "delivered", 1, 3), event(1, "a", "delivered", 1, 0)]
     stream, _, folder = feed(first, second, third, fourth)
-    log = f"{folder}-log"
-    so.log_job(stream, log, f"{folder}-cp")
-    so.seller_daily_job(so.log_stream(spark, log), log, f"{folder}-days", f"{folder}-cp2")
-    got = {str(r.day.date()): (r.events, r.sales, float(r.amount)) for r in so.current_seller_days(spark, f"{folder}-days").collect()}
-    assert got == {"2024-01-10": (4, 4, 40.0), "2024-01-20": (1, 0, 0.0), "2024-01-19": (1, 1, 10.0)}
-    curve = so.monthly_curve(so.current_seller_days(spark, f"{folder}-days")).first()
+    assert run_days(spark, folder, stream) == {"2024-01-10": (4, 4, 40.0), "2024-01-20": (1, 0, 0.0), "2024-01-19": (1, 1, 10.0)}
+    # The copy of e1 comes late as well, but it was accepted before.
+    assert [r.event_id for r in so.late_events(*logs(spark, folder)).collect()] == ["e5"]
+    assert sorted(r.event_id for r in logs(spark, folder)[1].collect()) == ["e1", "e2", "e3", "e4", "e6"]
+    curve = so.monthly_curve(so.current_seller_days(spark, f"{folder}-days", so.late_events(*logs(spark, folder)))).first()
     assert (curve.month, curve.sales, curve.amount) == ("2024-01", 5, 50.0)
 
 
-def test_late_events_are_noted(spark, feed):
-    batches = [[event(1, "a", "paid", 1, 240)], [event(2, "b", "paid", 1, 3), event(3, "b", "shipped", 2, 200)], [event(4, "c", "paid", 1, 1)]]
-    _, batch, folder = feed(*batches)
-    good = so.good_events(so.parsed_events(batch))
-    sink = so.late_event_sink(f"{folder}-late")
-    for n, ids in enumerate((["e1"], ["e2", "e3"], ["e4"])):
-        for _ in range(2):
-            sink(good.where(F.col("event_id").isin(ids)), n)
-    assert sorted((r.event_id, r.batch_id) for r in spark.read.parquet(f"{folder}-late/late").collect()) == [("e2", 1), ("e4", 2)]
+def test_days_over_several_runs(spark, feed):
+    """Micro-batch by micro-batch, out of order and with copies, beside the batch twin; a batch writes its own groups only."""
+    import random
+
+    rng = random.Random(3)
+    folder = fresh_folder(spark, "runs")
+    rows, last = [], 0
+    for n in range(5):
+        new = [event(100 * n + i, f"o{rng.randrange(9)}", rng.choice(["paid", "delivered"]), i, rng.randrange(max(0, 48 * n - 120), 48 * n + 30), amount=i) for i in range(25)]
+        sent = new + rng.sample(new, 5) + (rng.sample(rows, 5) if rows else [])
+        spark.createDataFrame(sent, RAW).coalesce(1).write.parquet(f"{folder}/part={n}")
+        rows += new
+        got = run_days(spark, folder, spark.readStream.schema(RAW).parquet(f"{folder}/part=*"))
+        good = so.good_events(so.parsed_events(spark.createDataFrame(rows, RAW)))
+        assert got == {str(r.day.date()): (r.events, r.sales, float(r.amount)) for r in so.seller_daily(good).collect()}
+        days = spark.read.parquet(f"{folder}-days")
+        accepted = logs(spark, folder)[1].count()
+        touched = days.where(F.col("batch_id") == days.agg(F.max("batch_id")).scalar()).count()
+        assert accepted > last and touched <= 8
+        last = accepted
+    assert so.late_events(*logs(spark, folder)).count() + last == len(rows) and last < len(rows)
+
+
+def test_known_ids_are_forgotten(spark, feed):
+    """The state holds the ids of the span behind the newest event, not those of the whole stream."""
+    batches = [[event(100 * n + i, "o", "paid", i, 72 * n) for i in range(20)] for n in range(6)]
+    stream, _, folder = feed(*batches)
+    query = so.accepted_job(stream, f"{folder}-accepted", f"{folder}-cp")
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert kept and max(kept) <= 60 and so.log_table(spark, f"{folder}-accepted").count() == 120
 
 
 def test_a_repeated_batch_counts_sales_once(spark, feed):
     rows = [event(1, "a", "delivered", 1, 0), event(2, "b", "delivered", 1, 1)]
     stream, _, folder = feed(rows)
-    log = f"{folder}-log"
-    so.log_job(stream, log, f"{folder}-cp")
-
-    def run():
-        so.seller_daily_job(so.log_stream(spark, log), log, f"{folder}-days", f"{folder}-cp2")
-        return [(r.sales, float(r.amount)) for r in so.current_seller_days(spark, f"{folder}-days").collect()]
-
-    assert run() == [(2, 20.0)]
-    # What a second attempt of the batch may leave behind: other files that were never committed to the log.
-    committed = spark.read.parquet(log)
-    spark.createDataFrame(committed.collect(), committed.schema).write.mode("append").partitionBy("event_date").parquet(f"{folder}-again")
-    spark.read.parquet(f"{folder}-again").drop("event_date").write.mode("append").parquet(f"{log}/event_date=2024-01-10")
-    assert run() == [(2, 20.0)]
-    assert spark.read.parquet(log).count() == 2
+    want = {"2024-01-10": (2, 2, 20.0)}
+    assert run_days(spark, folder, stream) == want
+    # What a second attempt of the batch may leave behind: other files that were never committed to a log.
+    for log in (f"{folder}-log", f"{folder}-accepted"):
+        committed = spark.read.parquet(log)
+        spark.createDataFrame(committed.collect(), committed.schema).write.mode("append").partitionBy("event_date").parquet(f"{log}-again")
+        spark.read.parquet(f"{log}-again").drop("event_date").write.mode("append").parquet(f"{log}/event_date=2024-01-10")
+    assert run_days(spark, folder, stream) == want
+    assert spark.read.parquet(f"{folder}-log").count() == 2
 
 
 def test_jobs_take_a_trigger(spark, feed):
