@@ -258,6 +258,13 @@ for table_name in ("sales_facts", "customer_features", "returns_log"):
     QUERIES[f"published_{table_name}"] = lambda spark, sf_dir, name=table_name: published(spark, sf_dir)[name]
 
 
+@query("published_checks")
+def published_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken rules as they were counted while the published tables were written."""
+    published(spark, sf_dir)
+    return retail_etl.read_checks(spark, _PUBLISHED[(spark.sparkContext.applicationId, sf_dir)])
+
+
 # --- marketplace -----------------------------------------------------------------------------
 
 
@@ -359,11 +366,13 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rv.review_records(reviews(spark, sf_dir))
+    """Low-score reviews with their normalised text, staged once."""
+    return staged(spark, "records", sf_dir, lambda: rv.review_records(reviews(spark, sf_dir)))
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rv.route_texts(rv.dedup_texts(records(spark, sf_dir)))
+    """The distinct texts with their routes, staged once."""
+    return staged(spark, "texts", sf_dir, lambda: rv.route_texts(rv.dedup_texts(records(spark, sf_dir))))
 
 
 def on_records(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
@@ -375,11 +384,8 @@ def on_texts(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
 
 
 def routed(spark: SparkSession, sf_dir: str) -> extraction.Routed:
-    """Reviews and routed texts, staged once for the queries behind the routes."""
-    known = staged(spark, "records", sf_dir, lambda: records(spark, sf_dir))
-    return extraction.Routed(
-        known, staged(spark, "texts", sf_dir, lambda: rv.route_texts(rv.dedup_texts(known)))
-    )
+    """Reviews and routed texts, for the queries behind the routes."""
+    return extraction.Routed(records(spark, sf_dir), texts(spark, sf_dir))
 
 
 _RUNS: dict[tuple, extraction.Extraction] = {}
@@ -486,6 +492,36 @@ on_answers(
 )
 for name, cap in (("extraction_metadata", None), ("extraction_metadata_capped", fv.DEFAULT_COST_CAP_USD)):
     on_answers(name, lambda routed, run: extraction.metadata(routed, run, run.results), cap)
+_RESULTS: dict[tuple[str, str], str] = {}
+
+
+def written_results(spark: SparkSession, sf_dir: str) -> str:
+    """Where the results of the run with answers were written as JSON lines, once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RESULTS:
+        known, run = answered(spark, sf_dir)
+        folder = fresh_folder(spark, "review-results")
+        files.write_review_results(_expanded(known, run), extraction.metadata(known, run, run.results), folder)
+        _RESULTS[key] = folder
+    return _RESULTS[key]
+
+
+@query("results_json")
+def results_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written results read back and checked line by line, one row per issue."""
+    results = files.read_review_results(spark, written_results(spark, sf_dir))
+    files.require_sound_results(results)
+    return rv.exploded_issues(
+        results, "review_id", "order_id", "review_score", "raw_text", "normalized_text_hash", "method",
+        "model", "needs_manual_review", "actionable_for_seller",
+    )
+
+
+@query("metadata_json")
+def metadata_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_run_metadata(spark, written_results(spark, sf_dir))
+
+
 QUERIES["accuracy_metrics"] = lambda spark, sf_dir: evaluation.accuracy_metrics(
     bindings.judged_reviews(bindings.table(spark, sf_dir, "labels"))
 )

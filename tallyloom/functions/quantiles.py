@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 def magnitude_bucket(value: Column) -> Column:
     """A whole number that never decreases with ``value``: about 1% wide steps on a signed log scale.
@@ -67,7 +69,8 @@ def exact_quantiles(
         .withColumn("_b0", magnitude_bucket(F.col("_v")))
     )
     first, second = _fine_buckets(F.col("_v"), F.col("_b0"))
-    hist = hist.withColumns({"_b1": first, "_b2": second})
+    # Read once for the sizes and once for each step, so it is counted once and written out.
+    hist = stored(hist.withColumns({"_b1": first, "_b2": second}), "value-counts")
     sizes = hist.groupBy(*g).agg(F.sum("_n").alias("n"))
     targets = []
     for p in probs:

@@ -60,20 +60,29 @@ def _outcome(block: str, tokens: np.ndarray, budget: int) -> tuple:
     )
 
 
-def _by_block(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of one block after the other; a block is a small range of the key order."""
-    held: list[pd.DataFrame] = []
+def _whole_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Frames that end where a block ends, and the borders of the blocks in them.
+
+    Blocks are small ranges of the key order and most have few rows, so a frame holds many of them.
+    """
+    held: list[pd.DataFrame] = []  # the block that is not known to be whole
     for pdf in frames:
-        cuts = np.flatnonzero(pdf["block"].to_numpy()[1:] != pdf["block"].to_numpy()[:-1]) + 1
-        for part in np.split(np.arange(len(pdf)), cuts):
-            rows = pdf.iloc[part]
-            if held and len(rows) and held[0]["block"].iloc[0] != rows["block"].iloc[0]:
-                yield pd.concat(held)
-                held = []
-            if len(rows):
-                held.append(rows)
+        if not len(pdf):
+            continue
+        block = pdf["block"].to_numpy()
+        cuts = np.flatnonzero(block[1:] != block[:-1]) + 1
+        if held and held[0]["block"].iloc[0] != block[0]:
+            cuts = np.concatenate([[0], cuts])
+        if not len(cuts):
+            held.append(pdf)
+            continue
+        before = sum(map(len, held))
+        whole = pd.concat([*held, pdf.iloc[: cuts[-1]]]) if held else pdf.iloc[: cuts[-1]]
+        yield whole, np.concatenate([[0], cuts + before])
+        held = [pdf.iloc[cuts[-1] :]]
     if held:
-        yield pd.concat(held)
+        rows = pd.concat(held)
+        yield rows, np.array([0, len(rows)])
 
 
 OUTCOME = "block string, limits array<bigint>, open array<bigint>, closed array<bigint>, total bigint, fresh_open bigint, fresh_closed bigint"
@@ -84,8 +93,10 @@ def _block_outcomes(budget: int):
     names = [c.split()[0] for c in OUTCOME.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _by_block(frames):
-            yield pd.DataFrame([_outcome(rows["block"].iloc[0], rows["tokens"].to_numpy(), budget)], columns=names)
+        for rows, borders in _whole_blocks(frames):
+            block, tokens = rows["block"].to_numpy(), rows["tokens"].to_numpy()
+            found = [_outcome(block[i], tokens[i:j], budget) for i, j in zip(borders, borders[1:], strict=False)]
+            yield pd.DataFrame(found, columns=names)
 
     return run
 
@@ -110,17 +121,24 @@ def _block_entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _assign(budget: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _by_block(frames):
-            upto = np.cumsum(rows["tokens"].to_numpy())
-            carry, first = int(rows["carry"].iloc[0]), int(rows["first_batch"].iloc[0])
-            after = _next_batch(upto, budget)
-            opens = np.zeros(len(upto), np.int64)
-            # The batch that is open at the start closes where it would overflow; an empty one takes the first item.
-            at = int(np.searchsorted(upto, budget - carry, side="right")) if carry else int(after[0])
-            while at < len(upto):
-                opens[at] = 1
-                at = int(after[at])
-            yield rows[["dedup_key", "tokens"]].assign(batch_id=first + np.cumsum(opens))
+        for rows, borders in _whole_blocks(frames):
+            tokens, carries, firsts = (rows[c].to_numpy() for c in ("tokens", "carry", "first_batch"))
+            opens, batch = np.zeros(len(tokens), np.int64), np.empty(len(tokens), np.int64)
+            for i, j in zip(borders, borders[1:], strict=False):
+                carry = int(carries[i])
+                if j - i == 1:
+                    # An empty batch takes the item, an open one if it fits.
+                    batch[i] = firsts[i] + (carry > 0 and carry + int(tokens[i]) > budget)
+                    continue
+                upto = np.cumsum(tokens[i:j])
+                after = _next_batch(upto, budget)
+                # The batch that is open at the start closes where it would overflow; an empty one takes the first item.
+                at = int(np.searchsorted(upto, budget - carry, side="right")) if carry else int(after[0])
+                while at < j - i:
+                    opens[i + at] = 1
+                    at = int(after[at])
+                batch[i:j] = firsts[i] + np.cumsum(opens[i:j])
+            yield rows[["dedup_key", "tokens"]].assign(batch_id=batch)
 
     return run
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
@@ -185,51 +185,60 @@ def fact_totals(sales: DataFrame) -> DataFrame:
     return long_counts(totals, "measure", "amount")
 
 
+def output_rules() -> dict[str, dict[str, Column]]:
+    """What has to hold in every row, by table."""
+    col = F.col
+    return {
+        "sales_facts": {
+            "sale sells at least one piece": col("quantity") > 0,
+            "sale has a price above zero": col("unit_price") > 0,
+            "sale brings in money": col("total_amount") > 0,
+            "sale is dated": col("invoice_datetime").isNotNull(),
+        },
+        "customer_features": {
+            "feature row names its customer": col("customer_id").isNotNull(),
+            "last purchase is not in the future": col("recency_days") >= 0,
+            "customer bought once or more": col("frequency") >= 1,
+            "customer spent no less than nothing": col("monetary") >= 0,
+        },
+        "returns_log": {
+            "return comes from a cancellation": col("invoice_no").startswith("C"),
+            "return undoes a sale, not a cancellation": col("matched_original_invoice").isNull()
+            | ~col("matched_original_invoice").startswith("C"),
+        },
+    }
+
+
+def _breaches(rules: dict[str, Column]) -> list[Column]:
+    """How many rows break each rule. A rule holds only where it is true; missing values break it."""
+    return [count_where(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()]
+
+
 def output_violations(facts: DataFrame, features: DataFrame, log: DataFrame) -> DataFrame:
     """Broken rules with their row counts: one pass per table, every rule present."""
+    tables = (facts, features, log)
+    counts = [long_counts(df.agg(*_breaches(rules)), "rule", "violations") for df, rules in zip(tables, output_rules().values(), strict=True)]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
-    def broken(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-        # A rule holds only where it is true; missing values break it.
-        checks = [
-            count_where(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()
-        ]
-        return long_counts(df.agg(*checks), "rule", "violations")
 
-    col = F.col
-    return (
-        broken(
-            facts,
-            {
-                "sale sells at least one piece": col("quantity") > 0,
-                "sale has a price above zero": col("unit_price") > 0,
-                "sale brings in money": col("total_amount") > 0,
-                "sale is dated": col("invoice_datetime").isNotNull(),
-            },
-        )
-        .unionByName(
-            broken(
-                features,
-                {
-                    "feature row names its customer": col("customer_id").isNotNull(),
-                    "last purchase is not in the future": col("recency_days") >= 0,
-                    "customer bought once or more": col("frequency") >= 1,
-                    "customer spent no less than nothing": col("monetary") >= 0,
-                },
-            )
-        )
-        .unionByName(
-            broken(
-                log,
-                {
-                    "return comes from a cancellation": col("invoice_no").startswith("C"),
-                    "return undoes a sale, not a cancellation": col(
-                        "matched_original_invoice"
-                    ).isNull()
-                    | ~col("matched_original_invoice").startswith("C"),
-                },
-            )
-        )
-    )
+def watched(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
+    """The table and an observation that counts broken rules while the table is written.
+
+    A task that is run again may count its rows again, so a count tells how bad it is only roughly; it is zero if and
+    only if no row breaks the rule.
+    """
+    seen = Observation(f"rules of {table}")
+    return df.observe(seen, *_breaches(output_rules()[table])), seen
+
+
+def observed_violations(spark: SparkSession, seen: dict[str, Observation], written: dict[str, DataFrame]) -> DataFrame:
+    """``rule, violations`` out of the observations of written tables, every rule present.
+
+    A table without rows breaks no rule; adaptive execution may drop its plan together with the observation.
+    """
+    counts = {table: {} if written[table].isEmpty() else seen[table].get for table in seen}
+    rows = [(rule, int(counts[table].get(rule, 0))) for table, rules in output_rules().items() for rule in rules]
+    return spark.createDataFrame(rows, "rule string, violations long")
 
 
 def require_columns(df: DataFrame, columns: list[str], name: str) -> None:

@@ -456,6 +456,7 @@ def statements() -> dict[str, str]:
               total_amount, customer_id, country LIMIT 10"""
         ),
         "output_violations": facts(_violations()),
+        "published_checks": facts(_violations()),
         "etl_summary": facts(_summary()),
         "feature_profile": facts(
             describe("features", ["recency_days", "frequency", "monetary", "unique_products"], [0.25, 0.5, 0.75])

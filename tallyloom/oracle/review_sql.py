@@ -284,7 +284,9 @@ UNCAPPED = (
 def statements() -> dict[str, str]:
     every = _statements()
     capped = {f"{name}_capped": every[name] for name in ("merged_results", "extraction_metadata")}
-    return {name: without_cap(s) if name in UNCAPPED else s for name, s in every.items()} | capped
+    out = {name: without_cap(s) if name in UNCAPPED else s for name, s in every.items()} | capped
+    # What is written is what is read back.
+    return out | {"results_json": out["expanded_reviews"], "metadata_json": out["extraction_metadata"]}
 
 
 def _statements() -> dict[str, str]:

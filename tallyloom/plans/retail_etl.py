@@ -46,8 +46,9 @@ def build_tables(lines: DataFrame) -> EtlTables:
 def run(lines: DataFrame, path: str) -> DataFrame:
     """Write the three outputs into a new version below ``path`` and return the summary rows.
 
-    The rules are checked on the written tables; only a version that passes is published, by one
-    last small file. Readers follow that file, so they never see tables of two versions.
+    The rules are counted while the tables are written, without another scan, and the counts lie beside
+    them; only a version that passes is published, by one last small file. Readers follow that file, so they never see
+    tables of two versions.
     """
     spark = lines.sparkSession
     tables = build_tables(lines)
@@ -57,23 +58,40 @@ def run(lines: DataFrame, path: str) -> DataFrame:
         tables.returns_log, [*FACT_COLUMNS, "matched_original_invoice"], "returns_log"
     )
     version = f"version-{uuid.uuid4().hex}"
-    write_sales_facts(tables.sales_facts, f"{path}/{version}/sales_facts")
-    write_table(tables.customer_features, f"{path}/{version}/customer_features")
-    write_table(tables.returns_log, f"{path}/{version}/returns_log")
-    facts, features, log = _tables(spark, f"{path}/{version}").values()
-    etl.require_no_violations(etl.output_violations(facts, features, log))
+    writers = {"sales_facts": write_sales_facts, "customer_features": write_table, "returns_log": write_table}
+    fields = [(name, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in getattr(tables, name).schema)) for name in writers]
+    spark.createDataFrame(fields, "table string, fields string").coalesce(1).write.json(f"{path}/{version}/schemas")
+    seen = {}
+    for name, write in writers.items():
+        table, seen[name] = etl.watched(getattr(tables, name), name)
+        write(table, f"{path}/{version}/{name}")
+    written = _tables(spark, f"{path}/{version}")
+    violations = etl.observed_violations(spark, seen, written)
+    violations.coalesce(1).write.json(f"{path}/{version}/checks")
+    etl.require_no_violations(violations)
     mark = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
     mark.coalesce(1).write.mode("append").json(f"{path}/published")
-    return etl.etl_summary(tables.work, facts, log)
+    return etl.etl_summary(tables.work, written["sales_facts"], written["returns_log"])
 
 
 def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    names = {"sales_facts": FACT_COLUMNS, "customer_features": FEATURE_COLUMNS, "returns_log": [*FACT_COLUMNS, "matched_original_invoice"]}
-    return {name: spark.read.parquet(f"{folder}/{name}").select(*columns) for name, columns in names.items()}
+    """The tables of a version, by the fields that lie beside them: a table without rows may have no file to tell."""
+    columns = {"sales_facts": FACT_COLUMNS, "customer_features": FEATURE_COLUMNS, "returns_log": [*FACT_COLUMNS, "matched_original_invoice"]}
+    # One row per table.
+    fields = {r["table"]: r["fields"] for r in spark.read.schema("table string, fields string").json(f"{folder}/schemas").collect()}
+    return {name: spark.read.schema(fields[name]).parquet(f"{folder}/{name}").select(*columns[name]) for name in columns}
+
+
+def _published_version(spark: SparkSession, path: str) -> str:
+    marks = spark.read.schema("version string, published_at timestamp").json(f"{path}/published")
+    return marks.orderBy(F.desc("published_at"), F.desc("version")).first()["version"]
 
 
 def read_published(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The tables of the version that was published last."""
-    marks = spark.read.schema("version string, published_at timestamp").json(f"{path}/published")
-    last = marks.orderBy(F.desc("published_at"), F.desc("version")).first()
-    return _tables(spark, f"{path}/{last['version']}")
+    return _tables(spark, f"{path}/{_published_version(spark, path)}")
+
+
+def read_checks(spark: SparkSession, path: str) -> DataFrame:
+    """``rule, violations`` as they were counted while that version was written."""
+    return spark.read.schema("rule string, violations long").json(f"{path}/{_published_version(spark, path)}/checks")

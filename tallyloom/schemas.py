@@ -100,6 +100,17 @@ MARKETPLACE = {
 
 ISSUE = "struct<category:string,subcategory:string,evidence:string,confidence:double>"
 ISSUES = f"array<{ISSUE}>"
+REVIEW_RESULT = (
+    "review_id string, order_id string, review_score int, raw_text string, normalized_text_hash string, "
+    f"issues {ISSUES}, method string, model string, needs_manual_review boolean, actionable_for_seller boolean"
+)
+RUN_METADATA = (
+    "record_count bigint, empty_text_count bigint, dedup_count bigint, rule_texts bigint, small_llm_texts bigint, "
+    "large_llm_texts bigint, rule_records bigint, small_llm_records bigint, large_llm_records bigint, "
+    "offline_small_llm_fallback_records bigint, offline_large_llm_fallback_records bigint, estimated_cost_usd double, "
+    "estimated_input_tokens bigint, estimated_output_tokens bigint, llm_call_count bigint, budget_exhausted boolean, "
+    "schema_error_count bigint, evidence_error_count bigint"
+)
 
 EVENTS = _struct(
     event_id=LONG, ts=TIME, user_id=LONG, event_type=STRING, value=DOUBLE, props=STRING

@@ -90,3 +90,43 @@ def write_review_results(records: DataFrame, metadata: DataFrame, path: str) ->
     """Records as JSON lines with a one-row run description beside them."""
     records.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/records")
     metadata.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/metadata")
+
+
+def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines of a known schema. A line that is no JSON, or holds a value of another type, comes with ``_broken``."""
+    fields = f"{schema}, _broken string"
+    return spark.read.schema(fields).options(mode="PERMISSIVE", columnNameOfCorruptRecord="_broken").json(path)
+
+
+def read_review_results(spark: SparkSession, path: str) -> DataFrame:
+    """Written review records, and ``defect``: what is wrong with a line, null for a sound one."""
+    rows = _json(spark, f"{path}/records", schemas.REVIEW_RESULT)
+    kinds = [f"{c}.{s}" for c, subs in fv.TAXONOMY.items() for s in subs]
+    known = F.forall("issues", lambda i: F.concat(i["category"], F.lit("."), i["subcategory"]).isin(kinds))
+    sure = F.forall("issues", lambda i: i["confidence"].between(0, 1) & i["evidence"].isNotNull())
+    needed = [c.split()[0] for c in ("review_id", "review_score", "raw_text", "normalized_text_hash", "method", "needs_manual_review", "actionable_for_seller")]
+    defect = (
+        F.when(F.col("_broken").isNotNull(), "not readable")
+        .when(F.greatest(*[F.col(c).isNull().cast("int") for c in needed]) == 1, "missing field")
+        .when(F.coalesce(F.size("issues"), F.lit(0)) < 1, "no issue")
+        .when(~F.coalesce(known, F.lit(False)), "unknown kind of issue")
+        .when(~F.coalesce(sure, F.lit(False)), "evidence or confidence out of range")
+    )
+    return rows.withColumn("defect", defect).drop("_broken")
+
+
+def read_run_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """The one-row description of a written run; a broken file is refused."""
+    rows = _json(spark, f"{path}/metadata", schemas.RUN_METADATA)
+    # A run has one line.
+    found = rows.limit(2).collect()
+    if len(found) != 1 or found[0]["_broken"] is not None:
+        raise ValueError(f"{path}/metadata does not describe one run")
+    return rows.drop("_broken")
+
+
+def require_sound_results(results: DataFrame) -> None:
+    """Refuse results with defective lines; the message counts them by defect."""
+    found = results.where("defect is not null").groupBy("defect").agg(F.count(F.lit(1)).alias("n")).orderBy("defect").collect()
+    if found:
+        raise ValueError("; ".join(f"{r['defect']}: {r['n']}" for r in found))

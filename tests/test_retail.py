@@ -222,3 +222,20 @@ def test_violations_raise(spark):
     bad = etl.output_violations(facts, etl.customer_features(facts, w), etl.returns_log(w, facts))
     with pytest.raises(ValueError, match="sells at least one piece: 1"):
         etl.require_no_violations(bad)
+
+
+def test_checks_are_counted_while_writing(spark, tmp_path, monkeypatch):
+    data = [line(str(n), at=T0 + timedelta(hours=n)) for n in range(30)]
+    retail_etl.run(lines(spark, *data), str(tmp_path / "good"))
+    found = {r.rule: r.violations for r in retail_etl.read_checks(spark, str(tmp_path / "good")).collect()}
+    assert set(found) == {rule for rules in etl.output_rules().values() for rule in rules} and set(found.values()) == {0}
+    retail_etl.run(lines(spark, line("C1", qty=-1)), str(tmp_path / "none"))  # tables without rows break no rule
+    assert retail_etl.read_checks(spark, str(tmp_path / "none")).where("violations > 0").count() == 0
+    # Facts that break rules are not published; each rule says how many rows.
+    facts = etl.sales_facts
+    broken = F.when(F.pmod(F.crc32("invoice_no"), F.lit(2)) == 0, -F.col("quantity")).otherwise(F.col("quantity"))
+    monkeypatch.setattr(etl, "sales_facts", lambda w: facts(w).withColumn("quantity", broken))
+    n = facts(work(spark, *data)).where(F.pmod(F.crc32("invoice_no"), F.lit(2)) == 0).count()
+    with pytest.raises(ValueError, match=f"sells at least one piece: {n}"):
+        retail_etl.run(lines(spark, *data), str(tmp_path / "bad"))
+    assert not (tmp_path / "bad" / "published").exists()

@@ -225,3 +225,33 @@ def test_cache(spark):
         "review_id string, text_hash string, model_version string",
     )
     assert [r.review_id for r in rv.cache_misses(records, cache, "v1").collect()] == ["r2"]
+
+
+def test_written_results_are_checked(spark, tmp_path):
+    from tallyloom.sources import files
+
+    reviews = spark.createDataFrame([("r1", "o1", 1, None, "quebrado"), ("r2", "o2", 2, "a", "Linha um\nlinha \"dois\" é"), ("r3", "o3", 1, None, None)], REVIEW)
+    plan.run_offline(reviews, str(tmp_path))
+    sound = files.read_review_results(spark, str(tmp_path))
+    files.require_sound_results(sound)
+    known = plan.route_reviews(reviews)
+    want = rs.expand_reviews(known.records, rs.offline_results(known.texts))
+    assert sorted(map(str, sound.drop("defect").collect())) == sorted(map(str, want.collect()))
+    meta = files.read_run_metadata(spark, str(tmp_path)).first()
+    assert (meta.record_count, meta.llm_call_count, meta.budget_exhausted) == (3, 0, False)
+    good = json.loads(next(x for f in (tmp_path / "records").glob("*.json") for x in f.read_text().splitlines()))
+    one = good["issues"][0]
+    lines = [
+        "{oops", json.dumps(good | {"review_score": "many"}), json.dumps({k: v for k, v in good.items() if k != "method"}),
+        json.dumps(good | {"issues": []}), json.dumps(good | {"issues": [one | {"category": "weather"}]}),
+        json.dumps(good | {"issues": [one, one | {"confidence": 1.5}]}), json.dumps(good | {"issues": None}),
+    ]
+    (tmp_path / "records" / "more.json").write_text("\n".join(lines))
+    again = files.read_review_results(spark, str(tmp_path))
+    counts = {r.defect: r["count"] for r in again.groupBy("defect").count().collect()}
+    assert counts == {None: 3, "not readable": 2, "missing field": 1, "no issue": 2, "unknown kind of issue": 1, "evidence or confidence out of range": 1}
+    with pytest.raises(ValueError, match="missing field: 1; no issue: 2; not readable: 2"):
+        files.require_sound_results(again)
+    (tmp_path / "metadata" / "more.json").write_text("{}")
+    with pytest.raises(ValueError):
+        files.read_run_metadata(spark, str(tmp_path))
