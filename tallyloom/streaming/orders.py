@@ -32,7 +32,6 @@ LOG = (
 )
 LATENESS = "2 days"  # an event that much older than the newest one of earlier micro-batches is late
 EXPIRY = "INTERVAL 30 DAYS"  # closed and alerted orders are forgotten so long after their last event
-COMPACT_EVERY = 10  # micro-batches between two compactions of the status table
 UP_TO_NOW = {"availableNow": True}
 CLOSED = ["delivered", "canceled"]
 
@@ -147,11 +146,6 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
 def _run(writer, checkpoint: str, trigger: dict) -> StreamingQuery:
     query = writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
     if trigger == UP_TO_NOW:
@@ -221,52 +215,27 @@ def late_events(log: DataFrame, accepted: DataFrame) -> DataFrame:
     return distinct_events(log.join(known, ["event_date", "event_id"], "left_anti"))
 
 
-def _newest(rows: DataFrame) -> DataFrame:
-    """The event that decides an order's state."""
-    whole = F.struct("order_id", "status", "version", "event_time", "event_id", "seller_id", "estimated_delivery_date")
-    best = F.max_by(whole, F.struct("version", "event_time", "event_id")).alias("s")
-    return rows.groupBy("order_id").agg(best).select("s.*")
-
-
-def _status_rows(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
-    """The newest base before ``upto`` and the changes since, as far as ``upto``."""
-    within = F.lit(True) if upto is None else F.col("batch_id") <= upto
-    changes = spark.read.parquet(f"{path}/changes").where(within)
-    if not _exists(spark, f"{path}/base"):
-        return changes.drop("batch_id")
-    bases = spark.read.parquet(f"{path}/base").where(F.lit(True) if upto is None else F.col("batch_id") < upto)
-    last = bases.agg(F.coalesce(F.max("batch_id"), F.lit(-1)).alias("b")).scalar()
-    return bases.where(F.col("batch_id") == last).unionByName(changes.where(F.col("batch_id") > last)).drop("batch_id")
+def status_job(log: DataFrame, path: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:
+    """Keep the current status of every order in the engine's state; a micro-batch writes the orders that changed.
 
-
-def status_sink(path: str, compact_every: int = COMPACT_EVERY) -> Sink:
-    """One row per order that changed, and from time to time one table of all orders.
-
-    A compaction needs the base before it and the changes since. Those stay until the next one, so the same
-    batch can be tried again; what is older goes.
+    The highest version wins, so copies, late events and the order of arrival make no difference.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        _put(_newest(batch), f"{path}/changes", batch_id)
-        if (batch_id + 1) % compact_every:
-            return
-        _put(_newest(_status_rows(spark, path, batch_id)), f"{path}/base", batch_id)
-        for old in range(batch_id - 2 * compact_every + 1, batch_id - compact_every + 1):
-            if old >= 0:
-                _delete(spark, _batch_folder(f"{path}/changes", old))
-        _delete(spark, _batch_folder(f"{path}/base", batch_id - 2 * compact_every))
+        _put(batch, path, batch_id)
 
-    return sink
+    return _run(_newest(log).writeStream.outputMode("update").foreachBatch(sink), checkpoint, trigger)
 
 
-def status_job(log: DataFrame, path: str, checkpoint: str, trigger: dict = UP_TO_NOW, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
-    """Keep the current status of every order, following the log."""
-    return run_batches(log, checkpoint, status_sink(path, compact_every), trigger)
+def _newest(rows: DataFrame) -> DataFrame:
+    """The event that decides an order's state."""
+    whole = F.struct("order_id", "status", "version", "event_time", "event_id", "seller_id", "estimated_delivery_date")
+    best = F.max_by(whole, F.struct("version", "event_time", "event_id")).alias("s")
+    return rows.groupBy("order_id").agg(best).select("s.*")
 
 
 def current_status(spark: SparkSession, path: str) -> DataFrame:
-    return latest_status(_status_rows(spark, path))
+    return latest_status(spark.read.parquet(path).drop("batch_id"))
 
 
 def seller_daily_job(accepted: DataFrame, path: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:

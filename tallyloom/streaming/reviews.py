@@ -1,13 +1,15 @@
-"""Review stream: rule labels, routes and token estimates per micro-batch, with a result cache."""
+"""Review stream: rule labels, routes and token estimates per micro-batch, for reviews not worked on before."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
 from ..operators import budget, reviews as rv
-from .orders import UP_TO_NOW, Sink, _put, run_batches
+from .orders import UP_TO_NOW, _put, run_batches
+
+REMEMBERED = "30 days"  # so long a review and its text are known after they came
 
 
 def work_for_models(texts: DataFrame) -> DataFrame:
@@ -27,39 +29,28 @@ def speaking_reviews(reviews: DataFrame) -> DataFrame:
     return rv.review_records(reviews).where(F.col("raw_text") != "")
 
 
-def stream_reviews(records: DataFrame, cache: DataFrame | None, model_version: str) -> DataFrame:
-    """Routed texts of the reviews that have a text and a low score and are not cached."""
-    fresh = records
-    if cache is not None:
-        fresh = rv.cache_misses(fresh, cache, model_version)
-    return work_for_models(rv.route_texts(rv.dedup_texts(fresh)))
-
-
-def review_sink(out_path: str, cache_path: str, model_version: str) -> Sink:
-    """Write the routed texts of a micro-batch and remember its reviews.
+def unknown_reviews(reviews: DataFrame, model_version: str) -> DataFrame:
+    """Reviews with a text and a low score that this model version has not seen with this text for REMEMBERED.
 
-    Batch N reads the memory of earlier batches only, so trying it again gives the same rows.
+    What is known is the engine's keyed state, spread over its partitions by the key, so a micro-batch looks up
+    its own keys only; a key leaves the state REMEMBERED after it came.
     """
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        cache = None
-        if batch_id > 0:
-            cache = batch.sparkSession.read.parquet(cache_path).where(F.col("batch_id") < batch_id)
-        # Texts are normalised once for both tables.
-        seen = speaking_reviews(batch).persist()
-        _put(stream_reviews(seen, cache, model_version), out_path, batch_id)
-        _put(
-            seen.select("review_id", "text_hash", F.lit(model_version).alias("model_version")).distinct(),
-            cache_path,
-            batch_id,
-        )
-        seen.unpersist()
-
-    return sink
+    keyed = speaking_reviews(reviews).withColumns({"model_version": F.lit(model_version), "arrived": F.current_timestamp()})
+    return keyed.withWatermark("arrived", REMEMBERED).dropDuplicatesWithinWatermark(["review_id", "text_hash", "model_version"])
 
 
 def review_job(
     reviews: DataFrame, folder: str, checkpoint: str, model_version: str, trigger: dict = UP_TO_NOW
 ) -> StreamingQuery:
-    sink = review_sink(f"{folder}/texts", f"{folder}/cache", model_version)
-    return run_batches(reviews, checkpoint, sink, trigger)
+    """Routed texts of every micro-batch that hold new work, in ``folder/texts``."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        _put(work_for_models(rv.route_texts(rv.dedup_texts(batch))), f"{folder}/texts", batch_id)
+
+    return run_batches(unknown_reviews(reviews, model_version), checkpoint, sink, trigger)
+
+
+def current_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts of all micro-batches, each once; its lowest review id speaks for it."""
+    rows = spark.read.parquet(f"{folder}/texts").drop("batch_id")
+    return rows.groupBy("dedup_key").agg(F.min_by(F.struct(*rows.columns), "review_id").alias("t")).select("t.*")

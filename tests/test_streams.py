@@ -42,27 +42,22 @@ def test_latest_status_is_independent_of_arrival(spark, feed):
     so.log_job(stream, f"{folder}-log", f"{folder}-cp")
     assert spark.read.parquet(f"{folder}-log").count() == 8
     want = {("a", "shipped", 3), ("b", "canceled", 2), ("c", "delivered", 2)}
-    for every in (1, 2, 3, 10):
-        log = so.log_stream(spark, f"{folder}-log")
-        so.status_job(log, f"{folder}-status{every}", f"{folder}-cp{every}", compact_every=every)
-        got = {(r.order_id, r.status, r.version) for r in so.current_status(spark, f"{folder}-status{every}").collect()}
-        assert got == want
+    so.status_job(so.log_stream(spark, f"{folder}-log"), f"{folder}-status", f"{folder}-cp1")
+    got = {(r.order_id, r.status, r.version) for r in so.current_status(spark, f"{folder}-status").collect()}
+    assert got == want
     twin = so.latest_status(so.distinct_events(so.good_events(so.parsed_events(batch))))
     assert {(r.order_id, r.status, r.version) for r in twin.collect()} == want
 
 
-def test_status_table_is_compacted_and_repeatable(spark, feed):
-    batches = [[event(n, f"o{n % 3}", "shipped", n, n)] for n in range(1, 9)]
-    _, batch, folder = feed(*batches)
-    good = so.good_events(so.parsed_events(batch))
-    sink = so.status_sink(f"{folder}-status", compact_every=2)
-    for n in range(8):
-        for _ in range(2):
-            sink(good.where(F.col("version") == n + 1), n)
-        got = {r.order_id: r.version for r in so.current_status(spark, f"{folder}-status").collect()}
-        assert got == {f"o{v % 3}": max(w for w in range(1, n + 2) if w % 3 == v % 3) for v in range(1, n + 2)}
-    assert {r.batch_id for r in spark.read.parquet(f"{folder}-status/base").select("batch_id").distinct().collect()} == {5, 7}
-    assert {r.batch_id for r in spark.read.parquet(f"{folder}-status/changes").select("batch_id").distinct().collect()} == {6, 7}
+def test_a_batch_writes_the_orders_that_changed(spark, feed):
+    """The state knows earlier versions: a batch that brings an old one writes what holds now."""
+    batches = [[event(1, "a", "paid", 2, 1), event(2, "b", "paid", 1, 1)], [event(3, "a", "created", 1, 0)], [event(4, "c", "paid", 1, 2), event(1, "a", "paid", 2, 1)]]
+    stream, _, folder = feed(*batches)
+    good = so.good_events(so.parsed_events(stream))
+    so.status_job(good, f"{folder}-status", f"{folder}-cp")
+    changes = spark.read.parquet(f"{folder}-status")
+    assert sorted((r.batch_id, r.order_id, r.version) for r in changes.collect()) == [(0, "a", 2), (0, "b", 1), (1, "a", 2), (2, "a", 2), (2, "c", 1)]
+    assert sorted((r.order_id, r.status) for r in so.current_status(spark, f"{folder}-status").collect()) == [("a", "paid"), ("b", "paid"), ("c", "paid")]
 
 
 def logs(spark, folder):
@@ -203,3 +198,26 @@ def test_reviews_are_worked_on_once(spark, feed):
     sr.review_job(stream, f"{folder}-out", f"{folder}-cp", "v1")
     got = spark.read.parquet(f"{folder}-out/texts")
     assert sorted((r.review_id, r.route) for r in got.collect()) == [("r1", "small_llm"), ("r4", "rule")]
+
+
+def test_known_reviews_are_remembered_over_runs(spark, feed):
+    schema = "review_id string, order_id string, review_score int, review_comment_title string, review_comment_message string"
+    folder = fresh_folder(spark, "runs")
+    text, other = "achei a cor muito feia", "nao gostei nada do tecido dele"
+    arrivals = [
+        [("r5", "o", 1, None, text), ("r6", "o", 1, None, text)],
+        [("r5", "o", 1, None, text), ("r2", "o", 1, None, text.upper()), ("r5", "o", 1, None, other)],
+        [("r2", "o", 1, None, text.upper()), ("r6", "o", 1, None, text)],
+    ]
+    for n, rows in enumerate(arrivals):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/part={n}")
+        query = sr.review_job(spark.readStream.schema(schema).parquet(f"{folder}/part=*"), f"{folder}-out", f"{folder}-cp", "v1")
+    done = spark.read.parquet(f"{folder}-out/texts")
+    assert sorted((r.review_id, r.raw_text) for r in done.collect()) == [("r2", text.upper()), ("r5", text), ("r5", other)]
+    assert done.select("batch_id").distinct().count() == 2
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 4
+    now = sr.current_texts(spark, f"{folder}-out").collect()
+    assert sorted((r.review_id, r.raw_text) for r in now) == [("r2", text.upper()), ("r5", other)]
+    # Another model version does all of it again.
+    sr.review_job(spark.readStream.schema(schema).parquet(f"{folder}/part=*"), f"{folder}-two", f"{folder}-cp2", "v2")
+    assert sr.current_texts(spark, f"{folder}-two").count() == 2
