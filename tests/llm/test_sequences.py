@@ -11,14 +11,12 @@ tokenizers = pytest.importorskip("tokenizers")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = tokenizers.Tokenizer.from_file(queries.vocabulary("json"))
-    t.encode_special_tokens = True
-    return t
+    return tokenizers.Tokenizer.from_file(queries.vocabulary("json"))
 
 
 def test_fast_ids_equal_the_tokenizer(tokenizer, corpus):
     encode = packing.byte_bpe_encoder(queries.vocabulary("json"), queries.vocabulary("ranks"))
-    odd = ["", " ", "\n\n  x", "<|endoftext|> a", "don't 12345 ١٢٣ 😀 é́ ​ 　 x", "a" * 3000, " " * 500 + "b", "\x00\x7f﻿", "İſK"]
+    odd = ["", " ", "\n\n  x", "<|endoftext|> a", "<|endoftext|>", "x <|endoftext|><|endoftext|>\n<|endoftext", "a<|endoftext|>" + " " * 300, "don't 12345 ١٢٣ 😀 é́ ​ 　 x", "a" * 3000, " " * 500 + "b", "\x00\x7f﻿", "İſK"]
     for text in [*odd, *[t for _, t, *_ in corpus if t]]:
         assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -52,8 +50,10 @@ def check_packing(rows, texts, tokenizer, capacity=1024):
 
 
 def test_packing_is_whole_and_full(spark, wide_docs, corpus, tokenizer):
-    rows = packing.pack(wide_docs, queries.byte_bpe()).collect()
-    sequences = check_packing(rows, {d: t for d, t, *_ in corpus}, tokenizer)
+    more = [(10_000, "one <|endoftext|> two"), (10_001, "<|endoftext|>" * 1500)]
+    both = wide_docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
+    rows = packing.pack(both, queries.byte_bpe()).collect()
+    sequences = check_packing(rows, {d: t for d, t, *_ in corpus} | dict(more), tokenizer)
     assert sum(r.length for r in rows) / 1024 / len(sequences) > 0.9
 
 
