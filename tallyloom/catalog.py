@@ -22,9 +22,9 @@ from .operators import (
     reviews as rv,
 )
 from .plans import retail_etl, review_extraction as extraction
-from .session import fresh_folder, staged
+from .session import fresh_folder, staged, stored
 from .sources import bindings, files
-from .streaming import orders as so, reviews as sr
+from .streaming import orders as so, reconciliation, reviews as sr
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -345,14 +345,36 @@ def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@query("reconcile")
-def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order headers against a snapshot that lags behind: other orders, statuses, values and reviews."""
+def snapshot_totals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Daily totals of the order headers, and of a snapshot that lags behind: other orders, statuses, values and reviews."""
     t = bindings.marketplace(spark, sf_dir)
     paid = t["order_payments"].select("order_id", F.col("payment_value").alias("price"))
     source = mk.day_totals(t["orders"], paid, t["order_reviews"])
     late = bindings.served_snapshot(t)
-    return mk.reconcile(source, mk.day_totals(late["orders"], late["order_items"], late["order_reviews"]))
+    return source, mk.day_totals(late["orders"], late["order_items"], late["order_reviews"])
+
+
+@query("reconcile")
+def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mk.reconcile(*snapshot_totals(spark, sf_dir))
+
+
+@query("reconcile_stream")
+def reconcile_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same out of two streams of daily totals, whose days arrive year by year."""
+    folder = fresh_folder(spark, "reconcile")
+    sides = {name: stored(df, f"totals-{name}") for name, df in zip(("source", "served"), snapshot_totals(spark, sf_dir), strict=True)}
+    span = sides["source"].agg(F.year(F.min("day")).alias("first"), F.year(F.max("day")).alias("last")).first()
+    # A row of no totals on either side closes the last days; it is not part of the result.
+    closing = f"{(span['last'] or 0) + 2:04}-01-01"
+    for year in range(span["first"] or 0, (span["last"] or -1) + 2):
+        for name, totals in sides.items():
+            end = spark.range(1).select(F.lit(closing).cast("date").alias("day")) if year > span["last"] else spark.range(0).select(F.lit(None).cast("date").alias("day"))
+            rows = totals.where(F.year("day") == year).unionByName(end, allowMissingColumns=True)
+            rows.write.parquet(f"{folder}/{name}/year={year}")
+        streams = [spark.readStream.schema(df.schema).parquet(f"{folder}/{name}/year=*") for name, df in sides.items()]
+        reconciliation.reconcile_job(*streams, f"{folder}/days", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/days").where(F.col("day") != closing)
 
 
 # --- review texts ----------------------------------------------------------------------------

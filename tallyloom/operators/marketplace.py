@@ -246,7 +246,7 @@ def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
         return F.coalesce(F.col(f"{side}.{name}").cast("decimal(38,2)"), F.lit(0).cast("decimal(38,2)"))
 
     joined = a.join(b, "day", "full")
-    columns = [F.col("day").cast("string").alias("day")]
+    columns = [F.to_date("day").cast("string").alias("day")]
     for name in measures:
         columns.append((cell("a", name) - cell("b", name)).cast("double").alias(f"{name}_diff"))
     rate = [F.coalesce(_rate(cell(s, "canceled"), cell(s, "orders")), F.lit(0.0)) for s in ("a", "b")]

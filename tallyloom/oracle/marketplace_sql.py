@@ -157,6 +157,7 @@ def statements() -> dict[str, str]:
             f"SELECT * FROM m_customers WHERE strip_accents(lower(customer_city)) LIKE '%' || strip_accents(lower('{catalog.CITY}')) || '%'"
         ),
         "reconcile": _reconcile(),
+        "reconcile_stream": _reconcile(),
         "orders_csv": market(
             """SELECT order_id, customer_id, order_status, purchased AS order_purchase_timestamp,
             CASE WHEN k % 20 <> 5 THEN purchased + INTERVAL 60 MINUTE END AS order_approved_at,

@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import json
+from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
@@ -221,3 +222,37 @@ def test_known_reviews_are_remembered_over_runs(spark, feed):
     # Another model version does all of it again.
     sr.review_job(spark.readStream.schema(schema).parquet(f"{folder}/part=*"), f"{folder}-two", f"{folder}-cp2", "v2")
     assert sr.current_texts(spark, f"{folder}-two").count() == 2
+
+
+def test_days_are_reconciled_once_complete(spark):
+    from datetime import date
+
+    from tallyloom.operators import marketplace as mk
+    from tallyloom.streaming.reconciliation import reconcile_job
+
+    totals = "day date, orders long, gmv decimal(22,2), canceled long, reviews long"
+    folder = fresh_folder(spark, "reconcile")
+
+    def day(n, orders):
+        return (date(2024, 1, 1) + timedelta(days=n), orders, Decimal(10 * orders), 1, 2)
+
+    # Day 2 is served late but in time, day 3 never, day 21 is unknown to the source; days 40 and 41 still wait.
+    source = [[day(0, 5), day(1, 5), day(2, 4), day(3, 3)], [day(5, 6)], [day(20, 8)], [day(40, 1), day(41, 1)]]
+    served = [[day(0, 5), day(1, 6)], [day(2, 4), day(5, 6)], [day(20, 8), day(21, 2)], [day(40, 1)]]
+    done = []
+    for n, sides in enumerate(zip(source, served, strict=True)):
+        streams = []
+        for name, rows in zip(("source", "served"), sides, strict=True):
+            spark.createDataFrame(rows, totals).coalesce(1).write.parquet(f"{folder}/{name}/part={n}")
+            streams.append(spark.readStream.schema(totals).parquet(f"{folder}/{name}/part=*"))
+        reconcile_job(*streams, f"{folder}/days", f"{folder}/cp")
+        done.append({r.day for r in spark.read.parquet(f"{folder}/days").collect()})
+    first = [str(day(n, 0)[0]) for n in range(42)]
+    assert done[0] == {first[0], first[1]}
+    assert done[1] == done[0] | {first[2], first[5]}
+    assert done[2] == done[1] | {first[20], first[3]}  # day 3 was given up
+    assert done[3] == done[2] | {first[40], first[21]}
+    sides = [spark.createDataFrame([r for part in rows for r in part], totals) for rows in (source, served)]
+    want = {str(r) for r in mk.reconcile(*sides).collect() if r.day != first[41]}
+    got = spark.read.parquet(f"{folder}/days").collect()
+    assert {str(r) for r in got} == want and len(got) == len(want)
