@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import fixed_values as fv
+from .functions import fixed_values as fv, sketches
 from .operators import (
     association,
     budget,
@@ -148,6 +148,21 @@ def customer_id_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.groupBy("customer_id_raw", "customer_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
+SKETCHED, SKETCHED_AT = ["quantity", "price"], [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+
+
+@query("sketched_profile")
+def sketched_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles out of written sketches of single days, and whether each one's true rank is as near as is stated."""
+    w, folder = work(spark, sf_dir), fresh_folder(spark, "day-sketches")
+    sketches.write_day_sketches(sketches.day_sketches(w, "invoice_datetime", SKETCHED), folder)
+    found = sketches.sketched_quantiles(sketches.read_day_sketches(spark, folder), SKETCHED_AT)
+    ranks = sketches.true_ranks(w, stored(found, "sketched"), SKETCHED)
+    error = 2 * sketches.rank_error()  # beyond what is stated for 99 of 100 cases
+    near = F.col("p").between(F.col("below") - error, F.col("upto") + error)
+    return ranks.select("measure", "p", "n", near.alias("within_error"))
+
+
 @query("null_report")
 def null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.null_report(lines(spark, sf_dir))

