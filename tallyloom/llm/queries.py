@@ -104,7 +104,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(_table(spark, sf_dir, "documents"), vocabulary("pieces"), with_ids=False)
+    return pieces.encode(_table(spark, sf_dir, "documents"), vocabulary("pieces"))
 
 
 def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
