@@ -1,15 +1,18 @@
 """Sharding by a k-d tree: nodes are split at weighted medians along their widest metadata dimension.
 
-Every document becomes a narrow row: its size and three metadata coordinates (log of the size, source,
-lang), each scaled to 24 bits of its range over the whole table. A node is split along the coordinate on
+Every document becomes a narrow row: its size and three metadata coordinates (log of the size, and the rank of
+source and of lang among the distinct values in order), each scaled to 24 bits of its range over the whole table. Copies of a
+text share the smallest coordinates among them, so they are neighbours in every order, and a cut divides at
+most the copies of the text that it falls on. A node is split along the coordinate on
 which its rows spread widest, at the point where the bytes left of it are half (or the due part) of the
-node's. The point is found on 63-bit keys, coordinate first, then a hash of the text, then of the row: a
+node's. The point is found on 63-bit keys, coordinate first, then a hash of the text, then of the row's columns: a
 histogram of the current interval names the part that holds the median, and the next one divides that
 part, until a bound of it is near enough or it is one document. All rows are counted in every histogram, in parallel; a node
 costs a bounded number of bins. Leaves left to right are the shards, numbered from 0.
 
-Defined cases: a null text has size 1 and CRC 0; null metadata sorts first; equal keys are told apart by a
-hash of the stored row, so any number of copies can be divided. An empty table gives an empty result.
+Defined cases: a null text has size 1 and CRC 0; null metadata counts as empty and sorts first; rows that agree in doc_id,
+text, source and lang are told apart by their place, so any number of copies can be divided. All other rows
+get the same shard whatever the files they lie in. An empty table gives an empty result.
 More than MAX_SHARDS shards raise ValueError, since the split points are broadcast.
 """
 
@@ -28,42 +31,56 @@ CODE_BITS, TIE_BITS = 24, 39
 SLOT_ROWS = 100_000
 
 
-def _prefix_code(value: Column) -> Column:
-    """The first six bytes of a string as a number that sorts like them."""
-    head = F.rpad(F.hex(F.substring(F.encode(F.coalesce(value, F.lit("")), "UTF-8"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("long")
+def _ranked(rows: DataFrame, column: str) -> DataFrame:
+    """Add ``raw_column``: the number of smaller distinct values. Values are ordered range by range, none in one task."""
+    values = stored(rows.select(column).distinct(), "values")
+    parts = max(1, values.count() // SLOT_ROWS)
+    dealt = stored(values.repartitionByRange(parts, column).withColumn("part", F.spark_partition_id()), "value-ranges")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(column)) - 1
+    ranks = dealt.withColumn("at", inside).join(starts, "part").select(column, (F.col("start") + F.col("at")).cast("long").alias(f"raw_{column}"))
+    return rows.join(stored(ranks, "ranks"), column)
 
 
 def _coordinates(docs: DataFrame) -> DataFrame:
     """Narrow rows: doc_id, size, crc, row, tie and the scaled coordinates x0, x1, ..."""
     text = F.coalesce(F.col("text"), F.lit(""))
     size = F.octet_length(text).cast("long") + 1
-    raw = {
-        "size": (F.log2(size.cast("double")) * (1 << 40)).cast("long"),
-        "source": _prefix_code(F.col("source").cast("string")),
-        "lang": _prefix_code(F.col("lang").cast("string")),
-    }
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in COORDS[1:]]
     rows = stored(
         docs.select(
             "doc_id",
             size.alias("size"),
             F.crc32(F.encode(text, "UTF-8")).alias("crc"),
-            F.monotonically_increasing_id().alias("row"),
-            *[raw[c].alias(f"raw_{c}") for c in COORDS],
-        ),
+            F.xxhash64(text).alias("same"),
+            F.monotonically_increasing_id().alias("place"),
+            (F.log2(size.cast("double")) * (1 << 40)).cast("long").alias("raw_size"),
+            *named,
+        ).withColumn("row", F.xxhash64("doc_id", "same", *COORDS[1:])),
         "shard-rows",
     )
+    repeated = stored(rows.groupBy("row").agg(F.count("*").alias("n")).where("n > 1").select("row", F.lit(True).alias("again")), "repeated")
+    for c in COORDS[1:]:
+        rows = _ranked(rows, c)
+    rows = stored(
+        rows.join(repeated, "row", "left").withColumn("row", F.when(F.col("again"), F.col("place")).otherwise(F.col("row"))),
+        "ranked-rows",
+    )
+    lowest = [F.min(f"raw_{c}").alias(f"low_{c}") for c in COORDS[1:]]
+    copies = stored(rows.groupBy("same", "crc").agg(F.count("*").alias("n"), *lowest).where("n > 1").drop("n"), "copies")
     # Six numbers; an empty table has none and any will do.
     ends = rows.agg(*[f(f"raw_{c}").alias(f"{n}_{c}") for c in COORDS for n, f in (("lo", F.min), ("hi", F.max))]).first()
     low = {c: ends[f"lo_{c}"] or 0 for c in COORDS}
     span = {c: (ends[f"hi_{c}"] or 0) - low[c] + 1 for c in COORDS}
     # Copies of a text share the upper part of the tie, so that they are neighbours in every order.
-    tie = F.shiftleft(F.pmod(F.xxhash64("crc"), F.lit(1 << 20)), 19) + F.pmod(F.xxhash64("row"), F.lit(1 << 19))
+    tie = F.shiftleft(F.pmod(F.xxhash64("crc", "same"), F.lit(1 << 20)), 19) + F.pmod(F.xxhash64("row"), F.lit(1 << 19))
+    raw = {c: F.coalesce(f"low_{c}", f"raw_{c}") if c in COORDS[1:] else F.col(f"raw_{c}") for c in COORDS}
     scaled = [
-        F.floor((F.col(f"raw_{c}") - low[c]) / span[c] * ((1 << CODE_BITS) - 1)).cast("long").alias(f"x{i}")
-        for i, c in enumerate(COORDS)
+        F.floor((raw[c] - low[c]) / span[c] * ((1 << CODE_BITS) - 1)).cast("long").alias(f"x{i}") for i, c in enumerate(COORDS)
     ]
-    return rows.select("doc_id", "size", "crc", "row", tie.alias("tie"), *scaled)
+    placed = rows.join(copies, ["same", "crc"], "left").select("doc_id", "size", "crc", "row", tie.alias("tie"), *scaled)
+    return stored(placed, "coordinates")
 
 
 def _key(dim: Column) -> Column:
@@ -197,7 +214,7 @@ def with_slots(assigned: DataFrame) -> DataFrame:
     counts = rows.groupBy("shard", "part").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "part").orderBy("row")
+    inside = Window.partitionBy("shard", "part").orderBy("row", "doc_id")
     return (
         rows.withColumn("at", F.row_number().over(inside) - 1)
         .join(starts, ["shard", "part"])

@@ -122,6 +122,16 @@ def test_sampled_shares_follow_the_lattice(vocabulary):
         assert abs(seen[s] / n - share) < 4 * (share * (1 - share) / n) ** 0.5 + 2 / n
 
 
+def test_long_words_are_cut_and_walked_alike(vocabulary, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = ["abcde" * 700, "".join(map(chr, rng.integers(0x4E00, 0x9FFF, 5000))), "".join(map(chr, rng.integers(97, 123, 3000))), "there " * 50]
+    whole = pieces.encode_batch(pieces.Lattices(vocabulary), [1, 2, 3, 4], texts)
+    assert [pieces.decode(vocabulary, x) for x in whole] == texts
+    monkeypatch.setattr(pieces, "STEPS", 3)
+    other = pieces.encode_batch(pieces.Lattices(vocabulary), [1, 2, 3, 4], texts)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, other, strict=True))
+
+
 def test_round_trip_and_reproducible(spark, docs, odd_docs, no_docs, corpus, vocabulary):
     odd = ["▁", " ▁ a▁", "\n\n \n", "   ", "😀\x00\x01", "a" * 5000, "é" * 50 + "́", "tab\tx", "İ中文字", " lead and trail "]
     first = pieces.encode_batch(pieces.Lattices(vocabulary), list(range(len(odd))), odd)
@@ -169,6 +179,34 @@ def test_copies_and_equal_metadata_can_be_divided(spark, monkeypatch):
     assert max(sizes) - min(sizes) <= 10
 
 
+def test_copies_share_a_shard_wherever_they_come_from(spark):
+    rng = np.random.default_rng(5)
+    start = "https://example.org/a/very/long/common/beginning/"
+    rows = [
+        (i, f"text {i // 6} " + "x" * int(rng.integers(0, 90) if i % 6 else 40), f"l{int(rng.integers(0, 4))}", f"{start}{int(rng.integers(0, 40)):02}", 0)
+        for i in range(2400)
+    ]
+    rows = [(i, rows[i - i % 6][1], lang, source, 0) for i, _, lang, source, _ in rows]
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    found = [
+        {r.doc_id: (r.shard, r.slot) for r in kd_shards.with_slots(kd_shards.assign(spark.createDataFrame(rows[::step], kind).repartition(n), shards=8)).collect()}
+        for n, step in ((3, 1), (7, -1))
+    ]
+    assert found[0] == found[1]
+    shards = defaultdict(set)
+    for i, text, *_ in rows:
+        shards[text].add(found[0][i][0])
+    assert len(shards) == 400 and sum(len(s) > 1 for s in shards.values()) <= 7
+
+
+def test_ranks_tell_long_values_apart(spark, monkeypatch):
+    monkeypatch.setattr(kd_shards, "SLOT_ROWS", 10)
+    values = [f"https://example.org/{i:03}" for i in range(60)] + [""]
+    frame = spark.createDataFrame([(v,) for v in values * 3], "source string")
+    got = {r.source: r.raw_source for r in kd_shards._ranked(frame, "source").collect()}
+    assert got == {v: i for i, v in enumerate(sorted(values))}
+
+
 def test_shards_of_odd_tables(odd_docs, no_docs, wide_docs):
     out = kd_shards.with_slots(kd_shards.assign(odd_docs, shards=8)).collect()
     assert len(out) == 7 and sorted(r.size for r in out)[:2] == [1, 1]
