@@ -4,7 +4,7 @@ Fingerprints: A-Z lower-cased, words between ASCII white space, 3-word shingles
 seed 42; a bit is set if more than half of the shingles have it.
 
 Links at MAX_BITS or fewer differing bits are found on the distinct fingerprints. A vantage-point tree,
-fitted on at most SAMPLE fingerprints, cuts Hamming space into shards: a node sends a fingerprint inside
+fitted on SAMPLE fingerprints, or on two a shard where more shards are needed, cuts Hamming space into shards: a node sends a fingerprint inside
 when its distance to the vantage point is at most the node's radius. A fingerprint lies in one shard and
 asks every shard that its ball of MAX_BITS can reach by the triangle inequality. Within a shard a second
 tree of the same kind prunes the pairs, and each batch of queries returns the smallest partner group per
@@ -215,8 +215,11 @@ def links(prints: DataFrame) -> DataFrame:
     """
     rows = prints.count()
     shards = max(MIN_SHARDS, 1 << max(0, (rows // SHARD_ROWS)).bit_length())
-    sample = prints.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()
-    nodes = _regions(np.array([r.fp for r in sample], np.int64).view(np.uint64), shards)
+    # Two or more a shard, so that the tree has as many leaves as shards are wanted: about one in 8,000 beyond SAMPLE.
+    step = max(1, rows // max(SAMPLE, 2 * shards))
+    sample = prints.where(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0).select("fp").toArrow()
+    drawn = np.sort(np.asarray(sample.column(0)).view(np.uint64))
+    nodes = _regions(np.random.default_rng(SEED).permutation(drawn), shards)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,11 +265,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Rows that share a doc_id stay or go together; a group whose rows all lack doc_id stays whole.
     """
-    keep = fresh(docs, "near_keep")
-    stay = (
-        groups(docs, id_col, text_col)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias(keep))
-        .distinct()
+    gone_id = fresh(docs, "near_gone")
+    told = groups(docs, id_col, text_col).select("doc_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays"))
+    # The few ids that go are written out: their size is known, and the engine sends them to the documents while it is small.
+    gone = stored(
+        told.groupBy(F.col("doc_id").alias(gone_id)).agg(F.bool_or("stays").alias("stays")).where("not stays").select(gone_id), "gone"
     )
-    return docs.join(stay, docs[id_col].eqNullSafe(stay[keep]), "left_semi")
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone[gone_id]), "left_anti")

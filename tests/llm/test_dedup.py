@@ -114,6 +114,22 @@ def test_vantage_point_trees_lose_no_link(spark):
     assert {x: linked.get(x, x) for x in want} == want
 
 
+def test_the_shard_tree_grows_with_the_shards():
+    rng = np.random.default_rng(4)
+    prints = rng.integers(0, 1 << 63, 60_000, dtype=np.uint64) * np.uint64(2)
+    nodes = simhash._regions(prints[:16_384], 8192)
+    shard, _, home = simhash._deal(nodes, prints[-2000:])
+    assert home.sum() == 2000 and len(nodes) > 4096
+    own = simhash._deal(nodes, prints)
+    filled = np.unique(own[0][own[2]], return_counts=True)[1]
+    assert len(filled) > 4096 and filled.max() < 16 * filled.mean()
+
+
+def test_near_copies_leave_by_their_ids(docs):
+    plan = simhash.keep_one(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_a_long_text_is_fingerprinted_in_chunks(monkeypatch):
     text = " ".join(f"w{i % 977}" for i in range(5000))
     whole = simhash.fingerprint(text)
