@@ -7,7 +7,9 @@ as well. A query keeps a beam; if its whole beam lies above the threshold, the b
 waits for the first GATHER queries of the label (in hash order; all, if there are fewer) and counts their
 links to other vectors by brute force over the shard. AUDITS of those with at most BEAM links and AUDITS of those with
 more are asked; while the mean recall of the queries of either sort is below AUDIT_RECALL, the beam of all
-queries is doubled, up to the size of the shard, and beyond that the shard is scanned. Where none of the
+queries is doubled, up to the size of the shard, and beyond that the shard is scanned. A shard where one of
+the gathered queries is linked to more than 1/DENSE of it is scanned at once, in exact matrix blocks: a beam that holds so much of a graph
+costs more than that. Where none of the
 gathered queries has a link, there is nothing to compare and the beam stays. Every candidate is verified by its cosine in double precision, so no false link is reported.
 
 A batch of queries returns, per vector, its number of links and a star over each linked group, not its
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +47,8 @@ GATHER = 4096  # queries that are held back for the audit
 AUDITS = 128
 AUDIT_RECALL = 0.995
 WIDER = 2
+DENSE = 16  # a query linked to more than this part of a shard calls for a scan
+PAIRS = 1 << 16
 EXPAND = 4  # beam entries expanded at a time
 BATCH = 512
 MARGIN = 1e-4  # single precision is used for walking only
@@ -194,24 +199,47 @@ class Graph:
 
 def _cosine_pairs(points: np.ndarray, queries: np.ndarray, q: np.ndarray, p: np.ndarray):
     """Keep the pairs whose cosine in double precision reaches the threshold."""
-    keep = np.einsum("ij,ij->i", queries[q], points[p]) >= COSINE if len(q) else np.empty(0, bool)
+    keep = np.empty(len(q), bool)
+    for i in range(0, len(q), PAIRS):  # two vectors a pair, so a slice at a time
+        part = slice(i, i + PAIRS)
+        keep[part] = np.einsum("ij,ij->i", queries[q[part]], points[p[part]]) >= COSINE
     return q[keep], p[keep]
 
 
-def _scan_pairs(points: np.ndarray, queries: np.ndarray):
-    found = [(i + a, b) for i in range(0, len(queries), BATCH) for a, b in [np.nonzero(queries[i : i + BATCH] @ points.T >= COSINE - MARGIN)]]
-    q, p = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 2
-    return _cosine_pairs(points, queries, q, p)
+def _linked_block(points: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Which point each query is linked to, as a matrix. Cosines within rounding of the threshold are taken pair by pair."""
+    cosine = queries @ points.T
+    near = cosine >= COSINE
+    q, p = np.nonzero(np.abs(cosine - COSINE) < 1e-9)
+    near[q, p] = False
+    q, p = _cosine_pairs(points, queries, q, p)
+    near[q, p] = True
+    return near
+
+
+def _least_reached(near: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest id that each row and column of a matrix of links reaches within it."""
+    none = np.iinfo(np.int64).max
+    while True:
+        low_rows = np.minimum(rows, np.where(near, columns, none).min(1, initial=none))
+        low_columns = np.minimum(columns, np.where(near, low_rows[:, None], none).min(0, initial=none))
+        if np.array_equal(rows, low_rows) and np.array_equal(columns, low_columns):
+            return rows, columns
+        rows, columns = low_rows, low_columns
 
 
 class Shard:
-    """The index of one shard: graph, and the beam that the audits settled on."""
+    """The index of one shard: graph, and the beam that the audits settled on; a scan where links are dense."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.graph = Graph(vectors)
         self.width, self.scan = min(BEAM, len(ids)), False
 
+    @cached_property
+    def graph(self) -> Graph:
+        """Built when it is first walked."""
+        return Graph(self.vectors)
+
     def audit(self, queries: np.ndarray, ids: np.ndarray | None = None) -> None:
         """Widen the beam until the audited queries find their links; ``ids``: their nodes, so that a link of a
         vector to itself does not count."""
@@ -223,6 +251,9 @@ class Shard:
             if own is not None:
                 near &= own[i : i + BATCH, None] != self.ids
             truth[i : i + BATCH] = near.sum(1)
+        if truth.max(initial=0) > max(BEAM, len(self.ids) // DENSE):
+            self.scan = True  # beams would have to hold a good part of the shard
+            return
         sorts = [np.flatnonzero((truth > 0) & (truth <= BEAM))[:AUDITS], np.flatnonzero(truth > BEAM)[:AUDITS]]
         while not all(self._recall(some[x], None if own is None else own[x], truth[x]) >= AUDIT_RECALL for x in sorts if len(x)):
             if self.width >= len(self.ids):
@@ -241,8 +272,9 @@ class Shard:
         return float(np.minimum(got / truth, 1.0).mean())
 
     def links(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs (query, point) found; of a scanned shard they may be very many, so the job asks for the matrix."""
         if self.scan:
-            return _scan_pairs(self.vectors, queries)
+            return np.nonzero(_linked_block(self.vectors, queries))
         return _cosine_pairs(self.vectors, queries, *self.graph.candidates(queries, self.width))
 
 
@@ -259,7 +291,26 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(node: np.ndarray, root: np.ndarray, links: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(node), pa.array(root), pa.array(links)], names=["node", "root", "links"])
 
-    def respond(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch | None:
+    def scanned(ids: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch:
+        """All links of some queries, counted and united in the matrix of links, without a list of pairs."""
+        near = _linked_block(shard.vectors, vectors) & (ids[:, None] != shard.ids)
+        count = np.where(near, shard.copies, 0).sum(1)
+        of_query, of_point = _least_reached(near, ids, shard.ids)
+        asked, moved = count > 0, of_point < shard.ids
+        return out(
+            np.concatenate([ids[asked], shard.ids[moved]]),
+            np.concatenate([of_query[asked], of_point[moved]]),
+            np.concatenate([count[asked].astype(np.int64), np.zeros(moved.sum(), np.int64)]),
+        )
+
+    def respond(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(ids), BATCH):
+            part = slice(i, i + BATCH)
+            found = scanned(ids[part], vectors[part]) if shard.scan else walked(ids[part], vectors[part])
+            if found is not None:
+                yield found
+
+    def walked(ids: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch | None:
         q, p = shard.links(vectors)
         other = ids[q] != shard.ids[p]
         q, p = q[other], p[other]
@@ -280,7 +331,8 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shard = Shard(ids, xs)
             shard.copies = weights
             shard.audit(np.concatenate([x for *_, x in held]), np.concatenate([x for x, *_ in held]))
-            yield from (x for x in map(lambda x: respond(*x), held) if x is not None)
+            for asked in held:
+                yield from respond(*asked)
             held.clear()
 
     for batch in batches:
@@ -297,9 +349,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if role[i] == 0:
                 points.append((node[i:j], copies[i:j], vectors))
             elif shard is not None:
-                result = respond(node[i:j], copies[i:j], vectors)
-                if result is not None:
-                    yield result
+                yield from respond(node[i:j], copies[i:j], vectors)
             elif points:
                 held.append((node[i:j], copies[i:j], vectors))
                 if sum(len(x) for x, *_ in held) >= GATHER:

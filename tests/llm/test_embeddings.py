@@ -2,6 +2,7 @@ import numpy as np
 import pyarrow as pa
 
 from tallyloom.llm import hnsw
+from tallyloom.llm.common import roots
 
 SCHEMA = "vec_id long, embedding array<float>, label int, node string, copies string"
 
@@ -70,6 +71,29 @@ def test_a_dense_group_widens_the_beam():
     assert found >= 0.99 * (x @ x.T >= 0.93).sum()
 
 
+def test_a_scanned_shard_counts_and_unites_all_links(monkeypatch):
+    monkeypatch.setattr(hnsw, "BATCH", 100)
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=32) + 0.1 * rng.normal(size=(300, 32)), np.repeat(rng.normal(size=(150, 32)), 2, 0)])
+    x[300:] += 0.05 * rng.normal(size=(300, 32))
+    ids, copies = rng.permutation(900)[:600].astype(np.int64), rng.integers(1, 4, 600)
+    columns = [["a"] * 1200, [32] * 1200, [0] * 1200, np.repeat([0, 1], 600), np.tile(ids, 2), np.tile(copies, 2), np.tile(x, (2, 1)).tolist()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=list("abcdefg"))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (u @ u.T >= 0.93) & ~np.eye(600, dtype=bool)
+    got, a, b = dict.fromkeys(ids.tolist(), 0), [], []
+    for out in hnsw._answer(iter([batch])):
+        for node, root, n in zip(*(c.to_pylist() for c in out.columns), strict=True):
+            got[node] += n
+            a.append(node)
+            b.append(root)
+    assert [got[i] for i in ids.tolist()] == (near @ copies).tolist()
+    q, p = np.nonzero(near)
+    want = dict(zip(*(v.tolist() for v in roots(ids[q], ids[p])), strict=True))
+    have = dict(zip(*(v.tolist() for v in roots(np.array(a), np.array(b))), strict=True))
+    assert {k: have.get(k, k) for k in want} == want
+
+
 def test_recall_on_ordinary_vectors_without_scan():
     rng = np.random.default_rng(5)
     x = np.array(vectors(rng, 3000, 64), float)
