@@ -3,11 +3,13 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 
 from pyspark.sql import functions as F
 
 from tallyloom.llm import bloom_dedup, common, simhash
+from tallyloom.session import fresh_folder
 
 
 def lowered(t):
@@ -39,6 +41,56 @@ def test_unique_rows_are_not_shuffled(docs):
     assert "hashpartitioning" not in plan
 
 
+def exchanges(node):
+    """Shuffles of a plan that is not adaptive: column names that go through, and the text of what lies below."""
+    below = [node.children().apply(i) for i in range(node.children().size())]
+    if node.nodeName() == "Exchange" and "Shuffle" in node.getClass().getSimpleName():
+        out = node.output()
+        yield [out.apply(i).name() for i in range(out.size())], below[0].toString()
+    for child in below:
+        yield from exchanges(child)
+
+
+@pytest.mark.parametrize("bound", [32768, 1])
+def test_whole_plans_shuffle_possible_copies_only(spark, docs, monkeypatch, bound):
+    monkeypatch.setattr(bloom_dedup, "BROADCAST_BLOCKS", bound)
+    written = []
+    monkeypatch.setattr(bloom_dedup, "stored", lambda df, label: written.append((label, df)) or common.stored(df, label))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plain = docs.sparkSession.read.schema(docs.schema).parquet(written_copy(docs))
+        results = [("copies", bloom_dedup.copies(plain)), ("drop_copies", bloom_dedup.drop_copies(plain))]
+        seen = 0
+        for label, df in [*written, *results]:
+            for columns, below in exchanges(df._jdf.queryExecution().executedPlan()):
+                seen += 1
+                # Counts of slots and bits, or rows that the broadcast filter let through.
+                narrow = set(columns) <= {"slot", "block", "bitmap", "count"}
+                assert narrow or "BroadcastHashJoin" in below, (label, columns)
+                assert "text" not in columns or "BroadcastHashJoin" in below, (label, columns)
+        assert seen
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def written_copy(df):
+    path = fresh_folder(df.sparkSession, "test-docs")
+    df.write.parquet(path)
+    return path
+
+
+def test_repeated_rows_and_null_ids_among_many_copies(spark):
+    rows = [(i, f"Text {i % 40}" if i % 3 else "HOT", "en", "a", 5) for i in range(600)] + [(None, "text 1", "en", "a", 5)] * 3
+    rows += [(599, "hot", "en", "a", 5), (None, "alone", None, None, None), (None, "alone", None, None, None), (700, "single", "en", "a", 5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(7)
+    best = {}
+    for doc, text, *_ in rows:
+        best.setdefault(lowered(text), []).append(doc)
+    want = sorted((t, max((d for d in ids if d is not None), default=None)) for t, ids in best.items())
+    got = [(lowered(r.text), r.doc_id) for r in bloom_dedup.drop_copies(frame).collect()]
+    assert sorted(got) == want
+
+
 def test_large_filters_meet_rows_by_shuffle(docs, monkeypatch):
     want = {tuple(r) for r in bloom_dedup.copies(docs).collect()}
     monkeypatch.setattr(bloom_dedup, "BROADCAST_BLOCKS", 0)
