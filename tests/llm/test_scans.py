@@ -60,6 +60,45 @@ def test_entropy_adds_spans_and_the_allow_list_takes_some():
         assert not [s for s in secret_scan.scan(f"x {clean} y")[1] if s[2] == "entropy"], clean
 
 
+def test_letters_and_digits_by_class(spark):
+    words = "the quick brown foxes were jumping over lazy dogs while internationalisation and localisation of user names from databases went on and were set to get".split()
+    texts = [(i, " ".join(words[i % 5 :] + words[: i % 5]) + " " + "".join(words[i % 7 : i % 7 + 4])) for i in range(60)]
+    secrets = [
+        "qXvTzmKpLwRrBsNdHfJgYcWe",
+        "wjalrxutnfemikmdengbpxrficyexamplekey",
+        "abcd-efgh-ijkl-mnop-qrst",
+        "q7XvT2mK9pLw4ZrB8s",
+        "QZXJVKWPFMBGTQHXZLRD",
+        "8402951736048291573028",
+    ]
+    texts += [(100 + i, f"so {s} it is") for i, s in enumerate(secrets)]
+    clean = ["internationalisation-and-localisation", "1234567890123456789012", "getUserNamesFromDatabases", "2024-06-01-1200-2024-06-02", "z" * 40]
+    texts += [(200 + i, f"so {s} it is") for i, s in enumerate(clean)]
+    got = {r.doc_id: r.span_text for r in secret_scan.find(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for i, s in enumerate(secrets):
+        (a, b), = [tuple(map(int, x.split(":")[1:])) for x in got[100 + i].split(",") if x.startswith("entropy")]
+        assert a >= 3 and b <= 3 + len(s) and b - a >= 16, (s, got[100 + i])
+    assert {k: v for k, v in got.items() if v and not 100 <= k < 200} == {}
+
+
+def test_pairs_are_counted_over_whole_texts(spark):
+    texts = ["Ab aB", None, "", "é" * 3 + "zz", "a" * 5000]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = secret_scan.count_pairs(frame).reshape(27, 27)
+    assert (got[1, 2], got[26, 26], got[1, 1], got[1:, 1:].sum()) == (2, 1, 4999, 5002)
+    rng = np.random.default_rng(3)
+    pairs = secret_scan.pair_costs(rng.integers(0, 50, 729))
+    for _ in range(100):
+        run = "".join(rng.choice(list("abcdeXYZ-"), rng.integers(1, 70)))
+        at = [0 if c == "-" else ord(c.lower()) - 96 for c in run]
+        hot = set()
+        for i in range(len(run) - 19):
+            cost = [pairs.costs[a][b] for a, b in zip(at[i : i + 20], at[i + 1 : i + 20], strict=False) if a and b]
+            if len(cost) >= 10 and sum(cost) > pairs.limit * len(cost):
+                hot |= set(range(i, i + 20))
+        assert {j for a, b in secret_scan.unlike_words(run, pairs) for j in range(a, b)} == hot
+
+
 def test_secrets_of_a_table(docs, corpus, odd_docs, no_docs, wide_docs):
     got = {r.doc_id: r for r in secret_scan.find(wide_docs).collect()}
     assert len(got) == len(corpus)
