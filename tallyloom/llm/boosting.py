@@ -68,9 +68,11 @@ def _grow(bins: np.ndarray, edges: list[np.ndarray], g: np.ndarray, h: np.ndarra
     return (features, cuts, values), leaf
 
 
-def fit(x: np.ndarray, y: np.ndarray, held: np.ndarray, precision: float) -> Boosted:
+def fit(x: np.ndarray, y: np.ndarray, held: np.ndarray, precision: float, judged: np.ndarray | None = None) -> Boosted:
     """Boost on the rows outside ``held``; calibrate and choose the threshold on those inside.
 
+    Of these only the ``judged`` ones count, if given: those like the rows that the model will judge.
+
     The threshold is the smallest one of at least one half at which the held rows reach ``precision``.
     """
     model = Boosted()
@@ -87,7 +89,9 @@ def fit(x: np.ndarray, y: np.ndarray, held: np.ndarray, precision: float) -> Boo
         tree, leaf = _grow(bins, edges, p - target, p * (1 - p))
         model.trees.append(tree)
         margin += tree[2][leaf]
-    check = held if y[held].min(initial=1) != y[held].max(initial=0) else train
+    met = np.ones(len(y), bool) if judged is None else judged
+    sets = [held & met, train & met, held, train]
+    check = next(c for c in sets if y[c].min(initial=1) < y[c].max(initial=0))
     m, t = model.margin(x[check]), y[check].astype(float)
     for _ in range(50):  # Newton steps of Platt's two-parameter fit
         p = sigmoid(model.slope * m + model.shift)

@@ -7,10 +7,12 @@ digits) and context (neighbouring characters, cue words before it); a calibrated
 
 Nobody labels personal data here, so the trees learn from the formats: a proposed span that a format confirms is a
 positive, also in weaker forms of itself (phone without the plus and country code, address spelled out, card with
-other separators, IPv4 with its dots in brackets or words, IPv6 made from an IPv4). A negative is only what a check
+other separators, IPv4 with its dots in brackets or words, IPv6 made from an IPv4). A negative is what a check
 refutes: ``refuted`` (Luhn, parts over 255 or not four, no IPv6, prose around ``at``, dates, decimals and
-identifiers for phones), or a part of another kind's confirmed span. Other unconfirmed spans have no label and are
-only judged; what is refuted is never reported. The model is fitted on distinct spans, at most
+identifiers for phones), a part of another kind's confirmed span, or a look-alike: a confirmed span's characters as
+counts, scores, amounts, years, scope names or web sites, moved to another place of its text. Look-alikes pass the
+checks, as do the spans that are judged later, so thresholds are calibrated on examples that no check refutes.
+Other unconfirmed spans have no label and are only judged; what is refuted is never reported. The model is fitted on distinct spans, at most
 SAMPLE_SPANS with equal parts for the kinds, from about SAMPLE_DOCS documents, chosen by a hash; every fifth, by a
 hash of the text of its document, is held out. Scoring covers every text in one pass.
 
@@ -68,7 +70,7 @@ CUES = {
     "card": ("card", "visa", "credit", "payment"),
     "phone": ("tel", "phone", "call", "fax", "mobile"),
 }
-FEATURES = 24
+FEATURES = 25
 
 
 def luhn(digits: str) -> bool:
@@ -203,6 +205,7 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
         _side(text, end),
         any(c in before for c in CUES[kind]),
         sum(len(g) == sizes[0] for g in groups),
+        sum(int(b) - int(a) == 1 for a, b in zip(groups, groups[1:], strict=False)),
     ]
 
 
@@ -228,30 +231,82 @@ def _weaker(text: str, span: tuple[int, int, str]) -> list[tuple[str, int, int]]
     return [(text[max(0, start - 64) : start] + f + text[end : end + 64], min(64, start), min(64, start) + len(f)) for f in forms]
 
 
-def examples(text: str) -> list[tuple[str, int, str, list[float]]]:
-    """(kind, label, span, features) of the proposals of a text and of weaker forms of confirmed spans."""
+def _look_alikes(text: str, span: tuple[int, int, str]) -> list[tuple[str, int, int]]:
+    """Forms that pass the checks of a confirmed span's kind and are something else: text, start, end.
+
+    They stand in another place of the text, so the cues of the span do not come along."""
+    start, end, kind = span
+    inside = text[start:end]
+    d = _digits(inside)
+    if kind == "phone":
+        first = int(d[-1])
+        forms = [
+            " ".join(d[:10]),
+            " ".join(str(first + i) for i in range(8)),
+            " ".join(f"{d[i]}-{d[i + 1]}" for i in range(0, 10, 2)),
+            f"{d[-2:]} {d[2:5]} {d[5:8]}",
+            f"{d[-1]} {d[1:4]} {d[4:7]} {d[-3:]}",
+            f"19{d[-2:]}-20{d[-4:-2]}",
+            f"{d[-3:]}-{d[-3:-1]}{d[0]} {d[1:3]}-{d[3:5]}",
+        ]
+    elif kind == "card":
+        # The digits and so their check sum stay; counts, scores and amounts instead of groups of a card.
+        cuts = [(1,) * len(d), (1,) + (3,) * (len(d) // 3), (2, 1) * (len(d) // 3 + 1), (5, 2) * (len(d) // 7 + 1)]
+        forms = [" ".join(_parts(d, sizes)) for sizes in cuts] + ["-".join(_parts(d, (2, 1) * (len(d) // 3 + 1)))]
+    elif kind == "email":
+        domain = inside.partition("@")[2]
+        forms = [f"{word} at {domain}" for word in ("us", "look", "found", "more")]
+    else:
+        name = [c for c in blake2b(inside.encode(), digest_size=32).hexdigest() if c.isalpha()]
+        forms = ["".join(name[:n]) + "::" + "".join(name[n : 2 * n]) for n in (1, 2, 3, 4) if len(name) >= 2 * n] + [f"{d[:2]}::{d[-2:]}"]
+    return [_moved(text, start, f) for f in forms]
+
+
+def _moved(text: str, start: int, form: str) -> tuple[str, int, int]:
+    """``form`` between words of the text, half its length away from ``start``: text, start, end."""
+    place = (start + len(text) // 2) % max(1, len(text))
+    before, after = text[max(0, place - 64) : place].rpartition(" ")[0], text[place : place + 64].partition(" ")[2]
+    before += " " if before else ""
+    return f"{before}{form} {after}", len(before), len(before) + len(form)
+
+
+def _parts(digits: str, sizes: tuple[int, ...]) -> list[str]:
+    """Digits in groups of the given sizes, as far as they go."""
+    out, at = [], 0
+    for n in sizes:
+        out.append(digits[at : at + n])
+        at += n
+    return [p for p in [*out, digits[at:]] if p]
+
+
+def examples(text: str) -> list[tuple[str, int, str, list[float], bool]]:
+    """(kind, label, span, features, unrefuted) of a text's proposals, and of weaker forms and look-alikes of confirmed spans."""
     base = base_spans(text)
     out = []
     for start, end, kind in proposals(text):
         same = [b for b in base if b[2] == kind and b[0] < end and start < b[1]]
         other = [b for b in base if b[2] != kind and b[0] < end and start < b[1]]
-        label = None
+        label, wrong = None, refuted(text, start, end, kind)
         if same:
             # Only a span that covers the confirmed one is an example; parts of it are neither.
             if any(start <= b[0] and end >= b[1] and end - start <= b[1] - b[0] + 2 for b in same):
                 label = 1
-        elif other or refuted(text, start, end, kind):
+        elif other or wrong:
             label = 0
         if label is not None:
-            out.append((kind, label, text[start:end], features(text, start, end, kind)))
+            out.append((kind, label, text[start:end], features(text, start, end, kind), not wrong))
     for span in base:
-        for weak, start, end in _weaker(text, span):
-            out.append((span[2], 1, weak[start:end], features(weak, start, end, span[2])))
+        weak = _weaker(text, span)
+        weak += [_moved(text, span[0], form[a:b]) for form, a, b in weak]  # without its cues
+        for label, forms in ((1, weak), (0, _look_alikes(text, span))):
+            for form, start, end in forms:
+                if label or not refuted(form, start, end, span[2]):
+                    out.append((span[2], label, form[start:end], features(form, start, end, span[2]), True))
     return out
 
 
 def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Distinct examples of a sample of documents: kind, label, span, x, fold (by a hash of the text)."""
+    """Distinct examples of a sample of documents: kind, label, span, x, met (no check refutes it), fold (by a hash of the text)."""
     rows = docs.count()
     share = min(1.0, SAMPLE_DOCS / max(1, rows))
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -267,13 +322,14 @@ def sampled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                     pa.array([e[1] for e in found], pa.int32()),
                     pa.array([e[2] for e in found], pa.string()),
                     pa.array([[float(v) for v in e[3]] for e in found], pa.list_(pa.float64())),
-                    pa.array([e[4] for e in found], pa.int64()),
+                    pa.array([e[4] for e in found], pa.bool_()),
+                    pa.array([e[5] for e in found], pa.int64()),
                 ],
-                names=["kind", "label", "span", "x", "doc"],
+                names=["kind", "label", "span", "x", "met", "doc"],
             )
 
-    spans = some.mapInArrow(run, "kind string, label int, span string, x array<double>, doc long")
-    return spans.groupBy("kind", "label", "span", "x").agg((F.min("doc") % 5).cast("int").alias("fold"))
+    spans = some.mapInArrow(run, "kind string, label int, span string, x array<double>, met boolean, doc long")
+    return spans.groupBy("kind", "label", "span", "x").agg(F.max("met").alias("met"), (F.min("doc") % 5).cast("int").alias("fold"))
 
 
 def fit_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict[str, Boosted]:
@@ -282,10 +338,11 @@ def fit_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     model = {}
     for kind in KINDS:
         order = spans.where(F.col("kind") == kind).orderBy(F.xxhash64("span", "x"), "label", "span", "x")
-        mine = order.limit(SAMPLE_SPANS // len(KINDS)).select("label", "x", "fold").collect()
+        mine = order.limit(SAMPLE_SPANS // len(KINDS)).select("label", "x", "met", "fold").collect()
         x = np.array([r.x for r in mine], float).reshape(len(mine), FEATURES)
         y = np.array([r.label for r in mine], np.int64)
-        model[kind] = fit(x, y, np.array([r.fold for r in mine], np.int64) == 0, PRECISION)
+        held, met = np.array([r.fold for r in mine], np.int64) == 0, np.array([r.met for r in mine], bool)
+        model[kind] = fit(x, y, held, PRECISION, met)
     return model
 
 
