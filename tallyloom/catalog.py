@@ -582,10 +582,6 @@ def cache_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------------
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bindings.order_events(bindings.table_stream(spark, sf_dir, "events"))
-
-
 def dealt_events(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """The events as a stream of several micro-batches that arrive out of order: a remainder of the event id
     names the files, so each batch reaches over all days and most of its events are late."""
@@ -661,10 +657,10 @@ def monthly_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("late_alerts")
 def late_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overdue orders after several micro-batches that arrive out of order."""
     folder = fresh_folder(spark, "late")
-    so.late_alert_job(raw_events(spark, sf_dir), folder, f"{folder}/checkpoint")
-    alerts = spark.read.parquet(f"{folder}/alerts").select("order_id", "seller_id", "due")
-    return local_times(alerts, "due")
+    so.progress_job(dealt_events(spark, sf_dir, folder), f"{folder}/progress", f"{folder}/checkpoint")
+    return local_times(so.current_alerts(spark, f"{folder}/progress"), "due")
 
 
 @query("dead_letters")

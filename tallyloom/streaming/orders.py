@@ -31,7 +31,6 @@ LOG = (
     "version bigint, estimated_delivery_date timestamp, amount decimal(12,2)"
 )
 LATENESS = "2 days"  # an event that much older than the newest one of earlier micro-batches is late
-EXPIRY = "INTERVAL 30 DAYS"  # closed and alerted orders are forgotten so long after their last event
 UP_TO_NOW = {"availableNow": True}
 CLOSED = ["delivered", "canceled"]
 
@@ -140,10 +139,13 @@ def _put(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    """Remove a folder that this job has written and no longer needs."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+def overwrite_sink(path: str) -> Sink:
+    """Micro-batch N in a folder of its own, which a repeated N replaces."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        _put(batch, path, batch_id)
+
+    return sink
 
 
 def _run(writer, checkpoint: str, trigger: dict) -> StreamingQuery:
@@ -220,11 +222,7 @@ def status_job(log: DataFrame, path: str, checkpoint: str, trigger: dict = UP_TO
 
     The highest version wins, so copies, late events and the order of arrival make no difference.
     """
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        _put(batch, path, batch_id)
-
-    return _run(_newest(log).writeStream.outputMode("update").foreachBatch(sink), checkpoint, trigger)
+    return _run(_newest(log).writeStream.outputMode("update").foreachBatch(overwrite_sink(path)), checkpoint, trigger)
 
 
 def _newest(rows: DataFrame) -> DataFrame:
@@ -244,12 +242,8 @@ def seller_daily_job(accepted: DataFrame, path: str, checkpoint: str, trigger: d
     ``accepted`` follows the log of accepted events by whole commits (no limit of files in a micro-batch): then nothing
     in it is late here. A micro-batch writes the new figures of the groups that it touches, no others.
     """
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        _put(batch, path, batch_id)
-
     figures = seller_daily(accepted.withWatermark("event_time", LATENESS))
-    return _run(figures.writeStream.outputMode("update").foreachBatch(sink), checkpoint, trigger)
+    return _run(figures.writeStream.outputMode("update").foreachBatch(overwrite_sink(path)), checkpoint, trigger)
 
 
 def current_seller_days(spark: SparkSession, path: str, late: DataFrame) -> DataFrame:
@@ -262,46 +256,20 @@ def current_seller_days(spark: SparkSession, path: str, late: DataFrame) -> Data
     )
 
 
-def late_alert_sink(state_path: str, alert_path: str) -> Sink:
-    """Keep one row of progress per order and emit each overdue order once.
+def progress_job(events: DataFrame, path: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:
+    """Keep what lateness depends on, one row per order, in the engine's state; a micro-batch writes the orders it touches.
 
-    The clock is the latest event time so far; it stays on the rows of the state. State N is made of
-    state N-1 and micro-batch N only, so a repeated batch gives the same state and the same alerts.
-    Events thin out to one row per order in each map task before the merge. Orders that are closed, alerted
-    or without an estimate are forgotten EXPIRY after their last event, and states before N-1 are removed,
-    so the state holds open orders and the recently settled ones only.
+    Nothing is forgotten, so a late or repeated event of a closed order changes nothing, however old the order is.
     """
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = order_progress(
-            batch, F.max("event_time").alias("clock"), F.max("event_time").alias("last_event")
-        ).withColumn("alerted", F.lit(False))
-        if batch_id > 0:
-            before = spark.read.parquet(_batch_folder(state_path, batch_id - 1))
-            rows = before.unionByName(rows)
-        now = rows.agg(F.max("clock").alias("c")).scalar()
-        merged = rows.groupBy("order_id").agg(
-            F.max_by("due", "version").alias("due"),
-            F.min("closed_at").alias("closed_at"),
-            F.max_by("seller_id", "version").alias("seller_id"),
-            F.max("version").alias("version"),
-            F.max("last_event").alias("last_event"),
-            F.bool_or("alerted").alias("was_alerted"),
-        )
-        overdue = F.coalesce(_overdue(now), F.lit(False))
-        merged = merged.withColumn("clock", now).withColumn("alerted", F.col("was_alerted") | overdue).persist()
-        _put(merged.where("alerted and not was_alerted").select("order_id", "seller_id", "due"), alert_path, batch_id)
-        settled = F.col("closed_at").isNotNull() | F.col("alerted") | F.col("due").isNull()
-        expired = settled & (F.col("last_event") < F.col("clock") - F.expr(EXPIRY))
-        _put(merged.where(~expired).drop("was_alerted"), state_path, batch_id)
-        merged.unpersist()
-        if batch_id > 1:
-            _delete(spark, _batch_folder(state_path, batch_id - 2))
-
-    return sink
+    clean = good_events(parsed_events(events))
+    figures = order_progress(clean, F.max("event_time").alias("clock"))
+    return _run(figures.writeStream.outputMode("update").foreachBatch(overwrite_sink(path)), checkpoint, trigger)
 
 
-def late_alert_job(events: DataFrame, folder: str, checkpoint: str, trigger: dict = UP_TO_NOW) -> StreamingQuery:
-    clean = good_events(parsed_events(events))
-    return run_batches(clean, checkpoint, late_alert_sink(f"{folder}/state", f"{folder}/alerts"), trigger)
+def current_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The overdue orders, once each, by the last progress of every order. The clock is the latest event time of all:
+    an order that hears nothing more becomes overdue by the events of others."""
+    rows = spark.read.parquet(path)
+    now = rows.agg(F.max("clock").alias("t")).scalar()
+    last = rows.groupBy("order_id").agg(F.max_by(F.struct("due", "closed_at", "seller_id"), "batch_id").alias("p"))
+    return last.select("order_id", "p.*").where(_overdue(now)).select("order_id", "seller_id", "due")

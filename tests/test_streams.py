@@ -142,33 +142,36 @@ def test_jobs_take_a_trigger(spark, feed):
     assert spark.read.parquet(f"{folder}-log").count() == 1
 
 
+def alerts_of(spark, feed, *batches):
+    """Alerts of the stream over all batches; they are those of the batch twin."""
+    stream, batch, folder = feed(*batches)
+    so.progress_job(stream, f"{folder}-progress", f"{folder}-cp")
+    assert spark.read.parquet(f"{folder}-progress").select("batch_id").distinct().count() >= len(batches)
+    got = sorted(tuple(r) for r in so.current_alerts(spark, f"{folder}-progress").collect())
+    assert got == sorted(tuple(r) for r in so.late_alerts(so.good_events(so.parsed_events(batch))).collect())
+    return [r[0] for r in got]
+
+
 def test_one_alert_per_order(spark, feed):
     first = [event(1, "late", "shipped", 1, 0, due_hours=5), event(2, "fine", "delivered", 1, 4, due_hours=5)]
     second = [event(3, "other", "paid", 1, 10), event(4, "late", "shipped", 2, 11, due_hours=6)]
     third = [event(5, "late", "shipped", 3, 50, due_hours=7), event(6, "late", "delivered", 4, 60, due_hours=7)]
-    stream, batch, folder = feed(first, second, third)
-    so.late_alert_job(stream, f"{folder}-late", f"{folder}-cp")
-    alerts = spark.read.parquet(f"{folder}-late/alerts").collect()
-    assert [(r.order_id, r.batch_id) for r in alerts] == [("late", 1)]
-    good = so.good_events(so.parsed_events(batch))
-    assert so.late_alerts(good).count() == 0
-    assert [r.order_id for r in so.late_alerts(good.where("status != 'delivered' or order_id = 'fine'")).collect()] == ["late"]
+    assert alerts_of(spark, feed, first) == []
+    assert alerts_of(spark, feed, first, second) == ["late"]
+    assert alerts_of(spark, feed, first, second, third[:1]) == ["late"]
+    assert alerts_of(spark, feed, first, second, third) == []
 
 
-def test_settled_orders_are_forgotten(spark, feed):
+def test_old_orders_stay_settled(spark, feed):
     batches = [
-        [event(1, "x", "shipped", 1, 0, due_hours=5), event(2, "y", "shipped", 1, 1, due_hours=5)],
-        [event(3, "x", "delivered", 2, 10, due_hours=5), event(4, "z", "delivered", 1, 12, due_hours=900)],
+        [event(1, "x", "shipped", 2, 1, due_hours=5), event(2, "y", "shipped", 1, 1, due_hours=5)],
+        [event(3, "x", "delivered", 3, 10, due_hours=5), event(4, "z", "delivered", 1, 12, due_hours=900)],
         [event(5, "w", "delivered", 1, 24 * 40)],
-        [event(6, "w", "delivered", 1, 24 * 80)],
+        # Long after: a first event of a closed order, one more of an alerted order, a copy.
+        [event(6, "x", "shipped", 1, 0, due_hours=4), event(7, "y", "shipped", 2, 24 * 60, due_hours=6), event(3, "x", "delivered", 3, 10, due_hours=5)],
+        [event(8, "w", "delivered", 2, 24 * 80)],
     ]
-    stream, _, folder = feed(*batches)
-    so.late_alert_job(stream, f"{folder}-late", f"{folder}-cp")
-    states = spark.read.parquet(f"{folder}-late/state")
-    assert {r.batch_id for r in states.select("batch_id").distinct().collect()} == {2, 3}
-    assert {r.order_id for r in states.where("batch_id = 3").collect()} == {"w"}
-    alerts = spark.read.parquet(f"{folder}-late/alerts").collect()
-    assert sorted(r.order_id for r in alerts) == ["y"]
+    assert alerts_of(spark, feed, *batches) == ["y"]
 
 
 def test_dead_letters(spark, feed):
@@ -184,11 +187,11 @@ def test_sink_can_repeat_a_batch(spark, feed):
     rows = [event(1, "late", "shipped", 1, 0, due_hours=5), event(2, "b", "paid", 1, 10)]
     _, batch, folder = feed(rows)
     good = so.good_events(so.parsed_events(batch))
-    sink = so.late_alert_sink(f"{folder}-state", f"{folder}-alerts")
+    sink = so.overwrite_sink(f"{folder}-progress")
     for batch_id in (0, 0, 1, 1):
-        sink(good, batch_id)
-    assert spark.read.parquet(f"{folder}-alerts").where(F.col("batch_id") == 0).count() == 1
-    assert spark.read.parquet(f"{folder}-alerts").count() == 1
+        sink(so.order_progress(good, F.max("event_time").alias("clock")), batch_id)
+    assert spark.read.parquet(f"{folder}-progress").where(F.col("batch_id") == 0).count() == 2
+    assert [r.order_id for r in so.current_alerts(spark, f"{folder}-progress").collect()] == ["late"]
 
 
 def test_reviews_are_worked_on_once(spark, feed):
