@@ -97,3 +97,51 @@ def test_profile_of_large_and_shifted_numbers(spark):
     shifted = spark.createDataFrame([(1e9 + i / 1000,) for i in range(1000)], "v double")
     got = {r.metric: r.value for r in numeric_profile(shifted, ["v"]).collect()}
     assert got["std"] == 0.29
+
+
+def _first_alternatives(parsed):
+    """Every way through the branches and letter classes of a pattern; a repeat counts once."""
+    ways = [""]
+    for op, arg in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            more = [chr(arg)]
+        elif kind == "IN":
+            more = [chr(v) for o, v in arg if str(o) == "LITERAL"] or [" "]
+        elif kind == "BRANCH":
+            more = [w for branch in arg[1] for w in _first_alternatives(branch)]
+        elif kind == "SUBPATTERN":
+            more = _first_alternatives(arg[-1])
+        elif kind == "MAX_REPEAT":
+            more = _first_alternatives(arg[2])
+        else:
+            more = [""]
+        ways = [w + m for w in ways for m in more]
+    return ways
+
+
+def test_stems_lie_in_every_match():
+    from re import _parser
+
+    from tallyloom.functions import fixed_values as fv
+
+    for (pattern, *_), stems in zip(fv.ISSUE_PATTERNS, fv.ISSUE_STEMS, strict=True):
+        ways = _first_alternatives(_parser.parse(pattern))
+        assert len(ways) > 2 and all(any(s in w for s in stems) for w in ways), pattern
+    for pattern in (fv.LOW_INFORMATION_PATTERN, fv.POSITIVE_PATTERN):
+        assert max(map(len, _first_alternatives(_parser.parse(pattern)))) <= fv.WHOLE_TEXT_MAX_CHARS
+
+
+def test_cheap_tests_change_nothing(spark):
+    texts = ["", " ", "a", "a b", " a", "a\n", " a　", "a \n b\r\n", "é ", "a b", "1 2 3 4", "1 2 3 4 5", "não gostei", "x" * 50, "<b", "a<b>http</b>://q r", "ht<i>tp://x", "HTTPS://X y", "w<b>ww.a b", "wWw.a é", "A&B", "ÀÉ ok_1"]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    t = F.col("t")
+    assert df.where(~tx.trimmed(t).eqNullSafe(tx.strip_space(t))).count() == 0
+    assert df.where(~tx._needs_tables(t).eqNullSafe(t.rlike(tx.NEEDS_TABLES))).count() == 0
+    single = df.where("t in ('', 'a', 'a b', '1 2 3 4', '1 2 3 4 5')")
+    assert single.where(tx.few_words(t, 4) != (tx.word_count(t) <= 4)).count() == 0
+    bare = F.regexp_replace(F.regexp_replace(t, r"<[^>]+>", " "), f"(?i)https?://[^{tx.SPACE}]+|www\\.[^{tx.SPACE}]+", " ")
+    slow = F.trim(F.regexp_replace(F.translate(tx._fold_native(bare), tx.ACCENTED, tx.BASE), r"[^\p{L}\p{N}_]+", " "))
+    assert df.where(~t.rlike(tx.NEEDS_TABLES)).where(~tx.normalize_text(t).eqNullSafe(slow)).count() == 0
+    found = tx.matches(t, "gostei", ["gost"], 20)
+    assert df.where(found).count() == 1 and df.where(found.isNull()).count() == 1
