@@ -316,23 +316,24 @@ on_market(
 on_market("city_search", lambda t: mk.city_search(t["customers"], CITY))
 
 
-_CSV: dict[tuple[str, str], dict[str, str]] = {}
+_CSV: dict[tuple[str, str, str], str] = {}
 
 
-def csv_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine tables written as CSV, once, and read back typed."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _CSV:
-        folder, paths = fresh_folder(spark, "marketplace"), {}
-        for name, df in bindings.marketplace(spark, sf_dir).items():
-            paths[name] = f"{folder}/{name}"
-            files.write_csv(df, paths[name])
-        _CSV[key] = paths
-    return files.read_marketplace(spark, _CSV[key])
+def csv_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """The named ones of the nine tables, all if none is named, written as compressed CSV, each once, and read back typed."""
+    paths, tables = {}, bindings.marketplace(spark, sf_dir)
+    for name in names or tables:
+        key = (spark.sparkContext.applicationId, sf_dir, name)
+        if key not in _CSV:
+            path = f"{fresh_folder(spark, 'marketplace')}/{name}"
+            files.write_csv(tables[name], path, "gzip")
+            _CSV[key] = path
+        paths[name] = _CSV[key]
+    return files.read_marketplace(spark, paths)
 
 
 def csv_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = csv_tables(spark, sf_dir)[name]
+    rows = csv_tables(spark, sf_dir, name)[name]
     return rows.withColumns({f.name: F.col(f.name).cast("double") for f in rows.schema if f.dataType.typeName() == "decimal"})
 
 

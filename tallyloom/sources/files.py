@@ -60,10 +60,10 @@ def read_marketplace(spark: SparkSession, paths: dict[str, str]) -> dict[str, Da
     return tables
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     # Outer blanks are part of a cell.
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.options(header=True, escape='"', **keep).csv(path)
+    df.write.options(header=True, escape='"', compression=compression, **keep).csv(path)
 
 
 def write_sales_facts(facts: DataFrame, path: str) -> None:
