@@ -25,7 +25,9 @@ SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 ZERO_WIDTH = r"[\u200b-\u200f\ufeff]"
 # Anything outside ASCII, Latin-1 letters, plain typographic marks and pictographs, or the start of
 # an HTML entity. Only such texts need the Unicode tables of the Python worker.
-NEEDS_TABLES = r"[^\x00-\x7f\u00c0-\u00ff\u2010-\u2027\x{1f300}-\x{1faff}]|&[#A-Za-z]"
+FOREIGN = r"[^\x00-\x7f\u00c0-\u00ff\u2010-\u2027\x{1f300}-\x{1faff}]"
+ENTITY = "&[#A-Za-z]"
+NEEDS_TABLES = f"{FOREIGN}|{ENTITY}"
 
 
 def _plain(char: str) -> str:
@@ -54,8 +56,8 @@ def _is_ascii(text: Column) -> Column:
 
 
 def _needs_tables(text: Column) -> Column:
-    """``NEEDS_TABLES`` behind two plain tests that every such text passes."""
-    return (~_is_ascii(text) | F.contains(text, F.lit("&"))) & text.rlike(NEEDS_TABLES)
+    """Both patterns by themselves, each behind a plain test that every such text passes."""
+    return (~_is_ascii(text) & text.rlike(FOREIGN)) | (F.contains(text, F.lit("&")) & text.rlike(ENTITY))
 
 
 def _fold_native(text: Column) -> Column:
@@ -112,15 +114,23 @@ def _soften(text: Column) -> Column:
     return F.trim(_fold_native(F.regexp_replace(text, f"[{SPACE}]+", " ")))
 
 
+def quotes_need_tables(text: Column, quotes: Column) -> Column:
+    """Whether the quotes of a text can be judged by the Unicode tables only."""
+    bare = ~F.contains(text, F.lit("&"))
+    unseen = F.exists(quotes, lambda q: ~F.coalesce((q != "") & F.contains(text, q) & bare, F.lit(False)))
+    return unseen & (_needs_tables(text) | F.exists(quotes, _needs_tables))
+
+
 def quotes_found(text: Column, quotes: Column) -> Column:
     """For each quote, whether the text holds it up to entities, white space and case.
 
-    Accents count. An empty quote belongs to an empty text only.
+    Accents count. An empty quote belongs to an empty text only. A quote that a text without entities holds as it stands is
+    found before the text is softened or looked through for foreign letters.
     """
-    hard = text.rlike(NEEDS_TABLES) | F.exists(quotes, lambda q: q.rlike(NEEDS_TABLES))
+    hard = quotes_need_tables(text, quotes)
     whole = _soften(text)
     native = F.transform(
-        quotes, lambda q: F.when(q == "", text == "").otherwise(F.contains(whole, _soften(q)))
+        quotes, lambda q: F.when(q == "", text == "").otherwise(F.contains(text, q) | F.contains(whole, _soften(q)))
     )
     return F.when(hard, _found_with_tables(F.when(hard, text), F.when(hard, quotes))).otherwise(native)
 

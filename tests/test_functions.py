@@ -145,3 +145,21 @@ def test_cheap_tests_change_nothing(spark):
     assert df.where(~t.rlike(tx.NEEDS_TABLES)).where(~tx.normalize_text(t).eqNullSafe(slow)).count() == 0
     found = tx.matches(t, "gostei", ["gost"], 20)
     assert df.where(found).count() == 1 and df.where(found.isNull()).count() == 1
+
+
+def test_quotes_that_stand_in_the_text_meet_no_tables(spark):
+    """The Python worker, which is slow on long texts, sees only texts whose quotes are not held as they stand."""
+    cases = [
+        ("日本語 fim", ["日本", "fim"], [True, True], False),
+        ("日本語 Fim", ["日本", "fim"], [True, True], True),
+        ("olá &amp; 日本", ["amp"], [False], True),
+        ("AT&amp;T", ["T"], [True], True),
+        ("ΑΒΓ", [None, "Α"], [None, True], True),
+        ("日本", [""], [False], True),
+        ("日本", [], [], False),
+        ("a\u200bb", ["a\u200b", "ab"], [True, True], True),
+    ]
+    df = spark.createDataFrame([(n, t, q) for n, (t, q, *_) in enumerate(cases)], "n int, t string, q array<string>")
+    got = df.select("n", tx.quotes_found(F.col("t"), F.col("q")).alias("f"), tx.quotes_need_tables(F.col("t"), F.col("q")).alias("h"))
+    got = {r.n: (r.f, r.h) for r in got.collect()}
+    assert [got[n] for n in range(len(cases))] == [(f, h) for _, _, f, h in cases]
