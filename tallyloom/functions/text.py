@@ -42,7 +42,9 @@ BASE = "".join(b for _, b in _PAIRS)
 
 
 def strip_space(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    """Without outer white space. A text that begins and ends with a visible ASCII character has none and is left as it is."""
+    clean = text.rlike(r"\A[!-~](?:[ -~]*[!-~])?\z")
+    return F.when(clean, text).otherwise(F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", ""))
 
 
 def trimmed(text: Column) -> Column:

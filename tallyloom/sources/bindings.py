@@ -75,14 +75,13 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    rows = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(part, li.l_partkey == part.p_partkey)
-        .join(customer, orders.o_custkey == customer.c_custkey)
-        .join(nation, customer.c_nationkey == nation.n_nationkey)
-    )
+    # Customers meet the orders before these meet the far more numerous items. Columns come from the items where they can,
+    # so a filter on them reaches the scan.
+    buyers = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+    bought = orders.join(buyers, orders.o_custkey == buyers.c_custkey)
+    rows = li.join(bought, li.l_orderkey == bought.o_orderkey).join(part, li.l_partkey == part.p_partkey)
 
-    key, line, part_key = F.col("o_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    key, line, part_key = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     cancelled = F.col("l_returnflag") == "R"
     bad_debt = ~cancelled & (key % 1000 == 7)
     zero_price = ~cancelled & ((part_key + line) % 53 == 0)
