@@ -223,10 +223,8 @@ def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 on_work("primary_country", lambda w: etl.primary_country(etl.sales_facts(w)))
-on_work(
-    "eligible_returns",
-    lambda w: etl.cancellations(w).where(etl.eligible_return()),
-)
+# A filter on the invoice reaches the scan of the lines, so only cancellations are classified, and nothing of them is written.
+QUERIES["eligible_returns"] = lambda spark, sf_dir: etl.cancellations(retail.retail_work(lines(spark, sf_dir))).where(etl.eligible_return())
 on_work(
     "return_match",
     lambda w: etl.match_returns(etl.cancellations(w).where(etl.eligible_return()), etl.sales_facts(w)),

@@ -50,6 +50,13 @@ def test_a_filter_on_prices_reaches_the_items(spark, sf_dir):
     assert "Filter" in above and "< 0.0" in above
 
 
+def test_eligible_returns_need_no_classified_lines(spark, sf_dir, rows, monkeypatch):
+    want = rows(etl.cancellations(catalog.work(spark, sf_dir)).where(etl.eligible_return()), "invoice_no", "stock_code")
+    monkeypatch.setattr(catalog, "work", refuse("work"))
+    found = catalog.QUERIES["eligible_returns"](spark, sf_dir)
+    assert rows(found, "invoice_no", "stock_code") == want and len(want) > 5
+
+
 def test_outer_space_of_any_kind_is_stripped(spark):
     cases = {"20012\n": "20012", "\t20007A": "20007A", " 1 2 ": "1 2", "a ": "a", "　b c\x1c": "b c", "é ": "é", "d\x7f": "d\x7f", "": "", " ": "", "x": "x", "a\nb": "a\nb"}
     df = spark.createDataFrame([*cases.items(), (None, None)], "t string, want string")
