@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions.numeric import count_where, money_sum, pct, whole_days_between
 from ..functions.stock import is_product
+from ..session import stored
 from .retail import FACT_COLUMNS, fact_columns
 
 MATCH_KEYS = ["buyer", "stock_code", "quantity_abs"]
@@ -108,20 +109,32 @@ def match_returns(returns: DataFrame, facts: DataFrame) -> DataFrame:
         .dropna(subset=[*MATCH_KEYS, "at", "day"])
     )
     up_to_now = (Window.unboundedPreceding, -1)
-    within = Window.partitionBy(*MATCH_KEYS, "day").orderBy("at").rowsBetween(*up_to_now)
+    day = Window.partitionBy(*MATCH_KEYS, "day").orderBy("at")
+    within = day.rowsBetween(*up_to_now)
     across = Window.partitionBy(*MATCH_KEYS).orderBy("day").rowsBetween(*up_to_now)
-    same_day = instants.select(
-        *MATCH_KEYS, "day", "at", "asked", F.last("sale", ignorenulls=True).over(within).alias("recent")
-    ).where("asked")
-    sale_time = F.when(F.col("sale").isNotNull(), F.col("at"))
+    # Written, since both searches below begin here. The last instant of a day carries what later days need.
+    searched = stored(
+        instants.select(
+            *MATCH_KEYS,
+            "day",
+            "at",
+            "asked",
+            F.last("sale", ignorenulls=True).over(within).alias("recent"),
+            F.when(F.lead("at").over(day).isNull(), F.struct(
+                F.last("sale", ignorenulls=True).over(day.rowsBetween(Window.unboundedPreceding, 0)).alias("sale"),
+                F.bool_or("asked").over(day.rowsBetween(Window.unboundedPreceding, 0)).alias("asked"),
+            )).alias("end"),
+        ).where(F.col("asked") | F.col("end").isNotNull()),
+        "instants",
+    )
+    same_day = searched.where("asked").select(*MATCH_KEYS, "day", "at", "recent")
     carried = (
-        instants.groupBy(*MATCH_KEYS, "day")
-        .agg(F.max_by("sale", sale_time).alias("last_sale"), F.bool_or("asked").alias("asked"))
+        searched.where("end is not null")
         .select(
             *MATCH_KEYS,
             "day",
-            "asked",
-            F.last("last_sale", ignorenulls=True).over(across).alias("earlier"),
+            "end.asked",
+            F.last("end.sale", ignorenulls=True).over(across).alias("earlier"),
         )
         .where("asked")
         .drop("asked")

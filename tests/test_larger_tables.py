@@ -57,6 +57,30 @@ def test_eligible_returns_need_no_classified_lines(spark, sf_dir, rows, monkeypa
     assert rows(found, "invoice_no", "stock_code") == want and len(want) > 5
 
 
+def test_instants_of_returns_are_made_once(spark, sf_dir, monkeypatch):
+    written = []
+
+    def stored(df, label):
+        written.append(label)
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(etl, "stored", stored)
+    w = retail.retail_work(bindings.retail_lines(spark, sf_dir))
+    log = etl.returns_log(w, etl.sales_facts(w))
+    assert written == ["instants"]
+    assert log.count() == w.where("is_cancellation").count()
+
+
+def test_sales_and_returns_of_one_instant_and_of_later_days(spark):
+    t = "timestamp_ntz'2020-01-01 {}:00:00'"
+    row = "select '{}' invoice_no, '20001' stock_code, 'd' description, {}L quantity, 1.0d unit_price, 1.0d total_amount, {} invoice_datetime, '7' customer_id, 'X' country"
+    sales = [("1", 2, t.format("08")), ("2", 2, t.format("08")), ("3", 2, t.format("09")), ("4", 2, "cast(null as timestamp_ntz)")]
+    back = [("C1", -2, t.format("08")), ("C2", -2, t.format("09")), ("C3", -2, t.format("10")), ("C4", -2, "timestamp_ntz'2020-03-01 00:00:00'"), ("C5", -2, "cast(null as timestamp_ntz)")]
+    facts, returns = (spark.sql(" union all ".join(row.format(*r) for r in part)) for part in (sales, back))
+    got = {r.invoice_no: r.matched_original_invoice for r in etl.match_returns(returns, facts).collect()}
+    assert got == {"C1": None, "C2": "2", "C3": "3", "C4": "3", "C5": None}
+
+
 def test_outer_space_of_any_kind_is_stripped(spark):
     cases = {"20012\n": "20012", "\t20007A": "20007A", " 1 2 ": "1 2", "a ": "a", "　b c\x1c": "b c", "é ": "é", "d\x7f": "d\x7f", "": "", " ": "", "x": "x", "a\nb": "a\nb"}
     df = spark.createDataFrame([*cases.items(), (None, None)], "t string, want string")
