@@ -267,24 +267,23 @@ def feature_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PUBLISHED: dict[tuple[str, str], str] = {}
 
 
-def published(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The three tables that the ETL job publishes, read back."""
+def published(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the three tables that the ETL job publishes, written once."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PUBLISHED:
         _PUBLISHED[key] = fresh_folder(spark, "published")
         retail_etl.run(lines(spark, sf_dir), _PUBLISHED[key])
-    return retail_etl.read_published(spark, _PUBLISHED[key])
+    return _PUBLISHED[key]
 
 
 for table_name in ("sales_facts", "customer_features", "returns_log"):
-    QUERIES[f"published_{table_name}"] = lambda spark, sf_dir, name=table_name: published(spark, sf_dir)[name]
+    QUERIES[f"published_{table_name}"] = lambda spark, sf_dir, name=table_name: retail_etl.read_published(spark, published(spark, sf_dir), name)[name]
 
 
 @query("published_checks")
 def published_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broken rules as they were counted while the published tables were written."""
-    published(spark, sf_dir)
-    return retail_etl.read_checks(spark, _PUBLISHED[(spark.sparkContext.applicationId, sf_dir)])
+    return retail_etl.read_checks(spark, published(spark, sf_dir))
 
 
 # --- marketplace -----------------------------------------------------------------------------

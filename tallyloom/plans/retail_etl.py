@@ -74,12 +74,13 @@ def run(lines: DataFrame, path: str) -> DataFrame:
     return etl.etl_summary(tables.work, written["sales_facts"], written["returns_log"])
 
 
-def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The tables of a version, by the fields that lie beside them: a table without rows may have no file to tell."""
+def _tables(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+    """The named tables of a version, all if none is named, by the fields that lie beside them: a table without rows may
+    have no file to tell. Opening the facts lists a folder per sale date, so they are opened only where they are asked for."""
     columns = {"sales_facts": FACT_COLUMNS, "customer_features": FEATURE_COLUMNS, "returns_log": [*FACT_COLUMNS, "matched_original_invoice"]}
     # One row per table.
     fields = {r["table"]: r["fields"] for r in spark.read.schema("table string, fields string").json(f"{folder}/schemas").collect()}
-    return {name: spark.read.schema(fields[name]).parquet(f"{folder}/{name}").select(*columns[name]) for name in columns}
+    return {name: spark.read.schema(fields[name]).parquet(f"{folder}/{name}").select(*columns[name]) for name in names or columns}
 
 
 def _published_version(spark: SparkSession, path: str) -> str:
@@ -87,9 +88,9 @@ def _published_version(spark: SparkSession, path: str) -> str:
     return marks.orderBy(F.desc("published_at"), F.desc("version")).first()["version"]
 
 
-def read_published(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The tables of the version that was published last."""
-    return _tables(spark, f"{path}/{_published_version(spark, path)}")
+def read_published(spark: SparkSession, path: str, *names: str) -> dict[str, DataFrame]:
+    """The named tables, all if none is named, of the version that was published last."""
+    return _tables(spark, f"{path}/{_published_version(spark, path)}", *names)
 
 
 def read_checks(spark: SparkSession, path: str) -> DataFrame:

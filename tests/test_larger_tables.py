@@ -81,6 +81,13 @@ def test_sales_and_returns_of_one_instant_and_of_later_days(spark):
     assert got == {"C1": None, "C2": "2", "C3": "3", "C4": "3", "C5": None}
 
 
+def test_only_the_asked_published_table_is_opened(spark, sf_dir, tmp_path):
+    retail_etl.run(bindings.retail_lines(spark, sf_dir), f"{tmp_path}/out")
+    one = retail_etl.read_published(spark, f"{tmp_path}/out", "returns_log")
+    assert list(one) == ["returns_log"]
+    assert one["returns_log"].count() == retail_etl.read_published(spark, f"{tmp_path}/out")["returns_log"].count() > 0
+
+
 def test_outer_space_of_any_kind_is_stripped(spark):
     cases = {"20012\n": "20012", "\t20007A": "20007A", " 1 2 ": "1 2", "a ": "a", "　b c\x1c": "b c", "é ": "é", "d\x7f": "d\x7f", "": "", " ": "", "x": "x", "a\nb": "a\nb"}
     df = spark.createDataFrame([*cases.items(), (None, None)], "t string, want string")
