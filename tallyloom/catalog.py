@@ -410,8 +410,9 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Low-score reviews with their normalised text, staged once."""
-    return staged(spark, "records", sf_dir, lambda: rv.review_records(reviews(spark, sf_dir)))
+    """Low-score reviews with their normalised text, staged once. They come straight out of the documents: the reviews that are
+    not low are never written."""
+    return staged(spark, "records", sf_dir, lambda: rv.review_records(bindings.reviews(spark, sf_dir)))
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:

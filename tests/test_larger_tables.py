@@ -88,6 +88,12 @@ def test_only_the_asked_published_table_is_opened(spark, sf_dir, tmp_path):
     assert one["returns_log"].count() == retail_etl.read_published(spark, f"{tmp_path}/out")["returns_log"].count() > 0
 
 
+def test_records_do_not_write_all_reviews(spark, sf_dir, rows, monkeypatch):
+    monkeypatch.setattr(catalog, "reviews", refuse("reviews"))
+    low = catalog.records(spark, sf_dir)
+    assert low.count() == bindings.reviews(spark, sf_dir).where(F.col("review_score") <= fv.LOW_SCORE_MAX).count() > 0
+
+
 def test_outer_space_of_any_kind_is_stripped(spark):
     cases = {"20012\n": "20012", "\t20007A": "20007A", " 1 2 ": "1 2", "a ": "a", "　b c\x1c": "b c", "é ": "é", "d\x7f": "d\x7f", "": "", " ": "", "x": "x", "a\nb": "a\nb"}
     df = spark.createDataFrame([*cases.items(), (None, None)], "t string, want string")
