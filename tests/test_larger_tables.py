@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import catalog
 from tallyloom.functions import fixed_values as fv, text as tx
-from tallyloom.operators import etl, profile, retail
+from tallyloom.operators import etl, profile, retail, reviews as rv
 from tallyloom.plans import retail_etl
 from tallyloom.sources import bindings
 
@@ -94,6 +94,18 @@ def test_records_do_not_write_all_reviews(spark, sf_dir, rows, monkeypatch):
     assert low.count() == bindings.reviews(spark, sf_dir).where(F.col("review_score") <= fv.LOW_SCORE_MAX).count() > 0
 
 
+def test_near_duplicates_move_no_raw_text(spark, sf_dir, monkeypatch):
+    asked = []
+    monkeypatch.setattr(catalog.near_texts, "near_duplicates", lambda texts: asked.append(texts) or texts)
+    for name in ("records", "texts"):
+        monkeypatch.setattr(catalog, name, refuse(name))
+    catalog.QUERIES["near_duplicates"](spark, sf_dir)
+    plan = asked[0].select("dedup_key", "normalized_text", "n_reviews")._jdf.queryExecution().optimizedPlan().toString()
+    assert "raw_text" not in plan.split("Aggregate")[1].split("\n")[0] and "review_id" not in plan
+    want = rv.dedup_texts(rv.review_records(bindings.reviews(spark, sf_dir)))
+    assert asked[0].count() == want.count() > 0
+
+
 def test_outer_space_of_any_kind_is_stripped(spark):
     cases = {"20012\n": "20012", "\t20007A": "20007A", " 1 2 ": "1 2", "a ": "a", "　b c\x1c": "b c", "é ": "é", "d\x7f": "d\x7f", "": "", " ": "", "x": "x", "a\nb": "a\nb"}
     df = spark.createDataFrame([*cases.items(), (None, None)], "t string, want string")
